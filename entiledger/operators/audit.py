@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from entiledger.functions.columns import (
     bare_table_name,
@@ -15,6 +14,7 @@ from entiledger.functions.columns import (
     legacy_type,
     table_name,
 )
+from entiledger.operators.keys import column_values
 
 # Accepted types of the required columns.
 TEXT_TYPES = ["TEXT", "VARCHAR(200)"]
@@ -24,15 +24,7 @@ TIME_TYPES = ["TIMESTAMP"]
 # Actions whose tables map ids of a vendor.
 MAPPING_ACTIONS = ("map", "fuzzymatch")
 
-_CANDIDATE = T.StructType(
-    [
-        T.StructField("thing_ord", T.IntegerType()),
-        T.StructField("thing", T.StringType()),
-    ]
-)
-
-
-def _listed(names: list[str]) -> Column:
+def _listed(names: list[str | None]) -> Column:
     return F.array(*[F.lit(n) for n in names]).cast("array<string>")
 
 
@@ -45,29 +37,20 @@ def enumerate_tables(
     action tables, then its vendor tables by vendor and action. A thing without
     its own table is skipped together with its other tables.
     """
-    spark = names.sparkSession
-    base = spark.createDataFrame(list(enumerate(things)), _CANDIDATE)
-    none = F.lit(None).cast("string")
-    own = base.select(
-        "*",
-        F.lit(-1).alias("vendor_ord"),
-        none.alias("vendor"),
-        F.lit(-1).alias("action_ord"),
-        none.alias("action"),
-    )
-    acted = base.select(
-        "*",
-        F.lit(-1).alias("vendor_ord"),
-        none.alias("vendor"),
-        F.posexplode(_listed(actions)).alias("action_ord", "action"),
-    )
-    vended = base.select(
-        "*", F.posexplode(_listed(vendors)).alias("vendor_ord", "vendor")
-    ).select("*", F.posexplode(_listed(actions)).alias("action_ord", "action"))
-    candidates = own.unionByName(acted).unionByName(vended)
-    candidates = candidates.withColumn(
-        "table_name",
-        table_name(F.col("thing"), F.col("action"), F.col("vendor")),
+    # A leading null stands for "no vendor" and "no action"; its ordinal is -1.
+    place = F.col("place") - 1
+    candidates = (
+        names.sparkSession.range(0, 1, 1, 1)
+        .select(F.posexplode(_listed(things)).alias("thing_ord", "thing"))
+        .select("*", F.posexplode(_listed([None, *vendors])).alias("place", "vendor"))
+        .withColumn("vendor_ord", place)
+        .drop("place")
+        .select("*", F.posexplode(_listed([None, *actions])).alias("place", "action"))
+        .withColumn("action_ord", place)
+        .where(F.col("vendor").isNull() | F.col("action").isNotNull())
+        .withColumn(
+            "table_name", table_name(F.col("thing"), F.col("action"), F.col("vendor"))
+        )
     )
     present = names.select(bare_table_name(F.col("table_name")).alias("table_name"))
     found = candidates.join(present.distinct(), "table_name")
@@ -155,38 +138,38 @@ def profile_tables(
     ``id_columns`` gives the id column of every id-map table, whose duplicates of
     that column and of ``ext_id`` are counted. Tables without rows are absent.
     """
+    names = list(tables)
     slim = []
-    for name, df in tables.items():
+    for place, name in enumerate(names):
+        df = tables[name]
         id_column = id_columns.get(name)
         if id_column in df.columns and "ext_id" in df.columns:
-            sides = F.array(
-                *[
-                    F.struct(F.lit(side).alias("side"), F.col(c).cast("string").alias("v"))
-                    for side, c in (("id", id_column), ("ext", "ext_id"))
-                ]
-            )
-            slim.append(
-                df.select(F.lit(name).alias("table_name"), F.explode(sides).alias("p"))
-                .select("table_name", "p.side", "p.v")
-            )
+            sides = [
+                (False, column_values(df, id_column)),
+                (True, column_values(df, "ext_id")),
+            ]
         else:
-            slim.append(
-                df.select(
-                    F.lit(name).alias("table_name"),
-                    F.lit("id").alias("side"),
-                    F.lit(None).cast("string").alias("v"),
-                )
-            )
-    values = reduce(DataFrame.unionByName, slim)
-    counted = values.groupBy("table_name", "side", "v").agg(
-        F.count(F.lit(1)).alias("n")
+            none = F.lit(None)
+            sides = [
+                (False, [none.cast("long").alias("num"), none.cast("string").alias("txt")])
+            ]
+        slim += [
+            df.select(F.lit(place).alias("place"), F.lit(ext).alias("ext"), *value)
+            for ext, value in sides
+        ]
+    counted = (
+        reduce(DataFrame.unionByName, slim)
+        .groupBy("place", "ext", "num", "txt")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    repeated = F.col("v").isNotNull() & (F.col("n") > 1)
-    return counted.groupBy("table_name").agg(
-        F.sum(F.when(F.col("side") == "id", F.col("n"))).alias("rows"),
-        F.count_if((F.col("side") == "id") & repeated).alias("dup_id"),
-        F.count_if((F.col("side") == "ext") & repeated).alias("dup_ext_id"),
+    repeated = (F.col("num").isNotNull() | F.col("txt").isNotNull()) & (F.col("n") > 1)
+    totals = counted.groupBy("place").agg(
+        F.sum(F.when(~F.col("ext"), F.col("n"))).alias("rows"),
+        F.count_if(~F.col("ext") & repeated).alias("dup_id"),
+        F.count_if(F.col("ext") & repeated).alias("dup_ext_id"),
     )
+    named = F.get(_listed(names), F.col("place"))
+    return totals.select(named.alias("table_name"), "rows", "dup_id", "dup_ext_id")
 
 
 def report_position(tables: DataFrame, n_vendors: int, n_actions: int) -> Column:

@@ -1,11 +1,13 @@
 """Surrogate keys numbered in key order without a single-task sort.
 
-Rows fall into buckets of 65,536 consecutive key values, so a bucket of a unique
-key never holds more rows than that. Bucket counts are summed over three levels,
-each 65,536 times coarser, and running sums inside each parent give the rows in
-front of every bucket. The number of a row is that offset plus its place in its
-bucket. The result depends on the keys only, so a task or a whole plan that runs
-again numbers the rows the same way.
+Rows fall into buckets of 2**20 consecutive key values, so a bucket of a unique key
+never holds more rows than that. Bucket counts are summed once more over groups of
+2**22 buckets, and running sums give the rows in front of every group, bucket and
+row. All 64-bit keys together make at most 2**22 groups, so the one window without
+partitions sorts no more than that many sums, and a handful for keys below 2**42.
+
+The result depends on the keys only, so a task or a whole plan that runs again
+numbers the rows the same way.
 """
 
 from __future__ import annotations
@@ -13,18 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 16
-_LEVELS = 3
+BUCKET_BITS = 20
+GROUP_BITS = 22
+_NO_KEY = -(2**62)
 
 
-def _running(level: str, parents: list[str]) -> Column:
-    before = Window.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-    if parents:
-        before = (
-            Window.partitionBy(*parents)
-            .orderBy(level)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
+def _running(order: str, parents: list[str]) -> Column:
+    rows = Window.partitionBy(*parents) if parents else Window
+    before = rows.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("_n").over(before), F.lit(0))
 
 
@@ -42,49 +40,28 @@ def dense_ids(
     """
     group = [major] if major else []
     first = F.lit(start) if isinstance(start, int) else start
-    whole = F.col(key).cast("long")
-    names = [f"_b{level}" for level in range(_LEVELS)]
-
-    # Counts per bucket, then per group of 65,536 buckets, and so on.
-    counts = [
-        df.groupBy(*group, F.shiftright(whole, BUCKET_BITS).alias(names[0])).agg(
-            F.count(F.lit(1)).alias("_n")
-        )
-    ]
-    for lower, upper in zip(names, names[1:]):
-        counts.append(
-            counts[-1]
-            .groupBy(*group, F.shiftright(lower, BUCKET_BITS).alias(upper))
-            .agg(F.sum("_n").alias("_n"))
-        )
-
-    # The top level has at most 65,536 rows per major value: one small window.
-    top = names[-1]
-    in_order = F.struct(*group, top).alias("_order")
-    offsets = counts[-1].select(*group, top, "_n", in_order)
-    offsets = offsets.select(
-        *group, top, _running("_order", []).alias("_ahead")
-    )
-    bounded = True
-    for level in range(_LEVELS - 2, -1, -1):
-        child, parent = names[level], names[level + 1]
-        inner = counts[level].withColumn(
-            parent, F.shiftright(F.col(child), BUCKET_BITS)
-        )
-        inner = inner.withColumn("_inside", _running(child, [*group, parent]))
-        outer = F.broadcast(offsets) if bounded else offsets
-        offsets = inner.join(outer, [*group, parent]).select(
-            *group, child, (F.col("_ahead") + F.col("_inside")).alias("_ahead")
-        )
-        bounded = False
-
-    bucket = names[0]
-    place = Window.partitionBy(*group, bucket).orderBy(key)
-    placed = df.withColumn(bucket, F.shiftright(whole, BUCKET_BITS)).withColumn(
-        "_place", F.row_number().over(place)
+    # Rows without a key come first; that the bucket is never null lets Spark use one
+    # shuffle of the counts twice.
+    bucket = F.coalesce(
+        F.shiftright(F.col(key).cast("long"), BUCKET_BITS), F.lit(_NO_KEY)
+    ).alias("_bucket")
+
+    counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_group", F.shiftright("_bucket", GROUP_BITS))
+    sums = counts.groupBy(*group, "_group").agg(F.sum("_n").alias("_n"))
+    sums = sums.withColumn("_order", F.struct(*group, "_group"))
+    ahead = sums.select(*group, "_group", _running("_order", []).alias("_ahead"))
+    offsets = (
+        counts.withColumn("_inside", _running("_bucket", [*group, "_group"]))
+        .join(ahead, [*group, "_group"])
+        .select(*group, "_bucket", (F.col("_ahead") + F.col("_inside")).alias("_ahead"))
     )
+
+    place = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(key))
     return (
-        placed.join(offsets, [*group, bucket])
+        df.withColumn("_bucket", bucket)
+        .withColumn("_place", place)
+        .join(offsets, [*group, "_bucket"])
         .withColumn(out, first + F.col("_ahead") + F.col("_place") - 1)
         .select(*df.columns, out)
     )

@@ -7,6 +7,8 @@ one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,13 @@ BROADCAST_ROWS = 200_000
 HOT_KEYS = 256
 
 
-def rows_if_small(df: DataFrame, bound: int = BROADCAST_ROWS) -> int | None:
-    """Row count of a stored table if it is within the bound, else None.
+def rows_if_small(*tables: DataFrame, bound: int = BROADCAST_ROWS) -> int | None:
+    """Row count of stored tables together if it is within the bound, else None.
 
-    Meant for scans: it reads no column and at most ``bound + 1`` rows.
+    Meant for scans: it reads no column and at most ``bound + 1`` rows of each.
     """
-    counted = df.select(F.lit(1)).limit(bound + 1).count()
+    some = [t.select(F.lit(1).alias("one")).limit(bound + 1) for t in tables]
+    counted = reduce(DataFrame.unionByName, some).count()
     return counted if counted <= bound else None
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entiledger.model import BAD_KEY_SENTINEL
 from entiledger.operators.joins import lookup_join
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
 def members(rows: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose column value is among the keys."""
@@ -36,32 +39,43 @@ def non_members(
     return joined.where(kept).select(*rows.columns)
 
 
+def column_values(df: DataFrame, column: str) -> list[Column]:
+    """A column as two: ``num`` for integers, else ``txt``.
+
+    Values of different tables and columns so share one table without turning
+    numbers into text.
+    """
+    whole = isinstance(df.schema[column].dataType, _WHOLE)
+    value = F.col(column)
+    return [
+        (value if whole else F.lit(None)).cast("long").alias("num"),
+        (F.lit(None) if whole else value).cast("string").alias("txt"),
+    ]
+
+
 def duplicate_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """Number of distinct values that occur more than once, per column.
 
-    One scan and one shuffle serve all columns. Nulls never count.
+    Each column is scanned by itself and one shuffle serves all. Nulls never count.
     """
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
-            for c in columns
-        ]
-    )
-    per_value = (
-        df.select(F.explode(pairs).alias("p"))
-        .groupBy("p.column_name", "p.v")
-        .agg(F.count("p.v").alias("n"))
+    values = reduce(
+        DataFrame.unionByName,
+        [
+            df.where(F.col(c).isNotNull()).select(
+                F.lit(place).alias("place"), *column_values(df, c)
+            )
+            for place, c in enumerate(columns)
+        ],
     )
+    counted = values.groupBy("place", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
     repeated = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.count_if((F.col("column_name") == c) & (F.col("n") > 1)).alias(
-                "duplicates"
-            ),
+            F.count_if((F.col("place") == place) & (F.col("n") > 1)).alias("duplicates"),
         )
-        for c in columns
+        for place, c in enumerate(columns)
     ]
-    return per_value.agg(F.array(*repeated).alias("t")).select(F.inline("t"))
+    return counted.agg(F.array(*repeated).alias("t")).select(F.inline("t"))
 
 
 def one_to_one(df: DataFrame, id_column: str, ext_column: str) -> DataFrame:

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entiledger.model import FIRST_N_ID
-from entiledger.operators.ids import dense_ids, new_registry_ids
+from entiledger.operators.ids import dense_ids, new_registry_ids, next_id
 
 
 @dataclass(frozen=True)
@@ -30,31 +30,61 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _created_ranges(creates: DataFrame, start: Column) -> Column:
+    """Ids that each creating batch will use, as an array of (batch, first, last).
+
+    Ids are dense, so the row counts of the batches tell; there is one entry per
+    batch of the series.
+    """
+    before = Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)
+    counts = creates.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"))
+    first = start + F.coalesce(F.sum("n").over(before), F.lit(0))
+    ranges = counts.select("batch_no", first.alias("first"), "n").select(
+        F.struct(
+            F.col("batch_no").alias("batch"),
+            "first",
+            (F.col("first") + F.col("n") - 1).alias("last"),
+        ).alias("r")
+    )
+    return ranges.agg(F.collect_list("r")).scalar()
+
+
 def reference_errors(
-    rows: DataFrame, registry: DataFrame, thing: str, batch: str = "batch_no"
+    rows: DataFrame, registry: DataFrame, thing: str, created: Column | None = None
 ) -> DataFrame:
     """Ids in modifying rows that are missing, unknown or belong to another thing.
 
-    Rows are counted per id first, so an id with very many rows is one row in the
-    join. Registry rows carry the batch that creates them, and a batch knows only
-    the ids of earlier batches.
+    Rows are counted per batch and id first, so an id with very many rows is one
+    row in the join, and only registry rows that a batch refers to take part in it.
+    ``created`` holds the ids that creating batches of the series will use; a batch
+    knows those of earlier batches.
     """
-    used = rows.groupBy(batch, "n_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    used = rows.groupBy("batch_no", "n_id").agg(F.count(F.lit(1)).alias("n_rows"))
     wanted = used.select("n_id").distinct()
     known = registry.join(wanted, "n_id", "left_semi").select(
-        "n_id", F.col("thing").alias("found"), F.col(batch).alias("_since")
-    )
-    matched = used.join(known, "n_id", "left").withColumn(
-        "found", F.when(F.col("_since") < F.col(batch), F.col("found"))
+        "n_id", F.col("thing").alias("found")
     )
+    found = F.col("found")
+    if created is not None:
+        batch, n_id = F.col("batch_no"), F.col("n_id")
+        used = used.withColumn("_created", created)
+        earlier = F.exists(
+            "_created",
+            lambda r: (r.getField("batch") < batch)
+            & n_id.between(r.getField("first"), r.getField("last")),
+        )
+        found = F.coalesce(found, F.when(earlier, thing))
     problem = (
         F.when(F.col("n_id").isNull(), "missing")
         .when(F.col("found").isNull(), "unknown")
         .when(F.col("found") != thing, "wrong_thing")
     )
-    return matched.select(
-        batch, "n_id", "found", problem.alias("problem"), "n_rows"
-    ).where(F.col("problem").isNotNull())
+    return (
+        used.join(known, "n_id", "left")
+        .withColumn("found", found)
+        .select("batch_no", "n_id", "found", problem.alias("problem"), "n_rows")
+        .where(F.col("problem").isNotNull())
+    )
 
 
 def load_series(
@@ -78,27 +108,25 @@ def load_series(
         (modifies if "n_id" in batch.columns else creates).append(tagged)
 
     accepted = []
-    known = registry.select("n_id", "thing", F.lit(0).alias("batch_no"))
+    created = None
     new_things = registry.select("n_id", "thing").where(F.lit(False))
     if creates:
+        made = _union(creates)
         numbered, new_things = new_registry_ids(
-            _union(creates), registry, thing, row_no, next_default, "batch_no"
+            made, registry, thing, row_no, next_default, "batch_no"
         )
         accepted.append(numbered.withColumn("action", F.lit("create")))
-        known = known.unionByName(
-            numbered.select("n_id", F.lit(thing).alias("thing"), "batch_no")
-        )
+        created = _created_ranges(made, next_id(registry, "n_id", next_default))
     if modifies:
         changed = _union(modifies).withColumn("n_id", F.col("n_id").cast("long"))
-        errors = reference_errors(changed, known, thing)
+        errors = reference_errors(changed, registry, thing, created)
         # At most one row per batch of the series.
         rejected = F.broadcast(errors.select("batch_no").distinct())
         kept = changed.join(rejected, "batch_no", "left_anti")
         accepted.append(kept.withColumn("action", F.lit("modify")))
     else:
-        errors = reference_errors(
-            known.where(F.lit(False)), known.where(F.lit(False)), thing
-        )
+        none = registry.where(F.lit(False)).withColumn("batch_no", F.lit(0))
+        errors = reference_errors(none, registry, thing)
     rows = _union(accepted)
     if first_log_id is not None:
         rows = dense_ids(rows, row_no, "log_id", first_log_id, "batch_no")

@@ -18,7 +18,7 @@ from entiledger.model import (
     TableSpec,
 )
 from entiledger.operators.ids import dense_ids, next_id
-from entiledger.operators.joins import lookup_join
+from entiledger.operators.joins import lookup_join, rows_if_small
 
 
 def id_column(df: DataFrame, thing: str) -> str:
@@ -156,13 +156,16 @@ def name_map_log(
     v_id: Column,
     bridge_rows: int | None = None,
     map_type: str = DEFAULT_MAP_TYPE,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Map rows as name-map log rows with new ids; map rows of no thing are dropped.
 
     ``bridge`` holds exactly the migrated things, so this one join both looks up
     the new id and drops orphans. The log id is given when the rows are appended.
     """
-    joined = lookup_join(maps, bridge, list(keys), "inner", bridge_rows, ["ext_id"])
+    joined = lookup_join(
+        maps, bridge, list(keys), "inner", bridge_rows, ["ext_id"], profile
+    )
     return joined.select(
         "n_id",
         v_id.cast("long").alias("v_id"),
@@ -207,17 +210,6 @@ def assign_vendor_ids(
     return ids, added
 
 
-@dataclass(frozen=True)
-class Migration:
-    """Outputs of a whole migration; every member is lazy."""
-
-    bridge: DataFrame
-    registry: DataFrame
-    logs: dict[str, DataFrame]
-    name_map: DataFrame | None
-    new_vendors: DataFrame | None
-
-
 def _map_tables(
     legacy: Mapping[str, DataFrame], spec: TableSpec, vendors: Sequence[str]
 ) -> list[tuple[str, str]]:
@@ -249,66 +241,100 @@ def number_things(
     return numbered.select("old_id", "thing", "n_id")
 
 
+@dataclass(frozen=True)
+class Migration:
+    """A whole migration: the bridge, and plans for everything that joins it."""
+
+    legacy: Mapping[str, DataFrame]
+    specs: Mapping[str, TableSpec]
+    things: list[str]
+    vendors: Sequence[str]
+    bridge: DataFrame
+    bridge_rows: int | None
+
+    def registry(self) -> DataFrame:
+        """Rows of the thing registry."""
+        return self.bridge.select("n_id", "thing")
+
+    def log(self, thing: str) -> DataFrame:
+        """Log rows of one thing; both sides of the join are unique on the old id."""
+        df = self.legacy[thing]
+        extras = extra_columns(df, self.specs[thing])
+        own = self.bridge.where(F.col("thing") == thing).select("old_id", "n_id")
+        first = own.agg(F.min("n_id")).scalar()
+        return created_log(
+            legacy_rows(df, thing, extras).join(own, "old_id"),
+            extras,
+            F.col("n_id") - first + 1,
+            "t_updated_ts",
+            "t_updated_by",
+        )
+
+    def map_tables(self) -> list[tuple[str, str, str]]:
+        """Declared id maps as (thing, vendor, table) in the order of their visit."""
+        return [
+            (thing, vendor, table)
+            for thing in self.things
+            for vendor, table in _map_tables(
+                self.legacy, self.specs[thing], self.vendors
+            )
+        ]
+
+    def vendor_ids(self, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Ids of the vendors with id maps, and the registry rows to append."""
+        seen = list(dict.fromkeys(vendor for _, vendor, _ in self.map_tables()))
+        listed = F.array(*[F.lit(v) for v in seen]).cast("array<string>")
+        wanted = registry.sparkSession.range(0, 1, 1, 1).select(
+            F.posexplode(listed).alias("visit", "vendor")
+        )
+        return assign_vendor_ids(registry, wanted, ["visit"])
+
+    def name_map(self, vendor_ids: DataFrame) -> DataFrame | None:
+        """Name-map rows of all id maps, through one join; None without any map."""
+        visits = self.map_tables()
+        if not visits:
+            return None
+        maps = reduce(
+            DataFrame.unionByName,
+            [
+                map_rows(self.legacy[table], thing, table).select(
+                    F.lit(thing).alias("thing"), F.lit(vendor).alias("vendor"), "*"
+                )
+                for thing, vendor, table in visits
+            ],
+        )
+        # One row per declared vendor: always small enough to broadcast.
+        return name_map_log(
+            maps.join(F.broadcast(vendor_ids), "vendor"),
+            self.bridge,
+            ["thing", "old_id"],
+            F.col("v_id"),
+            self.bridge_rows,
+            profile=maps,
+        )
+
+
 def migrate_all(
     legacy: Mapping[str, DataFrame],
     specs: Sequence[TableSpec],
     things: Sequence[str],
     vendors: Sequence[str],
-    vendor_registry: DataFrame,
     start: int = FIRST_N_ID,
     short_load: bool = False,
     bridge: DataFrame | None = None,
-    bridge_rows: int | None = None,
 ) -> Migration:
-    """Migrate every legacy thing that is declared, with its declared id maps.
+    """Plan the migration of every legacy thing that is declared.
 
     ``bridge`` may be the stored result of :func:`number_things`; otherwise it is
-    planned here. Logs join it on the unique old id, and all id maps of all things
-    join it at once.
+    planned here. Whether it is small enough to broadcast follows from its row count
+    or, when it is not stored, from those of the legacy tables.
     """
     declared = {spec.name: spec for spec in specs}
     chosen = [t for t in things if t in legacy and t in declared]
     if not chosen:
         raise ValueError("no legacy table is declared")
+    sized = [legacy[thing] for thing in chosen] if bridge is None else [bridge]
+    rows = rows_if_small(*sized)
     if bridge is None:
         bridge = number_things(legacy, chosen, start, short_load)
-
-    logs = {}
-    for thing in chosen:
-        extras = extra_columns(legacy[thing], declared[thing])
-        own = bridge.where(F.col("thing") == thing).select("old_id", "n_id")
-        rows = legacy_rows(legacy[thing], thing, extras).join(own, "old_id")
-        first = own.agg(F.min("n_id")).scalar()
-        logs[thing] = created_log(
-            rows, extras, F.col("n_id") - first + 1, "t_updated_ts", "t_updated_by"
-        )
-
-    visits = [
-        (thing, vendor, table)
-        for thing in chosen
-        for vendor, table in _map_tables(legacy, declared[thing], vendors)
-    ]
-    registry = bridge.select("n_id", "thing")
-    if not visits:
-        return Migration(bridge, registry, logs, None, None)
-
-    seen = list(dict.fromkeys(vendor for _, vendor, _ in visits))
-    wanted = vendor_registry.sparkSession.createDataFrame(
-        list(zip(seen, range(len(seen)))), "vendor string, visit int"
-    )
-    vendor_ids, new_vendors = assign_vendor_ids(vendor_registry, wanted, ["visit"])
-    maps = reduce(
-        DataFrame.unionByName,
-        [
-            map_rows(legacy[table], thing, table).select(
-                F.lit(thing).alias("thing"), F.lit(vendor).alias("vendor"), "*"
-            )
-            for thing, vendor, table in visits
-        ],
-    )
-    # One row per declared vendor: always small enough to broadcast.
-    maps = maps.join(F.broadcast(vendor_ids), "vendor")
-    name_map = name_map_log(
-        maps, bridge, ["thing", "old_id"], F.col("v_id"), bridge_rows
-    )
-    return Migration(bridge, registry, logs, name_map, new_vendors)
+    return Migration(legacy, declared, chosen, vendors, bridge, rows)

@@ -64,23 +64,16 @@ def fill(
         raise ValueError(f"{database}: the bridge is not empty, migrate only once")
     append_rows(number_things(legacy, chosen, FIRST_N_ID, short_load), bridge_table)
     bridge = spark.table(bridge_table)
-    plan = migrate_all(
-        legacy,
-        specs,
-        things,
-        vendors,
-        spark.table(f"`{database}`.`vendor`"),
-        FIRST_N_ID,
-        short_load,
-        bridge,
-        rows_if_small(bridge),
-    )
-    append_rows(plan.registry, f"`{database}`.`thing`")
-    for thing, log in plan.logs.items():
-        append_rows(log, f"`{database}`.`{thing}`")
-    if plan.name_map is not None:
-        append_rows(plan.new_vendors, f"`{database}`.`vendor`")
-        append_log(plan.name_map, f"`{database}`.`name_map`")
+    plan = migrate_all(legacy, specs, things, vendors, bridge=bridge)
+    append_rows(plan.registry(), f"`{database}`.`thing`")
+    for thing in plan.things:
+        append_rows(plan.log(thing), f"`{database}`.`{thing}`")
+    known = spark.table(f"`{database}`.`vendor`")
+    vendor_ids, new_vendors = plan.vendor_ids(known)
+    name_map = plan.name_map(vendor_ids)
+    if name_map is not None:
+        append_rows(new_vendors, f"`{database}`.`vendor`")
+        append_log(name_map, f"`{database}`.`name_map`")
 
 
 def connect_foreign_keys(

@@ -506,19 +506,8 @@ _ALL_IDS = """
 
 
 def _migration(spark, sf_dir):
-    vendors = B.read(spark, sf_dir, "nation").select(
-        (F.col("n_nationkey") + 1).cast("long").alias("v_id"),
-        F.when(F.col("n_nationkey") == 4, "line")
-        .otherwise(F.col("n_name"))
-        .alias("vendor"),
-        F.lit("main").alias("database"),
-    )
     return migrate.migrate_all(
-        B.legacy_tables(spark, sf_dir),
-        B.SPECS,
-        B.LEGACY_THINGS,
-        B.LEGACY_VENDORS,
-        vendors,
+        B.legacy_tables(spark, sf_dir), B.SPECS, B.LEGACY_THINGS, B.LEGACY_VENDORS
     )
 
 
@@ -529,7 +518,7 @@ def migrate_all_bridge(spark, sf_dir):
 
 @query("migrate_all_registry", f"WITH {_ALL_IDS} SELECT n_id, thing FROM b")
 def migrate_all_registry(spark, sf_dir):
-    return _migration(spark, sf_dir).registry
+    return _migration(spark, sf_dir).registry()
 
 
 @query(
@@ -541,7 +530,7 @@ def migrate_all_registry(spark, sf_dir):
     FROM customer JOIN b ON old_id = c_custkey AND thing = 'customer'""",
 )
 def migrate_all_log(spark, sf_dir):
-    return _migration(spark, sf_dir).logs["customer"]
+    return _migration(spark, sf_dir).log("customer")
 
 
 @query(
@@ -559,7 +548,15 @@ def migrate_all_log(spark, sf_dir):
     FROM maps JOIN b ON b.old_id = maps.old_id AND b.thing = maps.thing""",
 )
 def migrate_all_name_map(spark, sf_dir):
-    return _migration(spark, sf_dir).name_map
+    vendors = B.read(spark, sf_dir, "nation").select(
+        (F.col("n_nationkey") + 1).cast("long").alias("v_id"),
+        F.when(F.col("n_nationkey") == 4, "line")
+        .otherwise(F.col("n_name"))
+        .alias("vendor"),
+        F.lit("main").alias("database"),
+    )
+    plan = _migration(spark, sf_dir)
+    return plan.name_map(plan.vendor_ids(vendors)[0])
 
 
 @query(
@@ -800,7 +797,7 @@ def _report_row(
 
     return f"""SELECT {text(name)} AS table_name, {text(thing)} AS thing,
       {text(action)} AS action, {text(vendor)} AS vendor, {flag(good_id)} AS good_id,
-      {flag(good_name)} AS good_name, {flag(good_log)} AS good_log, {columns} AS columns,
+      {flag(good_name)} AS good_name, {flag(good_log)} AS good_log, CAST({columns} AS BIGINT) AS columns,
       (SELECT count(*) FROM {table}) AS rows, {i} AS dup_id, {e} AS dup_ext_id"""
 
 
