@@ -97,70 +97,108 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def legacy_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Entity, map and import tables under the legacy naming rules."""
-    by = F.lit(WRITTEN_BY)
-    nation = read(spark, sf_dir, "nation").select(
+def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("nation_id"),
         F.col("n_name").alias("nation_name"),
         F.col("n_regionkey").alias("region_id"),
-        *_logs(_written(), by),
+        *_logs(_written(), F.lit(WRITTEN_BY)),
     )
-    customer = read(spark, sf_dir, "customer").select(
+
+
+def _customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer"),
         F.col("c_nationkey").alias("nation_id"),
         F.col("c_acctbal").alias("balance"),
         *_logs(_written(), F.col("c_mktsegment")),
     )
-    orders = read(spark, sf_dir, "orders").select(
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("orders_id"),
         F.col("o_orderstatus").alias("orders_name"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_totalprice").alias("total"),
         *_logs(F.col("o_orderdate"), F.col("o_orderpriority")),
     )
-    source = read(spark, sf_dir, "part")
-    part = source.select(
+
+
+def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("part_id"),
         F.col("p_name").alias("part_name"),
         F.col("p_brand").alias("brand"),
         *_logs(_written(), F.col("p_type")),
     )
-    lineitem = read(spark, sf_dir, "lineitem")
-    shipped = _logs(F.col("l_shipdate"), F.col("l_returnflag"))
-    supplied = lineitem.select(
+
+
+def _import_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select(F.col("p_name").alias("part"), "p_size")
+
+
+def _map_part_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("part_id"),
         F.col("l_suppkey").cast("string").alias("ext_id"),
-        *shipped,
+        *_logs(F.col("l_shipdate"), F.col("l_returnflag")),
     )
-    lines = lineitem.select(
+
+
+def _import_part_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+
+
+def _map_orders_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orders_id"),
         F.concat_ws("-", "l_partkey", "l_linenumber").alias("ext_id"),
-        *shipped,
+        *_logs(F.col("l_shipdate"), F.col("l_returnflag")),
     )
-    activity = read(spark, sf_dir, "events").select(
+
+
+def _map_customer_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select(
         F.col("user_id").alias("customer_id"),
         F.col("props").alias("ext_id"),
         *_logs(F.col("ts"), F.col("event_type")),
     )
-    segment = read(spark, sf_dir, "customer").select(
+
+
+def _map_customer_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment")
     )
-    imported = source.select(F.col("p_name").alias("part"), "p_size")
-    unnamed = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return {
-        "nation": nation,
-        "customer": customer,
-        "orders": orders,
-        "part": part,
-        "import_part": imported,
-        "map_part_supplier": supplied,
-        "import_part_supplier": unnamed,
-        "map_orders_line": lines,
-        "map_customer_activity": activity,
-        "map_customer_segment": segment,
-    }
+
+
+# Entity, map and import tables under the legacy naming rules.
+LEGACY_TABLES = {
+    "nation": _nation,
+    "customer": _customer,
+    "orders": _orders,
+    "part": _part,
+    "import_part": _import_part,
+    "map_part_supplier": _map_part_supplier,
+    "import_part_supplier": _import_part_supplier,
+    "map_orders_line": _map_orders_line,
+    "map_customer_activity": _map_customer_activity,
+    "map_customer_segment": _map_customer_segment,
+}
+
+
+def legacy_tables(
+    spark: SparkSession, sf_dir: str, *names: str
+) -> dict[str, DataFrame]:
+    """The named legacy tables, or all of them."""
+    chosen = names or LEGACY_TABLES
+    return {name: LEGACY_TABLES[name](spark, sf_dir) for name in chosen}
+
+
+def legacy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One legacy table."""
+    return LEGACY_TABLES[name](spark, sf_dir)
 
 
 def sound_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -243,7 +243,7 @@ def duplicate_values(spark, sf_dir):
                              HAVING count(*) > 1)) AS dup_ext_ids""",
 )
 def one_to_one(spark, sf_dir):
-    maps = B.legacy_tables(spark, sf_dir)["map_part_supplier"]
+    maps = B.legacy_table(spark, sf_dir, "map_part_supplier")
     return keys.one_to_one(maps, "part_id", "ext_id")
 
 
@@ -330,14 +330,13 @@ def remap_foreign_key_sentinel(spark, sf_dir):
     LEFT JOIN s ON s.old_id = l_suppkey""",
 )
 def remap_foreign_keys(spark, sf_dir):
-    tables = B.legacy_tables(spark, sf_dir)
     supplier = B.read(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("supplier_id"),
         F.col("s_name").alias("supplier_name"),
         F.lit(None).cast("timestamp_ntz").alias("updated_ts"),
         F.lit(B.WRITTEN_BY).alias("updated_by"),
     )
-    legacy = {"part": tables["part"], "supplier": supplier}
+    legacy = {"part": B.legacy_table(spark, sf_dir, "part"), "supplier": supplier}
     bridge = migrate.number_things(legacy, ["part", "supplier"])
     rows = B.read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orders_id"),
@@ -420,7 +419,7 @@ def short_load(spark, sf_dir):
     FROM orders""",
 )
 def migrate_log(spark, sf_dir):
-    orders = B.legacy_tables(spark, sf_dir)["orders"]
+    orders = B.legacy_table(spark, sf_dir, "orders")
     return migrate.migrate_thing(orders, "orders", 1000, ["customer_id", "total"]).log
 
 
@@ -430,7 +429,7 @@ def migrate_log(spark, sf_dir):
       1000 + row_number() OVER (ORDER BY o_orderkey) - 1 AS n_id FROM orders""",
 )
 def migrate_bridge(spark, sf_dir):
-    orders = B.legacy_tables(spark, sf_dir)["orders"]
+    orders = B.legacy_table(spark, sf_dir, "orders")
     return migrate.migrate_thing(orders, "orders").bridge
 
 
@@ -440,19 +439,20 @@ def migrate_bridge(spark, sf_dir):
       'customer' AS thing FROM customer""",
 )
 def migrate_registry(spark, sf_dir):
-    customer = B.legacy_tables(spark, sf_dir)["customer"]
+    customer = B.legacy_table(spark, sf_dir, "customer")
     return migrate.migrate_thing(customer, "customer").registry
 
 
 @query(
     "migrate_short",
-    """SELECT c_custkey + 1 AS log_id, c_custkey + 5000 AS n_id, 'create' AS action,
+    """SELECT row_number() OVER (ORDER BY c_custkey) AS log_id,
+      5000 + row_number() OVER (ORDER BY c_custkey) - 1 AS n_id, 'create' AS action,
       TIMESTAMP '1998-08-02 00:00:00' AS created_ts, c_mktsegment AS created_by,
       'draft' AS status, c_name AS name FROM customer
     WHERE c_custkey IN (SELECT c_custkey FROM customer ORDER BY 1 LIMIT 10)""",
 )
 def migrate_short(spark, sf_dir):
-    customer = B.legacy_tables(spark, sf_dir)["customer"]
+    customer = B.legacy_table(spark, sf_dir, "customer")
     return migrate.migrate_thing(customer, "customer", 5000, short_load=True).log
 
 
@@ -473,7 +473,7 @@ def join_thing_and_map(spark, sf_dir):
 
 
 def _small_parts(spark, sf_dir):
-    tables = B.legacy_tables(spark, sf_dir)
+    tables = B.legacy_tables(spark, sf_dir, "part", "map_part_supplier")
     small = B.read(spark, sf_dir, "part").where("p_size <= 40")
     part = keys.members(tables["part"], "part_id", small, "p_partkey")
     maps = migrate.map_rows(tables["map_part_supplier"], "part", "map_part_supplier")
@@ -513,7 +513,8 @@ def _migration(spark, sf_dir):
 
 @query("migrate_all_bridge", f"WITH {_ALL_IDS} SELECT * FROM b")
 def migrate_all_bridge(spark, sf_dir):
-    return _migration(spark, sf_dir).bridge
+    things = B.LEGACY_THINGS[:4]
+    return migrate.number_things(B.legacy_tables(spark, sf_dir, *things), things)
 
 
 @query("migrate_all_registry", f"WITH {_ALL_IDS} SELECT n_id, thing FROM b")
