@@ -68,25 +68,10 @@ def dense_ids(
 
 
 def next_id(table: DataFrame, column: str, default: int) -> Column:
-    """First free id of a table as a scalar subquery: its highest id plus one."""
+    """First free id of a table as a scalar subquery: its highest id plus one.
+
+    Ids never start anywhere else, so loaded entities cannot meet migrated ones.
+    """
     return F.coalesce(table.agg(F.max(column)).scalar() + 1, F.lit(default)).cast(
         "long"
     )
-
-
-def new_registry_ids(
-    rows: DataFrame,
-    registry: DataFrame,
-    thing: str,
-    key: str,
-    default: int,
-    major: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Give each row the next free ``n_id`` of the thing registry.
-
-    Returns the numbered rows and the registry rows to append. Ids always start
-    behind the registry's highest id, so they never collide with migrated ones.
-    """
-    start = next_id(registry, "n_id", default)
-    numbered = dense_ids(rows, key, "n_id", start, major)
-    return numbered, numbered.select("n_id", F.lit(thing).alias("thing"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entiledger.model import FIRST_N_ID
-from entiledger.operators.ids import dense_ids, new_registry_ids, next_id
+from entiledger.operators.ids import dense_ids, next_id
 
 
 @dataclass(frozen=True)
@@ -30,20 +30,29 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _created_ranges(creates: DataFrame, start: Column) -> Column:
-    """Ids that each creating batch will use, as an array of (batch, first, last).
+def _batch_places(rows: DataFrame) -> DataFrame:
+    """Per batch: the rows, and the created rows, of all batches before it.
 
-    Ids are dense, so the row counts of the batches tell; there is one entry per
-    batch of the series.
+    One row per batch of the series, so the window is over a handful of rows.
     """
     before = Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)
-    counts = creates.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"))
-    first = start + F.coalesce(F.sum("n").over(before), F.lit(0))
-    ranges = counts.select("batch_no", first.alias("first"), "n").select(
+    created = F.when(F.col("_creates"), F.col("_n")).otherwise(0)
+    return (
+        rows.groupBy("batch_no", "_creates")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_created", F.coalesce(F.sum(created).over(before), F.lit(0)))
+    )
+
+
+def _created_ranges(places: DataFrame, start: Column) -> Column:
+    """Ids that each creating batch uses, as an array of (batch, first, last)."""
+    first = start + F.col("_created")
+    ranges = places.where("_creates").select(
         F.struct(
             F.col("batch_no").alias("batch"),
-            "first",
-            (F.col("first") + F.col("n") - 1).alias("last"),
+            first.alias("first"),
+            (first + F.col("_n") - 1).alias("last"),
         ).alias("r")
     )
     return ranges.agg(F.collect_list("r")).scalar()
@@ -99,37 +108,44 @@ def load_series(
 
     A batch with an ``n_id`` column modifies known entities; one without creates
     entities with the next free ids, in order of batch and ``row_no``, a unique
-    integer per batch. A rejected batch does not stop the later ones. With
-    ``first_log_id`` the rows also get log ids in that order.
+    integer per batch. A rejected batch does not stop the later ones.
+
+    With ``first_log_id`` the rows get log ids in the same order; a rejected batch
+    leaves a gap in them. One numbering of all rows yields both kinds of ids.
     """
-    creates, modifies = [], []
-    for place, batch in enumerate(batches, start=1):
-        tagged = batch.withColumn("batch_no", F.lit(place))
-        (modifies if "n_id" in batch.columns else creates).append(tagged)
-
-    accepted = []
-    created = None
-    new_things = registry.select("n_id", "thing").where(F.lit(False))
-    if creates:
-        made = _union(creates)
-        numbered, new_things = new_registry_ids(
-            made, registry, thing, row_no, next_default, "batch_no"
+    tagged = [
+        batch.withColumn("batch_no", F.lit(place)).withColumn(
+            "_creates", F.lit("n_id" not in batch.columns)
         )
-        accepted.append(numbered.withColumn("action", F.lit("create")))
-        created = _created_ranges(made, next_id(registry, "n_id", next_default))
+        for place, batch in enumerate(batches, start=1)
+    ]
+    rows = _union(tagged)
+    creates = any("n_id" not in batch.columns for batch in batches)
+    modifies = any("n_id" in batch.columns for batch in batches)
+    old_id = F.col("n_id") if modifies else F.lit(None)
+    rows = rows.withColumn("n_id", old_id.cast("long"))
+
+    places = _batch_places(rows)
+    start = next_id(registry, "n_id", next_default)
+    changed = rows.where(~F.col("_creates"))
+    created = _created_ranges(places, start) if creates else None
+    errors = reference_errors(changed, registry, thing, created)
+
+    if creates or first_log_id is not None:
+        # One row per batch of the series: always small enough to broadcast.
+        known = F.broadcast(places.select("batch_no", "_before", "_created"))
+        rows = dense_ids(rows, row_no, "_place", 0, "batch_no").join(known, "batch_no")
+        new_id = start + F.col("_created") + F.col("_place") - F.col("_before")
+        rows = rows.withColumn("n_id", F.when(F.col("_creates"), new_id).otherwise(F.col("n_id")))
+        if first_log_id is not None:
+            rows = rows.withColumn("log_id", F.col("_place") + first_log_id)
+        rows = rows.drop("_place", "_before", "_created")
+    new_things = rows.where("_creates").select("n_id", F.lit(thing).alias("thing"))
     if modifies:
-        changed = _union(modifies).withColumn("n_id", F.col("n_id").cast("long"))
-        errors = reference_errors(changed, registry, thing, created)
-        # At most one row per batch of the series.
         rejected = F.broadcast(errors.select("batch_no").distinct())
-        kept = changed.join(rejected, "batch_no", "left_anti")
-        accepted.append(kept.withColumn("action", F.lit("modify")))
-    else:
-        none = registry.where(F.lit(False)).withColumn("batch_no", F.lit(0))
-        errors = reference_errors(none, registry, thing)
-    rows = _union(accepted)
-    if first_log_id is not None:
-        rows = dense_ids(rows, row_no, "log_id", first_log_id, "batch_no")
+        rows = rows.join(rejected, "batch_no", "left_anti")
+    action = F.when(F.col("_creates"), "create").otherwise("modify")
+    rows = rows.withColumn("action", action).drop("_creates")
     return Load(rows, new_things, errors)
 
 

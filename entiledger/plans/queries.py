@@ -691,18 +691,19 @@ def load_modify(spark, sf_dir):
 @query(
     "load_series",
     f"""WITH {_REGISTRY_SQL},
-    top AS (SELECT max(n_id) AS m FROM reg),
-    made AS (SELECT b, row_no, name, status, 'create' AS action,
-        (SELECT m FROM top) + row_number() OVER (ORDER BY b, row_no) AS n_id
-      FROM (SELECT 1 AS b, s_suppkey AS row_no, s_name AS name, 'draft' AS status
-            FROM supplier
-            UNION ALL SELECT 4, p_partkey, p_name, 'stage' FROM part)),
-    changed AS (SELECT 3 AS b, o_orderkey AS row_no, o_orderpriority AS name,
-        'production' AS status, 'modify' AS action, o_custkey AS n_id
-      FROM orders JOIN reg ON n_id = o_custkey AND thing = 'customer'),
-    taken AS (SELECT * FROM made UNION ALL SELECT * FROM changed)
-    SELECT CAST(b AS BIGINT) AS batch_no, row_no, name, status, action, n_id,
-      row_number() OVER (ORDER BY b, row_no) AS log_id FROM taken""",
+    given AS (SELECT 1 AS b, s_suppkey AS row_no, s_name AS name, 'draft' AS status,
+        NULL AS n_id FROM supplier
+      UNION ALL SELECT 2, event_id, NULL, NULL, user_id FROM events
+      UNION ALL SELECT 3, o_orderkey, o_orderpriority, 'production', o_custkey
+        FROM orders JOIN reg ON n_id = o_custkey AND thing = 'customer'
+      UNION ALL SELECT 4, p_partkey, p_name, 'stage', NULL FROM part),
+    placed AS (SELECT *, row_number() OVER (ORDER BY b, row_no) AS log_id,
+        sum(CASE WHEN n_id IS NULL THEN 1 ELSE 0 END) OVER (ORDER BY b, row_no) AS made
+      FROM given)
+    SELECT CAST(b AS BIGINT) AS batch_no, row_no, name, status,
+      CASE WHEN n_id IS NULL THEN 'create' ELSE 'modify' END AS action,
+      CAST(coalesce(n_id, (SELECT max(n_id) FROM reg) + made) AS BIGINT) AS n_id, log_id
+    FROM placed WHERE b <> 2""",
 )
 def load_series(spark, sf_dir):
     # The second batch refers to ids it must not change, so it is left out.
