@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from entiledger.model import ACTIONS, FIRST_N_ID, THINGS, VENDORS, TableSpec
 from entiledger.operators.audit import schema_difference, validation_report
 from entiledger.operators.joins import rows_if_small
-from entiledger.operators.keys import remap_foreign_keys
+from entiledger.operators.keys import integrity_report, remap_foreign_keys
 from entiledger.operators.load import Load, load_series
-from entiledger.operators.migrate import migrate_all, number_things
+from entiledger.operators.migrate import legacy_rows, migrate_all, number_things
 from entiledger.operators.versions import amplify, query_log
 from entiledger.sources.catalog import catalog_of
 from entiledger.sources.tables import append_log, append_rows, table_layouts
@@ -62,6 +62,10 @@ def fill(
     bridge_table = f"`{database}`.`old_new_bridge`"
     if not spark.table(bridge_table).isEmpty():
         raise ValueError(f"{database}: the bridge is not empty, migrate only once")
+    for thing in chosen:
+        ids = legacy_rows(legacy[thing], thing)
+        if integrity_report(ids, ["old_id"]).where("violations > 0").count():
+            raise ValueError(f"table {thing}: an id is used more than once")
     append_rows(number_things(legacy, chosen, FIRST_N_ID, short_load), bridge_table)
     bridge = spark.table(bridge_table)
     plan = migrate_all(legacy, specs, things, vendors, bridge=bridge)

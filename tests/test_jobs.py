@@ -1,0 +1,149 @@
+"""Whole jobs over catalog tables."""
+
+import datetime as dt
+
+import pytest
+
+from entiledger.model import ColumnSpec, TableSpec
+from entiledger.plans import jobs
+from entiledger.sources.catalog import reflect
+from entiledger.sources.tables import aligned, append_log, create_tables
+from entiledger.streaming.series import stream_series
+
+from .conftest import rows
+from .test_migrate import SPECS, legacy  # noqa: F401
+
+THINGS = ["brand", "company"]
+VENDORS = ["ios", "tapir"]
+
+
+@pytest.fixture(scope="module")
+def database(spark, legacy):  # noqa: F811
+    create_tables(spark, "ledger", SPECS)
+    create_tables(spark, "ledger", SPECS)
+    jobs.fill(legacy, spark, "ledger", SPECS, THINGS, VENDORS)
+    return "ledger"
+
+
+def names(spark, table, where="true"):
+    return rows(spark.table(f"ledger.{table}").where(where), "n_id", "name")
+
+
+def test_fill(spark, database):
+    tables = reflect(spark, database)
+    assert set(tables) == {"thing", "vendor", "old_new_bridge", "name_map", *THINGS}
+    assert tables["thing"].count() == tables["old_new_bridge"].count() == 5
+    assert rows(tables["vendor"]) == [(1, "tapir", "main"), (2, "ios", "main")]
+    maps = tables["name_map"]
+    assert rows(maps, "n_id", "v_id", "ext_id") == [
+        (1000, 2, "77"), (1000, 2, "78"), (1002, 1, "t"),
+    ]
+    assert maps.select("log_id").distinct().count() == 3
+    assert rows(tables["brand"], "n_id", "name", "extra", "company_id") == [
+        (1000, "b10", None, 1), (1001, "b20", None, 8), (1002, "b30", None, 2),
+    ]
+
+
+def test_fill_runs_once(spark, database, legacy):  # noqa: F811
+    with pytest.raises(ValueError, match="only once"):
+        jobs.fill(legacy, spark, database, SPECS, THINGS, VENDORS)
+
+
+def test_fill_rejects_repeated_ids(spark, legacy):  # noqa: F811
+    create_tables(spark, "twice", SPECS)
+    doubled = {**legacy, "brand": legacy["brand"].union(legacy["brand"])}
+    with pytest.raises(ValueError, match="brand"):
+        jobs.fill(doubled, spark, "twice", SPECS, THINGS, VENDORS)
+    assert spark.table("twice.old_new_bridge").isEmpty()
+
+
+def test_short_fill(spark, legacy):  # noqa: F811
+    create_tables(spark, "short", SPECS)
+    jobs.fill(legacy, spark, "short", SPECS, THINGS, VENDORS, short_load=True)
+    assert spark.table("short.old_new_bridge").count() == 5
+
+
+def test_foreign_keys(spark, database):
+    got = jobs.connect_foreign_keys(spark, database, SPECS[0], SPECS)
+    assert rows(got, "name", "company_id", "bad_company_id") == [
+        ("b10", 1003, False), ("b20", None, True), ("b30", 1004, False),
+    ]
+    former = jobs.connect_foreign_keys(spark, database, SPECS[0], SPECS, True)
+    assert rows(former, "company_id") == [(666,), (1003,), (1004,)]
+
+
+def test_foreign_key_to_an_undeclared_table(spark, database):
+    odd = TableSpec("brand", (ColumnSpec("company_id", "int", "nowhere"),))
+    with pytest.raises(ValueError, match="nowhere"):
+        jobs.connect_foreign_keys(spark, database, odd, SPECS)
+
+
+def test_load_query_and_amplify(spark, database):
+    when = dt.datetime(2022, 1, 1)
+    ddl = "row_no int, name string, created_ts timestamp_ntz, status string"
+    made = spark.createDataFrame([(1, "new1", when, "stage"), (0, "new0", when, "stage")], ddl)
+    jobs.load(spark, database, "company", [made], "row_no")
+    assert names(spark, "company", "action = 'create' AND n_id > 1004") == [
+        (1005, "new0"), (1006, "new1"),
+    ]
+    assert spark.table("ledger.thing").where("thing = 'company'").count() == 4
+
+    ddl = f"n_id int, {ddl}"
+    changed = spark.createDataFrame([(1003, 0, "c1b", when, "production")], ddl)
+    wrong = spark.createDataFrame([(1000, 0, "no", when, "production")], ddl)
+    done = jobs.load(spark, database, "company", [wrong, changed], "row_no")
+    assert rows(done.errors, "batch_no", "problem") == [(1, "wrong_thing")]
+    with pytest.raises(jobs.LoadRejected):
+        jobs.load(spark, database, "company", [wrong], "row_no")
+
+    newest = jobs.query(spark, database, "company", latest=True)
+    assert [(r.n_id, r.name) for r in newest.collect()][-3:] == [
+        (1005, "new0"), (1006, "new1"), (1003, "c1b"),
+    ]
+    drafts = jobs.query(spark, database, "company", "draft", "create", latest=True)
+    assert rows(drafts, "n_id", "name") == [(1003, "c1"), (1004, "c2")]
+
+    before = spark.table("ledger.company").count()
+    jobs.add_versions(spark, database, "company", 2)
+    log = spark.table("ledger.company")
+    assert log.count() == 3 * before
+    assert log.select("log_id").distinct().count() == 3 * before
+    newest = jobs.query(spark, database, "company", latest=True)
+    assert (1003, "c1b-1") in rows(newest, "n_id", "name")
+
+
+def test_lengths_are_checked_on_write(spark, database):
+    long = spark.createDataFrame([(9, "x" * 201)], "n_id long, name string")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):
+        append_log(long, "ledger.brand")
+
+
+def test_aligned_rejects_unknown_columns(spark, database):
+    with pytest.raises(ValueError, match="odd"):
+        aligned(spark.createDataFrame([(1,)], "odd int"), spark.table("ledger.brand"))
+
+
+def test_streamed_series(spark, legacy, tmp_path):  # noqa: F811
+    create_tables(spark, "stream", SPECS)
+    jobs.fill(legacy, spark, "stream", SPECS, THINGS, VENDORS)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    schema = "n_id long, row_no int, name string"
+    state = str(tmp_path / "state")
+
+    def run():
+        query = stream_series(
+            spark, "stream", "company", str(folder), schema, "row_no", state
+        )
+        query.awaitTermination()
+
+    (folder / "load-1.json").write_text('{"n_id": 1003, "row_no": 0, "name": "one"}\n')
+    run()
+    (folder / "load-2.json").write_text('{"n_id": 1000, "row_no": 0, "name": "bad"}\n')
+    run()
+    (folder / "load-3.json").write_text('{"n_id": 1003, "row_no": 0, "name": "two"}\n')
+    run()
+    run()
+    newest = jobs.query(spark, "stream", "company", latest=True)
+    assert (1003, "two") in rows(newest, "n_id", "name")
+    assert spark.table("stream.company").count() == 4

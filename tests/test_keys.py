@@ -1,0 +1,122 @@
+import pytest
+from pyspark.sql import functions as F
+
+from entiledger.operators import keys
+
+from .conftest import rows
+
+
+@pytest.fixture(scope="module")
+def log(spark):
+    return spark.createDataFrame(
+        [(1, 5), (2, 6), (3, None), (4, 666), (5, 99)], "log_id long, brand_id int"
+    )
+
+
+@pytest.fixture(scope="module")
+def bridge(spark):
+    return spark.createDataFrame(
+        [(5, "brand", 1005), (6, "brand", 1006), (666, "brand", 1666), (99, "company", 1)],
+        "old_id long, thing string, n_id long",
+    )
+
+
+@pytest.mark.parametrize("size", [None, 3])
+def test_remap_flags_bad_keys(log, bridge, size):
+    got = keys.remap_foreign_key(log, "brand_id", "brand", bridge, bridge_rows=size)
+    assert rows(got) == [
+        (1, 1005, False),
+        (2, 1006, False),
+        (3, None, False),
+        (4, 1666, False),
+        (5, None, True),
+    ]
+
+
+@pytest.mark.parametrize("size", [None, 3])
+def test_sentinel_meets_a_real_key(log, bridge, size):
+    """A bad key becomes 666 and is then taken for the entity with that old id."""
+    got = keys.remap_foreign_keys(
+        log, {"brand_id": "brand"}, bridge, ["brand"], True, bridge_rows=size
+    )
+    assert rows(got) == [(1, 1005), (2, 1006), (3, None), (4, 1666), (5, 1666)]
+
+
+def test_sentinel_without_a_real_key(log, bridge):
+    smaller = bridge.where("old_id <> 666")
+    got = keys.remap_foreign_key(log, "brand_id", "brand", smaller, sentinel=666)
+    assert rows(got) == [(1, 1005), (2, 1006), (3, None), (4, 666), (5, 666)]
+
+
+def test_sentinel_with_an_empty_bridge_hits_nulls_too(log, bridge):
+    got = keys.remap_foreign_key(log, "brand_id", "ghost", bridge, sentinel=666)
+    assert rows(got) == [(k, 666) for k in range(1, 6)]
+
+
+def test_unknown_foreign_table(log, bridge):
+    wanted = {"brand_id": "nowhere"}
+    with pytest.raises(ValueError, match="nowhere"):
+        keys.remap_foreign_keys(log, wanted, bridge, ["brand"])
+    kept = keys.remap_foreign_keys(
+        log, wanted, bridge, ["brand"], skip_after_unknown=True
+    )
+    assert rows(kept) == rows(log)
+
+
+def test_two_foreign_keys(spark, bridge):
+    log = spark.createDataFrame([(1, 5, 99), (2, 6, 5)], "log_id long, a int, b int")
+    got = keys.remap_foreign_keys(
+        log, {"a": "brand", "b": "company"}, bridge, ["brand", "company"]
+    )
+    assert rows(got, "log_id", "a", "b", "bad_b") == [
+        (1, 1005, 1, False),
+        (2, 1006, None, True),
+    ]
+
+
+@pytest.mark.parametrize("size", [None, 2])
+def test_non_members(spark, log, size):
+    known = spark.createDataFrame([(5,), (6,)], "k int")
+    got = keys.non_members(log, "brand_id", known, "k", size)
+    assert rows(got, "log_id") == [(4,), (5,)]
+    empty = keys.non_members(log, "brand_id", known.where("k > 9"), "k", size)
+    assert empty.count() == 5
+
+
+def test_members(spark, log):
+    known = spark.createDataFrame([(5,), (5,), (None,)], "k int")
+    assert rows(keys.members(log, "brand_id", known, "k"), "log_id") == [(1,)]
+
+
+def test_duplicates_are_counted_per_value_without_nulls(spark):
+    df = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (1, "a"), (2, None), (2, None), (3, "c")],
+        "artist_id int, ext_id string",
+    )
+    assert rows(keys.duplicate_values(df, ["artist_id", "ext_id"])) == [
+        ("artist_id", 2),
+        ("ext_id", 1),
+    ]
+    assert rows(keys.one_to_one(df, "artist_id", "ext_id")) == [(2, 1)]
+    assert rows(keys.one_to_one(df, "artist_id", "other")) == [(None, None)]
+    assert rows(keys.one_to_one(df.limit(0), "artist_id", "ext_id")) == [(0, 0)]
+
+
+def test_integrity_report(spark):
+    df = spark.createDataFrame(
+        [(1, "ok", "draft", 5), (1, None, "gone", 7), (2, "too long", None, None)],
+        "log_id int, name string, status string, fk int",
+    )
+    valid = spark.createDataFrame([(5,)], "k int")
+    got = keys.integrity_report(
+        df, ["log_id"], ["name"], {"name": 5}, {"status": ["draft"]}, {"fk": valid}
+    )
+    assert {(r.rule, r.column_name): r.violations for r in got.collect()} == {
+        ("not_null", "name"): 1,
+        ("max_length", "name"): 1,
+        ("domain", "status"): 1,
+        ("primary_key", "log_id"): 1,
+        ("foreign_key", "fk"): 1,
+    }
+    clean = keys.integrity_report(df.where(F.lit(False)), ["log_id"], ["name"])
+    assert [r.violations for r in clean.collect()] == [0, 0]

@@ -1,0 +1,114 @@
+import pytest
+from pyspark.sql import functions as F
+
+from entiledger import model
+from entiledger.operators import schema
+from entiledger.sources import files
+
+from .conftest import rows
+
+
+@pytest.fixture(scope="module")
+def sheets(spark):
+    tables = spark.createDataFrame(
+        [
+            ("brand", "company_id", "int", "note", "varchar", "odd"),
+            ("venue", "city", "string200", "", "double", None),
+            ("state", "abbr", None, "late", "int", None),
+            ("genre", None, None, None, None, None),
+        ],
+        "t string, c1 string, t1 string, c2 string, t2 string, c3 string",
+    )
+    vendors = spark.createDataFrame(
+        [(1, "venue", "", "koala", None, "tapir"), (2, "ghost", "x", "", "", ""),
+         (3, "venue", "ios", "", "", "koala")],
+        "row_no int, t string, v1 string, v2 string, v3 string, v4 string",
+    )
+    return tables, vendors
+
+
+def test_sheets(sheets):
+    columns = schema.sheet_columns(sheets[0])
+    vendors = schema.sheet_vendors(sheets[1], "row_no")
+    tables = schema.build_tables(columns, vendors)
+    assert rows(schema.declared_columns(tables), "table_name", "column_name", "data_type") == [
+        ("brand", "company_id", "int"),
+        ("brand", "note", "varchar"),
+        ("genre", None, None),
+        ("state", None, None),
+        ("venue", "city", "string200"),
+    ]
+    assert rows(schema.declared_vendors(tables)) == [("venue", "ios"), ("venue", "koala")]
+    assert tables.where("name = 'genre'").first().vendors == []
+
+
+def test_document_on_disk(spark, sheets, tmp_path):
+    tables = schema.build_tables(
+        schema.sheet_columns(sheets[0]), schema.sheet_vendors(sheets[1], "row_no")
+    )
+    path = str(tmp_path / "schema")
+    files.write_schema_document(tables.withColumn("o", F.length("name")), path, "o")
+    back = files.read_schema_document(spark, path)
+    assert {r.name: r.asDict(True) for r in back.collect()} == {
+        r.name: r.asDict(True) for r in tables.collect()
+    }
+    text = spark.read.text(path).first()[0]
+    assert '"foreign_table":null' in text and text.startswith('{"tables":[')
+
+
+def test_document_without_foreign_table(spark, tmp_path):
+    path = tmp_path / "doc.json"
+    path.write_text(
+        '{"tables": [{"name": "brand", "columns": [{"name": "company_id",\n'
+        '"data_type": "int", "foreign_table": "company"},\n'
+        '{"name": "nick", "data_type": "string30"}], "vendors": ["ios"]}]}'
+    )
+    (spec,) = schema.table_specs(files.read_schema_document(spark, str(path)))
+    assert spec == model.TableSpec(
+        "brand",
+        (
+            model.ColumnSpec("company_id", "int", "company"),
+            model.ColumnSpec("nick", "string30"),
+        ),
+        ("ios",),
+    )
+    layout = model.entity_columns(spec)
+    assert [c[0] for c in layout] == [
+        "log_id", "n_id", "action", "created_ts", "created_by", "status", "name",
+        "company_id", "nick",
+    ]
+    assert model.struct_type(layout)["company_id"].dataType.simpleString() == "bigint"
+    assert "`nick` VARCHAR(30)" in model.ddl(layout)
+
+
+def test_name_map_layout():
+    names = [c[0] for c in model.name_map_columns()]
+    assert names == [
+        "log_id", "n_id", "v_id", "action", "created_ts", "created_by", "status",
+        "ext_id", "map_type", "confidence",
+    ]
+
+
+def test_unknown_type():
+    with pytest.raises(ValueError, match="blob"):
+        model.ColumnSpec("c", "blob").types()
+
+
+def test_table_name_list(spark, tmp_path):
+    path = tmp_path / "names.csv"
+    path.write_bytes(b"a.b\r\r\nc.d\r\r\n\r\n")
+    assert rows(files.read_table_names(spark, str(path))) == [("a.b",), ("c.d",)]
+
+
+def test_load_files(spark, tmp_path):
+    layout = model.struct_type([c for c in model.THING_COLUMNS])
+    data = spark.createDataFrame([(1, "a"), (2, "b")], layout)
+    for fmt in files.FORMATS:
+        path = str(tmp_path / fmt)
+        files.write_rows(data, path, fmt)
+        assert rows(files.read_load_file(spark, path, layout, fmt)) == [(1, "a"), (2, "b")]
+    (tmp_path / "bad.csv").write_text("n_id,thing\nx,y\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|x"):
+        files.read_load_file(spark, str(tmp_path / "bad.csv"), layout).collect()
+    with pytest.raises(ValueError):
+        files.read_load_file(spark, "nowhere", layout, "xlsx")
