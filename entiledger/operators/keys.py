@@ -15,10 +15,16 @@ from entiledger.operators.joins import lookup_join
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def members(rows: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+def members(
+    rows: DataFrame,
+    column: str,
+    keys: DataFrame,
+    key: str,
+    keys_rows: int | None = None,
+) -> DataFrame:
     """Rows whose column value is among the keys."""
-    wanted = keys.select(F.col(key).alias(column))
-    return rows.join(wanted, column, "left_semi")
+    wanted = keys.select(F.col(key).alias(column)).distinct()
+    return lookup_join(rows, wanted, column, "inner", keys_rows).select(*rows.columns)
 
 
 def non_members(

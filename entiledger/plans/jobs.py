@@ -15,6 +15,7 @@ from entiledger.operators.load import Load, load_series
 from entiledger.operators.migrate import legacy_rows, migrate_all, number_things
 from entiledger.operators.versions import amplify, query_log
 from entiledger.sources.catalog import catalog_of
+from entiledger.sources.staging import staged
 from entiledger.sources.tables import append_log, append_rows, table_layouts
 
 
@@ -66,7 +67,9 @@ def fill(
         ids = legacy_rows(legacy[thing], thing)
         if integrity_report(ids, ["old_id"]).where("violations > 0").count():
             raise ValueError(f"table {thing}: an id is used more than once")
-    append_rows(number_things(legacy, chosen, FIRST_N_ID, short_load), bridge_table)
+    # The bridge is stored by thing, each of which may be far larger than the others.
+    numbered = number_things(legacy, chosen, FIRST_N_ID, short_load)
+    append_rows(numbered.hint("rebalance", "thing"), bridge_table)
     bridge = spark.table(bridge_table)
     plan = migrate_all(legacy, specs, things, vendors, bridge=bridge)
     append_rows(plan.registry(), f"`{database}`.`thing`")
@@ -100,6 +103,24 @@ def connect_foreign_keys(
     )
 
 
+def store_foreign_keys(
+    spark: SparkSession,
+    database: str,
+    spec: TableSpec,
+    specs: Sequence[TableSpec],
+    use_sentinel: bool = False,
+) -> str:
+    """Write the remapped entity log as a table ``<name>_linked``; returns its name.
+
+    The table must not exist: remapping new ids a second time would be wrong.
+    """
+    name = f"`{database}`.`{spec.name}_linked`"
+    connect_foreign_keys(spark, database, spec, specs, use_sentinel).write.saveAsTable(
+        name
+    )
+    return name
+
+
 def load(
     spark: SparkSession,
     database: str,
@@ -124,12 +145,12 @@ def load(
     layout = spark.table(name).columns
     rows = planned.rows.select(*[c for c in planned.rows.columns if c in layout])
     # The ids follow from the registry's highest id, so they are fixed before it grows.
-    staged = rows.checkpoint()
-    created = staged.where(F.col("action") == "create")
+    fixed = staged(rows)
+    created = fixed.where(F.col("action") == "create")
     append_rows(
         created.select("n_id", F.lit(table).alias("thing")), f"`{database}`.`thing`"
     )
-    append_log(staged, name)
+    append_log(fixed, name)
     return planned
 
 

@@ -1,0 +1,25 @@
+"""Intermediate results that later steps read instead of computing them again."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """Folder that all executors share: the session's checkpoint folder.
+
+    Where none is set, as in a local run, it lies inside the warehouse.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    return spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a result once and read it back, which also fixes the ids in it."""
+    path = f"{staging_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -68,6 +68,10 @@ def test_foreign_keys(spark, database):
     assert rows(got, "name", "company_id", "bad_company_id") == [
         ("b10", 1003, False), ("b20", None, True), ("b30", 1004, False),
     ]
+    name = jobs.store_foreign_keys(spark, database, SPECS[0], SPECS)
+    assert rows(spark.table(name)) == rows(got)
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        jobs.store_foreign_keys(spark, database, SPECS[0], SPECS)
     former = jobs.connect_foreign_keys(spark, database, SPECS[0], SPECS, True)
     assert rows(former, "company_id") == [(666,), (1003,), (1004,)]
 
