@@ -126,8 +126,8 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select(
+def _part(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    return read(spark, sf_dir, "part").where(where).select(
         F.col("p_partkey").alias("part_id"),
         F.col("p_name").alias("part_name"),
         F.col("p_brand").alias("brand"),
@@ -201,6 +201,11 @@ def legacy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return LEGACY_TABLES[name](spark, sf_dir)
 
 
+def small_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy table of the parts up to size 40, so that some map rows are orphans."""
+    return _part(spark, sf_dir, "p_size <= 40")
+
+
 def sound_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers that owe nothing: the ones that were migrated."""
     return read(spark, sf_dir, "customer").where("c_acctbal >= 0")

@@ -473,11 +473,11 @@ def join_thing_and_map(spark, sf_dir):
 
 
 def _small_parts(spark, sf_dir):
-    tables = B.legacy_tables(spark, sf_dir, "part", "map_part_supplier")
-    small = B.read(spark, sf_dir, "part").where("p_size <= 40")
-    part = keys.members(tables["part"], "part_id", small, "p_partkey")
-    maps = migrate.map_rows(tables["map_part_supplier"], "part", "map_part_supplier")
-    return migrate.legacy_rows(part, "part"), maps
+    maps = B.legacy_table(spark, sf_dir, "map_part_supplier")
+    return (
+        migrate.legacy_rows(B.small_parts(spark, sf_dir), "part"),
+        migrate.map_rows(maps, "part", "map_part_supplier"),
+    )
 
 
 @query(

@@ -88,6 +88,8 @@ def test_first_by_rank_keeps_ties(spark):
     df = spark.createDataFrame([(k // 2,) for k in range(30)], "k int").repartition(5)
     got = migrate.first_by_rank(df, "k", 3)
     assert sorted(r.k for r in got.collect()) == [0, 0, 1, 1]
+    assert migrate.first_by_rank(df, "k", 100).count() == 30
+    assert migrate.first_by_rank(df.where("k < 0"), "k", 3).count() == 0
 
 
 def test_join_drops_orphans_and_keeps_multiples(legacy):

@@ -63,6 +63,16 @@ def test_latest_cuts_before_the_shuffle(log):
     assert "WindowGroupLimit" in plan
 
 
+def test_filters_reach_the_scan(spark, log, tmp_path):
+    log.write.parquet(str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    query = versions.query_log(stored, "draft", "create", 10, latest=True)
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    for pushed in ("EqualTo(status,draft)", "EqualTo(action,create)", "EqualTo(n_id,10)"):
+        assert pushed in plan
+    assert ids(query) == [1]
+
+
 @pytest.mark.parametrize("names_rows", [None, 2])
 def test_amplify(log, names_rows):
     made = versions.amplify(log, 14, names_rows=names_rows)
