@@ -210,8 +210,11 @@ def html_page(ordered: DataFrame) -> DataFrame:
     spark = ordered.sparkSession
     nodes = markup(ordered)
     base = f"{ITEM_OPEN}{BASE_NAME}{ITEM_NAMED}"
-    ends = {-1: f"{PAGE_HEAD}\n{base}{LIST_OPEN}", 1: PAGE_FOOT}
-    frame = spark.createDataFrame(list(ends.items()), "part int, value string")
+    ends = F.map_from_arrays(
+        F.array(F.lit(-1), F.lit(1)),
+        F.array(F.lit(f"{PAGE_HEAD}\n{base}{LIST_OPEN}"), F.lit(PAGE_FOOT)),
+    )
+    frame = spark.range(0, 1, 1, 1).select(F.explode(ends).alias("part", "value"))
     body = nodes.select(F.lit(0).alias("part"), "sort_key", F.col("html").alias("value"))
     key = F.array().cast(nodes.schema["sort_key"].dataType)
     whole = body.unionByName(frame.select("part", key.alias("sort_key"), "value"))

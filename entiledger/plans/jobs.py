@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entiledger.model import ACTIONS, FIRST_N_ID, THINGS, VENDORS, TableSpec
 from entiledger.operators.audit import schema_difference, validation_report
@@ -15,10 +16,14 @@ from entiledger.operators.load import Load, load_series
 from entiledger.operators.migrate import legacy_rows, migrate_all, number_things
 from entiledger.operators.versions import amplify, query_log
 from entiledger.sources.catalog import catalog_of
+from entiledger.sources.files import read_load_file
 from entiledger.sources.staging import staged
 from entiledger.sources.tables import append_log, append_rows, table_layouts
 
 
+_ROW_NO = "_row_no"
+
+
 class LoadRejected(ValueError):
     """Raised when a single load refers to ids it must not change."""
 
@@ -154,6 +159,22 @@ def load(
     return planned
 
 
+def load_files(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    paths: Sequence[str],
+    schema: T.StructType | str,
+    fmt: str = "csv",
+) -> Load:
+    """Load files in the given order, each as one batch in the order of its rows.
+
+    With an ``n_id`` in the schema the files modify entities, else they create them.
+    """
+    batches = [read_load_file(spark, path, schema, fmt, _ROW_NO) for path in paths]
+    return load(spark, database, table, batches, _ROW_NO)
+
+
 def query(
     spark: SparkSession,
     database: str,

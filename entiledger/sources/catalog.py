@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -16,6 +17,15 @@ CATALOG_TYPE = T.StructType(
     ]
 )
 
+_ARROW_TYPE = pa.schema(
+    [
+        ("table_name", pa.string()),
+        ("ordinal", pa.int32()),
+        ("column_name", pa.string()),
+        ("data_type", pa.string()),
+    ]
+)
+
 # Metadata key under which Spark keeps the declared type of a text column.
 _DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
 
@@ -27,11 +37,18 @@ def _type_name(column: T.StructField) -> str:
 def catalog_of(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Catalog of the given tables; reads their schemas only."""
     rows = [
-        (name, place, column.name, _type_name(column))
+        {
+            "table_name": name,
+            "ordinal": place,
+            "column_name": column.name,
+            "data_type": _type_name(column),
+        }
         for name, df in tables.items()
         for place, column in enumerate(df.schema)
     ]
-    return spark.createDataFrame(rows, CATALOG_TYPE)
+    # An Arrow table of this size becomes a local relation, which needs no tasks.
+    table = pa.Table.from_pylist(rows, schema=_ARROW_TYPE)
+    return spark.createDataFrame(table, CATALOG_TYPE)
 
 
 def reflect(spark: SparkSession, database: str) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,13 +12,30 @@ from entiledger.operators.schema import DOCUMENT_TYPE, TABLE_TYPE
 FORMATS = ("csv", "json", "parquet", "orc")
 
 
+def _file_order(fmt: str) -> Column:
+    """Number that orders the rows of one file as they stand in it.
+
+    Parquet keeps row numbers. A line of text takes the byte offset of its split
+    plus its place there, which is less than the length of the split.
+    """
+    if fmt == "parquet":
+        return F.col("_metadata.row_index")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.col("_metadata.file_block_start") + place
+
+
 def read_load_file(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    fmt: str = "csv",
+    row_no: str | None = None,
 ) -> DataFrame:
     """Load file with the given schema; a file per former workbook sheet.
 
     A CSV or JSON file that does not fit the schema fails instead of turning
-    values into nulls.
+    values into nulls. With ``row_no`` that column numbers the rows in file order,
+    with gaps.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown file format {fmt!r}")
@@ -27,7 +44,14 @@ def read_load_file(
         reader = reader.option("mode", "FAILFAST")
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+    rows = reader.format(fmt).load(path)
+    if row_no is None:
+        return rows
+    if fmt == "orc":
+        raise ValueError("an ORC file does not tell the order of its rows")
+    if len(rows.inputFiles()) > 1:
+        raise ValueError(f"{path}: only the rows of a single file have an order")
+    return rows.withColumn(row_no, _file_order(fmt))
 
 
 def read_table_names(spark: SparkSession, path: str) -> DataFrame:

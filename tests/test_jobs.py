@@ -116,6 +116,28 @@ def test_load_query_and_amplify(spark, database):
     assert (1003, "c1b-1") in rows(newest, "n_id", "name")
 
 
+def test_load_files(spark, legacy, tmp_path):  # noqa: F811
+    create_tables(spark, "files", SPECS)
+    jobs.fill(legacy, spark, "files", SPECS, THINGS, VENDORS)
+    made = []
+    for place, text in enumerate(["name\nz\ny\nx\n", "name\nb\na\n"]):
+        made.append(tmp_path / f"load-{place}.csv")
+        made[-1].write_text(text)
+    done = jobs.load_files(
+        spark, "files", "company", [str(p) for p in made], "name string"
+    )
+    assert done.errors.isEmpty()
+    log = spark.table("files.company").where("n_id > 1004")
+    assert rows(log, "log_id", "n_id", "name") == [
+        (3, 1005, "z"), (4, 1006, "y"), (5, 1007, "x"), (6, 1008, "b"), (7, 1009, "a"),
+    ]
+    changes = tmp_path / "changes.csv"
+    changes.write_text("n_id,name\n1005,first\n1005,second\n")
+    jobs.load_files(spark, "files", "company", [str(changes)], "n_id long, name string")
+    newest = jobs.query(spark, "files", "company", n_id=1005, latest=True)
+    assert rows(newest, "name") == [("second",)]
+
+
 def test_lengths_are_checked_on_write(spark, database):
     long = spark.createDataFrame([(9, "x" * 201)], "n_id long, name string")
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):

@@ -100,6 +100,33 @@ def test_table_name_list(spark, tmp_path):
     assert rows(files.read_table_names(spark, str(path))) == [("a.b",), ("c.d",)]
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_rows_of_a_file_keep_their_order(spark, tmp_path, fmt):
+    path = str(tmp_path / "one")
+    data = spark.range(0, 20_000, 1, 1).selectExpr("(id * 7919) % 20011 AS v")
+    files.write_rows(data, path, fmt)
+    wanted = [r.v for r in data.collect()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = files.read_load_file(spark, path, "v long", fmt, "r")
+        if fmt != "parquet":
+            assert got.rdd.getNumPartitions() > 3
+        assert [r.v for r in got.orderBy("r").collect()] == wanted
+        assert got.select("r").distinct().count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_one_file_has_an_order(spark, tmp_path):
+    path = str(tmp_path / "two")
+    files.write_rows(spark.range(0, 10, 1, 2), path, "csv")
+    with pytest.raises(ValueError, match="single file"):
+        files.read_load_file(spark, path, "id long", "csv", "r")
+    with pytest.raises(ValueError, match="ORC"):
+        files.read_load_file(spark, path, "id long", "orc", "r")
+
+
 def test_load_files(spark, tmp_path):
     layout = model.struct_type([c for c in model.THING_COLUMNS])
     data = spark.createDataFrame([(1, "a"), (2, "b")], layout)
