@@ -64,15 +64,12 @@ def reference_errors(
     """Ids in modifying rows that are missing, unknown or belong to another thing.
 
     Rows are counted per batch and id first, so an id with very many rows is one
-    row in the join, and only registry rows that a batch refers to take part in it.
+    row in the join, and both of its sides are close to unique on the id.
     ``created`` holds the ids that creating batches of the series will use; a batch
     knows those of earlier batches.
     """
     used = rows.groupBy("batch_no", "n_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    wanted = used.select("n_id").distinct()
-    known = registry.join(wanted, "n_id", "left_semi").select(
-        "n_id", F.col("thing").alias("found")
-    )
+    known = registry.select("n_id", F.col("thing").alias("found"))
     found = F.col("found")
     if created is not None:
         batch, n_id = F.col("batch_no"), F.col("n_id")

@@ -216,13 +216,10 @@ def _map_tables(
     return [(v, table) for v, table in named if table in legacy and v in spec.vendors]
 
 
-def number_things(
-    legacy: Mapping[str, DataFrame],
-    things: Sequence[str],
-    start: int = FIRST_N_ID,
-    short_load: bool = False,
+def legacy_ids(
+    legacy: Mapping[str, DataFrame], things: Sequence[str], short_load: bool = False
 ) -> DataFrame:
-    """Bridge of several legacy tables, numbered through in the order of ``things``."""
+    """Old ids of several legacy tables, with each thing's place in ``things``."""
     ids = []
     for place, thing in enumerate(things):
         rows = legacy_rows(legacy[thing], thing).select("old_id")
@@ -233,9 +230,24 @@ def number_things(
                 F.lit(place).alias("thing_ord"), F.lit(thing).alias("thing"), "old_id"
             )
         )
-    numbered = dense_ids(
-        reduce(DataFrame.unionByName, ids), "old_id", "n_id", start, "thing_ord"
-    )
+    return reduce(DataFrame.unionByName, ids)
+
+
+def repeated_ids(ids: DataFrame) -> DataFrame:
+    """Things that use an old id more than once, with the number of such ids."""
+    per_id = ids.groupBy("thing", "old_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_id.where(F.col("n") > 1).groupBy("thing").agg(F.count("n").alias("ids"))
+
+
+def number_things(
+    legacy: Mapping[str, DataFrame],
+    things: Sequence[str],
+    start: int = FIRST_N_ID,
+    short_load: bool = False,
+) -> DataFrame:
+    """Bridge of several legacy tables, numbered through in the order of ``things``."""
+    ids = legacy_ids(legacy, things, short_load)
+    numbered = dense_ids(ids, "old_id", "n_id", start, "thing_ord")
     return numbered.select("old_id", "thing", "n_id")
 
 

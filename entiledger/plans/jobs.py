@@ -11,9 +11,14 @@ from pyspark.sql import types as T
 from entiledger.model import ACTIONS, FIRST_N_ID, THINGS, VENDORS, TableSpec
 from entiledger.operators.audit import schema_difference, validation_report
 from entiledger.operators.joins import rows_if_small
-from entiledger.operators.keys import integrity_report, remap_foreign_keys
+from entiledger.operators.keys import remap_foreign_keys
 from entiledger.operators.load import Load, load_series
-from entiledger.operators.migrate import legacy_rows, migrate_all, number_things
+from entiledger.operators.migrate import (
+    legacy_ids,
+    migrate_all,
+    number_things,
+    repeated_ids,
+)
 from entiledger.operators.versions import amplify, query_log
 from entiledger.sources.catalog import catalog_of
 from entiledger.sources.files import read_load_file
@@ -68,10 +73,11 @@ def fill(
     bridge_table = f"`{database}`.`old_new_bridge`"
     if not spark.table(bridge_table).isEmpty():
         raise ValueError(f"{database}: the bridge is not empty, migrate only once")
-    for thing in chosen:
-        ids = legacy_rows(legacy[thing], thing)
-        if integrity_report(ids, ["old_id"]).where("violations > 0").count():
-            raise ValueError(f"table {thing}: an id is used more than once")
+    # At most one row per thing comes back.
+    repeated = repeated_ids(legacy_ids(legacy, chosen)).collect()
+    if repeated:
+        names = ", ".join(sorted(row["thing"] for row in repeated))
+        raise ValueError(f"ids used more than once in: {names}")
     # The bridge is stored by thing, each of which may be far larger than the others.
     numbered = number_things(legacy, chosen, FIRST_N_ID, short_load)
     append_rows(numbered.hint("rebalance", "thing"), bridge_table)

@@ -517,6 +517,27 @@ def migrate_all_bridge(spark, sf_dir):
     return migrate.number_things(B.legacy_tables(spark, sf_dir, *things), things)
 
 
+@query(
+    "repeated_ids",
+    """SELECT thing, count(*) AS ids FROM
+      (SELECT 'customer' AS thing FROM orders GROUP BY o_custkey HAVING count(*) > 1
+       UNION ALL SELECT 'part' FROM lineitem GROUP BY l_partkey HAVING count(*) > 1)
+    GROUP BY thing""",
+)
+def repeated_ids(spark, sf_dir):
+    used = {
+        "customer": ("orders", "customer_id", "total"),
+        "part": ("map_part_supplier", "part_id", "ext_id"),
+    }
+    legacy = {
+        thing: B.legacy_table(spark, sf_dir, table).select(
+            key, F.col(name).alias(thing), "updated_ts", "updated_by"
+        )
+        for thing, (table, key, name) in used.items()
+    }
+    return migrate.repeated_ids(migrate.legacy_ids(legacy, list(legacy)))
+
+
 @query("migrate_all_registry", f"WITH {_ALL_IDS} SELECT n_id, thing FROM b")
 def migrate_all_registry(spark, sf_dir):
     return _migration(spark, sf_dir).registry()

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from entiledger.plans.jobs import LoadRejected, load
 
+_LOG = logging.getLogger(__name__)
+
 
 def stream_series(
     spark: SparkSession,
@@ -32,7 +36,7 @@ def stream_series(
         try:
             load(batch.sparkSession, database, table, [batch], row_no)
         except LoadRejected as reason:
-            print(f"file {batch_id} of the series skipped: {reason}")
+            _LOG.warning("file %s of the series skipped: %s", batch_id, reason)
 
     files = (
         spark.readStream.schema(schema)
