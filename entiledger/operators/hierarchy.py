@@ -167,6 +167,7 @@ def preorder(nodes: DataFrame, nodes_rows: int | None = None) -> DataFrame:
 def indented(ordered: DataFrame) -> DataFrame:
     """Text outline lines: three blanks per level, a blank and the name."""
     return ordered.select(
+        "path",
         "sort_key",
         F.concat(
             F.repeat(F.lit("   "), F.col("level")), F.lit(" "), F.col("name")
@@ -202,7 +203,7 @@ def markup(ordered: DataFrame) -> DataFrame:
         F.lit(ITEM_CLOSE), F.repeat(F.lit(LIST_CLOSE), F.col("closes"))
     )
     tail = F.when(F.col("has_children"), F.lit(LIST_OPEN)).otherwise(closed)
-    return ordered.select("sort_key", F.concat(opened, tail).alias("html"))
+    return ordered.select("path", "sort_key", F.concat(opened, tail).alias("html"))
 
 
 def html_page(ordered: DataFrame) -> DataFrame:

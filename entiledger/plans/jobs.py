@@ -54,6 +54,11 @@ def compare_schema(
     return schema_difference(catalog_of(spark, legacy), declared)
 
 
+def _append_once(rows: DataFrame, table: str) -> None:
+    if rows.sparkSession.table(table).isEmpty():
+        append_log(rows, table)
+
+
 def fill(
     legacy: Mapping[str, DataFrame],
     spark: SparkSession,
@@ -62,36 +67,39 @@ def fill(
     things: Sequence[str] = THINGS,
     vendors: Sequence[str] = VENDORS,
     short_load: bool = False,
+    resume: bool = False,
 ) -> None:
     """Migrate the legacy tables into empty change-log tables.
 
     The numbers are computed once and stored as the bridge; everything else joins
     the stored bridge. Registries are written before the rows that refer to them.
+    With ``resume`` a migration that stopped goes on from its bridge and fills the
+    tables that are still empty.
     """
     declared = {spec.name for spec in specs}
     chosen = [t for t in things if t in legacy and t in declared]
     bridge_table = f"`{database}`.`old_new_bridge`"
-    if not spark.table(bridge_table).isEmpty():
+    if spark.table(bridge_table).isEmpty():
+        # At most one row per thing comes back.
+        repeated = repeated_ids(legacy_ids(legacy, chosen)).collect()
+        if repeated:
+            names = ", ".join(sorted(row["thing"] for row in repeated))
+            raise ValueError(f"ids used more than once in: {names}")
+        # The bridge is stored by thing; one thing may be far larger than the others.
+        numbered = number_things(legacy, chosen, FIRST_N_ID, short_load)
+        append_rows(numbered.hint("rebalance", "thing"), bridge_table)
+    elif not resume:
         raise ValueError(f"{database}: the bridge is not empty, migrate only once")
-    # At most one row per thing comes back.
-    repeated = repeated_ids(legacy_ids(legacy, chosen)).collect()
-    if repeated:
-        names = ", ".join(sorted(row["thing"] for row in repeated))
-        raise ValueError(f"ids used more than once in: {names}")
-    # The bridge is stored by thing, each of which may be far larger than the others.
-    numbered = number_things(legacy, chosen, FIRST_N_ID, short_load)
-    append_rows(numbered.hint("rebalance", "thing"), bridge_table)
     bridge = spark.table(bridge_table)
     plan = migrate_all(legacy, specs, things, vendors, bridge=bridge)
-    append_rows(plan.registry(), f"`{database}`.`thing`")
+    _append_once(plan.registry(), f"`{database}`.`thing`")
     for thing in plan.things:
-        append_rows(plan.log(thing), f"`{database}`.`{thing}`")
-    known = spark.table(f"`{database}`.`vendor`")
-    vendor_ids, new_vendors = plan.vendor_ids(known)
-    name_map = plan.name_map(vendor_ids)
-    if name_map is not None:
-        append_rows(new_vendors, f"`{database}`.`vendor`")
-        append_log(name_map, f"`{database}`.`name_map`")
+        _append_once(plan.log(thing), f"`{database}`.`{thing}`")
+    if plan.map_tables():
+        vendor_table = f"`{database}`.`vendor`"
+        append_rows(plan.vendor_ids(spark.table(vendor_table))[1], vendor_table)
+        vendor_ids, _ = plan.vendor_ids(spark.table(vendor_table))
+        _append_once(plan.name_map(vendor_ids), f"`{database}`.`name_map`")
 
 
 def connect_foreign_keys(

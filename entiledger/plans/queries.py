@@ -1061,6 +1061,16 @@ def outline(spark, sf_dir):
     return rows.orderBy("sort_key").drop("sort_key")
 
 
+@query(
+    "indented_outline",
+    f"""WITH {_TREE} SELECT path, repeat('   ', level) || ' ' || name AS line FROM node""",
+)
+def indented_outline(spark, sf_dir):
+    ordered = hierarchy.preorder(_tree(spark, sf_dir))
+    lines = hierarchy.indented(ordered)
+    return lines.orderBy("sort_key").select(_text("path").alias("path"), "line")
+
+
 @query(
     "tree_markup",
     f"""WITH {_TREE}, o AS (SELECT *, lead(level) OVER (ORDER BY r1, r2, r3) AS next
@@ -1072,8 +1082,7 @@ def outline(spark, sf_dir):
 )
 def tree_markup(spark, sf_dir):
     ordered = hierarchy.preorder(_tree(spark, sf_dir))
-    html = hierarchy.markup(ordered)
-    return html.join(ordered, "sort_key").select(_text("path").alias("path"), "html")
+    return hierarchy.markup(ordered).select(_text("path").alias("path"), "html")
 
 
 @query(

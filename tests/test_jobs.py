@@ -7,7 +7,8 @@ import pytest
 from entiledger.model import ColumnSpec, TableSpec
 from entiledger.plans import jobs
 from entiledger.sources.catalog import reflect
-from entiledger.sources.tables import aligned, append_log, create_tables
+from entiledger.operators.migrate import migrate_all, number_things
+from entiledger.sources.tables import aligned, append_log, append_rows, create_tables
 from entiledger.streaming.series import stream_series
 
 from .conftest import rows
@@ -57,6 +58,21 @@ def test_fill_rejects_repeated_ids(spark, legacy):  # noqa: F811
     assert spark.table("twice.old_new_bridge").isEmpty()
 
 
+def test_fill_goes_on_after_a_stop(spark, legacy):  # noqa: F811
+    create_tables(spark, "resumed", SPECS)
+    append_rows(number_things(legacy, THINGS), "resumed.old_new_bridge")
+    plan = migrate_all(legacy, SPECS, THINGS, VENDORS)
+    append_rows(plan.registry(), "resumed.thing")
+    append_rows(plan.log("brand"), "resumed.brand")
+    for _ in range(2):
+        jobs.fill(legacy, spark, "resumed", SPECS, THINGS, VENDORS, resume=True)
+    counts = {name: df.count() for name, df in reflect(spark, "resumed").items()}
+    assert counts == {
+        "thing": 5, "vendor": 2, "old_new_bridge": 5, "name_map": 3, "brand": 3,
+        "company": 2,
+    }
+
+
 def test_short_fill(spark, legacy):  # noqa: F811
     create_tables(spark, "short", SPECS)
     jobs.fill(legacy, spark, "short", SPECS, THINGS, VENDORS, short_load=True)
