@@ -6,8 +6,6 @@ input first names them, so a node is placed by the input row that names it first
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -220,10 +218,3 @@ def html_page(ordered: DataFrame) -> DataFrame:
     key = F.array().cast(nodes.schema["sort_key"].dataType)
     whole = body.unionByName(frame.select("part", key.alias("sort_key"), "value"))
     return whole.orderBy("part", "sort_key").select("value")
-
-
-def level_columns(nodes: DataFrame, names: Mapping[int, str]) -> DataFrame:
-    """Ancestor names of each node as columns, given as level -> column name."""
-    path = F.col("path")
-    cells = [F.get(path, F.lit(k)).alias(name) for k, name in names.items()]
-    return nodes.select(*cells, "level", "first_row")

@@ -480,6 +480,16 @@ def _small_parts(spark, sf_dir):
     )
 
 
+@query(
+    "unbridged",
+    """SELECT c_custkey AS old_id FROM customer WHERE c_acctbal < 0""",
+)
+def unbridged(spark, sf_dir):
+    customer = B.legacy_table(spark, sf_dir, "customer")
+    things = migrate.legacy_rows(customer, "customer")
+    return migrate.unbridged(things, B.customer_bridge(spark, sf_dir))
+
+
 @query(
     "name_map",
     f"""SELECT n_id, CAST(7 AS BIGINT) AS v_id, 'create' AS action,

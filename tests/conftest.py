@@ -27,9 +27,11 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+def _ordered(values):
+    return [(v is None, 0 if v is None else v) for v in values]
+
+
 def rows(df, *columns):
     """Rows as sorted tuples of the given columns."""
     picked = df.select(*columns) if columns else df
-    return sorted(
-        (tuple(r) for r in picked.collect()), key=lambda t: [(v is None, 0 if v is None else v) for v in t]
-    )
+    return sorted((tuple(r) for r in picked.collect()), key=_ordered)

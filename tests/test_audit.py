@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from entiledger.model import ACTIONS, THINGS, VENDORS
 from entiledger.operators import audit
