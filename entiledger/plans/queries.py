@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiledger.functions import columns as C
+from entiledger.model import LEGACY_PREFIX
 from entiledger.operators import audit, hierarchy, keys, load, migrate, schema, versions
 from entiledger.operators.ids import dense_ids
 from entiledger.operators.joins import rows_if_small
@@ -181,7 +182,7 @@ def scalar_functions(spark, sf_dir):
         C.shifted_day(F.col("created_ts"), F.col("n_id")).alias("shifted_ts"),
         C.stepped_status(F.col("status"), F.col("n_id")).alias("stepped_status"),
         C.wall_clock(zoned).alias("wall_clock"),
-        C.bare_table_name(F.concat(F.lit("ontology."), "created_by")).alias("bare_name"),
+        C.bare_table_name(F.concat(F.lit(LEGACY_PREFIX), "created_by")).alias("bare_name"),
         C.table_name(F.col("created_by"), F.col("action"), F.col("status")).alias(
             "vendor_table"
         ),
@@ -830,7 +831,8 @@ def _report_row(
 
     return f"""SELECT {text(name)} AS table_name, {text(thing)} AS thing,
       {text(action)} AS action, {text(vendor)} AS vendor, {flag(good_id)} AS good_id,
-      {flag(good_name)} AS good_name, {flag(good_log)} AS good_log, CAST({columns} AS BIGINT) AS columns,
+      {flag(good_name)} AS good_name, {flag(good_log)} AS good_log,
+      CAST({columns} AS BIGINT) AS columns,
       (SELECT count(*) FROM {table}) AS rows, {i} AS dup_id, {e} AS dup_ext_id"""
 
 
