@@ -7,10 +7,21 @@ columns of documents; the last returns their token ids.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entiledger.llm import decontaminate, simhash
+import public_tokenizers
+from entiledger.llm import bpe, decontaminate, pii, quality, simhash
 from entiledger.llm.common import cut, read
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted to the labels, doesn't reject."""
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, into="_quality")
+    return scored.where(quality.accepted(scored["_quality"])).drop("_quality")
+
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest doc_id."""
@@ -22,9 +33,36 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
+def without_personal_data(
+    spark: SparkSession, docs: DataFrame, sf_dir: str
+) -> DataFrame:
+    """All documents, personal data replaced by pseudonyms of equal length."""
+    return pii.pseudonymise(docs, into="_pii").drop("_pii")
+
+
+def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_tokens, ids, lossless): the token ids of each document.
+
+    lossless tells whether decoding the ids gives the text again.
+    """
+    vocabulary = bpe.share(spark, public_tokenizers.path(TOKENIZER))
+    coded = bpe.round_trip(docs, vocabulary)
+    return coded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 STAGES = [
+    ("quality", good_quality),
     ("near_duplicates", one_of_each),
     ("decontamination", without_benchmark),
+    ("personal_data", without_personal_data),
+    ("tokens", as_tokens),
 ]
 
 #: SQL can't express the stages; the tests compare them with plain versions.

@@ -226,3 +226,27 @@ def decode(
         )
 
     return docs.withColumn(into, of(F.col(ids)))
+
+
+def round_trip(
+    docs: DataFrame,
+    vocabulary: Broadcast,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+) -> DataFrame:
+    """docs encoded and the ids decoded again, in one pass over the texts.
+
+    The same as encode and then decode, which Spark would plan as two encodings.
+    """
+
+    @F.pandas_udf(f"{ids} array<int>, {decoded} string")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        rows = encode_texts(vocabulary.value, texts.tolist())
+        back = [decode_ids(vocabulary.value, r) for r in rows]
+        return pd.DataFrame(
+            {ids: pd.Series(rows, dtype=object), decoded: pd.Series(back, dtype=object)}
+        )
+
+    kept = [c for c in docs.columns if c not in (ids, decoded)]
+    return docs.select(*kept, of(F.col(text)).alias("_bpe")).select(*kept, "_bpe.*")

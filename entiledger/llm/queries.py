@@ -6,12 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiledger.llm import bpe, decontaminate, simhash
+from entiledger.llm import bpe, decontaminate, pii, quality, simhash
 from entiledger.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms, and how many values of each format they replace."""
+    found = pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [
+        F.size(F.filter("pii", lambda k, name=name: k == name)).alias(f"n_{name}")
+        for name in pii.FORMATS
+    ]
+    return found.select("doc_id", "text", *counts)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contamination of every document by the benchmark."""
     found = decontaminate.overlaps(
@@ -33,7 +43,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document."""
     vocabulary = bpe.share(spark, public_tokenizers.path(TOKENIZER))
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    coded = bpe.round_trip(docs, vocabulary)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         "doc_id",
@@ -43,6 +53,19 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from four fifths of the labels."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        quality.accepted(F.col("score")).cast("int").alias("predicted"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), 3, 3)
@@ -54,8 +77,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op9_simhash": op9_simhash,
 }
 
