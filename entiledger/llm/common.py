@@ -13,16 +13,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder, without lineage.
+def folder(spark: SparkSession) -> str:
+    """The shared folder for checkpoints, that of `spark.checkpoint.dir`.
 
-    The folder is the one in `spark.checkpoint.dir`; only a session that names none
-    (a local one) gets a folder of its own.
+    Only a session that names none (a local one) gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared checkpoint folder, without lineage."""
+    folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from entiledger.llm.common import cut, text_key
 
-#: What a word is, after A-Z is lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, after A-Z is lower-cased.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SHINGLE = 3
@@ -30,7 +30,7 @@ BLOCK_BYTES = 32 << 20
 def words(text: Column) -> Column:
     """Words of a text; none of a null."""
     lower = F.translate(text, UPPER, LOWER)
-    found = F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
+    found = F.array_remove(F.split(lower, GAP), "")
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
