@@ -10,21 +10,23 @@ merge at a time gives. Words without a known pair leave the array.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator
 from types import SimpleNamespace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import StructType
 
 #: Fixed value: the public pattern that splits a text before byte-level merges.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-#: Characters of texts that are encoded together.
+#: Bytes of texts that are encoded together.
 BLOCK = 1 << 21
 NO_RANK = np.int64(1 << 62)
 
@@ -117,9 +119,10 @@ def merge_words(v: SimpleNamespace, words: list[bytes]) -> tuple[np.ndarray, np.
         keep[hit + 1] = False
         at = hit - np.arange(len(hit))
         sym, word, rank = sym[keep], word[keep], rank[keep]
-        changed = np.unique(np.r_[at, at[at > 0] - 1])
-        rank[changed] = NO_RANK
-        inner = changed[changed + 1 < len(sym)]
+        new = np.zeros(len(sym), bool)
+        new[at] = new[at[at > 0] - 1] = True
+        rank[new] = NO_RANK
+        inner = np.flatnonzero(new[:-1])
         inner = inner[word[inner] == word[inner + 1]]
         rank[inner] = _ranks(v, sym[inner], sym[inner + 1])
     if not done:
@@ -139,47 +142,27 @@ class _Numbered(dict):
 
 
 def encode_texts(v: SimpleNamespace, texts: list[str | None]) -> list[np.ndarray]:
-    """Token ids of each text; none for a null."""
+    """Token ids of each text; none for a null. All texts are encoded together."""
     names = sorted(v.special, key=len, reverse=True)
     pattern = regex.compile(PATTERN)
     either = regex.compile("(" + "|".join(map(regex.escape, names)) + ")")
-    out: list[np.ndarray] = []
-    for first, last in _blocks(texts):
-        number, rows = _Numbered(), []
-        for text in texts[first:last]:
-            pieces: list = pattern.findall(text or "")
-            if any(s in (text or "") for s in names):
-                pieces = []
-                for part in either.split(text):
-                    known = v.special.get(part)
-                    pieces += pattern.findall(part) if known is None else [known]
-            rows.append(list(map(number.__getitem__, pieces)))
-        words = [b"" if isinstance(w, int) else w.encode() for w in number]
-        ids, ends = merge_words(v, words)
-        wholes = [(i, w) for i, w in enumerate(number) if isinstance(w, int)]
-        if wholes:
-            ends = ends + np.searchsorted([i for i, _ in wholes], np.arange(len(ends)))
-            ids = np.insert(
-                ids,
-                [ends[i] - k for k, (i, _) in enumerate(wholes)],
-                [w for _, w in wholes],
-            )
-        for row in rows:
-            places, _ = _take(ends, np.array(row, np.int64))
-            out.append(ids[places])
-    return out
-
-
-def _blocks(texts: list[str | None]):
-    """Borders of runs of texts of about BLOCK characters; a long text is a run."""
-    first = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= BLOCK:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    number, rows = _Numbered(), []
+    for text in texts:
+        pieces: list = pattern.findall(text or "")
+        if any(s in (text or "") for s in names):
+            pieces = []
+            for part in either.split(text):
+                known = v.special.get(part)
+                pieces += pattern.findall(part) if known is None else [known]
+        rows.append(np.array(list(map(number.__getitem__, pieces)), np.int32))
+    words = [b"" if isinstance(w, int) else w.encode() for w in number]
+    wholes = [(i, w) for i, w in enumerate(number) if isinstance(w, int)]
+    number.clear()
+    ids, ends = merge_words(v, words)
+    if wholes:
+        ids = np.insert(ids, [ends[i] for i, _ in wholes], [w for _, w in wholes])
+        ends = ends + np.searchsorted([i for i, _ in wholes], np.arange(len(ends)))
+    return [ids[_take(ends, row)[0]] for row in rows]
 
 
 def decode_ids(v: SimpleNamespace, ids: np.ndarray) -> str:
@@ -196,6 +179,46 @@ def share(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(load(path))
 
 
+def _mapped(docs: DataFrame, read: str, fields: str, of: Callable) -> DataFrame:
+    """docs with new columns that a function makes of the values of one column.
+
+    Texts come in runs of about BLOCK bytes, a longer one by itself, and each run goes
+    back before the next is taken up, so memory follows the longest text and not the
+    number of rows. Columns that are already called like new ones are replaced.
+    """
+    added = StructType.fromDDL(fields)
+    kept = [c for c in docs.columns if c not in added.names]
+    source = docs.select(*kept, F.col(read).alias("_bpe_read"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column("_bpe_read")
+            listed = pa.types.is_list(values.type)
+            length = pc.list_value_length if listed else pc.binary_length
+            sizes = length(values).fill_null(0).to_numpy()
+            first = size = 0
+            for i, one in enumerate(sizes):
+                size += one
+                if size < BLOCK and i + 1 < len(sizes):
+                    continue
+                part = batch.slice(first, i + 1 - first)
+                made = of(part.column("_bpe_read").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(c) for c in kept] + made, kept + added.names
+                )
+                first, size = i + 1, 0
+
+    schema = StructType([docs.schema[c] for c in kept] + added.fields)
+    return source.mapInArrow(run, schema)
+
+
+def _listed(rows: list[np.ndarray]) -> pa.Array:
+    """An array column of rows of ids."""
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def encode(
     docs: DataFrame, vocabulary: Broadcast, text: str = "text", into: str = "ids"
 ) -> DataFrame:
@@ -205,11 +228,10 @@ def encode(
     and repeated texts need no care. A column that is already called `into` is replaced.
     """
 
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(encode_texts(vocabulary.value, texts.tolist()), dtype=object)
+    def of(texts: list) -> list[pa.Array]:
+        return [_listed(encode_texts(vocabulary.value, texts))]
 
-    return docs.withColumn(into, of(F.col(text)))
+    return _mapped(docs, text, f"`{into}` array<int>", of)
 
 
 def decode(
@@ -217,15 +239,10 @@ def decode(
 ) -> DataFrame:
     """docs with the text of a column of token ids; a null column gives an empty text."""
 
-    @F.pandas_udf(StringType())
-    def of(rows: pd.Series) -> pd.Series:
-        none = np.zeros(0, np.int64)
-        return pd.Series(
-            [decode_ids(vocabulary.value, none if r is None else r) for r in rows],
-            dtype=object,
-        )
+    def of(rows: list) -> list[pa.Array]:
+        return [pa.array([decode_ids(vocabulary.value, r or []) for r in rows], pa.string())]
 
-    return docs.withColumn(into, of(F.col(ids)))
+    return _mapped(docs, ids, f"`{into}` string", of)
 
 
 def round_trip(
@@ -235,18 +252,11 @@ def round_trip(
     ids: str = "ids",
     decoded: str = "decoded",
 ) -> DataFrame:
-    """docs encoded and the ids decoded again, in one pass over the texts.
-
-    The same as encode and then decode, which Spark would plan as two encodings.
-    """
+    """docs encoded and the ids decoded again, in one pass over the texts."""
 
-    @F.pandas_udf(f"{ids} array<int>, {decoded} string")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        rows = encode_texts(vocabulary.value, texts.tolist())
+    def of(texts: list) -> list[pa.Array]:
+        rows = encode_texts(vocabulary.value, texts)
         back = [decode_ids(vocabulary.value, r) for r in rows]
-        return pd.DataFrame(
-            {ids: pd.Series(rows, dtype=object), decoded: pd.Series(back, dtype=object)}
-        )
+        return [_listed(rows), pa.array(back, pa.string())]
 
-    kept = [c for c in docs.columns if c not in (ids, decoded)]
-    return docs.select(*kept, of(F.col(text)).alias("_bpe")).select(*kept, "_bpe.*")
+    return _mapped(docs, text, f"`{ids}` array<int>, `{decoded}` string", of)
