@@ -3,23 +3,35 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiledger.llm import bpe, decontaminate, pii, quality, simhash
-from entiledger.llm.common import read
+from entiledger.llm import (
+    ann,
+    bpe,
+    chat,
+    decontaminate,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    tokens,
+    urls,
+)
+from entiledger.llm.common import cut, read, text_key
 
 TOKENIZER = "byte_bpe_50k.json"
+VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms, and how many values of each format they replace."""
     found = pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [
-        F.size(F.filter("pii", lambda k, name=name: k == name)).alias(f"n_{name}")
-        for name in pii.FORMATS
-    ]
-    return found.select("doc_id", "text", *counts)
+
+    def count(name: str) -> Column:
+        return F.size(F.filter("pii", lambda kind: kind == name)).alias(f"n_{name}")
+
+    return found.select("doc_id", "text", *map(count, pii.FORMATS))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +51,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered conversations that no longer one begins with."""
+    return chat.collapsed(read(spark, sf_dir, "conversations"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document."""
     vocabulary = bpe.share(spark, public_tokenizers.path(TOKENIZER))
@@ -66,6 +83,75 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every vector whose id is divisible by 50."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and places of the secrets of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])),
+            ",",
+        )
+
+    def of(kind: str) -> Column:
+        return F.filter("secrets", lambda s: s["kind"] == kind)
+
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+    )
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after four batches over all documents, one of them sent twice.
+
+    All documents come in with counts estimated at four characters a token, the estimates
+    are revised to the tokenizer's counts, the counts of a second tokenizer come in, and
+    documents whose text an earlier doc_id has are deleted under both.
+    """
+    docs = read(spark, sf_dir, "documents")
+    files = {v: public_tokenizers.path(f"{v}.tiktoken") for v in VERSIONS}
+    counted = tokens.counted(docs, files, public_tokenizers.PATTERN)
+    first, second = (F.col("n_tokens")[v] for v in VERSIONS)
+    rows = cut(
+        counted.select(
+            "doc_id",
+            "source",
+            "lang",
+            text_key(F.col("text")).alias("key"),
+            F.expr("coalesce(n_chars, 0) div 4").alias("guess"),
+            first.alias("first"),
+            second.alias("second"),
+        )
+    )
+    kept = rows.groupBy("key").agg(F.min("doc_id").alias("kept"))
+    copies = rows.join(kept, "key").where(F.col("doc_id") > F.col("kept"))
+    old, new = VERSIONS
+    revised = tokens.revisions(rows, old, F.col("guess"), F.col("first"))
+    gone = tokens.changes(copies, old, -1, F.col("first")).union(
+        tokens.changes(copies, new, -1, F.col("second"))
+    )
+    rollup = tokens.scratch(spark)
+    rollup.commit("1-loaded", tokens.changes(rows, old, 1, F.col("guess")))
+    rollup.commit("2-counted", revised)
+    rollup.commit("3-second", tokens.changes(rows, new, 1, F.col("second")))
+    rollup.commit("2-counted", revised)
+    rollup.commit("4-copies", gone)
+    totals = cut(rollup.totals())
+    rollup.drop()
+    return totals
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), 3, 3)
@@ -76,12 +162,146 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for every page."""
+    return urls.judged(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
-    "op1_pii": op1_pii,
-    "op2_decontaminate": op2_decontaminate,
-    "op4_bpe": op4_bpe,
-    "op5_quality": op5_quality,
-    "op9_simhash": op9_simhash,
+    f.__name__: f
+    for f in (
+        op1_pii,
+        op2_decontaminate,
+        op3_chat,
+        op4_bpe,
+        op5_quality,
+        op6_ann,
+        op7_secrets,
+        op8_token_counts,
+        op9_simhash,
+        op10_urls,
+    )
 }
 
-SQL: dict[str, str] = {}
+
+def _url_sql() -> str:
+    """SQL of op10_urls, its rounds one after the other."""
+    rounds = []
+    for turn in range(urls.ROUNDS):
+        rounds.append(f"""
+state{turn + 1} AS MATERIALIZED (
+  SELECT e.kind, e.host, e.seed,
+    (e.seed * {urls.RESTART} + coalesce(g.got, 0) * {20 - urls.RESTART}) // 20 AS rank
+  FROM seeded e LEFT JOIN (
+    SELECT f.kind, f.dst AS host, sum(s.rank // f.degree)::BIGINT AS got
+    FROM flow f JOIN state{turn} s ON f.kind = s.kind AND f.src = s.host
+    GROUP BY ALL) g ON e.kind = g.kind AND e.host = g.host)""")
+    link = urls.LINK.replace("'", "''")
+    tests = []
+    for verdict, domain, start in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2])):
+        fits = (
+            f"(host = '{domain}' OR ends_with(host, '.{domain}')) "
+            f"AND starts_with(path, '{start}')"
+        )
+        tests.append((fits, domain + start, verdict))
+    rule = " ".join(f"WHEN {t} THEN '{r}'" for t, r, _ in tests)
+    verdict = " ".join(f"WHEN {t} THEN '{v}'" for t, _, v in tests)
+    lower = f"'{urls.UPPER}', '{urls.LOWER}'"
+    half = urls.SCALE * urls.RESTART // 40
+    return f"""
+WITH parts AS MATERIALIZED (
+  SELECT page_id, html,
+    coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), {lower}), '') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS MATERIALIZED (
+  SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS verdict FROM parts),
+links AS MATERIALIZED (
+  SELECT DISTINCT src, dst FROM (
+    SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) AS dst
+    FROM parts)
+  WHERE src <> '' AND src <> dst),
+shares AS (
+  SELECT host, count(*) AS n, count(*) FILTER (verdict = 'allow') AS trust,
+    count(*) FILTER (verdict = 'block') AS distrust
+  FROM ruled WHERE host <> '' GROUP BY host),
+start AS (
+  SELECT 'trust' AS kind, host, trust * {urls.SCALE} // n AS seed FROM shares
+  UNION ALL SELECT 'distrust', host, distrust * {urls.SCALE} // n FROM shares),
+flow AS MATERIALIZED (
+  SELECT *, count(*) OVER (PARTITION BY kind, src) AS degree FROM (
+    SELECT 'trust' AS kind, src, dst FROM links
+    UNION ALL SELECT 'distrust', dst, src FROM links)),
+seeded AS MATERIALIZED (
+  SELECT kind, host, max(seed) AS seed FROM (
+    SELECT * FROM start UNION ALL SELECT kind, dst, 0 FROM flow) GROUP BY ALL),
+state0 AS (SELECT kind, host, seed, seed * {urls.RESTART} // 20 AS rank FROM seeded),
+{",".join(rounds)},
+bad AS (
+  SELECT host FROM state{urls.ROUNDS} GROUP BY host
+  HAVING coalesce(max(rank) FILTER (kind = 'distrust'), 0)
+      > coalesce(max(rank) FILTER (kind = 'trust'), 0)
+    AND max(rank) FILTER (kind = 'distrust') >= {half})
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN host IN (FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled"""
+
+
+SQL: dict[str, str] = {
+    "op2_decontaminate": f"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}'),
+    '{decontaminate.GAP}'), lambda w: w <> '') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, words[spot:spot + 12] AS words
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS spot
+        FROM items WHERE len(words) > 0)),
+docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}'),
+    '{decontaminate.GAP}'), lambda w: w <> '') AS words
+  FROM documents),
+sizes AS (SELECT DISTINCT len(words) AS size FROM windows),
+places AS (
+  SELECT doc_id, spot, words[spot:spot + size - 1] AS words
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS spot
+        FROM docs, sizes)),
+found AS (
+  SELECT doc_id, spot, len(words) AS size, item FROM places JOIN windows USING (words)),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(spot, spot + size)) AS place FROM found)
+  GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+    "op3_chat": f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text,
+    coalesce(floor(turn / {chat.BLOCK})::BIGINT, -1) AS part,
+    sha256(concat(coalesce(length(role) || ':' || role, '-'), coalesce('t' || text, '-')))
+      AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+rolling AS (
+  SELECT conv_id, string_agg(digest, ',') OVER w AS said,
+    count(*) OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS size
+  FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest
+    ROWS UNBOUNDED PRECEDING)),
+kept AS (
+  SELECT min(conv_id) AS conv_id FROM rolling
+  WHERE pos = size AND said NOT IN (SELECT said FROM rolling WHERE pos < size)
+  GROUP BY said)
+SELECT conv_id, part, count(*) AS n_turns,
+  string_agg('{chat.OPEN}' || coalesce(role, '') || chr(10)
+    || replace(coalesce(text, ''), '<|', '< |') || '{chat.CLOSE}', chr(10)
+    ORDER BY turn NULLS FIRST, digest) AS text
+FROM turns JOIN kept USING (conv_id) GROUP BY conv_id, part""",
+    "op10_urls": _url_sql(),
+}
