@@ -75,14 +75,14 @@ def hot_windows(run: str, bound: float, window: int = WINDOW) -> Iterator[tuple[
     count: dict[str, int] = {}
     total, full, start, end = 0.0, math.log2(window), -1, -1
     for i, c in enumerate(run):
-        n = count.get(c, 0)
-        count[c] = n + 1
-        total += term[n + 1] - term[n]
         if i >= window:
             gone = run[i - window]
             n = count[gone]
             count[gone] = n - 1
             total += term[n - 1] - term[n]
+        n = count.get(c, 0)
+        count[c] = n + 1
+        total += term[n + 1] - term[n]
         if i >= window - 1 and full - total / window >= bound - 1e-9:
             if start >= 0 and i - window + 1 > end:
                 yield start, end
