@@ -25,12 +25,12 @@ BINS = 8
 SAMPLE = 2000
 RANK = 48
 #: Neighbours that vote; power of the similarity that weighs a vote.
-NEIGHBOURS = 25
-POWER = 8
+NEIGHBOURS = 15
+POWER = 24
 #: Scores from here on stand for label 1.
 THRESHOLD = 0.3
 #: How much the shape weighs beside the trigrams.
-SHAPE = 1.0
+SHAPE = 2.0
 #: Bytes of text, and documents, that are turned into counts at once.
 BLOCK = 1 << 20
 ROWS = 512
@@ -57,9 +57,13 @@ def _figures(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
     by_kind = np.bincount(doc * 8 + kind, minlength=8 * n).reshape(n, 8)
     size = by_kind.sum(1)
     gap = kind == 1
-    first = np.ones(len(flat), bool)
-    first[1:] = gap[:-1] | (doc[1:] != doc[:-1])
-    at = np.flatnonzero(first & ~gap)
+    edge = np.ones(len(flat) + 1, bool)
+    edge[1:-1] = doc[1:] != doc[:-1]
+    before, after = edge[:-1].copy(), edge[1:].copy()
+    before[1:] |= gap[:-1]
+    after[:-1] |= gap[1:]
+    at = np.flatnonzero(before & ~gap)
+    end = np.flatnonzero(after & ~gap)
     letters = by_kind[:, 2] + by_kind[:, 3] + by_kind[:, 5]
     out = np.zeros((n, FIGURES))
     out[:, 0] = _ratio(by_kind[:, 2], letters)
@@ -73,7 +77,7 @@ def _figures(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
     word_doc = doc[at]
     words = np.bincount(word_doc, minlength=n)
     mixed = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    place = np.arange(len(flat)) - at[np.maximum(np.cumsum(first & ~gap) - 1, 0)]
+    place = np.arange(len(flat)) - at[np.maximum(np.cumsum(before & ~gap) - 1, 0)]
     turn = (place % 57).astype(np.uint64)
     mixed = np.where(gap, np.uint64(0), mixed >> turn | mixed << (np.uint64(63) - turn))
     code = np.add.reduceat(mixed, at)
@@ -93,10 +97,9 @@ def _figures(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
         word_doc[order][1:] != word_doc[order][:-1]
     )
     out[:, 7] = _ratio(np.bincount(word_doc[order][new], minlength=n), words)
-    long = np.diff(np.r_[at, len(flat)])
-    out[:, 8] = np.minimum(1, _ratio(np.bincount(word_doc, long, n), words) / 16)
-    last = np.r_[at[1:] - 2, len(flat) - 1].clip(0)
-    out[:, 9] = share(np.isin(kind[last], (0, 6)))
+    long = np.bincount(word_doc, end - at + 1, n)
+    out[:, 8] = np.minimum(1, _ratio(long, words) / 16)
+    out[:, 9] = share(np.isin(kind[end], (0, 6)))
     return out
 
 
