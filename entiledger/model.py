@@ -91,6 +91,11 @@ _ENUM = (T.StringType(), "STRING")
 THING_COLUMNS = [("n_id", *_LONG), ("thing", *_S30)]
 VENDOR_COLUMNS = [("v_id", *_LONG), ("vendor", *_S30), ("database", *_S30)]
 BRIDGE_COLUMNS = [("old_id", *_LONG), ("thing", *_S30), ("n_id", *_LONG)]
+TICKET_COLUMNS = [
+    ("ticket", T.StringType(), "STRING"),
+    ("first_n_id", *_LONG),
+    ("first_log_id", *_LONG),
+]
 MAP_EXTRAS = [
     ("ext_id", *_S200),
     ("map_type", *_S30),

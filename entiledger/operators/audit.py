@@ -14,7 +14,7 @@ from entiledger.functions.columns import (
     legacy_type,
     table_name,
 )
-from entiledger.operators.keys import column_values
+from entiledger.operators.keys import VALUE_COLUMNS, column_values
 
 # Accepted types of the required columns.
 TEXT_TYPES = ["TEXT", "VARCHAR(200)"]
@@ -143,26 +143,26 @@ def profile_tables(
     for place, name in enumerate(names):
         df = tables[name]
         id_column = id_columns.get(name)
-        if id_column in df.columns and "ext_id" in df.columns:
-            sides = [
-                (False, column_values(df, id_column)),
-                (True, column_values(df, "ext_id")),
-            ]
-        else:
-            none = F.lit(None)
-            sides = [
-                (False, [none.cast("long").alias("num"), none.cast("string").alias("txt")])
-            ]
-        slim += [
-            df.select(F.lit(place).alias("place"), F.lit(ext).alias("ext"), *value)
-            for ext, value in sides
+        mapped = id_column in df.columns and "ext_id" in df.columns
+        # Both sides of an id map come from one scan.
+        sides = [(False, id_column if mapped else None)]
+        sides += [(True, "ext_id")] if mapped else []
+        values = [
+            F.struct(F.lit(ext).alias("ext"), *column_values(df, column))
+            for ext, column in sides
         ]
+        slim.append(
+            df.select(F.inline(F.array(*values))).select(
+                F.lit(place).alias("place"), "ext", *VALUE_COLUMNS
+            )
+        )
     counted = (
         reduce(DataFrame.unionByName, slim)
-        .groupBy("place", "ext", "num", "txt")
+        .groupBy("place", "ext", *VALUE_COLUMNS)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    repeated = (F.col("num").isNotNull() | F.col("txt").isNotNull()) & (F.col("n") > 1)
+    repeated = F.coalesce(*[F.col(c).cast("string") for c in VALUE_COLUMNS]).isNotNull()
+    repeated &= F.col("n") > 1
     totals = counted.groupBy("place").agg(
         F.sum(F.when(~F.col("ext"), F.col("n"))).alias("rows"),
         F.count_if(~F.col("ext") & repeated).alias("dup_id"),
@@ -180,6 +180,24 @@ def report_position(tables: DataFrame, n_vendors: int, n_actions: int) -> Column
     return F.col("thing_ord") * per_thing + vendor_place * (n_actions + 1) + action_place
 
 
+def column_rules(
+    catalog: DataFrame, things: list[str], vendors: list[str], actions: list[str]
+) -> DataFrame:
+    """One row per legacy table: the outcome of every column rule, from the catalog."""
+    known = catalog.select("table_name").distinct()
+    listed = enumerate_tables(known, things, vendors, actions)
+    checks = column_checks(listed, catalog)
+    return checks.select(
+        report_position(checks, len(vendors), len(actions)).alias("position"),
+        "table_name",
+        "good_id",
+        "good_name",
+        "good_log",
+        "good_ext",
+        "columns",
+    )
+
+
 def validation_report(
     tables: Mapping[str, DataFrame],
     catalog: DataFrame,

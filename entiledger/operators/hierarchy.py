@@ -54,7 +54,6 @@ def decode_levels(
     rows: DataFrame,
     levels: list[str],
     names: DataFrame,
-    names_rows: int | None = None,
 ) -> DataFrame:
     """Replace category ids in the level columns by their names."""
     original = rows
@@ -63,7 +62,7 @@ def decode_levels(
             F.col("category_id").alias(level), F.col("category_name").alias("_name")
         )
         rows = lookup_join(
-            rows, lookup, level, "left", names_rows, profile=original
+            rows, lookup, level, "left", profile=original
         ).select(
             *[F.col("_name").alias(c) if c == level else F.col(c) for c in rows.columns]
         )
@@ -73,9 +72,10 @@ def decode_levels(
 def level_paths(rows: DataFrame, columns: list[str], row_no: str) -> DataFrame:
     """Path of each row: the level values without the first column's.
 
-    A value that a row names twice is kept once, at its first place.
+    A value that a row names twice is kept once, at its first place. A level without a
+    value is left out, and a row without any names no node.
     """
-    values = F.array(*[F.col(c).cast("string") for c in columns[1:]])
+    values = F.array_compact(F.array(*[F.col(c).cast("string") for c in columns[1:]]))
     return rows.select(
         F.array_distinct(values).alias("path"), F.col(row_no).alias("row_no")
     )
@@ -92,7 +92,8 @@ def tree_nodes(paths: DataFrame) -> DataFrame:
 
     Equal paths are merged before they are unfolded into prefixes.
     """
-    merged = paths.groupBy("path").agg(F.min("row_no").alias("first_row"))
+    named = paths.where(F.size("path") > 0)
+    merged = named.groupBy("path").agg(F.min("row_no").alias("first_row"))
     unfolded = merged.select(
         F.explode(_prefixes(F.col("path"))).alias("path"), "first_row"
     )
@@ -113,50 +114,54 @@ def duplicate_nodes(nodes: DataFrame) -> DataFrame:
     return places.where(F.col("places") > 1)
 
 
-def preorder(nodes: DataFrame, nodes_rows: int | None = None) -> DataFrame:
+def preorder(nodes: DataFrame) -> DataFrame:
     """Nodes with the key that sorts them in preorder.
 
     ``sort_key`` holds the first row of every ancestor and of the node itself.
     ``has_children`` and ``closes``, the number of lists that end after the node,
-    serve the markup.
+    serve the markup. Every node looks up its own row and those of its ancestors; a
+    row tells where the node starts and where its last child does, so the last child
+    and the nodes with children need no joins of their own. Ancestors that most nodes
+    share are hot keys of that lookup.
     """
-    # Level and first row together identify a node: one row names one node a level.
-    last_children = nodes.groupBy("level", "parent").agg(
-        F.max("first_row").alias("first_row")
+    none = F.lit(None).cast("long")
+    known = nodes.select("path", "first_row", none.alias("last_child")).union(
+        nodes.select("parent", none, "first_row")
     )
-    lasts = last_children.select("level", "first_row", F.lit(True).alias("is_last"))
-    parents = last_children.select(
-        F.col("parent").alias("path"), F.lit(True).alias("has_children")
-    )
-    marked = nodes.join(lasts, ["level", "first_row"], "left").select(
-        "path", "first_row", F.coalesce("is_last", F.lit(False)).alias("is_last")
+    starts = known.groupBy(F.col("path").alias("ancestor")).agg(
+        F.max("first_row").alias("row"), F.max("last_child").alias("last_child")
     )
+    path = F.col("path")
     chains = nodes.select(
-        "path", F.explode(_prefixes(F.col("path"))).alias("ancestor")
-    )
-    lookup = marked.select(
-        F.col("path").alias("ancestor"),
-        F.col("first_row").alias("row"),
-        "is_last",
+        "path",
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(0), F.size(path)), lambda n: F.slice(path, 1, n)
+            )
+        ).alias("ancestor"),
     )
-    step = F.struct(F.size("ancestor").alias("depth"), "row", "is_last")
+    step = F.struct(F.size("ancestor").alias("depth"), "row", "last_child")
     chained = (
-        lookup_join(chains, lookup, "ancestor", "inner", nodes_rows, ["path"])
+        lookup_join(chains, starts, "ancestor", "inner", ["path"])
         .groupBy("path")
         .agg(F.sort_array(F.collect_list(step)).alias("chain"))
     )
     chain = F.col("chain")
-    inner = F.coalesce("has_children", F.lit(False))
-    open_steps = F.filter(chain, lambda s: ~s.getField("is_last"))
+    # The chain starts with the root, which is no node.
+    own = F.slice(chain, F.lit(2), F.size(path))
+    open_steps = F.filter(
+        own,
+        lambda s, i: s.getField("row") != F.get(chain, i).getField("last_child"),
+    )
     deepest_open = F.coalesce(
         F.try_element_at(open_steps, F.lit(-1)).getField("depth"), F.lit(0)
     )
-    path = F.col("path")
-    return chained.join(parents, "path", "left").select(
+    inner = F.element_at(chain, -1).getField("last_child").isNotNull()
+    return chained.select(
         "path",
         F.element_at(path, -1).alias("name"),
         (F.size(path) - 1).alias("level"),
-        F.transform(chain, lambda s: s.getField("row")).alias("sort_key"),
+        F.transform(own, lambda s: s.getField("row")).alias("sort_key"),
         inner.alias("has_children"),
         F.when(inner, 0).otherwise(F.size(path) - deepest_open).alias("closes"),
     )

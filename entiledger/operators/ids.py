@@ -1,10 +1,11 @@
 """Surrogate keys numbered in key order without a single-task sort.
 
 Rows fall into buckets of 2**20 consecutive key values, so a bucket of a unique key
-never holds more rows than that. Bucket counts are summed once more over groups of
-2**22 buckets, and running sums give the rows in front of every group, bucket and
-row. All 64-bit keys together make at most 2**22 groups, so the one window without
-partitions sorts no more than that many sums, and a handful for keys below 2**42.
+never holds more rows than that. Bucket counts are summed over groups of 2**22 buckets
+and group sums over blocks of 2**11 groups, and running sums give the rows in front of
+every block, group, bucket and row. All 64-bit keys together make at most 2**11 blocks,
+so the one window without partitions sorts no more than that many sums for each major
+value, and one for keys below 2**53.
 
 The result depends on the keys only, so a task or a whole plan that runs again
 numbers the rows the same way.
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 BUCKET_BITS = 20
 GROUP_BITS = 22
+BLOCK_BITS = 11
 _NO_KEY = -(2**62)
 
 
@@ -36,12 +38,12 @@ def dense_ids(
     """Add ``out``: consecutive numbers from ``start`` in order of ``key``.
 
     ``key`` is a unique integer column. With ``major``, a column of few values
-    such as a table or batch ordinal, numbers run over (major, key).
+    such as a table or batch ordinal, numbers run over (major, key). Rows without a key
+    come first, and share one bucket: the jobs reject them.
     """
     group = [major] if major else []
     first = F.lit(start) if isinstance(start, int) else start
-    # Rows without a key come first; that the bucket is never null lets Spark use one
-    # shuffle of the counts twice.
+    # That the bucket is never null lets Spark use one shuffle of the counts twice.
     bucket = F.coalesce(
         F.shiftright(F.col(key).cast("long"), BUCKET_BITS), F.lit(_NO_KEY)
     ).alias("_bucket")
@@ -49,11 +51,18 @@ def dense_ids(
     counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_group", F.shiftright("_bucket", GROUP_BITS))
     sums = counts.groupBy(*group, "_group").agg(F.sum("_n").alias("_n"))
-    sums = sums.withColumn("_order", F.struct(*group, "_group"))
-    ahead = sums.select(*group, "_group", _running("_order", []).alias("_ahead"))
+    sums = sums.withColumn("_block", F.shiftright("_group", BLOCK_BITS))
+    blocks = sums.groupBy(*group, "_block").agg(F.sum("_n").alias("_n"))
+    blocks = blocks.withColumn("_order", F.struct(*group, "_block"))
+    ahead = blocks.select(*group, "_block", _running("_order", []).alias("_far"))
+    groups = (
+        sums.withColumn("_near", _running("_group", [*group, "_block"]))
+        .join(ahead, [*group, "_block"])
+        .select(*group, "_group", (F.col("_far") + F.col("_near")).alias("_ahead"))
+    )
     offsets = (
         counts.withColumn("_inside", _running("_bucket", [*group, "_group"]))
-        .join(ahead, [*group, "_group"])
+        .join(groups, [*group, "_group"])
         .select(*group, "_bucket", (F.col("_ahead") + F.col("_inside")).alias("_ahead"))
     )
 
@@ -75,3 +84,12 @@ def next_id(table: DataFrame, column: str, default: int) -> Column:
     return F.coalesce(table.agg(F.max(column)).scalar() + 1, F.lit(default)).cast(
         "long"
     )
+
+
+def first_free(default: int, *ids: DataFrame) -> int:
+    """First number above all ids of the given one-column tables, read now.
+
+    The default holds only where there are no ids at all.
+    """
+    highest = [df.agg(F.max(df.columns[0])).first()[0] for df in ids]
+    return max([h + 1 for h in highest if h is not None], default=default)

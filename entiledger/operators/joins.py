@@ -7,27 +7,58 @@ one task.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most rows of a side that is broadcast. A lookup row is a few hundred bytes at
-# most, so this stays in the tens of megabytes.
-BROADCAST_ROWS = 200_000
+# A key is hot if it holds more than one in so many parts of a mean shuffle partition's
+# rows. So there are at most eight times as many hot keys as partitions, however large
+# the table is, and the pieces are small enough for chance to deal them out evenly.
+PIECES = 8
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark itself would broadcast a side, by its own estimate in bytes."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = int(str(plan.stats().sizeInBytes()))
+    return size <= conf.autoBroadcastJoinThreshold()
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
 
-# Keys that get salted. Any other key then holds less than 1/257 of the rows.
-HOT_KEYS = 256
+def _hot(counts: DataFrame, by: list[str], parts: int) -> DataFrame:
+    """Keys with over 1 / parts of the rows, and how many salts each is given."""
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.where(F.col("_n") * parts > total).select(
+        *by, F.ceil(F.col("_n") * parts / total).cast("int").alias("_salts")
+    )
 
 
-def rows_if_small(*tables: DataFrame, bound: int = BROADCAST_ROWS) -> int | None:
-    """Row count of stored tables together if it is within the bound, else None.
+def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Hot keys of a table with their number of salts.
 
-    Meant for scans: it reads no column and at most ``bound + 1`` rows of each.
+    Counts are taken map-side first. A table whose keys are evenly used has none.
     """
-    some = [t.select(F.lit(1).alias("one")).limit(bound + 1) for t in tables]
-    counted = reduce(DataFrame.unionByName, some).count()
-    return counted if counted <= bound else None
+    known = rows.select(*keys).na.drop(subset=keys)
+    counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _hot(counts, keys, PIECES * _partitions(rows))
+
+
+def hot_values(rows: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+    """Hot values of several whole-number columns, all counted in one scan."""
+    each = F.array(
+        *[F.struct(F.lit(c).alias("_c"), F.col(c).cast("long").alias("_v")) for c in columns]
+    )
+    listed = rows.select(F.inline(each)).where(F.col("_v").isNotNull())
+    counts = listed.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    parts = PIECES * _partitions(rows)
+    out = {}
+    for c in columns:
+        own = counts.where(F.col("_c") == c).select(F.col("_v").alias(c), "_n")
+        out[c] = _hot(own, [c], parts)
+    return out
 
 
 def lookup_join(
@@ -35,59 +66,49 @@ def lookup_join(
     lookup: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    lookup_rows: int | None = None,
     spread: list[str] | None = None,
     profile: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which is unique on the key columns.
 
-    ``lookup_rows`` is the known row count of the lookup side. Within
-    ``BROADCAST_ROWS`` the side is broadcast; beyond it, or when the count is not
-    known, both sides are shuffled and the most frequent keys of ``rows`` are
-    spread over many tasks. Null keys, which match nothing, are spread as well.
+    A lookup side that Spark would broadcast by its size in bytes is joined as it is.
+    Otherwise every hot key of ``rows`` is spread over as many tasks as its share asks
+    for, with the lookup row repeated as often. Null keys, which match nothing, are
+    spread as well.
 
-    ``profile`` stands in for ``rows`` when the frequent keys are looked for: a
-    cheaper plan with the same key columns, such as the table before other joins.
+    ``profile`` stands in for ``rows`` when hot keys are looked for: a cheaper plan with
+    the same key columns, such as the table before other joins. ``hot`` gives them, if
+    they are known, as :func:`hot_keys` does.
 
-    The salt comes from the partition and the optional ``spread`` columns, so a
-    task that runs again gives every row the same salt.
+    The salt comes from the partition and the optional ``spread`` columns, so a task
+    that runs again gives every row the same salt.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left"):
         raise ValueError(f"a lookup join is inner or left, not {how!r}")
-    if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(lookup), keys, how)
-
-    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = (
-        (rows if profile is None else profile)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    if fits_broadcast(lookup):
+        return rows.join(lookup, keys, how)
+    if hot is None:
+        hot = hot_keys(rows if profile is None else profile, keys)
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
     salt = F.spark_partition_id()
     if spread:
         salt = salt + F.xxhash64(*[F.col(c) for c in spread])
+    salts = F.when(no_key, _partitions(rows)).otherwise(F.coalesce("_salts", F.lit(1)))
+    # At most eight times as many rows as partitions.
+    known = F.broadcast(hot)
     salted = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot") | no_key, F.pmod(salt, F.lit(salts)).cast("int"))
-            .otherwise(0),
-        )
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        rows.join(known, keys, "left")
+        .withColumn("_salt", F.pmod(salt, salts).cast("int"))
+        .drop("_salts")
     )
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     repeated = (
-        lookup.join(F.broadcast(hot), keys, "left")
+        lookup.join(known, keys, "left")
         .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
+        .drop("_salts")
     )
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

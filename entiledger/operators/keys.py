@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entiledger.model import BAD_KEY_SENTINEL
-from entiledger.operators.joins import lookup_join
+from entiledger.operators.joins import hot_values, lookup_join
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FLOATING = (T.FloatType, T.DoubleType)
+
+# The columns that a value of any type takes, one of them filled.
+VALUE_COLUMNS = ["num", "dbl", "txt"]
 
 
 def members(
@@ -20,11 +24,10 @@ def members(
     column: str,
     keys: DataFrame,
     key: str,
-    keys_rows: int | None = None,
 ) -> DataFrame:
     """Rows whose column value is among the keys."""
     wanted = keys.select(F.col(key).alias(column)).distinct()
-    return lookup_join(rows, wanted, column, "inner", keys_rows).select(*rows.columns)
+    return lookup_join(rows, wanted, column, "inner").select(*rows.columns)
 
 
 def non_members(
@@ -32,30 +35,32 @@ def non_members(
     column: str,
     keys: DataFrame,
     key: str,
-    keys_rows: int | None = None,
 ) -> DataFrame:
     """Rows a SQL ``NOT IN`` keeps; the keys themselves are unique and not null.
 
     A null value is not kept, unless there are no keys at all.
     """
     known = keys.select(F.col(key).alias(column), F.lit(True).alias("_known"))
-    joined = lookup_join(rows, known, column, "left", keys_rows)
+    joined = lookup_join(rows, known, column, "left")
     no_keys = keys.agg(F.count(F.lit(1)) == 0).scalar()
     kept = F.col("_known").isNull() & (F.col(column).isNotNull() | no_keys)
     return joined.where(kept).select(*rows.columns)
 
 
-def column_values(df: DataFrame, column: str) -> list[Column]:
-    """A column as two: ``num`` for integers, else ``txt``.
+def column_values(df: DataFrame, column: str | None) -> list[Column]:
+    """A column as three: ``num`` for integers, ``dbl`` for floating numbers, ``txt``.
 
-    Values of different tables and columns so share one table without turning
-    numbers into text.
+    Values of different tables and columns so share one table without turning numbers
+    into text, and ``0.0`` and ``-0.0`` stay one value. No column gives nulls.
     """
-    whole = isinstance(df.schema[column].dataType, _WHOLE)
-    value = F.col(column)
+    kind = df.schema[column].dataType if column else None
+    none = F.lit(None)
+    value = F.col(column) if column else none
+    whole, floating = isinstance(kind, _WHOLE), isinstance(kind, _FLOATING)
     return [
-        (value if whole else F.lit(None)).cast("long").alias("num"),
-        (F.lit(None) if whole else value).cast("string").alias("txt"),
+        (value if whole else none).cast("long").alias("num"),
+        (value if floating else none).cast("double").alias("dbl"),
+        (none if whole or floating else value).cast("string").alias("txt"),
     ]
 
 
@@ -73,7 +78,7 @@ def duplicate_values(df: DataFrame, columns: list[str]) -> DataFrame:
             for place, c in enumerate(columns)
         ],
     )
-    counted = values.groupBy("place", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
+    counted = values.groupBy("place", *VALUE_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
     repeated = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -116,22 +121,19 @@ def remap_foreign_key(
     foreign_table: str,
     bridge: DataFrame,
     sentinel: int | None = None,
-    bridge_rows: int | None = None,
-    profile: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Replace an old foreign key by the new id that the bridge gives.
 
     A key that the bridge does not know becomes null and is flagged in
     ``bad_<fk>``. With ``sentinel`` such a key takes that value first and is then
     remapped like any other, as the former rule did; no flag is added.
-    ``profile`` is passed on to the lookup join.
+    ``hot`` is passed on to the lookup join.
     """
     keys = _bridge_for(bridge, foreign_table, fk)
     cast = rows.withColumn(fk, F.col(fk).cast("long"))
     spread = ["log_id"] if "log_id" in rows.columns else None
-    if profile is not None:
-        profile = profile.select(F.col(fk).cast("long").alias(fk))
-    joined = lookup_join(cast, keys, fk, "left", bridge_rows, spread, profile)
+    joined = lookup_join(cast, keys, fk, "left", spread, hot=hot)
     old, new = F.col(fk), F.col("_new")
     if sentinel is None:
         bad = (old.isNotNull() & new.isNull()).alias(f"bad_{fk}")
@@ -153,24 +155,21 @@ def remap_foreign_keys(
     known_tables: list[str],
     use_sentinel: bool = False,
     skip_after_unknown: bool = False,
-    bridge_rows: int | None = None,
 ) -> DataFrame:
     """Remap every foreign key of a table, given as column -> foreign table.
 
     An unknown foreign table is an error; with ``skip_after_unknown`` that key and
     the later ones are left as they are. Run it once per table: a second run would
-    take new ids for old ones.
+    take new ids for old ones. The hot values of all keys come from one scan.
     """
-    original = rows
+    hot = hot_values(rows, list(foreign_keys)) if foreign_keys else {}
     for fk, foreign_table in foreign_keys.items():
         if foreign_table not in known_tables:
             if skip_after_unknown:
                 break
             raise ValueError(f"column {fk}: unknown foreign table {foreign_table!r}")
         sentinel = BAD_KEY_SENTINEL if use_sentinel else None
-        rows = remap_foreign_key(
-            rows, fk, foreign_table, bridge, sentinel, bridge_rows, original
-        )
+        rows = remap_foreign_key(rows, fk, foreign_table, bridge, sentinel, hot[fk])
     return rows
 
 

@@ -6,19 +6,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entiledger.model import FIRST_N_ID
-from entiledger.operators.ids import dense_ids, next_id
+from entiledger.model import FIRST_N_ID, STATUS_CODES
+from entiledger.operators.ids import dense_ids, first_free
 
 
 @dataclass(frozen=True)
 class Load:
-    """Outcome of a load; every member is lazy.
+    """Outcome of a load.
 
     ``rows`` are the versions to append, ``new_things`` the registry rows to append
-    before them, ``errors`` the reasons why batches were rejected.
+    before them, ``errors`` the reasons why batches were rejected. All three stay what
+    they are when the registry grows.
     """
 
     rows: DataFrame
@@ -30,34 +31,6 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _batch_places(rows: DataFrame) -> DataFrame:
-    """Per batch: the rows, and the created rows, of all batches before it.
-
-    One row per batch of the series, so the window is over a handful of rows.
-    """
-    before = Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)
-    created = F.when(F.col("_creates"), F.col("_n")).otherwise(0)
-    return (
-        rows.groupBy("batch_no", "_creates")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .withColumn("_created", F.coalesce(F.sum(created).over(before), F.lit(0)))
-    )
-
-
-def _created_ranges(places: DataFrame, start: Column) -> Column:
-    """Ids that each creating batch uses, as an array of (batch, first, last)."""
-    first = start + F.col("_created")
-    ranges = places.where("_creates").select(
-        F.struct(
-            F.col("batch_no").alias("batch"),
-            first.alias("first"),
-            (first + F.col("_n") - 1).alias("last"),
-        ).alias("r")
-    )
-    return ranges.agg(F.collect_list("r")).scalar()
-
-
 def reference_errors(
     rows: DataFrame, registry: DataFrame, thing: str, created: Column | None = None
 ) -> DataFrame:
@@ -65,21 +38,13 @@ def reference_errors(
 
     Rows are counted per batch and id first, so an id with very many rows is one
     row in the join, and both of its sides are close to unique on the id.
-    ``created`` holds the ids that creating batches of the series will use; a batch
-    knows those of earlier batches.
+    ``created`` tells whether an id is one that an earlier batch of the series creates.
     """
     used = rows.groupBy("batch_no", "n_id").agg(F.count(F.lit(1)).alias("n_rows"))
     known = registry.select("n_id", F.col("thing").alias("found"))
     found = F.col("found")
     if created is not None:
-        batch, n_id = F.col("batch_no"), F.col("n_id")
-        used = used.withColumn("_created", created)
-        earlier = F.exists(
-            "_created",
-            lambda r: (r.getField("batch") < batch)
-            & n_id.between(r.getField("first"), r.getField("last")),
-        )
-        found = F.coalesce(found, F.when(earlier, thing))
+        found = F.coalesce(found, F.when(created, thing))
     problem = (
         F.when(F.col("n_id").isNull(), "missing")
         .when(F.col("found").isNull(), "unknown")
@@ -93,6 +58,46 @@ def reference_errors(
     )
 
 
+def _bad_status(batch: DataFrame) -> Column:
+    """Whether a row's status is none of the known ones; a null is none at all."""
+    if "status" not in batch.columns:
+        return F.lit(False)
+    return F.coalesce(~F.col("status").isin(list(STATUS_CODES)), F.lit(False))
+
+
+def status_errors(batches: Sequence[tuple[int, DataFrame]]) -> DataFrame:
+    """Status values of batches that are outside the enumeration, with their rows."""
+    return _union(
+        [
+            batch.where(_bad_status(batch))
+            .groupBy(F.col("status").cast("string").alias("found"))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(
+                F.lit(place).alias("batch_no"),
+                F.lit(None).cast("long").alias("n_id"),
+                "found",
+                F.lit("status").alias("problem"),
+                "n_rows",
+            )
+            for place, batch in batches
+        ]
+    )
+
+
+def _counted(batches: Sequence[DataFrame], row_no: str) -> dict[int, tuple]:
+    """(rows, rows with a number, rows of a bad status) of each batch, read once."""
+    counts = [
+        batch.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(row_no).alias("numbered"),
+            F.count_if(_bad_status(batch)).alias("bad"),
+        ).select(F.lit(place).alias("batch_no"), "*")
+        for place, batch in enumerate(batches, start=1)
+    ]
+    # One row per batch of the series.
+    return {r.batch_no: (r.n, r.numbered, r.bad) for r in _union(counts).collect()}
+
+
 def load_series(
     batches: Sequence[DataFrame],
     registry: DataFrame,
@@ -100,50 +105,104 @@ def load_series(
     row_no: str,
     next_default: int = FIRST_N_ID,
     first_log_id: int | None = None,
+    start: int | None = None,
 ) -> Load:
     """Load batches in order, each one whole or not at all.
 
     A batch with an ``n_id`` column modifies known entities; one without creates
     entities with the next free ids, in order of batch and ``row_no``, a unique
-    integer per batch. A rejected batch does not stop the later ones.
+    integer per batch. A batch that refers to ids it must not change or has a status
+    outside the enumeration is rejected; that does not stop the later ones.
 
     With ``first_log_id`` the rows get log ids in the same order; a rejected batch
-    leaves a gap in them. One numbering of all rows yields both kinds of ids.
+    leaves a gap in them. ``start`` is the first new id, otherwise read from the
+    registry. Batches are counted and their errors found here, so the numbers of the
+    planned rows are fixed, and each batch is read once for each of the three.
     """
-    tagged = [
-        batch.withColumn("batch_no", F.lit(place)).withColumn(
-            "_creates", F.lit("n_id" not in batch.columns)
+    if start is None:
+        start = first_free(next_default, registry.select("n_id"))
+    counts = _counted(batches, row_no)
+    for place, (n, numbered, _) in counts.items():
+        if numbered < n:
+            raise ValueError(f"batch {place}: rows without a {row_no}")
+    placed = list(enumerate(batches, start=1))
+    wrong = [(place, batch) for place, batch in placed if counts[place][2]]
+    creates = {place: "n_id" not in batch.columns for place, batch in placed}
+    rejected = {place for place, _ in wrong}
+
+    # Where each batch's new ids and log ids start, counted from the first ones.
+    new_before, log_before, made, logged = {}, {}, 0, 0
+    for place, _ in placed:
+        new_before[place], log_before[place] = made, logged
+        if creates[place] and place not in rejected:
+            made += counts[place][0]
+        logged += counts[place][0]
+
+    changes = [
+        batch.select(
+            F.lit(place).alias("batch_no"),
+            F.col("n_id").cast("long").alias("n_id"),
         )
-        for place, batch in enumerate(batches, start=1)
+        for place, batch in placed
+        if not creates[place] and place not in rejected
     ]
-    rows = _union(tagged)
-    creates = any("n_id" not in batch.columns for batch in batches)
-    modifies = any("n_id" in batch.columns for batch in batches)
-    old_id = F.col("n_id") if modifies else F.lit(None)
-    rows = rows.withColumn("n_id", old_id.cast("long"))
-
-    places = _batch_places(rows)
-    start = next_id(registry, "n_id", next_default)
-    changed = rows.where(~F.col("_creates"))
-    created = _created_ranges(places, start) if creates else None
-    errors = reference_errors(changed, registry, thing, created)
-
-    if creates or first_log_id is not None:
-        # One row per batch of the series: always small enough to broadcast.
-        known = F.broadcast(places.select("batch_no", "_before", "_created"))
-        rows = dense_ids(rows, row_no, "_place", 0, "batch_no").join(known, "batch_no")
-        new_id = start + F.col("_created") + F.col("_place") - F.col("_before")
-        rows = rows.withColumn("n_id", F.when(F.col("_creates"), new_id).otherwise(F.col("n_id")))
+    spark = registry.sparkSession
+    found = []
+    if changes:
+        # A batch knows the ids that earlier ones create: one range, by its place.
+        ends = F.get(
+            F.array(*[F.lit(start + new_before[place]) for place, _ in placed]),
+            F.col("batch_no") - 1,
+        )
+        created = (F.col("n_id") >= start) & (F.col("n_id") < ends)
+        known = registry.where(F.col("n_id") < start)
+        errors = reference_errors(_union(changes), known, thing, created)
+        found.append(errors)
+        # At most one row per batch.
+        rejected |= {r.batch_no for r in errors.select("batch_no").distinct().collect()}
+    if wrong:
+        found.append(status_errors(wrong))
+    errors = (
+        _union(found)
+        if found
+        else spark.createDataFrame(
+            [], "batch_no int, n_id long, found string, problem string, n_rows long"
+        )
+    )
+    new_things = spark.range(start, start + made).select(
+        F.col("id").alias("n_id"), F.lit(thing).alias("thing")
+    )
+
+    taken = [(place, batch) for place, batch in placed if place not in rejected]
+    if not taken:
+        taken, empty = placed[:1], True
+    else:
+        empty = False
+    before, parts = 0, []
+    for place, batch in taken:
+        n_id = F.lit(None) if creates[place] else F.col("n_id")
+        action = "create" if creates[place] else "modify"
+        part = batch.where(F.lit(not empty)).select(
+            F.lit(place).alias("batch_no"),
+            F.lit(log_before[place] - before).alias("_log"),
+            F.lit(new_before[place] - before if creates[place] else None)
+            .cast("long")
+            .alias("_new"),
+            n_id.cast("long").alias("n_id"),
+            *[c for c in batch.columns if c != "n_id"],
+            F.lit(action).alias("action"),
+        )
+        parts.append(part)
+        before += counts[place][0]
+    rows = _union(parts)
+    if made or first_log_id is not None:
+        rows = dense_ids(rows, row_no, "_place", 0, "batch_no")
+        new_id = start + F.col("_new") + F.col("_place")
+        rows = rows.withColumn("n_id", F.coalesce(new_id, F.col("n_id")))
         if first_log_id is not None:
-            rows = rows.withColumn("log_id", F.col("_place") + first_log_id)
-        rows = rows.drop("_place", "_before", "_created")
-    new_things = rows.where("_creates").select("n_id", F.lit(thing).alias("thing"))
-    if modifies:
-        rejected = F.broadcast(errors.select("batch_no").distinct())
-        rows = rows.join(rejected, "batch_no", "left_anti")
-    action = F.when(F.col("_creates"), "create").otherwise("modify")
-    rows = rows.withColumn("action", action).drop("_creates")
-    return Load(rows, new_things, errors)
+            rows = rows.withColumn("log_id", first_log_id + F.col("_log") + F.col("_place"))
+        rows = rows.drop("_place")
+    return Load(rows.drop("_log", "_new"), new_things, errors)
 
 
 def load_rows(

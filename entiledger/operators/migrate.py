@@ -18,7 +18,7 @@ from entiledger.model import (
     TableSpec,
 )
 from entiledger.operators.ids import dense_ids, next_id
-from entiledger.operators.joins import lookup_join, rows_if_small
+from entiledger.operators.joins import lookup_join
 
 
 def id_column(df: DataFrame, thing: str) -> str:
@@ -138,13 +138,11 @@ def join_thing_and_map(
     things: DataFrame,
     maps: DataFrame,
     short_load: bool = False,
-    things_rows: int | None = None,
 ) -> DataFrame:
     """Legacy rows with each of their map rows; map rows of no thing are dropped."""
     if short_load:
         things = first_by_rank(things, "old_id")
-        things_rows = None
-    return lookup_join(maps, things, "old_id", "inner", things_rows, ["ext_id"])
+    return lookup_join(maps, things, "old_id", "inner", ["ext_id"])
 
 
 def name_map_log(
@@ -152,7 +150,6 @@ def name_map_log(
     bridge: DataFrame,
     keys: Sequence[str],
     v_id: Column,
-    bridge_rows: int | None = None,
     map_type: str = DEFAULT_MAP_TYPE,
     profile: DataFrame | None = None,
 ) -> DataFrame:
@@ -162,7 +159,7 @@ def name_map_log(
     the new id and drops orphans. The log id is given when the rows are appended.
     """
     joined = lookup_join(
-        maps, bridge, list(keys), "inner", bridge_rows, ["ext_id"], profile
+        maps, bridge, list(keys), "inner", ["ext_id"], profile
     )
     return joined.select(
         "n_id",
@@ -177,9 +174,11 @@ def name_map_log(
     )
 
 
-def unbridged(things: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Old ids that a bridge for these things lacks; a migration needs none."""
-    return things.select("old_id").join(bridge, "old_id", "left_anti")
+def unbridged(
+    things: DataFrame, bridge: DataFrame, keys: Sequence[str] = ("old_id",)
+) -> DataFrame:
+    """Rows whose old id a bridge for these things lacks; a migration needs none."""
+    return things.join(bridge.select(*keys), list(keys), "left_anti")
 
 
 def assign_vendor_ids(
@@ -189,7 +188,8 @@ def assign_vendor_ids(
 
     Looks a vendor up in the main database only and takes the lowest id if there
     are several. New ids follow the highest one. ``wanted`` has one row per vendor
-    and is small by nature, like the list of declared vendors it comes from.
+    and is small by nature, like the list of declared vendors it comes from: one task
+    numbers them.
     """
     known = (
         registry.where(F.col("database") == MAIN_DATABASE)
@@ -251,6 +251,18 @@ def number_things(
     return numbered.select("old_id", "thing", "n_id")
 
 
+def number_new_things(
+    ids: DataFrame, bridge: DataFrame, start: int | Column
+) -> DataFrame:
+    """Bridge rows for the legacy ids that a bridge lacks, numbered from ``start``.
+
+    ``ids`` comes from :func:`legacy_ids`; numbers follow its order of things and ids.
+    """
+    lacking = unbridged(ids, bridge, ["thing", "old_id"])
+    numbered = dense_ids(lacking, "old_id", "n_id", start, "thing_ord")
+    return numbered.select("old_id", "thing", "n_id")
+
+
 @dataclass(frozen=True)
 class Migration:
     """A whole migration: the bridge, and plans for everything that joins it."""
@@ -260,7 +272,19 @@ class Migration:
     things: list[str]
     vendors: Sequence[str]
     bridge: DataFrame
-    bridge_rows: int | None
+    start: int | None = None
+    short_load: bool = False
+
+    def _own(self, thing: str) -> DataFrame:
+        """Bridge rows of one thing; if none are stored, without numbering the others."""
+        if self.start is None:
+            return self.bridge.where(F.col("thing") == thing).select("old_id", "n_id")
+        first = F.lit(self.start)
+        for earlier in self.things[: self.things.index(thing)]:
+            ids = legacy_ids(self.legacy, [earlier], self.short_load)
+            first = first + ids.agg(F.count(F.lit(1))).scalar()
+        ids = legacy_ids(self.legacy, [thing], self.short_load).select("old_id")
+        return dense_ids(ids, "old_id", "n_id", first)
 
     def registry(self) -> DataFrame:
         """Rows of the thing registry."""
@@ -270,7 +294,7 @@ class Migration:
         """Log rows of one thing; both sides of the join are unique on the old id."""
         df = self.legacy[thing]
         extras = extra_columns(df, self.specs[thing])
-        own = self.bridge.where(F.col("thing") == thing).select("old_id", "n_id")
+        own = self._own(thing)
         first = own.agg(F.min("n_id")).scalar()
         return created_log(
             legacy_rows(df, thing, extras).join(own, "old_id"),
@@ -319,7 +343,6 @@ class Migration:
             self.bridge,
             ["thing", "old_id"],
             F.col("v_id"),
-            self.bridge_rows,
             profile=maps,
         )
 
@@ -336,15 +359,13 @@ def migrate_all(
     """Plan the migration of every legacy thing that is declared.
 
     ``bridge`` may be the stored result of :func:`number_things`; otherwise it is
-    planned here. Whether it is small enough to broadcast follows from its row count
-    or, when it is not stored, from those of the legacy tables.
+    planned here.
     """
     declared = {spec.name: spec for spec in specs}
     chosen = [t for t in things if t in legacy and t in declared]
     if not chosen:
         raise ValueError("no legacy table is declared")
-    sized = [legacy[thing] for thing in chosen] if bridge is None else [bridge]
-    rows = rows_if_small(*sized)
-    if bridge is None:
-        bridge = number_things(legacy, chosen, start, short_load)
-    return Migration(legacy, declared, chosen, vendors, bridge, rows)
+    if bridge is not None:
+        return Migration(legacy, declared, chosen, vendors, bridge)
+    bridge = number_things(legacy, chosen, start, short_load)
+    return Migration(legacy, declared, chosen, vendors, bridge, start, short_load)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from entiledger.functions.columns import numbered_name, shifted_day, stepped_status
 from entiledger.model import ACTION_CODES, STATUS_CODES
+from entiledger.operators.ids import dense_ids
 from entiledger.operators.joins import lookup_join
 
 
@@ -77,26 +78,24 @@ def amplify(
     copies: int,
     own_name: bool = False,
     keep_status: bool = False,
-    names_rows: int | None = None,
 ) -> DataFrame:
     """Synthetic ``modify`` versions: ``copies`` per row of a change log.
 
     Copy ``i`` is ``i + 1`` days later and carries the entity's last name, or the
     row's own with ``own_name``, with ``-i`` behind it. New log ids follow the
-    existing ones copy by copy in the order of the copied rows; they are computed
-    from the old ids, so they are unique but not gapless.
+    highest one without gaps, copy by copy in the order of the copied rows, so they
+    grow by no more than the new rows however often this is done.
     """
-    base = log
+    base = dense_ids(log, "log_id", "_place")
     if not own_name:
         base = lookup_join(
-            log.drop("name"), last_names(log), "n_id", "inner", names_rows, ["log_id"]
+            base.drop("name"), last_names(log), "n_id", "inner", ["log_id"], log
         )
     span = log.agg(
-        F.struct(F.min("log_id").alias("low"), F.max("log_id").alias("high"))
+        F.struct(F.count("log_id").alias("n"), F.max("log_id").alias("high"))
     ).scalar()
     index = F.col("_copy")
-    low, high = span.getField("low"), span.getField("high")
-    log_id = high + 1 + index * (high - low + 1) + F.col("log_id") - low
+    log_id = span.getField("high") + 1 + index * span.getField("n") + F.col("_place")
     indexes = F.sequence(F.lit(0), F.lit(max(copies, 1) - 1))
     if copies < 1:
         indexes = F.array().cast("array<int>")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiledger.functions.columns import table_name
-from entiledger.model import LEGACY_PREFIX, ColumnSpec, TableSpec
+from entiledger.model import ACTIONS, LEGACY_PREFIX, ColumnSpec, TableSpec
 
 # When and by whom tables without log columns were written.
 WRITTEN_TS = "1998-08-02 00:00:00"
@@ -15,7 +15,7 @@ WRITTEN_BY = "import"
 # Entity types of the legacy views, in migration order, and their vendors.
 LEGACY_THINGS = ["nation", "customer", "orders", "part", "warehouse"]
 LEGACY_VENDORS = ["supplier", "segment", "activity", "line"]
-LEGACY_ACTIONS = ["map", "fuzzymatch", "import", "exp", "history"]
+LEGACY_ACTIONS = list(ACTIONS)
 
 SPECS = [
     TableSpec("nation", (ColumnSpec("region_id", "int", "region"),)),
@@ -126,8 +126,8 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _part(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
-    return read(spark, sf_dir, "part").where(where).select(
+def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("part_id"),
         F.col("p_name").alias("part_name"),
         F.col("p_brand").alias("brand"),
@@ -202,17 +202,25 @@ def legacy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Legacy table of the parts up to size 40, so that some map rows are orphans."""
-    return _part(spark, sf_dir, "p_size <= 40")
+    """Legacy table of the parts; those over size 40 under ids that no map row has."""
+    part_id = F.when(F.col("p_size") > 40, -F.col("p_partkey"))
+    return read(spark, sf_dir, "part").select(
+        F.coalesce(part_id, "p_partkey").alias("part_id"),
+        F.col("p_name").alias("part_name"),
+        *_logs(_written(), F.col("p_type")),
+    )
 
 
 def sound_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers that owe nothing: the ones that were migrated."""
-    return read(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    """Customers, those in debt under keys that no order has."""
+    debt = F.when(F.col("c_acctbal") < 0, -F.col("c_custkey"))
+    return read(spark, sf_dir, "customer").withColumn(
+        "c_custkey", F.coalesce(debt, "c_custkey")
+    )
 
 
 def customer_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bridge of the customers that owe nothing."""
+    """Bridge of the customers, without the old ids of those in debt."""
     return sound_customers(spark, sf_dir).select(
         F.col("c_custkey").alias("old_id"),
         F.lit("customer").alias("thing"),
@@ -311,15 +319,74 @@ def market_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared columns: the segments with a well-funded customer in the nation."""
     nations = read(spark, sf_dir, "nation")
+    funded = F.when(F.col("c_acctbal") > 8000, F.col("c_mktsegment"))
     return (
         read(spark, sf_dir, "customer")
-        .where("c_acctbal > 8000")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("n_name").alias("table_name"), F.col("c_mktsegment").alias("column_name"))
+        .select(F.col("n_name").alias("table_name"), funded.alias("column_name"))
         .distinct()
     )
 
 
+def typed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog of the activity's tables; how busy a table is decides its types."""
+    customers = read(spark, sf_dir, "customer")
+    nations = read(spark, sf_dir, "nation")
+    seen = (
+        read(spark, sf_dir, "events")
+        .join(customers, F.col("user_id") == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(
+            F.lower("c_mktsegment").alias("thing"),
+            rule_action(F.col("event_type")).alias("action"),
+            F.lower("n_name").alias("vendor"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    thing, action = F.col("thing"), F.col("action")
+    vendor, none = F.col("vendor"), F.lit(None).cast("string")
+    names = F.array(
+        table_name(thing, none, none),
+        table_name(thing, action, none),
+        table_name(thing, action, vendor),
+    )
+    sized = (
+        seen.select("thing", F.explode(names).alias("table_name"), "n")
+        .groupBy("thing", "table_name")
+        .agg(F.sum("n").alias("n"))
+    )
+    n = F.col("n")
+
+    def column(name: Column, test: Column, kind: str, other: str) -> Column:
+        return F.struct(
+            name.alias("column_name"), F.when(test, kind).otherwise(other).alias("data_type")
+        )
+
+    columns = F.array(
+        column(F.concat("thing", F.lit("_id")), n % 3 > 0, "bigint", "double"),
+        column(F.concat("thing", F.lit("_name")), n % 2 > 0, "varchar(200)", "int"),
+        column(F.lit("ext_id"), n % 4 > 0, "string", "int"),
+        column(F.lit("created_ts"), n % 5 > 0, "timestamp_ntz", "string"),
+        column(F.lit("updated_ts"), n % 7 > 0, "timestamp", "date"),
+        column(F.lit("created_by"), F.lit(True), "string", "string"),
+        column(F.lit("updated_by"), n % 11 > 0, "string", "binary"),
+    )
+    return sized.select(
+        F.concat(F.lit(LEGACY_PREFIX), "table_name").alias("table_name"),
+        F.inline(columns),
+    )
+
+
+def rule_action(event_type: Column) -> Column:
+    """Legacy action of an event, so that every column rule meets some tables."""
+    return (
+        F.when(event_type == "purchase", "map")
+        .when(event_type == "view", "fuzzymatch")
+        .when(event_type == "error", "import")
+        .otherwise("exp")
+    )
+
+
 def column_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide sheet of declared columns, a row per part, with blanks."""
     return read(spark, sf_dir, "part").select(
@@ -335,14 +402,11 @@ def column_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vendor_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide sheet of vendors, a row per larger part, with blanks."""
-    return (
-        read(spark, sf_dir, "part")
-        .where("p_size >= 10")
-        .select(
-            F.concat(F.lit("part_"), F.col("p_partkey")).alias("table"),
-            F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise("").alias("v1"),
-            F.when(F.col("p_retailprice") > 975, F.col("p_name")).alias("v2"),
-            F.col("p_type").alias("v3"),
-        )
+    """Wide sheet of vendors, a row per part, with blanks; small parts have none."""
+    large, dear = F.col("p_size") >= 10, F.col("p_retailprice") > 975
+    return read(spark, sf_dir, "part").select(
+        F.concat(F.lit("part_"), F.col("p_partkey")).alias("table"),
+        F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise("").alias("v1"),
+        F.when(large & dear, F.col("p_name")).alias("v2"),
+        F.when(large, F.col("p_type")).alias("v3"),
     )

@@ -8,21 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entiledger.model import ACTIONS, FIRST_N_ID, THINGS, VENDORS, TableSpec
-from entiledger.operators.audit import schema_difference, validation_report
-from entiledger.operators.joins import rows_if_small
+from entiledger.model import (
+    ACTIONS,
+    FIRST_N_ID,
+    THINGS,
+    TICKET_COLUMNS,
+    VENDORS,
+    TableSpec,
+    entity_columns,
+    struct_type,
+)
+from entiledger.operators.audit import (
+    column_rules,
+    schema_difference,
+    validation_report,
+)
+from entiledger.operators.ids import dense_ids, first_free
 from entiledger.operators.keys import remap_foreign_keys
 from entiledger.operators.load import Load, load_series
 from entiledger.operators.migrate import (
     legacy_ids,
     migrate_all,
-    number_things,
+    number_new_things,
     repeated_ids,
+    unbridged,
 )
 from entiledger.operators.versions import amplify, query_log
 from entiledger.sources.catalog import catalog_of
 from entiledger.sources.files import read_load_file
-from entiledger.sources.staging import staged
 from entiledger.sources.tables import append_log, append_rows, table_layouts
 
 
@@ -47,6 +60,19 @@ def check(
     return report.orderBy("position").drop("position")
 
 
+def check_columns(
+    legacy: Mapping[str, DataFrame],
+    spark: SparkSession,
+    things: Sequence[str] = THINGS,
+    vendors: Sequence[str] = VENDORS,
+    actions: Sequence[str] = ACTIONS,
+) -> DataFrame:
+    """Column rules of the legacy tables, that of the external id included."""
+    catalog = catalog_of(spark, legacy)
+    rules = column_rules(catalog, list(things), list(vendors), list(actions))
+    return rules.orderBy("position").drop("position")
+
+
 def compare_schema(
     legacy: Mapping[str, DataFrame], spark: SparkSession, declared: DataFrame
 ) -> DataFrame:
@@ -54,9 +80,29 @@ def compare_schema(
     return schema_difference(catalog_of(spark, legacy), declared)
 
 
-def _append_once(rows: DataFrame, table: str) -> None:
-    if rows.sparkSession.table(table).isEmpty():
-        append_log(rows, table)
+def _number_missing(
+    ids: DataFrame, spark: SparkSession, database: str
+) -> DataFrame:
+    """Complete the registry and the bridge for the given legacy ids; the bridge.
+
+    The registry grows first, so that no load can take the numbers, and a job that
+    stops in between leaves unused ids.
+    """
+    bridge_table, registry_table = (
+        f"`{database}`.`{t}`" for t in ("old_new_bridge", "thing")
+    )
+    bridge, registry = spark.table(bridge_table), spark.table(registry_table)
+    start = first_free(FIRST_N_ID, registry.select("n_id"), bridge.select("n_id"))
+    numbered = number_new_things(ids, bridge, start)
+    numbers = bridge.select("n_id", "thing").unionByName(numbered.select("n_id", "thing"))
+    append_rows(numbers.join(registry, "n_id", "left_anti"), registry_table)
+    # The bridge is stored by thing; one thing may be far larger than the others.
+    append_rows(numbered.hint("rebalance", "thing"), bridge_table)
+    spark.catalog.refreshTable(bridge_table)
+    bridge = spark.table(bridge_table)
+    if not unbridged(ids, bridge, ["thing", "old_id"]).isEmpty():
+        raise ValueError(f"{database}: the bridge lacks ids of the legacy tables")
+    return bridge
 
 
 def fill(
@@ -67,39 +113,45 @@ def fill(
     things: Sequence[str] = THINGS,
     vendors: Sequence[str] = VENDORS,
     short_load: bool = False,
-    resume: bool = False,
 ) -> None:
-    """Migrate the legacy tables into empty change-log tables.
+    """Migrate what the change-log tables lack of the legacy tables.
 
-    The numbers are computed once and stored as the bridge; everything else joins
-    the stored bridge. Registries are written before the rows that refer to them.
-    With ``resume`` a migration that stopped goes on from its bridge and fills the
-    tables that are still empty.
+    Legacy ids that the bridge lacks get the next free numbers; logs and the name map
+    get the rows that they do not have yet. So a first migration fills empty tables, one
+    that stopped goes on, one with new legacy rows adds these, also after loads, and one
+    without any does nothing. A legacy table whose ids are missing or repeated stops the
+    migration before it writes.
     """
     declared = {spec.name for spec in specs}
     chosen = [t for t in things if t in legacy and t in declared]
-    bridge_table = f"`{database}`.`old_new_bridge`"
-    if spark.table(bridge_table).isEmpty():
-        # At most one row per thing comes back.
-        repeated = repeated_ids(legacy_ids(legacy, chosen)).collect()
-        if repeated:
-            names = ", ".join(sorted(row["thing"] for row in repeated))
-            raise ValueError(f"ids used more than once in: {names}")
-        # The bridge is stored by thing; one thing may be far larger than the others.
-        numbered = number_things(legacy, chosen, FIRST_N_ID, short_load)
-        append_rows(numbered.hint("rebalance", "thing"), bridge_table)
-    elif not resume:
-        raise ValueError(f"{database}: the bridge is not empty, migrate only once")
-    bridge = spark.table(bridge_table)
+    plan_ids = legacy_ids(legacy, chosen, short_load)
+    # At most one row per thing comes back.
+    repeated = {r["thing"] for r in repeated_ids(plan_ids).collect()}
+    without = plan_ids.where(F.col("old_id").isNull()).select("thing").distinct()
+    if repeated or not without.isEmpty():
+        names = ", ".join(sorted(repeated | {r["thing"] for r in without.collect()}))
+        raise ValueError(f"ids missing or used more than once in: {names}")
+    bridge = _number_missing(plan_ids, spark, database)
     plan = migrate_all(legacy, specs, things, vendors, bridge=bridge)
-    _append_once(plan.registry(), f"`{database}`.`thing`")
     for thing in plan.things:
-        _append_once(plan.log(thing), f"`{database}`.`{thing}`")
+        name = f"`{database}`.`{thing}`"
+        log = spark.table(name)
+        rows = plan.log(thing).drop("log_id")
+        if short_load:
+            own = plan_ids.where(F.col("thing") == thing).select("old_id")
+            short = bridge.where(F.col("thing") == thing).join(own, "old_id", "left_semi")
+            rows = rows.join(short, "n_id", "left_semi")
+        rows = rows.join(log.select("n_id"), "n_id", "left_anti")
+        first = first_free(1, log.select("log_id"))
+        append_rows(dense_ids(rows, "n_id", "log_id", first), name)
     if plan.map_tables():
-        vendor_table = f"`{database}`.`vendor`"
+        vendor_table, map_table = (f"`{database}`.`{t}`" for t in ("vendor", "name_map"))
         append_rows(plan.vendor_ids(spark.table(vendor_table))[1], vendor_table)
         vendor_ids, _ = plan.vendor_ids(spark.table(vendor_table))
-        _append_once(plan.name_map(vendor_ids), f"`{database}`.`name_map`")
+        rows = plan.name_map(vendor_ids)
+        known = spark.table(map_table).select("n_id", "v_id", "ext_id").distinct()
+        same = [rows[c].eqNullSafe(known[c]) for c in known.columns]
+        append_log(rows.join(known, same, "left_anti"), map_table)
 
 
 def connect_foreign_keys(
@@ -118,7 +170,6 @@ def connect_foreign_keys(
         bridge,
         list(table_layouts(specs)),
         use_sentinel,
-        bridge_rows=rows_if_small(bridge),
     )
 
 
@@ -129,47 +180,90 @@ def store_foreign_keys(
     specs: Sequence[TableSpec],
     use_sentinel: bool = False,
 ) -> str:
-    """Write the remapped entity log as a table ``<name>_linked``; returns its name.
+    """Put the remapped entity log in the table's place; returns its name.
 
-    The table must not exist: remapping new ids a second time would be wrong.
+    Queries, loads and amplification go on with the new keys and their ``bad_`` flags.
+    The log as it was stays as ``<name>_unlinked``, which also tells that the keys are
+    remapped: doing so a second time would take new ids for old ones, and raises. A job
+    that stopped between the two renamings is finished by the next call.
     """
-    name = f"`{database}`.`{spec.name}_linked`"
-    connect_foreign_keys(spark, database, spec, specs, use_sentinel).write.saveAsTable(
-        name
-    )
+    names = {k: f"{spec.name}{k}" for k in ("", "_unlinked", "_linked")}
+    name, kept, fresh = (f"`{database}`.`{n}`" for n in names.values())
+    there = {t.name for t in spark.catalog.listTables(database)}
+    if names["_unlinked"] in there:
+        if names[""] in there:
+            raise ValueError(f"{name}: its foreign keys are remapped already")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        return name
+    linked = connect_foreign_keys(spark, database, spec, specs, use_sentinel)
+    columns = dict.fromkeys(linked.columns, "BOOLEAN")
+    columns |= {c: kind for c, _, kind in entity_columns(spec)}
+    body = ", ".join(f"`{c}` {kind}" for c, kind in columns.items())
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    spark.sql(f"CREATE TABLE {fresh} ({body}) USING parquet")
+    append_rows(linked, fresh)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {kept}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return name
 
 
+def _first_numbers(
+    spark: SparkSession, database: str, table: str, ticket: str | None
+) -> tuple[int, int, bool]:
+    """First new n_id and log_id of a load, and whether its ticket was used before."""
+    tickets = f"`{database}`.`load_ticket`"
+    if ticket is not None:
+        used = spark.table(tickets).where(F.col("ticket") == ticket).first()
+        if used is not None:
+            return used.first_n_id, used.first_log_id, True
+    registry, log = (spark.table(f"`{database}`.`{t}`") for t in ("thing", table))
+    numbers = (
+        first_free(FIRST_N_ID, registry.select("n_id")),
+        first_free(1, log.select("log_id")),
+    )
+    if ticket is not None:
+        row = spark.createDataFrame([(ticket, *numbers)], struct_type(TICKET_COLUMNS))
+        append_rows(row.coalesce(1), tickets)
+    return *numbers, False
+
+
 def load(
     spark: SparkSession,
     database: str,
     table: str,
     batches: Sequence[DataFrame],
     row_no: str,
+    ticket: str | None = None,
 ) -> Load:
     """Append batches of changes to an entity log.
 
     Ids of new things are stored first. Should the job stop there, those ids stay
     unused and the next load takes higher ones. A single rejected batch raises; in
     a series the rejected batches are left out and reported in ``errors``.
+
+    A ``ticket`` names the load: one that is called again with it, after it stopped at
+    any point or was done, takes the same numbers and adds only the rows that are not
+    there yet. One writer at a time.
     """
-    name = f"`{database}`.`{table}`"
-    registry = spark.table(f"`{database}`.`thing`")
-    highest = spark.table(name).agg(F.max("log_id")).first()[0]
-    first_log_id = 1 if highest is None else highest + 1
-    planned = load_series(batches, registry, table, row_no, FIRST_N_ID, first_log_id)
-    if len(batches) == 1:
-        if not planned.errors.isEmpty():
-            raise LoadRejected(f"{table}: the load refers to ids it must not change")
-    layout = spark.table(name).columns
-    rows = planned.rows.select(*[c for c in planned.rows.columns if c in layout])
-    # The ids follow from the registry's highest id, so they are fixed before it grows.
-    fixed = staged(rows)
-    created = fixed.where(F.col("action") == "create")
-    append_rows(
-        created.select("n_id", F.lit(table).alias("thing")), f"`{database}`.`thing`"
+    name, registry_name = f"`{database}`.`{table}`", f"`{database}`.`thing`"
+    start, first_log_id, again = _first_numbers(spark, database, table, ticket)
+    registry, log = spark.table(registry_name), spark.table(name)
+    planned = load_series(
+        batches, registry, table, row_no, FIRST_N_ID, first_log_id, start
     )
-    append_log(fixed, name)
+    if len(batches) == 1 and not planned.errors.isEmpty():
+        raise LoadRejected(f"{table}: the load has ids or a status that it must not have")
+    for place, batch in enumerate(batches, start=1):
+        repeated = batch.groupBy(row_no).count().where(F.col("count") > 1)
+        if not repeated.isEmpty():
+            raise ValueError(f"batch {place}: a {row_no} is used more than once")
+    rows = planned.rows.select(*[c for c in planned.rows.columns if c in log.columns])
+    things = planned.new_things
+    if again:
+        things = things.join(registry, "n_id", "left_anti")
+        rows = rows.join(log.select("log_id"), "log_id", "left_anti")
+    append_rows(things, registry_name)
+    append_rows(rows, name)
     return planned
 
 

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiledger.functions import columns as C
-from entiledger.model import LEGACY_PREFIX
+from entiledger.model import LEGACY_PREFIX, entity_columns, struct_type
 from entiledger.operators import audit, hierarchy, keys, load, migrate, schema, versions
-from entiledger.operators.ids import dense_ids
-from entiledger.operators.joins import rows_if_small
+from entiledger.operators.ids import dense_ids, next_id
 from entiledger.plans import bindings as B
 from entiledger.sources.catalog import catalog_of
+from entiledger.sources.tables import aligned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,13 +104,15 @@ def last_names(spark, sf_dir):
 
 
 _AMPLIFY = """
-    SELECT s.high + 1 + i * (s.high - s.low + 1) + ev.log_id - s.low AS log_id,
+    SELECT s.high + 1 + i * s.n + place AS log_id,
            ev.n_id, 'modify' AS action,
            created_ts + (i + 1) * INTERVAL 1 DAY AS created_ts, created_by,
            {status} AS status, {name} || '-' || i AS name, value
     FROM ev {join}
+    JOIN (SELECT log_id AS placed, row_number() OVER (ORDER BY log_id) - 1 AS place
+          FROM ev) ON placed = ev.log_id
     CROSS JOIN (SELECT unnest(range({copies})) AS i)
-    CROSS JOIN (SELECT min(log_id) AS low, max(log_id) AS high FROM ev) s"""
+    CROSS JOIN (SELECT count(*) AS n, max(log_id) AS high FROM ev) s"""
 
 
 @query(
@@ -159,7 +161,7 @@ def amplify_own_names(spark, sf_dir):
       created_ts + (n_id + 1) * INTERVAL 1 DAY AS shifted_ts,
       CASE WHEN n_id % 13 = 0 THEN 'production' WHEN n_id % 5 = 0 THEN 'stage'
         ELSE status END AS stepped_status,
-      created_ts AS wall_clock,
+      created_ts - INTERVAL 5 HOUR AS wall_clock,
       created_by AS bare_name,
       action || '_' || created_by || '_' || status AS vendor_table,
       action || '_' || created_by AS action_table
@@ -170,7 +172,9 @@ def scalar_functions(spark, sf_dir):
     status = C.status_code(F.col("status"))
     action = C.action_code(F.col("action"))
     none = F.lit(None).cast("string")
-    zoned = F.col("created_ts").cast("timestamp")
+    # The same clock five hours east: an instant that UTC's clock shows earlier.
+    text = F.date_format("created_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    zoned = F.concat(text, F.lit("+05:00")).cast("timestamp")
     return log.select(
         "log_id",
         status.alias("status_code"),
@@ -262,18 +266,16 @@ def members(spark, sf_dir):
     "non_members",
     """SELECT o_orderkey AS log_id, o_orderkey AS n_id, o_custkey AS customer_id,
       o_totalprice AS total FROM orders
-    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
+    WHERE o_custkey NOT IN (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS key FROM customer)""",
 )
 def non_members(spark, sf_dir):
     known = B.sound_customers(spark, sf_dir)
-    return keys.non_members(
-        B.order_log(spark, sf_dir), "customer_id", known, "c_custkey", rows_if_small(known)
-    )
+    return keys.non_members(B.order_log(spark, sf_dir), "customer_id", known, "c_custkey")
 
 
 _BRIDGE = """
-  b AS (SELECT c_custkey AS old_id, c_custkey + 1000000000 AS n_id
-        FROM customer WHERE c_acctbal >= 0)"""
+  b AS (SELECT key AS old_id, key + 1000000000 AS n_id FROM
+        (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS key FROM customer))"""
 
 
 @query(
@@ -286,11 +288,7 @@ _BRIDGE = """
 def remap_foreign_key(spark, sf_dir):
     bridge = B.customer_bridge(spark, sf_dir)
     return keys.remap_foreign_key(
-        B.order_log(spark, sf_dir),
-        "customer_id",
-        "customer",
-        bridge,
-        bridge_rows=rows_if_small(bridge),
+        B.order_log(spark, sf_dir), "customer_id", "customer", bridge
     )
 
 
@@ -311,7 +309,6 @@ def remap_foreign_key_sentinel(spark, sf_dir):
         bridge,
         ["customer"],
         use_sentinel=True,
-        bridge_rows=rows_if_small(bridge),
     )
 
 
@@ -319,8 +316,6 @@ def remap_foreign_key_sentinel(spark, sf_dir):
     "remap_foreign_keys",
     """WITH p AS (SELECT p_partkey AS old_id, 1000 + row_number() OVER (ORDER BY p_partkey) - 1
               AS n_id FROM part),
-    c AS (SELECT o.*, c_custkey FROM orders o LEFT JOIN customer ON c_custkey = o_custkey
-          AND c_acctbal >= 0),
     s AS (SELECT s_suppkey AS old_id, 1000 + (SELECT count(*) FROM part)
             + row_number() OVER (ORDER BY s_suppkey) - 1 AS n_id
           FROM supplier)
@@ -365,7 +360,8 @@ def remap_foreign_keys(spark, sf_dir):
     UNION ALL SELECT 'primary_key', 'o_orderkey', count(*) FROM
       (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
     UNION ALL SELECT 'foreign_key', 'o_custkey', count(*) FROM orders
-      WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
+      WHERE o_custkey NOT IN
+        (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS key FROM customer)""",
 )
 def integrity_report(spark, sf_dir):
     return keys.integrity_report(
@@ -457,7 +453,8 @@ def migrate_short(spark, sf_dir):
     return migrate.migrate_thing(customer, "customer", 5000, short_load=True).log
 
 
-_LOW_PARTS = "SELECT p_partkey, p_name, p_type FROM part WHERE p_size <= 40"
+_LOW_PARTS = """SELECT CASE WHEN p_size > 40 THEN -p_partkey ELSE p_partkey END AS p_partkey,
+      p_name, p_type FROM part"""
 
 
 @query(
@@ -487,7 +484,7 @@ def _small_parts(spark, sf_dir):
 )
 def unbridged(spark, sf_dir):
     customer = B.legacy_table(spark, sf_dir, "customer")
-    things = migrate.legacy_rows(customer, "customer")
+    things = migrate.legacy_rows(customer, "customer").select("old_id")
     return migrate.unbridged(things, B.customer_bridge(spark, sf_dir))
 
 
@@ -524,7 +521,8 @@ def _migration(spark, sf_dir):
 
 @query("migrate_all_bridge", f"WITH {_ALL_IDS} SELECT * FROM b")
 def migrate_all_bridge(spark, sf_dir):
-    things = B.LEGACY_THINGS[:4]
+    declared = {spec.name for spec in B.SPECS}
+    things = [t for t in B.LEGACY_THINGS if t in declared and t in B.LEGACY_TABLES]
     return migrate.number_things(B.legacy_tables(spark, sf_dir, *things), things)
 
 
@@ -549,6 +547,69 @@ def repeated_ids(spark, sf_dir):
     return migrate.repeated_ids(migrate.legacy_ids(legacy, list(legacy)))
 
 
+_SERVED = """
+  served AS (SELECT DISTINCT o_custkey AS old_id FROM orders),
+  old AS (SELECT old_id, 'customer' AS thing, 7 + old_id * 3 AS n_id FROM served
+    UNION ALL SELECT n_nationkey, 'nation', 3000000 + n_nationkey FROM nation)"""
+
+
+@query(
+    "migrate_increment",
+    f"""WITH {_ALL_IDS}, {_SERVED},
+    reg AS (SELECT n_id FROM old UNION ALL SELECT 5000000 + s_suppkey FROM supplier),
+    lacking AS (SELECT ids.* FROM ids LEFT JOIN old USING (thing, old_id)
+                WHERE old.n_id IS NULL)
+    SELECT old_id, thing,
+      (SELECT max(n_id) FROM reg) + row_number() OVER (ORDER BY o, old_id) AS n_id
+    FROM lacking""",
+)
+def migrate_increment(spark, sf_dir):
+    """Bridge rows that are added where nations and served customers have theirs."""
+    served = B.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("old_id"))
+    nations = B.read(spark, sf_dir, "nation")
+    bridge = (
+        served.distinct()
+        .select("old_id", F.lit("customer").alias("thing"), (7 + F.col("old_id") * 3).alias("n_id"))
+        .union(
+            nations.select(
+                F.col("n_nationkey").cast("long"),
+                F.lit("nation"),
+                (3_000_000 + F.col("n_nationkey")).cast("long"),
+            )
+        )
+    )
+    loaded = B.read(spark, sf_dir, "supplier").select(
+        (5_000_000 + F.col("s_suppkey")).alias("n_id")
+    )
+    registry = bridge.select("n_id").union(loaded)
+    declared = {spec.name for spec in B.SPECS}
+    things = [t for t in B.LEGACY_THINGS if t in declared and t in B.LEGACY_TABLES]
+    ids = migrate.legacy_ids(B.legacy_tables(spark, sf_dir, *things), things)
+    return migrate.number_new_things(ids, bridge, next_id(registry, "n_id", 1000))
+
+
+@query(
+    "aligned_log",
+    """SELECT o_orderkey AS log_id, CAST(NULL AS BIGINT) AS n_id, 'create' AS action,
+      o_orderdate AS created_ts, CAST(NULL AS VARCHAR) AS created_by,
+      CAST(NULL AS VARCHAR) AS status, o_orderpriority AS name, o_custkey AS customer_id,
+      o_totalprice AS total FROM orders""",
+)
+def aligned_log(spark, sf_dir):
+    """Rows in the declared layout of their table: order, types, missing columns."""
+    spec = next(s for s in B.SPECS if s.name == "orders")
+    layout = spark.createDataFrame([], struct_type(entity_columns(spec)))
+    orders = B.read(spark, sf_dir, "orders").select(
+        F.col("o_totalprice").cast("string").alias("total"),
+        F.col("o_orderpriority").alias("name"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_orderdate").cast("timestamp").alias("created_ts"),
+        F.lit("create").alias("action"),
+        F.col("o_orderkey").alias("log_id"),
+    )
+    return aligned(orders, layout)
+
+
 @query("migrate_all_registry", f"WITH {_ALL_IDS} SELECT n_id, thing FROM b")
 def migrate_all_registry(spark, sf_dir):
     return _migration(spark, sf_dir).registry()
@@ -618,9 +679,13 @@ def vendor_ids(spark, sf_dir):
 
 
 def _registry(spark, sf_dir):
-    customers = B.read(spark, sf_dir, "customer").where("c_mktsegment <> 'FURNITURE'")
+    """Customers as registered things; furniture makers under ids that no row has."""
+    customers = B.read(spark, sf_dir, "customer")
     kind = F.when(F.col("c_acctbal") >= 0, "customer").otherwise("prospect")
-    return customers.select(F.col("c_custkey").alias("n_id"), kind.alias("thing"))
+    other = F.when(F.col("c_mktsegment") == "FURNITURE", -F.col("c_custkey"))
+    return customers.select(
+        F.coalesce(other, "c_custkey").alias("n_id"), kind.alias("thing")
+    )
 
 
 def _new_suppliers(spark, sf_dir):
@@ -646,21 +711,26 @@ def _changed_users(spark, sf_dir):
 
 
 def _changed_buyers(spark, sf_dir):
-    """Orders of registered customers as changes of these."""
+    """Orders as changes of their customers, or else of the last registered one."""
     known = _registry(spark, sf_dir).where("thing = 'customer'")
-    orders = B.read(spark, sf_dir, "orders").select(
+    orders = B.read(spark, sf_dir, "orders")
+    joined = orders.join(known, F.col("o_custkey") == F.col("n_id"), "left")
+    return joined.select(
         F.col("o_orderkey").alias("row_no"),
-        F.col("o_custkey").alias("n_id"),
+        F.coalesce("n_id", known.agg(F.max("n_id")).scalar()).alias("n_id"),
         F.col("o_orderpriority").alias("name"),
         F.lit("production").alias("status"),
     )
-    return keys.members(orders, "n_id", known, "n_id")
 
 
 _REGISTRY_SQL = """
-  reg AS (SELECT c_custkey AS n_id,
+  reg AS (SELECT
+            CASE c_mktsegment WHEN 'FURNITURE' THEN -c_custkey ELSE c_custkey END AS n_id,
             CASE WHEN c_acctbal >= 0 THEN 'customer' ELSE 'prospect' END AS thing
-          FROM customer WHERE c_mktsegment <> 'FURNITURE')"""
+          FROM customer),
+  buyer AS (SELECT o.*, coalesce(n_id, (SELECT max(n_id) FROM reg WHERE thing = 'customer'))
+            AS n_id
+          FROM orders o LEFT JOIN reg ON n_id = o_custkey AND thing = 'customer')"""
 
 
 @query(
@@ -711,9 +781,9 @@ def load_new_things(spark, sf_dir):
 @query(
     "load_modify",
     f"""WITH {_REGISTRY_SQL}
-    SELECT o_orderkey AS row_no, o_custkey AS n_id, o_orderpriority AS name,
+    SELECT o_orderkey AS row_no, n_id, o_orderpriority AS name,
       'production' AS status, 'modify' AS action
-    FROM orders JOIN reg ON n_id = o_custkey AND thing = 'customer'""",
+    FROM buyer""",
 )
 def load_modify(spark, sf_dir):
     rows, registry = _changed_buyers(spark, sf_dir), _registry(spark, sf_dir)
@@ -726,8 +796,7 @@ def load_modify(spark, sf_dir):
     given AS (SELECT 1 AS b, s_suppkey AS row_no, s_name AS name, 'draft' AS status,
         NULL AS n_id FROM supplier
       UNION ALL SELECT 2, event_id, NULL, NULL, user_id FROM events
-      UNION ALL SELECT 3, o_orderkey, o_orderpriority, 'production', o_custkey
-        FROM orders JOIN reg ON n_id = o_custkey AND thing = 'customer'
+      UNION ALL SELECT 3, o_orderkey, o_orderpriority, 'production', n_id FROM buyer
       UNION ALL SELECT 4, p_partkey, p_name, 'stage', NULL FROM part),
     placed AS (SELECT *, row_number() OVER (ORDER BY b, row_no) AS log_id,
         sum(CASE WHEN n_id IS NULL THEN 1 ELSE 0 END) OVER (ORDER BY b, row_no) AS made
@@ -813,6 +882,44 @@ def enumerate_tables(spark, sf_dir):
     )
 
 
+_RULE_ACTION = """CASE event_type WHEN 'purchase' THEN 'map' WHEN 'view' THEN 'fuzzymatch'
+      WHEN 'error' THEN 'import' ELSE 'exp' END"""
+
+
+@query(
+    "column_rules",
+    f"""WITH seen AS (
+      SELECT lower(c_mktsegment) AS t, {_RULE_ACTION} AS a, lower(n_name) AS v,
+        count(*) AS n
+      FROM events JOIN customer ON c_custkey = user_id
+      JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL),
+    tab AS (
+      SELECT t, NULL AS a, NULL AS v, t AS table_name, n FROM seen
+      UNION ALL SELECT t, a, NULL, a || '_' || t, n FROM seen
+      UNION ALL SELECT t, a, v, a || '_' || t || '_' || v, n FROM seen),
+    sized AS (SELECT t, a, v, table_name, sum(n) AS n FROM tab GROUP BY ALL),
+    th AS (SELECT * FROM (VALUES (0, 'building'), (1, 'automobile'), (2, 'machinery'),
+      (3, 'household'), (4, 'aircraft')) AS x(i, t)),
+    ac AS (SELECT * FROM (VALUES (0, 'map'), (1, 'fuzzymatch'), (2, 'import'), (3, 'exp'),
+      (4, 'history')) AS x(j, a)),
+    ve AS (SELECT i AS k, 'nation_' || i AS v FROM range(25) AS r(i))
+    SELECT i * 156 + coalesce(k + 1, 0) * 6 + coalesce(j + 1, 0) AS position, table_name,
+      CASE WHEN a IS NULL OR (v IS NOT NULL AND a IN ('map', 'fuzzymatch'))
+        THEN n % 3 > 0 END AS good_id,
+      CASE WHEN a IS NULL OR v IS NULL OR a = 'import' THEN n % 2 > 0 END AS good_name,
+      CASE WHEN a IS NULL OR (v IS NOT NULL AND a IN ('map', 'fuzzymatch'))
+        THEN n % 5 > 0 AND n % 7 > 0 AND n % 11 > 0 END AS good_log,
+      CASE WHEN a IN ('map', 'fuzzymatch') THEN n % 4 > 0 END AS good_ext,
+      CAST(7 AS BIGINT) AS columns
+    FROM sized JOIN th USING (t) LEFT JOIN ac USING (a) LEFT JOIN ve USING (v)
+    WHERE v IS NULL OR k IS NOT NULL""",
+)
+def column_rules(spark, sf_dir):
+    return audit.column_rules(
+        B.typed_catalog(spark, sf_dir), B.ACTIVITY_THINGS, B.ACTIVITY_VENDORS, B.LEGACY_ACTIONS
+    )
+
+
 def _dups(table: str, column: str) -> str:
     return (
         f"(SELECT count(*) FROM (SELECT {column} FROM {table} GROUP BY 1 "
@@ -897,7 +1004,7 @@ def validation_report(spark, sf_dir):
     dec AS (SELECT DISTINCT n_name AS t, c_mktsegment AS c FROM customer
       JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 8000)
     SELECT t AS table_name, c AS column_name, 'string' AS data_type FROM cat
-    WHERE t IN (SELECT t FROM dec) AND (t, c) NOT IN (SELECT (t, c) FROM dec)""",
+    WHERE (t, c) NOT IN (SELECT (t, c) FROM dec)""",
 )
 def schema_difference(spark, sf_dir):
     return audit.schema_difference(
@@ -1143,6 +1250,4 @@ def decode_levels(spark, sf_dir):
             F.col("n_regionkey").alias("level_2"),
         )
     )
-    return hierarchy.decode_levels(
-        rows, ["level_1", "level_2"], names, rows_if_small(nations)
-    )
+    return hierarchy.decode_levels(rows, ["level_1", "level_2"], names)

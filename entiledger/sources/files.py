@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlsplit
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,57 @@ def _file_order(fmt: str) -> Column:
     return F.col("_metadata.file_block_start") + place
 
 
+def _plain(path: str) -> str:
+    """A file's path without scheme and escapes."""
+    return unquote(urlsplit(path).path)
+
+
+def _numbered(rows: DataFrame, fmt: str, row_no: str) -> DataFrame:
+    """Rows numbered by file, then by place in the file.
+
+    Files follow each other by path; a file has less than 2**44 rows or bytes.
+    """
+    paths = sorted({_plain(p) for p in rows.inputFiles()})
+    if len(paths) < 2:
+        return rows.withColumn(row_no, _file_order(fmt))
+    spark = rows.sparkSession
+    # One row per file of the load.
+    places = spark.createDataFrame(
+        [(path, place << 44) for place, path in enumerate(paths)],
+        "_path string, _before long",
+    )
+    path = F.url_decode(
+        F.replace(F.parse_url(F.col("_metadata.file_path"), F.lit("PATH")), F.lit("+"), F.lit("%2B"))
+    )
+    placed = rows.withColumn("_path", path).withColumn(row_no, _file_order(fmt))
+    joined = placed.join(F.broadcast(places), "_path", "left")
+    unknown = F.raise_error(F.concat(F.lit("file without a place: "), "_path"))
+    before = F.coalesce("_before", unknown.cast("long"))
+    return joined.select(*rows.columns, (before + F.col(row_no)).alias(row_no))
+
+
+def _by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV rows whose columns are found by the names in the header.
+
+    All files of a folder have the header of the first one; another one fails.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in schema if f.name not in header]
+    unknown = [c for c in header if c not in schema.names]
+    if missing or unknown:
+        raise ValueError(
+            f"{path}: missing columns {missing}, unknown columns {unknown}"
+        )
+    ordered = T.StructType([schema[c] for c in header])
+    return (
+        spark.read.schema(ordered)
+        .option("mode", "FAILFAST")
+        .option("header", True)
+        .option("enforceSchema", False)
+        .csv(path)
+    )
+
+
 def read_load_file(
     spark: SparkSession,
     path: str,
@@ -31,27 +84,29 @@ def read_load_file(
     fmt: str = "csv",
     row_no: str | None = None,
 ) -> DataFrame:
-    """Load file with the given schema; a file per former workbook sheet.
+    """Load file or folder of files with the given schema; one per workbook sheet.
 
-    A CSV or JSON file that does not fit the schema fails instead of turning
-    values into nulls. With ``row_no`` that column numbers the rows in file order,
-    with gaps.
+    Columns are found by name, in a CSV file by its header, whatever their order. A CSV
+    or JSON file that does not fit the schema fails instead of turning values into
+    nulls, and so does a header with other columns. With ``row_no`` that column numbers
+    the rows in the order of files by path and of rows in a file, with gaps.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown file format {fmt!r}")
-    reader = spark.read.schema(schema)
-    if fmt in ("csv", "json"):
-        reader = reader.option("mode", "FAILFAST")
+    if row_no is not None and fmt == "orc":
+        raise ValueError("an ORC file does not tell the order of its rows")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    rows = reader.format(fmt).load(path)
+        rows = _by_header(spark, path, schema)
+    else:
+        reader = spark.read.schema(schema)
+        if fmt == "json":
+            reader = reader.option("mode", "FAILFAST")
+        rows = reader.format(fmt).load(path)
     if row_no is None:
-        return rows
-    if fmt == "orc":
-        raise ValueError("an ORC file does not tell the order of its rows")
-    if len(rows.inputFiles()) > 1:
-        raise ValueError(f"{path}: only the rows of a single file have an order")
-    return rows.withColumn(row_no, _file_order(fmt))
+        return rows.select(*schema.names)
+    return _numbered(rows, fmt, row_no).select(*schema.names, row_no)
 
 
 def read_table_names(spark: SparkSession, path: str) -> DataFrame:

@@ -27,14 +27,16 @@ def stream_series(
 
     ``state`` is the stream's checkpoint folder; it keeps a restarted series from
     loading finished files again. A rejected file is skipped, like a rejected batch
-    of a series. A file whose load was cut off half-way is loaded again.
+    of a series. A file whose load was cut off is taken up again with the numbers that
+    it had, under a ticket of the stream and the batch, so nothing is loaded twice.
     """
 
     def load_one(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         try:
-            load(batch.sparkSession, database, table, [batch], row_no)
+            session, ticket = batch.sparkSession, f"{state}#{batch_id}"
+            load(session, database, table, [batch], row_no, ticket)
         except LoadRejected as reason:
             _LOG.warning("file %s of the series skipped: %s", batch_id, reason)
 

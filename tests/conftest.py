@@ -27,6 +27,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def broadcast_up_to(spark):
+    """Sets the size up to which Spark broadcasts a side, for one test."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, before)
+
+
 def _ordered(values):
     return [(v is None, 0 if v is None else v) for v in values]
 

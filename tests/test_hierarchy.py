@@ -49,8 +49,31 @@ def test_preorder(ordered):
     assert [(r.level, r.name) for r in got] == OUTLINE
 
 
-def test_preorder_with_a_known_size(nodes, ordered):
-    assert rows(hierarchy.preorder(nodes, 9)) == rows(ordered)
+def test_preorder_without_broadcast(broadcast_up_to, nodes, ordered):
+    want = rows(ordered)
+    broadcast_up_to("-1")
+    plan = hierarchy.preorder(nodes)
+    assert rows(plan) == want
+
+
+def test_preorder_takes_few_shuffles(broadcast_up_to, nodes):
+    broadcast_up_to("-1")
+    plan = hierarchy.preorder(nodes)
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"[-+ ]Exchange (?:hash|range|single)", final)) <= 12
+
+
+def test_levels_without_a_value_are_left_out(spark):
+    data = [(0, "-", "Food", None, "Fruit", None, None), (1, "-", *[None] * 5)]
+    ddl = "row_no long, " + ", ".join(f"{c} string" for c in LEVELS)
+    paths = hierarchy.level_paths(spark.createDataFrame(data, ddl), LEVELS, "row_no")
+    got = hierarchy.markup(hierarchy.preorder(hierarchy.tree_nodes(paths)))
+    pieces = [r.html for r in got.orderBy("sort_key").collect()]
+    assert len(pieces) == 2
+    assert all(pieces)
+    assert "".join(pieces).count("<li>") == "".join(pieces + ["</ul></li>"]).count("</li>") - 2
 
 
 def test_nodes(nodes):
@@ -117,7 +140,7 @@ def test_outline_sink(spark, ordered, tmp_path):
     assert lines[0] == "Food,,,,," and lines[-1] == ",Vans,,,,"
 
 
-def test_categories(spark):
+def test_categories(broadcast_up_to, spark):
     names = spark.createDataFrame(
         [(0, 1, "a"), (1, 2, "b"), (2, 1, "c"), (3, 9, "b")],
         "row_no int, category_id int, category_name string",
@@ -126,6 +149,7 @@ def test_categories(spark):
     assert rows(known) == [(1, "c"), (2, "b"), (9, "b")]
     assert rows(hierarchy.category_ids(names, "row_no")) == [("a", 1), ("b", 9), ("c", 1)]
     data = spark.createDataFrame([(0, 1, 2), (1, 2, 2), (2, 7, None)], "r int, x int, y int")
-    for size in (None, 3):
-        got = hierarchy.decode_levels(data, ["x", "y"], known, size)
+    for size in ("-1", "10m"):
+        broadcast_up_to(size)
+        got = hierarchy.decode_levels(data, ["x", "y"], known)
         assert rows(got) == [(0, "c", "b"), (1, "b", "b"), (2, None, None)]

@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from entiledger.operators.ids import dense_ids, next_id
-from entiledger.operators.joins import HOT_KEYS, lookup_join, rows_if_small
+from entiledger.operators.ids import dense_ids, first_free, next_id
+from entiledger.operators.joins import fits_broadcast, hot_keys, hot_values, lookup_join
 
 from .conftest import rows
 
@@ -23,16 +23,18 @@ def lookup(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("spread", [None, ["v"]])
-def test_salted_join_equals_plain_join(spark, how, spread):
+def test_salted_join_equals_plain_join(broadcast_up_to, spark, how, spread):
     left, right = big(spark), lookup(spark)
+    want = rows(left.join(right, "k", how))
+    assert rows(lookup_join(left, right, "k", how, spread=spread)) == want
+    broadcast_up_to("-1")
     got = lookup_join(left, right, "k", how, spread=spread)
     assert got.columns == ["k", "v", "w"]
-    assert rows(got) == rows(left.join(right, "k", how))
-    broadcast = lookup_join(left, right, "k", how, lookup_rows=1000)
-    assert rows(broadcast) == rows(got)
+    assert rows(got) == want
 
 
-def test_salted_join_on_two_keys(spark):
+def test_salted_join_on_two_keys(broadcast_up_to, spark):
+    broadcast_up_to("-1")
     left = big(spark).withColumn("t", F.when(F.col("v") % 2 == 0, "a").otherwise("b"))
     right = lookup(spark).withColumn("t", F.lit("a"))
     got = lookup_join(left, right, ["t", "k"], "left", profile=left.select("t", "k"))
@@ -41,8 +43,8 @@ def test_salted_join_on_two_keys(spark):
     )
 
 
-def test_hot_key_is_spread(spark):
-    """Neither the hot key nor the missing keys end up in one task."""
+@pytest.fixture
+def many_partitions(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
@@ -51,19 +53,57 @@ def test_hot_key_is_spread(spark):
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        joined = lookup_join(big(spark), lookup(spark), "k", "left")
-        sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"))
-        assert sizes.first()[0] < 20_000 / 6
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+    yield 32
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def largest_task(joined):
+    sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"))
+    return sizes.first()[0]
+
+
+def test_hot_key_is_spread(spark, many_partitions):
+    """Neither the hot key nor the missing keys end up in one task."""
+    joined = lookup_join(big(spark), lookup(spark), "k", "left")
+    assert largest_task(joined) < 20_000 / 6
+
+
+def test_many_equally_hot_keys_are_spread(spark, many_partitions):
+    """However many keys share the rows, no task gets far more than its part."""
+    for keys in (300, 40):
+        left = spark.range(0, 60_000, 1, 16).select(
+            (F.col("id") % keys * 2**20).alias("k"), F.col("id").alias("v")
+        )
+        right = spark.range(keys).select((F.col("id") * 2**20).alias("k"))
+        joined = lookup_join(left, right, "k", "inner", ["v"])
+        assert joined.count() == 60_000
+        assert largest_task(joined) < 3 * 60_000 / many_partitions
 
 
-def test_more_keys_than_are_salted(spark):
-    left = spark.range(5000).select((F.col("id") % (4 * HOT_KEYS)).alias("k"))
-    right = spark.range(4 * HOT_KEYS).select(F.col("id").alias("k"), F.lit(1).alias("w"))
-    assert lookup_join(left, right, "k").count() == 5000
+def test_no_rows_meet_in_a_single_partition(spark, many_partitions):
+    joined = lookup_join(big(spark), lookup(spark), "k", "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    for part in plan.split("Exchange SinglePartition")[1:]:
+        assert "partial_" in part.split("\n")[1]
+
+
+def test_hot_keys_are_relative(spark, many_partitions):
+    even = spark.range(10_000).select(F.col("id").alias("k"))
+    assert hot_keys(even, ["k"]).count() == 0
+    got = {r.k: r._salts for r in hot_keys(big(spark), ["k"]).collect()}
+    assert set(got) == {7}
+    n = big(spark).where("k = 7").count() / big(spark).where("k IS NOT NULL").count()
+    assert got[7] == -(-n * 256 // 1)
+    both = hot_values(big(spark), ["k", "v"])
+    assert rows(both["k"]) == sorted(got.items())
+    assert both["v"].count() == 0
+
+
+def test_size_decides_about_a_broadcast(broadcast_up_to, spark):
+    broadcast_up_to("1000b")
+    assert fits_broadcast(spark.range(10))
+    assert not fits_broadcast(spark.range(1000))
 
 
 def test_rejects_other_join_types(spark):
@@ -71,12 +111,6 @@ def test_rejects_other_join_types(spark):
         lookup_join(big(spark), lookup(spark), "k", "right")
 
 
-def test_rows_if_small(spark):
-    assert rows_if_small(spark.range(10), bound=10) == 10
-    assert rows_if_small(spark.range(11), bound=10) is None
-    assert rows_if_small(spark.range(6), spark.range(6), bound=10) is None
-
-
 def numbered(spark, keys, start=0):
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
     return {r.k: r.n for r in dense_ids(df, "k", "n", start).collect()}
@@ -114,3 +148,11 @@ def test_next_id(spark):
     one = spark.range(1)
     assert one.select(next_id(table, "n", 1)).first()[0] == 10
     assert one.select(next_id(table.where("n > 20"), "n", 1000)).first()[0] == 1000
+
+
+def test_first_free(spark):
+    table = spark.createDataFrame([(4,), (9,)], "n long")
+    none = table.where("n > 20")
+    assert first_free(1000, table, none) == 10
+    assert first_free(1000, none, none) == 1000
+    assert first_free(1, table, table.selectExpr("n + 5")) == 15

@@ -21,9 +21,10 @@ def bridge(spark):
     )
 
 
-@pytest.mark.parametrize("size", [None, 3])
-def test_remap_flags_bad_keys(log, bridge, size):
-    got = keys.remap_foreign_key(log, "brand_id", "brand", bridge, bridge_rows=size)
+@pytest.mark.parametrize("size", ["-1", "10m"])
+def test_remap_flags_bad_keys(broadcast_up_to, log, bridge, size):
+    broadcast_up_to(size)
+    got = keys.remap_foreign_key(log, "brand_id", "brand", bridge)
     assert rows(got) == [
         (1, 1005, False),
         (2, 1006, False),
@@ -33,12 +34,11 @@ def test_remap_flags_bad_keys(log, bridge, size):
     ]
 
 
-@pytest.mark.parametrize("size", [None, 3])
-def test_sentinel_meets_a_real_key(log, bridge, size):
+@pytest.mark.parametrize("size", ["-1", "10m"])
+def test_sentinel_meets_a_real_key(broadcast_up_to, log, bridge, size):
     """A bad key becomes 666 and is then taken for the entity with that old id."""
-    got = keys.remap_foreign_keys(
-        log, {"brand_id": "brand"}, bridge, ["brand"], True, bridge_rows=size
-    )
+    broadcast_up_to(size)
+    got = keys.remap_foreign_keys(log, {"brand_id": "brand"}, bridge, ["brand"], True)
     assert rows(got) == [(1, 1005), (2, 1006), (3, None), (4, 1666), (5, 1666)]
 
 
@@ -74,12 +74,13 @@ def test_two_foreign_keys(spark, bridge):
     ]
 
 
-@pytest.mark.parametrize("size", [None, 2])
-def test_non_members(spark, log, size):
+@pytest.mark.parametrize("size", ["-1", "10m"])
+def test_non_members(broadcast_up_to, spark, log, size):
+    broadcast_up_to(size)
     known = spark.createDataFrame([(5,), (6,)], "k int")
-    got = keys.non_members(log, "brand_id", known, "k", size)
+    got = keys.non_members(log, "brand_id", known, "k")
     assert rows(got, "log_id") == [(4,), (5,)]
-    empty = keys.non_members(log, "brand_id", known.where("k > 9"), "k", size)
+    empty = keys.non_members(log, "brand_id", known.where("k > 9"), "k")
     assert empty.count() == 5
 
 
@@ -120,3 +121,22 @@ def test_integrity_report(spark):
     }
     clean = keys.integrity_report(df.where(F.lit(False)), ["log_id"], ["name"])
     assert [r.violations for r in clean.collect()] == [0, 0]
+
+
+def test_zero_has_no_sign(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (1.5,), (None,)], "v double")
+    assert rows(keys.duplicate_values(df, ["v"])) == [("v", 1)]
+    mixed = spark.createDataFrame([(1, "1"), (1, "1"), (2, None)], "n int, t string")
+    assert rows(keys.duplicate_values(mixed, ["n", "t"])) == [("n", 1), ("t", 1)]
+
+
+def test_all_keys_of_a_table_are_profiled_in_one_scan(broadcast_up_to, spark):
+    broadcast_up_to("-1")
+    log = spark.range(3000).selectExpr("id AS log_id", "id % 2 AS a_id", "7L AS b_id")
+    bridge = spark.createDataFrame(
+        [(0, "a", 10), (1, "a", 11), (7, "b", 20)], "old_id long, thing string, n_id long"
+    )
+    got = keys.remap_foreign_keys(log, {"a_id": "a", "b_id": "b"}, bridge, ["a", "b"])
+    assert rows(got.groupBy("a_id", "b_id", "bad_a_id", "bad_b_id").count()) == [
+        (10, 20, False, False, 1500), (11, 20, False, False, 1500),
+    ]

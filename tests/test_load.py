@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from entiledger.operators.load import load_rows, load_series
 
@@ -91,3 +92,41 @@ def test_a_batch_does_not_know_later_ids(spark, registry):
     got = load_series(batches, registry, "brand", "row_no")
     assert rows(got.errors, "batch_no", "problem") == [(1, "unknown")]
     assert rows(got.rows, "batch_no", "n_id") == [(2, 1003)]
+
+
+def test_a_status_outside_the_enumeration_rejects_a_batch(spark, registry):
+    ddl = "row_no int, name string, status string"
+    good = spark.createDataFrame([(0, "x", "draft"), (1, "y", None)], ddl)
+    bad = spark.createDataFrame([(0, "x", "draft"), (1, "y", "nonsense")], ddl)
+    changed = spark.createDataFrame([(0, 1003, "z", "stage")], "row_no int, n_id int, name string, status string")
+    got = load_series([bad, good, changed], registry, "brand", "row_no", first_log_id=1)
+    assert rows(got.errors) == [(1, None, "nonsense", "status", 1)]
+    assert rows(got.rows, "batch_no", "log_id", "n_id") == [
+        (2, 3, 1003), (2, 4, 1004), (3, 5, 1003),
+    ]
+    assert rows(got.new_things, "n_id") == [(1003,), (1004,)]
+
+
+def test_rows_without_a_number(spark, registry):
+    batch = new(spark, "x").withColumn("row_no", F.lit(None).cast("int"))
+    with pytest.raises(ValueError, match="row_no"):
+        load_rows(batch, registry, "brand", "row_no")
+
+
+def test_nothing_is_left(spark, registry):
+    got = load_series([changes(spark, 9)], registry, "brand", "row_no", first_log_id=1)
+    assert got.rows.count() == 0
+    assert "log_id" in got.rows.columns
+
+
+def test_a_plan_stays_when_the_registry_grows(spark, registry, tmp_path):
+    path = str(tmp_path / "registry")
+    registry.write.parquet(path)
+    batches = [changes(spark, 1003), new(spark, "x")]
+    stored = spark.read.parquet(path)
+    got = load_series(batches, stored, "brand", "row_no", first_log_id=1)
+    before = rows(got.rows, "batch_no", "n_id"), rows(got.errors)
+    got.new_things.write.mode("append").parquet(path)
+    spark.catalog.refreshByPath(path)
+    assert spark.read.parquet(path).count() == 4
+    assert (rows(got.rows, "batch_no", "n_id"), rows(got.errors)) == before

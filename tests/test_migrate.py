@@ -99,7 +99,8 @@ def test_join_drops_orphans_and_keeps_multiples(legacy):
     assert rows(got, "old_id", "name", "ext_id") == [(10, "b10", "77"), (10, "b10", "78")]
     short = migrate.join_thing_and_map(things, maps, short_load=True)
     assert short.count() == 2
-    assert rows(migrate.unbridged(things, things.where("old_id > 15"))) == [(10,)]
+    lacking = migrate.unbridged(things, things.where("old_id > 15"))
+    assert rows(lacking, "old_id") == [(10,)]
 
 
 def test_vendor_ids(spark):

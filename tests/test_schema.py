@@ -118,13 +118,47 @@ def test_rows_of_a_file_keep_their_order(spark, tmp_path, fmt):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_only_one_file_has_an_order(spark, tmp_path):
-    path = str(tmp_path / "two")
-    files.write_rows(spark.range(0, 10, 1, 2), path, "csv")
-    with pytest.raises(ValueError, match="single file"):
-        files.read_load_file(spark, path, "id long", "csv", "r")
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_files_of_a_folder_follow_each_other(spark, tmp_path, fmt):
+    folder = tmp_path / "all + more"
+    folder.mkdir()
+    for place, name in enumerate(["b 2", "a%1", "c+é"]):
+        part = tmp_path / f"part-{fmt}-{place}"
+        data = spark.range(place * 100, place * 100 + 50, 1, 1).toDF("id")
+        files.write_rows(data, str(part), fmt)
+        (written,) = part.glob(f"part-*.{fmt}" if fmt != "parquet" else "part-*.parquet")
+        written.rename(folder / f"{name}.{fmt}")
+    got = files.read_load_file(spark, str(folder), "id long", fmt, "r")
+    ids = [r.id for r in got.orderBy("r").collect()]
+    assert ids == [*range(100, 150), *range(0, 50), *range(200, 250)]
+
+
+def test_an_orc_file_has_no_order(spark, tmp_path):
     with pytest.raises(ValueError, match="ORC"):
-        files.read_load_file(spark, path, "id long", "orc", "r")
+        files.read_load_file(spark, str(tmp_path), "id long", "orc", "r")
+
+
+def test_csv_columns_are_found_by_header(spark, tmp_path):
+    path = tmp_path / "load.csv"
+    layout = "name string, status string, n int"
+    path.write_text("status,n,name\ndraft,5,Acme\n")
+    got = files.read_load_file(spark, str(path), layout, "csv", "r")
+    assert got.columns == ["name", "status", "n", "r"]
+    assert rows(got, "name", "status", "n") == [("Acme", "draft", 5)]
+    path.write_text("name,status\nAcme,draft\n")
+    with pytest.raises(ValueError, match="missing columns ..n"):
+        files.read_load_file(spark, str(path), layout)
+    path.write_text("name,status,n,other\nAcme,draft,5,x\n")
+    with pytest.raises(ValueError, match="unknown columns ..other"):
+        files.read_load_file(spark, str(path), layout)
+
+
+def test_files_of_a_folder_share_their_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,status\nAcme,draft\n")
+    (tmp_path / "b.csv").write_text("status,name\nstage,Bolt\n")
+    both = files.read_load_file(spark, str(tmp_path), "name string, status string")
+    with pytest.raises(Exception, match="header|HEADER"):
+        both.collect()
 
 
 def test_load_files(spark, tmp_path):

@@ -73,9 +73,10 @@ def test_filters_reach_the_scan(spark, log, tmp_path):
     assert ids(query) == [1]
 
 
-@pytest.mark.parametrize("names_rows", [None, 2])
-def test_amplify(log, names_rows):
-    made = versions.amplify(log, 14, names_rows=names_rows)
+@pytest.mark.parametrize("size", ["-1", "10m"])
+def test_amplify(broadcast_up_to, log, size):
+    broadcast_up_to(size)
+    made = versions.amplify(log, 14)
     assert made.columns == log.columns
     assert made.count() == 70
     assert made.select("log_id").distinct().count() == 70
@@ -133,3 +134,12 @@ def test_table_names(spark):
         C.table_name(F.lit("artist"), F.col("a"), F.col("v")),
     )
     assert tuple(got.first()) == ("map_artist", "plain", "map_artist")
+
+
+def test_amplify_keeps_log_ids_dense(log):
+    sparse = log.withColumn("log_id", F.col("log_id") * 2**33)
+    high = 5 * 2**33
+    made = versions.amplify(sparse, 3, own_name=True)
+    assert rows(made, "log_id") == [(high + 1 + k,) for k in range(15)]
+    places = made.orderBy("log_id").limit(5)
+    assert rows(places, "n_id") == rows(log, "n_id")
