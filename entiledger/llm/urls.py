@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entiledger.llm.common import cut
+from entiledger.operators.joins import lookup_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -174,11 +175,12 @@ def judged(pages: DataFrame, rules: list = RULES, rounds: int = ROUNDS) -> DataF
     the pages that it fits, and the host's for the others. Pages without a host and
     hosts without evidence are allowed. Null html has no links, repeated rows give
     repeated results, and an empty table none. Counts by host are taken map-side first,
-    so a host with most of the pages costs a row for each task.
+    and the pages of a host with many of them are spread over tasks for its verdict.
     """
     rows = ruled(pages, rules)
     hosts = blocked_hosts(ranks(cut(seeds(rows)), host_links(pages), rounds))
-    marked = rows.join(hosts.withColumn("bad", F.lit(True)), "host", "left")
+    bad = hosts.withColumn("bad", F.lit(True))
+    marked = lookup_join(rows, bad, "host", "left", ["page_id"])
     by_host = F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))
     return marked.select(
         "page_id",
