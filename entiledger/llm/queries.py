@@ -19,6 +19,7 @@ from entiledger.llm import (
     urls,
 )
 from entiledger.llm.common import cut, read, text_key
+from entiledger.operators.joins import lookup_join
 
 TOKENIZER = "byte_bpe_50k.json"
 VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
@@ -135,7 +136,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     kept = rows.groupBy("key").agg(F.min("doc_id").alias("kept"))
-    copies = rows.join(kept, "key").where(F.col("doc_id") > F.col("kept"))
+    copies = lookup_join(rows, kept, "key", "inner", ["doc_id"]).where("doc_id > kept")
     old, new = VERSIONS
     revised = tokens.revisions(rows, old, F.col("guess"), F.col("first"))
     gone = tokens.changes(copies, old, -1, F.col("first")).union(
