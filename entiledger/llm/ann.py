@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entiledger.llm.common import cut
+from entiledger.operators.joins import lookup_join
 
 #: Tables, hashes of a table's bucket, and axes of each hash that a query looks at.
 #: With one hash of 64 dimensions these look at half of all candidates, which random
@@ -198,11 +199,9 @@ def nearest(
     members = cut(members.withColumn("id", F.min("vec_id").over(first)))
     distinct = members.where("place = 1").withColumn("dim", F.size("embedding"))
     asking = good.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
-    asking = cut(
-        asking.distinct()
-        .join(members.where("place = 1").select(*same, "id"), same)
-        .select("vec_id", "id")
-    )
+    named = members.where("place = 1").select(*same, "id")
+    asking = lookup_join(asking.distinct(), named, same, "inner", ["vec_id"])
+    asking = cut(asking.select("vec_id", "id"))
     asked = distinct.join(asking.select("id").distinct(), "id", "left_semi")
     base = _dealt(distinct, 1, tables, hashes, seed)
     probes = _dealt(asked, axes, tables, hashes, seed)
