@@ -18,7 +18,7 @@ from entiledger.llm import (
     tokens,
     urls,
 )
-from entiledger.llm.common import cut, read, text_key
+from entiledger.llm.common import cut, read
 from entiledger.operators.joins import lookup_join
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -129,7 +129,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "doc_id",
             "source",
             "lang",
-            text_key(F.col("text")).alias("key"),
+            F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"),
             F.expr("coalesce(n_chars, 0) div 4").alias("guess"),
             first.alias("first"),
             second.alias("second"),
