@@ -23,7 +23,6 @@ from pyspark.sql.types import LongType
 
 from entiledger.llm.common import cut, text_key
 from entiledger.llm.components import components
-from entiledger.operators.joins import lookup_join
 
 #: Shingles whose bits are counted at once, so that a long text needs no more memory.
 BLOCK = 1 << 16
@@ -204,7 +203,8 @@ def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     light = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
     marked = fingerprints(light, into="fp", shingle=shingle)
     marked = cut(marked.select("doc_id", "key", "fp"))
-    return lookup_join(marked, groups(marked, max_bits), "fp", "inner", ["doc_id"])
+    # Adaptive execution splits a fingerprint that many copies share.
+    return marked.join(groups(marked, max_bits), "fp")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
