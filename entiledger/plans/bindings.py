@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +68,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for the files of a query, in the shared checkpoint folder.
+
+    Only a session that names none (a local one) gets a folder of its own.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or tempfile.mkdtemp(prefix="scratch-")
+    return f"{shared}/{uuid.uuid4().hex}"
+
+
+def new_database(spark: SparkSession) -> str:
+    """A new database whose tables lie in a scratch folder."""
+    name = f"ledger_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch(spark)}'")
+    return name
+
+
 def _written() -> Column:
     return F.lit(WRITTEN_TS).cast("timestamp_ntz")
 

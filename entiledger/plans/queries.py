@@ -13,8 +13,10 @@ from entiledger.model import LEGACY_PREFIX, entity_columns, struct_type
 from entiledger.operators import audit, hierarchy, keys, load, migrate, schema, versions
 from entiledger.operators.ids import dense_ids, next_id
 from entiledger.plans import bindings as B
+from entiledger.plans import jobs
+from entiledger.sources import files
 from entiledger.sources.catalog import catalog_of
-from entiledger.sources.tables import aligned
+from entiledger.sources.tables import aligned, create_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -819,6 +821,67 @@ def load_series(spark, sf_dir):
     return loaded.rows.withColumn("batch_no", F.col("batch_no").cast("long"))
 
 
+# --- files and jobs ---------------------------------------------------------
+
+
+@query(
+    "load_file",
+    """SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderdate,
+      row_number() OVER (ORDER BY o_orderkey) AS place FROM orders""",
+)
+def load_file(spark, sf_dir):
+    """Orders by way of a folder of CSV files whose header has another order."""
+    path = B.scratch(spark)
+    orders = B.read(spark, sf_dir, "orders").orderBy("o_orderkey")
+    named = ["o_orderdate", "o_totalprice", "o_orderkey", "o_orderpriority"]
+    files.write_rows(orders.select(*named), path, "csv")
+    layout = (
+        "o_orderkey bigint, o_orderpriority string, o_totalprice double, "
+        "o_orderdate timestamp_ntz"
+    )
+    return _placed(files.read_load_file(spark, path, layout, "csv", "row_no"))
+
+
+def _placed(rows):
+    """Rows of a file with their place in it."""
+    return dense_ids(rows, "row_no", "place", 1).drop("row_no")
+
+
+@query(
+    "load_from_file",
+    f"""WITH {_REGISTRY_SQL}
+    SELECT s_name AS name, 'draft' AS status, 'create' AS action,
+      (SELECT max(n_id) FROM reg) + row_number() OVER (ORDER BY s_suppkey DESC) AS n_id,
+      row_number() OVER (ORDER BY s_suppkey DESC) AS log_id
+    FROM supplier""",
+)
+def load_from_file(spark, sf_dir):
+    """New things from a JSON file, numbered in the order of its lines."""
+    path = B.scratch(spark)
+    rows = _new_suppliers(spark, sf_dir).orderBy(F.desc("row_no"))
+    files.write_rows(rows.select("name", "status"), path, "json")
+    batch = files.read_load_file(spark, path, "name string, status string", "json", "place")
+    loaded = load.load_rows(
+        batch, _registry(spark, sf_dir), "customer", "place", first_log_id=1
+    )
+    return loaded.rows.drop("batch_no", "place")
+
+
+@query(
+    "category_file",
+    """SELECT p_size AS category_id, p_name AS category_name FROM part
+    JOIN (SELECT max(p_partkey) AS m FROM part GROUP BY p_size) ON m = p_partkey""",
+)
+def category_file(spark, sf_dir):
+    """Category names of a CSV file, the last line of an id winning."""
+    path = B.scratch(spark)
+    categories = _categories(spark, sf_dir).orderBy("row_no")
+    files.write_rows(categories.select("category_name", "category_id"), path, "csv")
+    layout = "category_id int, category_name string"
+    read = files.read_load_file(spark, path, layout, "csv", "row_no")
+    return hierarchy.category_names(read, "row_no")
+
+
 # --- audit ------------------------------------------------------------------
 
 
@@ -996,6 +1059,113 @@ def validation_report(spark, sf_dir):
     )
 
 
+@query(
+    "report_file",
+    f"""SELECT *, row_number() OVER (ORDER BY list_position(['nation', 'customer',
+        'map_customer_segment', 'map_customer_activity', 'orders', 'map_orders_line',
+        'part', 'import_part', 'map_part_supplier', 'import_part_supplier'],
+        table_name)) AS place FROM ({SQL["validation_report"]})""",
+)
+def report_file(spark, sf_dir):
+    """The report of the check job by way of its file, in the order of the file."""
+    path, tables = B.scratch(spark), B.legacy_tables(spark, sf_dir)
+    report = jobs.check(
+        tables, spark, B.LEGACY_THINGS, B.LEGACY_VENDORS, B.LEGACY_ACTIONS
+    )
+    files.write_rows(report, path, "csv")
+    read = files.read_load_file(spark, path, report.schema, "csv", "row_no")
+    return _placed(read).withColumnsRenamed(
+        {"dup id": "dup_id", "dup ext_id": "dup_ext_id"}
+    )
+
+
+@query(
+    "job_fill",
+    f"""WITH {_ALL_IDS}
+    SELECT row_number() OVER (ORDER BY c_custkey) AS log_id, n_id, 'create' AS action,
+      TIMESTAMP '1998-08-02 00:00:00' AS created_ts, c_mktsegment AS created_by,
+      'draft' AS status, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation_id,
+      c_acctbal AS balance, CAST(NULL AS VARCHAR) AS nick_name
+    FROM customer JOIN b ON old_id = c_custkey AND thing = 'customer'""",
+)
+def job_fill(spark, sf_dir):
+    """The customers' table after a whole migration that ran twice."""
+    return spark.table(f"{_filled(spark, sf_dir, 2)}.customer")
+
+
+def _filled(spark, sf_dir, times=1):
+    """A new database with the migrated legacy tables."""
+    database = B.new_database(spark)
+    create_tables(spark, database, B.SPECS)
+    legacy = B.legacy_tables(spark, sf_dir)
+    for _ in range(times):
+        jobs.fill(legacy, spark, database, B.SPECS, B.LEGACY_THINGS, B.LEGACY_VENDORS)
+    return database
+
+
+@query(
+    "job_name_map",
+    f"""WITH {_ALL_IDS},
+    maps AS (
+      SELECT 'customer' AS thing, 2 AS v_id, user_id AS old_id, props AS ext_id,
+        ts AS created_ts, event_type AS created_by FROM events
+      UNION ALL SELECT 'orders', 1, l_orderkey, l_partkey || '-' || l_linenumber,
+        l_shipdate, l_returnflag FROM lineitem
+      UNION ALL SELECT 'part', 3, l_partkey, CAST(l_suppkey AS VARCHAR), l_shipdate,
+        l_returnflag FROM lineitem)
+    SELECT n_id, v_id, ext_id, created_ts, created_by, count(*) AS rows
+    FROM maps JOIN b ON b.old_id = maps.old_id AND b.thing = maps.thing GROUP BY ALL""",
+)
+def job_name_map(spark, sf_dir):
+    """The name map after a whole migration, its rows counted."""
+    database = _filled(spark, sf_dir)
+    vendors = spark.table(f"{database}.vendor").select("v_id", "vendor")
+    fixed = F.when(F.col("vendor") == "line", 1).when(F.col("vendor") == "activity", 2)
+    named = vendors.select("v_id", fixed.otherwise(3).alias("fixed"))
+    return (
+        spark.table(f"{database}.name_map")
+        .join(F.broadcast(named), "v_id")
+        .groupBy("n_id", F.col("fixed").alias("v_id"), "ext_id", "created_ts", "created_by")
+        .agg(F.count("log_id").alias("rows"))
+    )
+
+
+@query(
+    "job_link_load_query",
+    f"""WITH {_ALL_IDS},
+    nations AS (SELECT old_id, n_id FROM b WHERE thing = 'nation'),
+    last AS (SELECT b.n_id, max(o_orderkey) AS o_orderkey FROM orders
+      JOIN b ON b.old_id = o_custkey AND thing = 'customer' GROUP BY ALL)
+    SELECT b.n_id, CASE WHEN o.o_orderkey IS NULL THEN 'create' ELSE 'modify' END AS action,
+      CASE WHEN o.o_orderkey IS NULL THEN 'draft' ELSE 'stage' END AS status,
+      coalesce(o_orderpriority, c_name) AS name,
+      CASE WHEN o.o_orderkey IS NULL THEN nations.n_id END AS nation_id,
+      CASE WHEN o.o_orderkey IS NULL THEN false END AS bad_nation_id
+    FROM customer JOIN b ON b.old_id = c_custkey AND thing = 'customer'
+    JOIN nations ON nations.old_id = c_nationkey
+    LEFT JOIN last ON last.n_id = b.n_id LEFT JOIN orders o USING (o_orderkey)""",
+)
+def job_link_load_query(spark, sf_dir):
+    """Newest customers after migration, new foreign keys and a load of their orders."""
+    database = _filled(spark, sf_dir)
+    spec = next(s for s in B.SPECS if s.name == "customer")
+    jobs.store_foreign_keys(spark, database, spec, B.SPECS)
+    customers = spark.table(f"{database}.old_new_bridge").where("thing = 'customer'")
+    changes = B.read(spark, sf_dir, "orders").join(
+        customers, F.col("o_custkey") == F.col("old_id")
+    )
+    batch = changes.select(
+        F.col("o_orderkey").alias("row_no"),
+        "n_id",
+        F.col("o_orderpriority").alias("name"),
+        F.lit("stage").alias("status"),
+    )
+    for _ in range(2):
+        jobs.load(spark, database, "customer", [batch], "row_no", "orders")
+    newest = jobs.query(spark, database, "customer", latest=True)
+    return newest.select("n_id", "action", "status", "name", "nation_id", "bad_nation_id")
+
+
 @query(
     "schema_difference",
     """WITH cat AS (
@@ -1085,6 +1255,19 @@ def schema_document(spark, sf_dir):
     return schema.declared_columns(schema.from_json_rows(written))
 
 
+@query(
+    "schema_document_file",
+    f"""WITH {_SHEET}
+    SELECT s.t AS table_name, c AS column_name, d AS data_type,
+      CAST(NULL AS VARCHAR) AS foreign_table FROM s LEFT JOIN cols ON cols.t = s.t""",
+)
+def schema_document_file(spark, sf_dir):
+    """Declared columns by way of a schema document in a file."""
+    path = B.scratch(spark)
+    files.write_schema_document(_built(spark, sf_dir), path)
+    return schema.declared_columns(files.read_schema_document(spark, path))
+
+
 # --- hierarchy --------------------------------------------------------------
 
 _TREE = """
@@ -1180,6 +1363,25 @@ def outline(spark, sf_dir):
     return rows.orderBy("sort_key").drop("sort_key")
 
 
+@query(
+    "outline_file",
+    f"""WITH {_TREE} SELECT CASE WHEN level = 0 THEN name END AS cat_0,
+      CASE WHEN level = 1 THEN name END AS cat_1,
+      CASE WHEN level = 2 THEN name END AS cat_2,
+      CAST(NULL AS VARCHAR) AS cat_3, CAST(NULL AS VARCHAR) AS cat_4,
+      CAST(NULL AS VARCHAR) AS cat_5,
+      row_number() OVER (ORDER BY r1, r2, r3) AS place FROM node""",
+)
+def outline_file(spark, sf_dir):
+    """The outline by way of its file, in the order of its lines."""
+    path = B.scratch(spark)
+    files.write_outline(hierarchy.preorder(_tree(spark, sf_dir)), path)
+    layout = ", ".join(f"cat_{k} string" for k in range(6))
+    read = files.read_load_file(spark, path, layout, "csv", "row_no")
+    blank = [F.nullif(F.col(f"cat_{k}"), F.lit("")).alias(f"cat_{k}") for k in range(6)]
+    return _placed(read).select(*blank, "place")
+
+
 @query(
     "indented_outline",
     f"""WITH {_TREE} SELECT path, repeat('   ', level) || ' ' || name AS line FROM node""",
