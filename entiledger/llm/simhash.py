@@ -227,20 +227,31 @@ def survivors(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame
     columns of docs stay as they are.
     """
     names = docs.columns
-    kept = (
-        _grouped(docs, shingle, max_bits)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_fp", F.col("doc_id").alias("_simhash_id"))
-        .agg(F.min("key").alias("_simhash_low"))
-        .drop("component_fp")
+    first = _grouped(docs, shingle, max_bits).where(
+        F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+    kept = cut(
+        first.groupBy("component_fp", F.col("doc_id").alias("_simhash_id"), "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("component_fp", "_simhash_id")
+        .agg(F.min(F.struct("key", "n")).alias("low"))
+        .select(
+            "_simhash_id",
+            F.col("low.key").alias("_simhash_low"),
+            F.col("low.n").alias("_simhash_n"),
+        )
     )
     keyed = docs.withColumn("_simhash_key", text_key(F.col("text")))
     same = keyed["doc_id"].eqNullSafe(kept["_simhash_id"]) & (
         keyed["_simhash_key"] == kept["_simhash_low"]
     )
-    return (
-        keyed.join(kept, same, "left_semi")
-        .groupBy("doc_id", "_simhash_key")
-        .agg(F.min(F.struct(*names)).alias("_simhash_row"))
-        .select(*[F.col("_simhash_row").getField(c).alias(c) for c in names])
+    chosen = keyed.join(kept, same)
+    # Only rows that repeat both doc_id and text are grouped, which moves their texts.
+    single = chosen.where(F.col("_simhash_n") == 1).select(*[keyed[c] for c in names])
+    repeated = (
+        chosen.where(F.col("_simhash_n") > 1)
+        .groupBy("_simhash_id", "_simhash_key")
+        .agg(F.min(F.struct(*[keyed[c] for c in names])).alias("_simhash_row"))
     )
+    picked = [F.col("_simhash_row").getField(c).alias(c) for c in names]
+    return single.union(repeated.select(*picked))
