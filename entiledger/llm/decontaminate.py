@@ -23,6 +23,9 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SHINGLE = 3
+#: Contaminated documents, two longs each, up to which they are broadcast to be left
+#: out; with more of them both sides are shuffled. That is some 50 MB.
+BROADCAST_ROWS = 1_000_000
 #: Bytes of windows that are broadcast at once; a larger benchmark goes in blocks.
 BLOCK_BYTES = 32 << 20
 
@@ -225,6 +228,9 @@ def clean(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
             F.col("doc_id").alias("_dirty_id"), F.col("key").alias("_dirty_key")
         )
     )
+    dirty = cut(dirty)
+    if dirty.count() <= BROADCAST_ROWS:
+        dirty = F.broadcast(dirty)
     same = docs["doc_id"].eqNullSafe(dirty["_dirty_id"]) & (
         text_key(docs["text"]) == dirty["_dirty_key"]
     )
