@@ -50,9 +50,11 @@ def dense_ids(
 
     counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_group", F.shiftright("_bucket", GROUP_BITS))
+    # Both kinds of sums come from the counts, so Spark takes them side by side.
+    block = F.shiftright("_group", BLOCK_BITS).alias("_block")
     sums = counts.groupBy(*group, "_group").agg(F.sum("_n").alias("_n"))
-    sums = sums.withColumn("_block", F.shiftright("_group", BLOCK_BITS))
-    blocks = sums.groupBy(*group, "_block").agg(F.sum("_n").alias("_n"))
+    sums = sums.select("*", block)
+    blocks = counts.groupBy(*group, block).agg(F.sum("_n").alias("_n"))
     blocks = blocks.withColumn("_order", F.struct(*group, "_block"))
     ahead = blocks.select(*group, "_block", _running("_order", []).alias("_far"))
     groups = (

@@ -116,8 +116,7 @@ def load_series(
 
     With ``first_log_id`` the rows get log ids in the same order; a rejected batch
     leaves a gap in them. ``start`` is the first new id, otherwise read from the
-    registry. Batches are counted and their errors found here, so the numbers of the
-    planned rows are fixed, and each batch is read once for each of the three.
+    registry. Batches are counted here, which fixes all numbers of the planned rows.
     """
     if start is None:
         start = first_free(next_default, registry.select("n_id"))
@@ -158,8 +157,6 @@ def load_series(
         known = registry.where(F.col("n_id") < start)
         errors = reference_errors(_union(changes), known, thing, created)
         found.append(errors)
-        # At most one row per batch.
-        rejected |= {r.batch_no for r in errors.select("batch_no").distinct().collect()}
     if wrong:
         found.append(status_errors(wrong))
     errors = (
@@ -174,12 +171,9 @@ def load_series(
     )
 
     taken = [(place, batch) for place, batch in placed if place not in rejected]
-    if not taken:
-        taken, empty = placed[:1], True
-    else:
-        empty = False
+    empty = not taken
     before, parts = 0, []
-    for place, batch in taken:
+    for place, batch in taken or placed[:1]:
         n_id = F.lit(None) if creates[place] else F.col("n_id")
         action = "create" if creates[place] else "modify"
         part = batch.where(F.lit(not empty)).select(
@@ -202,7 +196,12 @@ def load_series(
         if first_log_id is not None:
             rows = rows.withColumn("log_id", first_log_id + F.col("_log") + F.col("_place"))
         rows = rows.drop("_place")
-    return Load(rows.drop("_log", "_new"), new_things, errors)
+    rows = rows.drop("_log", "_new")
+    if changes:
+        # At most one row per batch.
+        wrong_ids = F.broadcast(errors.select("batch_no").distinct())
+        rows = rows.join(wrong_ids, "batch_no", "left_anti")
+    return Load(rows, new_things, errors)
 
 
 def load_rows(
