@@ -23,27 +23,81 @@ KEY = "entiledger"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 ALONE, END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 
-#: The formats, in the order in which they are tried at a place.
+#: Lengths of the account numbers of each country.
+IBAN_SIZES = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _account(size: int, countries: str) -> str:
+    """Pattern of an account number of a length, with blanks between groups or without."""
+    groups, rest = divmod(size - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+IBAN = ALONE + "(?:" + "|".join(_account(*x) for x in IBAN_SIZES.items()) + ")" + END
+#: Of a country without a known length, or of another length than its country's.
+OTHER_IBAN = ALONE + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + END
+CARD = (
+    ALONE + r"(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}"
+    r"|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4} [0-9]{6} [0-9]{5}"
+    r"|[0-9]{4}-[0-9]{6}-[0-9]{5})" + END
+)
+SSN = (
+    r"(?<![A-Za-z0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"
+    r"(?![A-Za-z0-9\-])"
+)
+IP = r"(?<![A-Za-z0-9.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?!\.?[A-Za-z0-9])"
+DATE = (
+    ALONE + r"(?:(?:18|19|20|21)[0-9]{2}-[0-9]{2}-[0-9]{2}"
+    r"|[0-9]{2}/[0-9]{2}/(?:18|19|20|21)[0-9]{2}"
+    r"|[0-9]{2}\.[0-9]{2}\.(?:18|19|20|21)[0-9]{2}"
+    r"|[0-9]{2}-[0-9]{2}-(?:18|19|20|21)[0-9]{2})" + END
+)
+#: A digit of a phone number, in a group of its own only with another one behind it.
+DIGIT = r"(?:(?:[ .\-]?\(|[ .\-])(?=[0-9]{2}))?[0-9]\)?"
+
+#: The formats, in the order in which they are looked for. A phone number
+#: has 8 to 15 digits, and ends where a value of another format follows it.
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@"
     r"(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9\-])",
-    "iban": ALONE + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + END,
+    "iban": f"(?:{IBAN}|{OTHER_IBAN})",
     "phone": r"(?<![A-Za-z0-9+])(?:\+1[ .\-]?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-]?)"
     r"[0-9]{3}[ .\-]?[0-9]{4}"
     r"|(?:1[ .\-])?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.\-])[2-9][0-9]{2}[.\-][0-9]{4}"
-    r"|\+[2-9][0-9]{0,2}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,5})" + END,
-    "card": ALONE + r"(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}"
-    r"|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4} [0-9]{6} [0-9]{5}"
-    r"|[0-9]{4}-[0-9]{6}-[0-9]{5})" + END,
-    "ssn": r"(?<![A-Za-z0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"
-    r"(?![A-Za-z0-9\-])",
-    "ip": r"(?<![A-Za-z0-9.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?!\.?[A-Za-z0-9])",
-    "date": ALONE + r"(?:(?:18|19|20|21)[0-9]{2}-[0-9]{2}-[0-9]{2}"
-    r"|[0-9]{2}/[0-9]{2}/(?:18|19|20|21)[0-9]{2}"
-    r"|[0-9]{2}\.[0-9]{2}\.(?:18|19|20|21)[0-9]{2}"
-    r"|[0-9]{2}-[0-9]{2}-(?:18|19|20|21)[0-9]{2})" + END,
+    rf"|\+[2-9](?:{DIGIT}){{7}}(?:(?! (?:{CARD}|{SSN}|{IP}|{DATE})){DIGIT}){{0,7}})" + END,
+    "card": CARD,
+    "ssn": SSN,
+    "ip": IP,
+    "date": DATE,
 }
-ANY = "|".join(FORMATS.values())
+#: Formats with a validation that a match may fail.
+VALIDATED = ("iban", "card", "date")
+#: (format, pattern) of each pass over what earlier passes leave.
+PASSES = [
+    step
+    for kind, pattern in FORMATS.items()
+    for step in ([(kind, IBAN), (kind, OTHER_IBAN)] if kind == "iban" else [(kind, pattern)])
+]
 #: What every value has at least one of; texts without are passed over.
 HINT = "[0-9@]"
 
@@ -272,17 +326,140 @@ def _date(value: Column, key: str) -> Column:
     )
 
 
-def _format(value: Column) -> Column:
-    """The format of a found value that passes its validation, else null."""
-    fits = {k: value.rlike(f"^(?:{p})$") for k, p in FORMATS.items()}
-    count = F.length(_digits(value))
-    plain = F.regexp_replace(value, " ", "")
-    fits["card"] &= luhn(_digits(value)) == 0
-    fits["iban"] &= mod97(F.concat(_rest(plain, 5), F.substring(plain, 1, 4))) == 1
-    fits["phone"] &= count.between(8, 15)
+def _valid(value: Column, kind: str) -> Column:
+    """Whether a match of a format passes its validation."""
+    if kind == "card":
+        return luhn(_digits(value)) == 0
+    if kind == "iban":
+        plain = F.regexp_replace(value, " ", "")
+        return mod97(F.concat(_rest(plain, 5), F.substring(plain, 1, 4))) == 1
     past = F.date_diff(_day(value), F.lit(FIRST_DAY).cast("date"))
-    fits["date"] &= past.between(0, WIDE * NARROW - 1)
-    return F.coalesce(*[F.when(test, F.lit(k)) for k, test in fits.items()])
+    return F.coalesce(past.between(0, WIDE * NARROW - 1), F.lit(False))
+
+
+def _apart(gaps: Column, values: Column) -> Column:
+    return F.struct(gaps.alias("gaps"), values.alias("values"))
+
+
+def _plain(open_text: Column, pattern: str) -> Column:
+    """Text between the matches of a pattern, and the matches."""
+    return _apart(
+        F.split(open_text, pattern), F.regexp_extract_all(open_text, F.lit(pattern), F.lit(0))
+    )
+
+
+def _checked(open_text: Column, pattern: str, kind: str) -> Column:
+    """Text between the valid values of a format, and these, the leftmost first.
+
+    A value may start at every place, also within a match that isn't valid.
+    """
+    # The text is cut before every match, so each piece but perhaps the first starts one.
+    ahead = f"(?={pattern})"
+
+    def between(pieces: Column, a: Column, b: Column) -> Column:
+        return F.array_join(F.slice(pieces, a + 1, b - a), "")
+
+    def of(pieces: Column, found: Column) -> Column:
+        # A match at the very start cuts no piece off.
+        head = F.size(pieces) - F.size(found)
+
+        def end(spots: Column, i: Column) -> Column:
+            return F.coalesce(F.get(spots, i + 1), F.size(found))
+
+        def room(spots: Column, spot: Column, i: Column) -> Column:
+            return F.length(between(pieces, spot + head, end(spots, i) + head))
+
+        def free(spots: Column, rooms: Column) -> Column:
+            """Spots of values that no earlier one of them covers."""
+            start = F.struct(
+                F.array().cast("array<int>").alias("kept"), F.lit(0).alias("reach")
+            )
+
+            def step(state: Column, i: Column) -> Column:
+                spot, clear = F.get(spots, i), state["reach"] <= 0
+                reach = F.when(clear, F.length(F.get(found, spot))).otherwise(state["reach"])
+                kept = F.when(clear, F.array_append(state["kept"], spot)).otherwise(
+                    state["kept"]
+                )
+                return F.struct(kept.alias("kept"), (reach - F.get(rooms, i)).alias("reach"))
+
+            order = F.sequence(F.lit(0), F.size(spots) - 1)
+            covers = F.exists(
+                order, lambda i: F.length(F.get(found, F.get(spots, i))) > F.get(rooms, i)
+            )
+            kept = F.aggregate(order, start, step, lambda state: state["kept"])
+            return F.when(covers, kept).otherwise(spots)
+
+        def cut_out(spots: Column) -> Column:
+            first = between(pieces, F.lit(0), F.get(spots, F.lit(0)) + head)
+            after = F.transform(
+                spots,
+                lambda spot, i: F.substring(
+                    between(pieces, spot + head, end(spots, i) + head),
+                    F.length(F.get(found, spot)) + 1,
+                    F.length(open_text),
+                ),
+            )
+            return _apart(
+                F.concat(F.array(first), after),
+                F.transform(spots, lambda spot: F.get(found, spot)),
+            )
+
+        def taken(spots: Column) -> Column:
+            rooms = F.transform(spots, lambda spot, i: room(spots, spot, i))
+            kept = _let(_let(rooms, lambda r: free(spots, r)), cut_out)
+            none = _apart(F.array(open_text), F.array().cast("array<string>"))
+            return F.when(F.size(spots) > 0, kept).otherwise(none)
+
+        good = F.transform(
+            found, lambda v, i: F.when(_valid(v, kind), i).otherwise(F.lit(None).cast("int"))
+        )
+        return _let(F.filter(good, lambda i: i.isNotNull()), taken)
+
+    matches = F.regexp_extract_all(open_text, F.lit(f"(?=({pattern}))"), F.lit(1))
+    none = _apart(F.array(open_text), F.array().cast("array<string>"))
+    return _let(
+        matches,
+        lambda found: F.when(
+            F.size(found) > 0,
+            _let(F.split(open_text, ahead), lambda pieces: of(pieces, found)),
+        ).otherwise(none),
+    )
+
+
+def _marked(text: Column) -> Column:
+    """A text as an array of (gap, value, kind): what lies before each value, and it.
+
+    The last has no value. Formats are looked for one after the other in what earlier
+    ones leave, so a match that fails its validation hides no value of another format.
+    """
+    none = F.lit(None).cast("string")
+    marked = F.array(F.struct(text.alias("gap"), none.alias("value"), none.alias("kind")))
+
+    def split_up(kind: str, pattern: str) -> Callable[[Column], Column]:
+        def of(entry: Column) -> Column:
+            gap = entry["gap"]
+            if kind in VALIDATED:
+                return _let(_checked(gap, pattern, kind), lambda a: entries(entry, a))
+            return _let(_plain(gap, pattern), lambda a: entries(entry, a))
+
+        def entries(entry: Column, apart: Column) -> Column:
+            values = apart["values"]
+            last = F.size(values)
+            return F.transform(
+                apart["gaps"],
+                lambda g, i: F.struct(
+                    g.alias("gap"),
+                    F.when(i < last, F.get(values, i)).otherwise(entry["value"]).alias("value"),
+                    F.when(i < last, F.lit(kind)).otherwise(entry["kind"]).alias("kind"),
+                ),
+            )
+
+        return of
+
+    for kind, pattern in PASSES:
+        marked = F.flatten(F.transform(marked, split_up(kind, pattern)))
+    return marked
 
 
 def _pseudonym(value: Column, kind: Column, key: str) -> Column:
@@ -321,38 +498,24 @@ def pseudonymise(
     columns stay; one that is already called `into` is replaced.
     """
     whole = F.col(text)
-    hinted = whole.rlike(HINT)
-    found = F.when(hinted, F.regexp_extract_all(whole, F.lit(ANY), F.lit(0)))
-    marked = F.transform(
-        F.coalesce(found, F.array().cast("array<string>")),
-        lambda v: F.struct(v.alias("value"), _format(v).alias("kind")),
-    )
+    parts = F.when(whole.rlike(HINT), _marked(whole))
     new = F.transform(
-        F.col(into), lambda m: _pseudonym(m["value"], m["kind"], key)
-    )
-    between = F.split(whole, ANY)
-    joined = F.array_join(
-        F.transform(
-            between,
-            lambda gap, i: F.concat(gap, F.coalesce(F.get(F.col("_pii_new"), i), F.lit(""))),
+        F.col("_pii_parts"),
+        lambda m: F.concat(
+            m["gap"], F.coalesce(_pseudonym(m["value"], m["kind"], key), F.lit(""))
         ),
-        "",
+    )
+    kinds = F.filter(
+        F.transform(F.col("_pii_parts"), lambda m: m["kind"]), lambda k: k.isNotNull()
     )
     kept = [c for c in docs.columns if c != into]
-    return (
-        docs.select(*kept, marked.alias(into))
-        .withColumn("_pii_new", F.when(F.size(into) > 0, new))
-        .select(
-            *[
-                F.when(F.col("_pii_new").isNotNull(), joined)
-                .otherwise(whole)
-                .alias(text)
-                if c == text
-                else c
-                for c in kept
-            ],
-            F.filter(
-                F.transform(F.col(into), lambda m: m["kind"]), lambda k: k.isNotNull()
-            ).alias(into),
-        )
+    changed = F.size("_pii_parts") > 1
+    return docs.select(*kept, parts.alias("_pii_parts")).select(
+        *[
+            F.when(changed, F.array_join(new, "")).otherwise(whole).alias(text)
+            if c == text
+            else c
+            for c in kept
+        ],
+        F.coalesce(kinds, F.array().cast("array<string>")).alias(into),
     )

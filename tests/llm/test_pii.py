@@ -158,6 +158,49 @@ def test_against_brute_force(docs_of):
         assert len(r.text) == len(CASES[r.doc_id])
 
 
+HIDDEN = [
+    ("to AT611904300234573201 EUR 500", ["AT611904300234573201"], ["iban"]),
+    ("BE68539007547034 BIC KRED", ["BE68539007547034"], ["iban"]),
+    ("ES9121000418450200051332 USD", ["ES9121000418450200051332"], ["iban"]),
+    ("AT61 1904 3002 3457 3201 EUR 5", ["AT61 1904 3002 3457 3201"], ["iban"]),
+    ("AT611904300234573201 BE68 5390 0754 7034 OK",
+     ["AT611904300234573201", "BE68 5390 0754 7034"], ["iban", "iban"]),
+    ("AT42 AT61 1904 3002 3457 3201", ["AT61 1904 3002 3457 3201"], ["iban"]),
+    ("ID42 4111 1111 1111 1111", ["4111 1111 1111 1111"], ["card"]),
+    ("AT42 4111 1111 1111 1111.", ["4111 1111 1111 1111"], ["card"]),
+    ("1234 4111 1111 1111 1111", ["4111 1111 1111 1111"], ["card"]),
+    ("1234 5678 4111 1111 1111 1111 9", ["4111 1111 1111 1111"], ["card"]),
+    ("+49 30 1234567 2024-01-15", ["+49 30 1234567", "2024-01-15"], ["phone", "date"]),
+    ("+49 30 1234567 2024-01 x", ["+49 30 1234567"], ["phone"]),
+    ("+49 30 1234567 4111 1111 1111 1111", ["+49 30 1234567", "4111 1111 1111 1111"],
+     ["phone", "card"]),
+    ("+49 30 12 34 56 78 90", ["12 34 56 78 90"], ["phone"]),
+    ("+4111111111111111 x", ["4111111111111111"], ["card"]),
+    ("45-12-2024-01-15", ["2024-01-15"], ["date"]),
+]
+
+
+def test_a_failed_match_hides_no_value(docs_of):
+    docs = docs_of([(i, text) for i, (text, _, _) in enumerate(HIDDEN)])
+    rows = pii.pseudonymise(docs).collect()
+    assert len(rows) == len(HIDDEN)
+    for r in rows:
+        text, values, kinds = HIDDEN[r.doc_id]
+        assert r.pii == kinds, text
+        assert len(r.text) == len(text)
+        for value in values:
+            assert value not in r.text, text
+
+
+def test_overlapping_valid_values(docs_of):
+    # All three are valid: the first and the third are taken, the second lies in both.
+    text = " ".join(["0000"] * 9)
+    (row,) = pii.pseudonymise(docs_of([(1, text)])).collect()
+    assert row.pii == ["card", "card"]
+    assert row.text.endswith(" 0000")
+    assert len(row.text) == len(text)
+
+
 def test_query_rows_against_brute_force(spark, sf_dir, texts):
     from entiledger.llm import queries
 
