@@ -27,6 +27,8 @@ TABLES, HASHES, AXES = 8, 1, 12
 SEED = 7
 #: Candidates and queries of a block.
 BLOCK, QUERY_BLOCK = 4096, 2048
+#: Components of pairs that are multiplied at a time.
+PAIR_CELLS = 1 << 20
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -117,6 +119,26 @@ def _dealt(vectors: DataFrame, axes: int, tables: int, hashes: int, seed: int):
     return vectors.select("id", "embedding", "dim").mapInArrow(deal, schema)
 
 
+def _cosines(
+    asked: np.ndarray,
+    lengths: np.ndarray,
+    one: np.ndarray,
+    rows: np.ndarray,
+    norms: np.ndarray,
+    other: np.ndarray,
+) -> np.ndarray:
+    """Cosines of pairs of rows, a bounded number of pairs at a time.
+
+    Each is summed by itself: a product of matrices may round by its shape.
+    """
+    step = max(1, PAIR_CELLS // rows.shape[1])
+    out = [
+        (asked[one[a : a + step]] * rows[other[a : a + step]]).sum(1)
+        for a in range(0, len(one), step)
+    ]
+    return np.concatenate(out) / (lengths[one] * norms[other])
+
+
 def _ranker(keep: int):
     """Function of two tables, candidates and queries of a block: its best pairs."""
 
@@ -131,20 +153,24 @@ def _ranker(keep: int):
         ids, rows, norms = ids[order], rows[order], norms[order]
         queries = right.column("id").to_numpy()
         asked, lengths = _units(right.column("embedding").combine_chunks())
-        many = min(len(ids), 2 * keep)
+        many = min(len(ids), keep)
+        # Twice what a product of matrices and a row's own sum can differ by.
+        margin = 8 * (rows.shape[1] + 16) * np.finfo(np.float64).eps
         out = [[], [], []]
         for a in range(0, len(queries), 256):
             block = asked[a : a + 256] / lengths[a : a + 256, None]
             near = block @ (rows / norms[:, None]).T
-            top = np.argpartition(-near, many - 1, axis=1)[:, :many]
-            top.sort(axis=1)
-            # Summed anew row by row: a product of matrices may round by its shape.
-            exact = (asked[a : a + 256, None] * rows[top]).sum(2)
-            exact /= lengths[a : a + 256, None] * norms[top]
-            first = np.argsort(-exact, axis=1, kind="stable")[:, :keep]
-            out[0].append(np.repeat(queries[a : a + 256], first.shape[1]))
-            out[1].append(ids[np.take_along_axis(top, first, 1)].ravel())
-            out[2].append(np.take_along_axis(exact, first, 1).ravel())
+            least = np.partition(near, len(ids) - many, axis=1)[:, len(ids) - many]
+            # All that may be among the first, however many are equal.
+            one, other = np.nonzero(near >= least[:, None] - margin)
+            exact = _cosines(asked, lengths, a + one, rows, norms, other)
+            order = np.lexsort((other, -exact, one))
+            one, other, exact = one[order], other[order], exact[order]
+            place = np.arange(len(one)) - np.searchsorted(one, one)
+            first = place < many
+            out[0].append(queries[a + one[first]])
+            out[1].append(ids[other[first]])
+            out[2].append(exact[first])
         return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in out], names)
 
     return best

@@ -91,6 +91,20 @@ def test_small_blocks_find_the_same(spark, monkeypatch, size):
     assert got == want
 
 
+@pytest.mark.parametrize("size", [64, 4096])
+@pytest.mark.parametrize("direction", [[0, 1, 0, 0], [1, 2, -3, 5]])
+def test_parallel_vectors_tie_to_the_smaller_id(spark, monkeypatch, size, direction):
+    rows = [(i, [(i + 1) * x for x in direction]) for i in range(300)]
+    rows += [(1000 + i, [1, 0, i, 1]) for i in range(5)]
+    monkeypatch.setattr(ann, "BLOCK", size)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", size)
+    monkeypatch.setattr(ann, "PAIR_CELLS", 1000)
+    df = frame(spark, rows)
+    got = found(ann.nearest(df, df.where("vec_id in (2, 150, 299)"), 5, tables=1, axes=4))
+    assert got == brute(rows, [2, 150, 299], 5)
+    assert [i for i, _ in got[150]] == [0, 1, 2, 3, 4]
+
+
 def test_edge_cases(spark):
     rows = [(0, [1, 0, 0]), (1, [1, 0, 0]), (2, [0, 0, 0]), (3, None), (4, []), (5, [1, None, 2]),
             (6, [float("nan"), 1, 1]), (7, [float("inf"), 0, 0]), (None, [1, 0, 0]), (8, [1, 1]),
