@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -75,3 +76,54 @@ def test_a_null_is_not_an_empty_string(spark):
     turns = [(1, 0, "user", None), (2, 0, "user", ""), (3, 0, None, "user"), (4, 0, "", "user")]
     got = {r.conv_id for r in chat.maximal(frame(spark, turns)).collect()}
     assert got == {1, 2, 3, 4}
+
+
+def ordered(turns):
+    """conv_id -> pieces in order of turn, nulls first, then digest."""
+    out = {}
+    for conv, turn, role, text in turns:
+        head = "-" if role is None else f"{len(role)}:{role}"
+        said = "-" if text is None else f"t{text}"
+        digest = hashlib.sha256((head + said).encode()).hexdigest()
+        piece = f"<|im_start|>{role or ''}\n{text or ''}<|im_end|>"
+        out.setdefault(conv, []).append((turn is not None, turn or 0, digest, piece))
+    return {conv: [p[3] for p in sorted(own)] for conv, own in out.items()}
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_repeated_and_missing_turn_numbers(spark, block):
+    rng = random.Random(block)
+    long = 3 * block + 1
+    turns = [(1, None, "u", f"{i}") for i in range(long)]
+    turns += [(2, 7, "u", "same")] * long + [(2, 8, "a", "end"), (2, None, "a", "first")]
+    turns += [(3, rng.choice([None, 0, 1, 5000]), "u", f"{i % 90}") for i in range(2 * long)]
+    turns += [(4, *t[1:]) for t in turns if t[0] == 3] + [(4, 6000, "a", "more")]
+    turns += [(5, *t[1:]) for t in turns if t[0] == 1]
+    turns += [(6, 0, "u", "x"), (6, block, "a", "y"), (7, 0, "u", "x"), (8, None, "u", "z")]
+    rng.shuffle(turns)
+    rows = chat.collapsed(frame(spark, turns), block).collect()
+    assert all(0 < r.n_turns <= block for r in rows)
+    want = ordered(turns)
+    assert {r.conv_id for r in rows} == {1, 2, 4, 6, 8}
+    for conv in (1, 2, 4, 6, 8):
+        own = sorted((r for r in rows if r.conv_id == conv), key=lambda r: r.part)
+        assert "\n".join(r.text for r in own) == "\n".join(want[conv])
+        assert sum(r.n_turns for r in own) == len(want[conv])
+    # Other conversations keep the parts of their turn numbers.
+    parts = {(r.conv_id, r.part) for r in rows}
+    assert {(6, 0), (6, 1), (8, -1)} <= parts
+    assert {p for c, p in parts if c == 1} == set(range(4))
+    assert {p for c, p in parts if c == 2} == set(range(4))
+
+
+def test_both_ways_give_the_same(spark):
+    rng = random.Random(3)
+    turns = [
+        (rng.randrange(20), rng.choice([None, -700, 0, 1, 2, 600]), rng.choice("ua"), rng.choice("xy"))
+        for _ in range(200)
+    ]
+    df = frame(spark, turns)
+    both = [{tuple(r) for r in chat.prefixes(df, 512, f).drop("block").collect()} for f in (False, True)]
+    assert both[0] == both[1]
+    both = [{tuple(r) for r in chat.render(df, 512, f).collect()} for f in (False, True)]
+    assert both[0] == both[1]
