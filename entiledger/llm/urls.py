@@ -33,6 +33,13 @@ SCALE = 10**12
 RESTART = 3
 ROUNDS = 12
 CUT_EVERY = 4
+#: Ranks and their sums: a host that millions link to has more than a long holds.
+WHOLE = "decimal(30,0)"
+
+
+def _div(value: Column, by: Column) -> Column:
+    """Whole quotient of whole decimals; `div` itself gives a long, which may overflow."""
+    return ((value - value % by) / by).cast(WHOLE)
 
 
 def host_of(url: Column) -> Column:
@@ -106,7 +113,11 @@ def seeds(judged: DataFrame) -> DataFrame:
         ).alias("s"),
         "n",
     ).select(
-        "s.kind", "host", F.expr(f"s.part * {SCALE}L div n").alias("seed")
+        "s.kind",
+        "host",
+        _div(F.col("s.part").cast(WHOLE) * F.lit(SCALE), F.col("n"))
+        .cast("long")
+        .alias("seed"),
     )
 
 
@@ -128,23 +139,22 @@ def ranks(start: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame
     everyone = everyone.toDF("kind", "host")
     seeded = cut(
         everyone.join(start, ["kind", "host"], "left").select(
-            "kind", "host", F.coalesce("seed", F.lit(0).cast("long")).alias("seed")
+            "kind", "host", F.coalesce("seed", F.lit(0)).cast(WHOLE).alias("seed")
         )
     )
-    state = seeded.withColumn("rank", F.expr(f"seed * {RESTART} div 20"))
+    own = F.col("seed") * RESTART
+    state = seeded.withColumn("rank", _div(own, F.lit(20)))
     for turn in range(1, rounds + 1):
         passed = (
             flow.join(state.select("kind", "host", "rank"), ["kind", "host"])
             .groupBy("kind", F.col("to").alias("host"))
-            .agg(F.sum(F.expr("rank div degree")).alias("got"))
+            .agg(F.sum(_div(F.col("rank"), F.col("degree"))).cast(WHOLE).alias("got"))
         )
         state = seeded.join(passed, ["kind", "host"], "left").select(
             "kind",
             "host",
             "seed",
-            F.expr(
-                f"(seed * {RESTART} + coalesce(got, 0L) * {20 - RESTART}) div 20"
-            ).alias("rank"),
+            _div(own + F.coalesce("got", F.lit(0)) * (20 - RESTART), F.lit(20)).alias("rank"),
         )
         if turn % CUT_EVERY == 0:
             state = cut(state)

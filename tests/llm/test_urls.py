@@ -147,6 +147,26 @@ def test_hub_and_chain(spark):
     assert {tuple(r) for r in got} == expected(pages, links)
 
 
+def test_a_host_of_ten_million_pages(spark):
+    pages = spark.range(10_000_000).selectExpr(
+        "'big.org' AS host", "if(id = 0, 'block', 'allow') AS verdict"
+    )
+    got = {r.kind: r.seed for r in urls.seeds(pages).collect()}
+    assert got == {"trust": 9_999_999 * 10**5, "distrust": 10**5}
+
+
+def test_ranks_beyond_a_long(spark):
+    # Seeds of five hosts as large as those of millions together.
+    seed = {f"h{i}": 4 * 10**18 + i for i in range(5)}
+    links = [(h, "hub") for h in seed] + [("hub", "a"), ("hub", "b"), ("a", "hub"), ("h1", "a")]
+    start = spark.createDataFrame([("trust", h, s) for h, s in seed.items()], "kind string, host string, seed long")
+    got = urls.ranks(start, spark.createDataFrame(links, "src string, dst string"))
+    rank = {r.host: int(r["rank"]) for r in got.where("kind = 'trust'").collect()}
+    want = walked(seed, links, urls.ROUNDS)
+    assert rank == want
+    assert max(want.values()) * 17 > 2**63
+
+
 def test_edge_cases(spark):
     assert urls.judged(frame(spark, PAGES).limit(0)).count() == 0
     twice = urls.judged(frame(spark, PAGES[:3] * 2)).collect()
