@@ -6,12 +6,14 @@ columns of documents; the last returns their token ids.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 from entiledger.llm import bpe, decontaminate, pii, quality, simhash
-from entiledger.llm.common import cut, read
+from entiledger.llm.common import folder, read
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -70,8 +72,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each result written before the next."""
+    """The stages one after the other, each written as Parquet and read by the next.
+
+    Every run has a folder of its own beside the checkpoints, `stages-` and a number,
+    with a folder for each stage, which stays.
+    """
+    place = f"{folder(spark)}/stages-{uuid.uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{place}/{name}.parquet")
+        docs = read(spark, place, name)
     return STAGES[-1][1](spark, docs, sf_dir)

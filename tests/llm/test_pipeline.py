@@ -1,9 +1,13 @@
 """The pipeline's stages against plain versions of them, each on its own input."""
 
+import re
+from pathlib import Path
+
 import pytest
 
 import corpus_pipeline
 from entiledger.llm import bpe, quality
+from entiledger.llm.common import folder
 from tests.llm.test_decontaminate import brute
 from tests.llm.test_pii import expected
 from tests.llm.test_simhash import classes, fingerprint
@@ -101,3 +105,16 @@ def test_edge_cases(spark, sf_dir, place):
         found = done.collect()
         assert last or done.columns == table.columns
         assert (not found) if empty else len(found) <= len(rows)
+
+
+def test_run_writes_every_stage(spark, sf_dir, stages):
+    shared = Path(re.sub("^file:/*", "/", folder(spark)))
+    before = set(shared.glob("stages-*"))
+    assert corpus_pipeline.run(spark, sf_dir).count() == stages["tokens"][1].count()
+    (own,) = set(shared.glob("stages-*")) - before
+    names = [name for name, _ in corpus_pipeline.STAGES[:-1]]
+    assert {p.stem for p in own.iterdir()} == set(names)
+    for name in names:
+        written = spark.read.parquet(f"{own}/{name}.parquet")
+        assert written.columns == COLUMNS
+        assert pairs(written) == pairs(stages[name][1])
