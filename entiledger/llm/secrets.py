@@ -42,6 +42,9 @@ CLASSES = (
     ("alnum", re.compile(r"[A-Za-z0-9]+"), 3.6),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.6),
 )
+#: Example words, judged by what stands between / and = in a candidate.
+EXAMPLE = r"(?i:.*(example|sample|dummy|placeholder|changeme|xxxx).*)"
+TOKEN = r"[^/=]+"
 #: Candidates that are never secrets: without digits or without letters, identifiers in
 #: the common form of 8-4-4-4-12 hex digits, words joined by marks, paths, and examples.
 ALLOWED = (
@@ -49,7 +52,7 @@ ALLOWED = (
     r"[^A-Za-z]*",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"([A-Za-z]+|[0-9]+)([/_=+-]+([A-Za-z]+|[0-9]+))*[/_=+-]*",
-    r"(?i:.*(example|sample|dummy|placeholder|changeme|xxxx).*)",
+    EXAMPLE,
 )
 
 
@@ -94,17 +97,41 @@ def hot_windows(run: str, bound: float, window: int = WINDOW) -> Iterator[tuple[
         yield start, end
 
 
+def _stretches(run: str, example: re.Pattern) -> Iterator[tuple[int, int]]:
+    """(start, end) of what lies between the tokens of a run that are examples."""
+    if not example.fullmatch(run):
+        yield 0, len(run)
+        return
+    start = end = -1
+    for token in re.finditer(TOKEN, run):
+        if example.fullmatch(token[0]):
+            if start >= 0:
+                yield start, end
+            start = -1
+            continue
+        if start < 0:
+            start = token.start()
+        end = token.end()
+    if start >= 0:
+        yield start, end
+
+
 def entropy_spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> list:
     """(start, end, "entropy") of windows of high entropy outside the allow-list."""
-    known = re.compile("|".join(f"(?:{p})" for p in allowed) or r"(?!)")
+    known = re.compile("|".join(f"(?:{p})" for p in allowed if p != EXAMPLE) or r"(?!)")
+    example = re.compile(EXAMPLE if EXAMPLE in allowed else r"(?!)")
     out = []
     for match in re.finditer(CANDIDATE, text):
-        run = match[0]
-        if known.fullmatch(run):
+        if known.fullmatch(match[0]):
             continue
-        bound = next(b for _, p, b in CLASSES if p.fullmatch(run))
-        for start, end in hot_windows(run, bound):
-            out.append((match.start() + start, match.start() + end, "entropy"))
+        for first, last in _stretches(match[0], example):
+            run = match[0][first:last]
+            if len(run) < WINDOW or known.fullmatch(run):
+                continue
+            bound = next(b for _, p, b in CLASSES if p.fullmatch(run))
+            for start, end in hot_windows(run, bound):
+                at = match.start() + first
+                out.append((at + start, at + end, "entropy"))
     return out
 
 

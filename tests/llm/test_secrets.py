@@ -91,6 +91,16 @@ def test_entropy_and_allow_list():
     assert [k for _, _, k in secrets.spans(TEXTS[12], ())] == ["entropy"]
 
 
+def test_an_example_hides_only_its_own_token():
+    key = "Zx81kQ9vLmP2rT7wYb4N"
+    for head in ("sample_auth=", "/srv/sample-app/", "/dummy/v1=x/changeme1/"):
+        for tail in ("", "/example1", "=", " and more"):
+            found = secrets.spans(head + key + tail)
+            assert found == [(len(head), len(head + key), "entropy")], head + tail
+    assert secrets.spans(f"sample-{key}") == secrets.spans(f"a/x1/{key}example") == []
+    assert secrets.spans("/sample/path/to/some/long/file/name/here") == []
+
+
 def test_frame(docs_of):
     docs = docs_of([*enumerate(TEXTS), (None, TEXTS[2]), (2, TEXTS[2])])
     done = secrets.scan(docs)
