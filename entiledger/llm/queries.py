@@ -11,10 +11,13 @@ from entiledger.llm import (
     bpe,
     chat,
     decontaminate,
+    licenses,
+    merkle,
     pii,
     quality,
     secrets,
     simhash,
+    spelling,
     tokens,
     urls,
 )
@@ -168,6 +171,53 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(read(spark, sf_dir, "pages"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases, licenses and their evidence in every document."""
+    found = licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    places, spans = F.col("licenses.places"), F.col("licenses.spans")
+
+    def listed(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.size(places).cast("long").alias("n_base"),
+        F.array_min(places["start"]).alias("first_word"),
+        F.array_max(places["start"]).alias("last_word"),
+        listed(places["label"]).alias("base_labels"),
+        listed(F.concat(places["label"], spans["label"])).alias("labels"),
+        F.col("licenses.score").alias("score"),
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, some of which lose a letter."""
+    runs = spelling.runs(read(spark, sf_dir, "documents"))
+    slipped = spelling.slipped(F.col("doc_id"), F.col("run"), 97)
+    words = spelling.counted(runs, slipped, 5, 3)
+    return spelling.variants(words, 2)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof, half of them folded without their line feeds."""
+    docs = read(spark, sf_dir, "documents")
+    marked = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    bare = F.replace("text", F.lit("\n"), F.lit(""))
+    tampered = F.when(marked, bare).otherwise(F.col("text"))
+    found = merkle.manifest(docs, changed={"text": tampered})
+    siblings = F.flatten(F.transform("proof", lambda level: level["others"]))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(siblings, ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -181,10 +231,124 @@ QUERIES = {
         op8_token_counts,
         op9_simhash,
         op10_urls,
+        op11_licenses,
+        op12_spelling,
+        op13_merkle,
     )
 }
 
 
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of a text in UTF-8; a null if it is null."""
+    octets = (
+        f"list_transform(range(strlen({text})), "
+        f"lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)"
+    )
+    bits = "lambda x, y: xor(x >> 1, 3988292384 * (x & 1))"
+    step = f"lambda c, o: list_reduce([xor(c, o), 0, 0, 0, 0, 0, 0, 0, 0], {bits})"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), {step}))"
+
+
+_SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents),
+marked AS (
+  SELECT run, n, {_crc32("(doc_id::VARCHAR || ':' || run)")} AS h
+  FROM (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL)),
+slipped AS (
+  SELECT n, CASE WHEN h % 97 = 0
+      THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+      ELSE run END AS word
+  FROM marked),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+shorter AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b USING (i, rest)
+    WHERE a.word <> b.word
+  UNION SELECT word, rest FROM shorter WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM shorter WHERE rest IN (SELECT word FROM words)),
+best AS (
+  SELECT near.word, count(*) AS n_near,
+    first(other ORDER BY o.n DESC, other) AS other, max(o.n) AS other_n
+  FROM near JOIN words o ON o.word = other GROUP BY near.word),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN other_n >= 2 * n THEN other END AS form,
+    CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, word AS root, form AS ahead FROM formed
+  UNION ALL
+  SELECT s.word, f.word, f.form FROM steps s JOIN formed f ON f.word = s.ahead)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, root FROM steps WHERE ahead IS NULL) USING (word)"""
+
+
+def _leaf_sql(text: str) -> str:
+    """SQL of the digest of a document with the given text."""
+    parts = [
+        f"coalesce(strlen({c}) || ':' || {c}, '-')"
+        for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    ]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree_sql(leaves: str) -> str:
+    """SQL of the nodes (lvl, part, pos, h, size) of the trees over given leaves."""
+    return f"""
+  SELECT 0 AS lvl, part, pos, h, count(*) OVER (PARTITION BY part) AS size FROM {leaves}
+  UNION ALL
+  SELECT lvl + 1, part, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (size + 2) // 3
+  FROM NODES WHERE size > 1 GROUP BY lvl, part, pos // 3, size"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE plain AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+    CASE WHEN {_crc32("(doc_id::VARCHAR)")} % 2 = 0
+      THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS fresh
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, leaf AS h, row_number() OVER () AS id,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS part,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM plain),
+node AS ({_tree_sql("leaves").replace("NODES", "node")}),
+subroots AS MATERIALIZED (
+  SELECT 0 AS part, part AS pos, h FROM node WHERE size = 1),
+upper AS ({_tree_sql("subroots").replace("NODES", "upper")}),
+below AS (
+  SELECT id, lvl, n.pos AS place, (l.pos // (3 ** lvl)::BIGINT) AS own, n.h
+  FROM leaves l JOIN node n ON n.part = l.part AND size > 1
+    AND n.pos // 3 = l.pos // (3 ** (lvl + 1))::BIGINT),
+above AS (
+  SELECT id, lvl, n.pos, (l.part // (3 ** lvl)::BIGINT), n.h
+  FROM leaves l JOIN upper n ON size > 1 AND n.pos // 3 = l.part // (3 ** (lvl + 1))::BIGINT),
+steps AS (
+  SELECT id, tier, lvl,
+    coalesce(string_agg(h, '' ORDER BY place) FILTER (place < own), '') AS before,
+    coalesce(string_agg(h, '' ORDER BY place) FILTER (place > own), '') AS behind
+  FROM (SELECT 0 AS tier, * FROM below UNION ALL SELECT 1, * FROM above)
+  GROUP BY id, tier, lvl),
+proofs AS (
+  SELECT id, string_agg(before || behind, '' ORDER BY tier, lvl) AS proof,
+    list(before || '|' || behind ORDER BY tier, lvl) AS sides
+  FROM steps GROUP BY id),
+folded AS (
+  SELECT doc_id, leaf, s.h AS subroot,
+    (SELECT h FROM upper WHERE size = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_prepend(fresh, coalesce(sides, [])),
+      lambda v, x: sha256(split_part(x, '|', 1) || v || split_part(x, '|', 2))) AS folded_root
+  FROM leaves l JOIN subroots s ON s.pos = l.part LEFT JOIN proofs USING (id))
+SELECT *, folded_root = root AS verified FROM folded"""
+
+
 def _url_sql() -> str:
     """SQL of op10_urls, its rounds one after the other."""
     rounds = []
@@ -305,4 +469,6 @@ SELECT conv_id, part, count(*) AS n_turns,
     ORDER BY turn NULLS FIRST, digest) AS text
 FROM turns JOIN kept USING (conv_id) GROUP BY conv_id, part""",
     "op10_urls": _url_sql(),
+    "op12_spelling": _SPELLING,
+    "op13_merkle": _MERKLE,
 }
