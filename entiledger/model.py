@@ -96,6 +96,12 @@ TICKET_COLUMNS = [
     ("first_n_id", *_LONG),
     ("first_log_id", *_LONG),
 ]
+#: Up to which log id the foreign keys of a table are new ids.
+LINK_COLUMNS = [
+    ("table_name", T.StringType(), "STRING"),
+    ("log_id", *_LONG),
+    ("use_sentinel", T.BooleanType(), "BOOLEAN"),
+]
 MAP_EXTRAS = [
     ("ext_id", *_S200),
     ("map_type", *_S30),

@@ -1,25 +1,65 @@
-"""Surrogate keys numbered in key order without a single-task sort.
+"""Surrogate keys numbered without a single-task sort.
 
-Rows fall into buckets of 2**20 consecutive key values, so a bucket of a unique key
-never holds more rows than that. Bucket counts are summed over groups of 2**22 buckets
-and group sums over blocks of 2**11 groups, and running sums give the rows in front of
-every block, group, bucket and row. All 64-bit keys together make at most 2**11 blocks,
-so the one window without partitions sorts no more than that many sums for each major
-value, and one for keys below 2**53.
+Rows fall into buckets of about equal size: ranges of a hash-drawn sample of the keys, or
+ranges of a hash where rows have no key. Bucket sizes are counted, running sums of them
+give the rows in front of every bucket, and a window numbers the rows inside each. The
+counts are as many as the buckets, eight for each shuffle partition, however sparse the
+keys are and however many rows there are.
 
-The result depends on the keys only, so a task or a whole plan that runs again
-numbers the rows the same way.
+The result depends on the rows only, so a task or a whole plan that runs again numbers
+them the same way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 20
-GROUP_BITS = 22
-BLOCK_BITS = 11
-_NO_KEY = -(2**62)
+BUCKETS = 8
+MOST_BUCKETS = 2**15
+#: Copies of a row that are unfolded at a time.
+_FOLD = 2**16
+
+
+def _buckets(df: DataFrame) -> int:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(BUCKETS * parts, MOST_BUCKETS)
+
+
+def key_borders(df: DataFrame, key: str, buckets: int) -> list[int]:
+    """Ascending values that cut a whole-number column into ranges of about equal size.
+
+    The keys are dealt into as many classes as there are buckets by their hash, and the
+    key of the smallest hash is drawn from each: an even sample, the same on every run,
+    taken map-side in one scan. It is read now.
+    """
+    value, mark = F.col(key).cast("long"), F.xxhash64(F.col(key).cast("long"))
+    drawn = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.pmod(mark, F.lit(buckets)).alias("_class"))
+        .agg(F.min_by(value, mark).alias("_key"))
+    )
+    return sorted(r["_key"] for r in drawn.select("_key").collect())
+
+
+def _range_of(key: Column, borders: Sequence[int]) -> Column:
+    """How many borders are not above the key, by binary search; -1 without a key."""
+    listed = F.split(F.lit(",".join(map(str, borders)) or "0"), ",").cast("array<bigint>")
+    steps, step = [], 1
+    while step <= len(borders):
+        steps.insert(0, step)
+        step *= 2
+    if not steps:
+        return F.when(key.isNull(), -1).otherwise(0)
+
+    def on(place: Column, step: Column) -> Column:
+        fits = (place + step <= len(borders)) & (F.get(listed, place + step - 1) <= key)
+        return F.when(fits, place + step).otherwise(place)
+
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), on)
+    return F.when(key.isNull(), -1).otherwise(found)
 
 
 def _running(order: str, parents: list[str]) -> Column:
@@ -28,6 +68,37 @@ def _running(order: str, parents: list[str]) -> Column:
     return F.coalesce(F.sum("_n").over(before), F.lit(0))
 
 
+def _numbered(
+    df: DataFrame,
+    bucket: Column,
+    order: Sequence[str],
+    out: str,
+    first: Column,
+    major: str | None = None,
+) -> DataFrame:
+    """df with consecutive numbers by (major, bucket, order)."""
+    group = [major] if major else []
+    placed = df.withColumn("_bucket", bucket)
+    counts = placed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # At most as many rows as buckets for each major value.
+    offsets = counts.select(*group, "_bucket", _running("_bucket", group).alias("_ahead"))
+    if major:
+        # One row for each major value.
+        sums = counts.groupBy(major).agg(F.sum("_n").alias("_n"))
+        ahead = sums.select(major, _running(major, []).alias("_far"))
+        offsets = offsets.join(F.broadcast(ahead), major).select(
+            major, "_bucket", (F.col("_far") + F.col("_ahead")).alias("_ahead")
+        )
+    else:
+        offsets = F.broadcast(offsets)
+    place = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order))
+    return (
+        placed.withColumn("_within", place)
+        .join(offsets, [*group, "_bucket"])
+        .select(*df.columns, (first + F.col("_ahead") + F.col("_within") - 1).alias(out))
+    )
+
+
 def dense_ids(
     df: DataFrame,
     key: str,
@@ -39,43 +110,52 @@ def dense_ids(
 
     ``key`` is a unique integer column. With ``major``, a column of few values
     such as a table or batch ordinal, numbers run over (major, key). Rows without a key
-    come first, and share one bucket: the jobs reject them.
+    come first, and share one bucket: the jobs reject them. The borders of the buckets
+    are read now; they change nothing in the numbers.
     """
-    group = [major] if major else []
     first = F.lit(start) if isinstance(start, int) else start
-    # That the bucket is never null lets Spark use one shuffle of the counts twice.
-    bucket = F.coalesce(
-        F.shiftright(F.col(key).cast("long"), BUCKET_BITS), F.lit(_NO_KEY)
-    ).alias("_bucket")
-
-    counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_group", F.shiftright("_bucket", GROUP_BITS))
-    # Both kinds of sums come from the counts, so Spark takes them side by side.
-    block = F.shiftright("_group", BLOCK_BITS).alias("_block")
-    sums = counts.groupBy(*group, "_group").agg(F.sum("_n").alias("_n"))
-    sums = sums.select("*", block)
-    blocks = counts.groupBy(*group, block).agg(F.sum("_n").alias("_n"))
-    blocks = blocks.withColumn("_order", F.struct(*group, "_block"))
-    ahead = blocks.select(*group, "_block", _running("_order", []).alias("_far"))
-    groups = (
-        sums.withColumn("_near", _running("_group", [*group, "_block"]))
-        .join(ahead, [*group, "_block"])
-        .select(*group, "_group", (F.col("_far") + F.col("_near")).alias("_ahead"))
-    )
-    offsets = (
-        counts.withColumn("_inside", _running("_bucket", [*group, "_group"]))
-        .join(groups, [*group, "_group"])
-        .select(*group, "_bucket", (F.col("_ahead") + F.col("_inside")).alias("_ahead"))
-    )
+    borders = key_borders(df, key, _buckets(df))
+    bucket = _range_of(F.col(key).cast("long"), borders)
+    return _numbered(df, bucket, [key], out, first, major)
 
-    place = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(key))
-    return (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_place", place)
-        .join(offsets, [*group, "_bucket"])
-        .withColumn(out, first + F.col("_ahead") + F.col("_place") - 1)
-        .select(*df.columns, out)
-    )
+
+def counted_rows(df: DataFrame, sign: int = 1) -> DataFrame:
+    """The different rows, and in ``_copies`` how often each is there, times ``sign``."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return counted.withColumn("_copies", F.col("_copies") * sign)
+
+
+def lacking_rows(df: DataFrame, stored: DataFrame) -> DataFrame:
+    """The different rows that are there more often than stored, with the ``_copies`` to add.
+
+    A difference of multisets in one grouping; nulls are equal to each other. Both sides
+    have the same columns and types.
+    """
+    both = counted_rows(df).union(counted_rows(stored.select(*df.columns), -1))
+    summed = both.groupBy(*df.columns).agg(F.sum("_copies").alias("_copies"))
+    return summed.where("_copies > 0")
+
+
+def row_ids(counted: DataFrame, out: str, start: int | Column = 0) -> DataFrame:
+    """Every copy of the counted rows as a row, with consecutive numbers from ``start``.
+
+    Needs no key: rows are numbered in order of a hash of all their columns and of the
+    copy's number, ranges of which are the buckets. So copies are spread as well as
+    different rows, and the numbers are the same on every run.
+    """
+    columns = [c for c in counted.columns if c != "_copies"]
+    first = F.lit(start) if isinstance(start, int) else start
+    # In two steps, so that no array grows with the number of copies.
+    folds = F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_FOLD}"))
+    copies = counted.withColumn("_fold", F.explode(folds))
+    last = F.least(F.col("_copies") - F.col("_fold") * _FOLD, F.lit(_FOLD)) - 1
+    copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    mark = F.xxhash64("_fold", "_copy", *columns)
+    copies = copies.withColumn("_mark", mark).drop("_copies")
+    bits = (_buckets(counted) - 1).bit_length()
+    order = ["_mark", "_fold", "_copy", *columns]
+    done = _numbered(copies, F.shiftright("_mark", 64 - bits), order, out, first)
+    return done.select(*columns, out)
 
 
 def next_id(table: DataFrame, column: str, default: int) -> Column:

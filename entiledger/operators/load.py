@@ -19,12 +19,13 @@ class Load:
 
     ``rows`` are the versions to append, ``new_things`` the registry rows to append
     before them, ``errors`` the reasons why batches were rejected. All three stay what
-    they are when the registry grows.
+    they are when the registry grows. ``logged`` is the number of log ids they take up.
     """
 
     rows: DataFrame
     new_things: DataFrame
     errors: DataFrame
+    logged: int = 0
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -201,7 +202,7 @@ def load_series(
         # At most one row per batch.
         wrong_ids = F.broadcast(errors.select("batch_no").distinct())
         rows = rows.join(wrong_ids, "batch_no", "left_anti")
-    return Load(rows, new_things, errors)
+    return Load(rows, new_things, errors, logged)
 
 
 def load_rows(

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entiledger.model import (
+    ACTION_CODES,
     ACTIONS,
     FIRST_N_ID,
+    LINK_COLUMNS,
+    STATUS_CODES,
     THINGS,
     TICKET_COLUMNS,
     VENDORS,
@@ -23,8 +26,8 @@ from entiledger.operators.audit import (
     schema_difference,
     validation_report,
 )
-from entiledger.operators.ids import dense_ids, first_free
-from entiledger.operators.keys import remap_foreign_keys
+from entiledger.operators.ids import dense_ids, first_free, lacking_rows, row_ids
+from entiledger.operators.keys import integrity_report, remap_foreign_keys
 from entiledger.operators.load import Load, load_series
 from entiledger.operators.migrate import (
     legacy_ids,
@@ -36,8 +39,15 @@ from entiledger.operators.migrate import (
 from entiledger.operators.versions import amplify, query_log
 from entiledger.sources.catalog import catalog_of
 from entiledger.sources.files import read_load_file
-from entiledger.sources.tables import append_log, append_rows, table_layouts
-
+from entiledger.sources.tables import (
+    aligned,
+    append_rows,
+    foreign_keys,
+    key_properties,
+    stored_keys,
+    stored_lengths,
+    table_layouts,
+)
 
 _ROW_NO = "_row_no"
 
@@ -46,6 +56,18 @@ class LoadRejected(ValueError):
     """Raised when a single load refers to ids it must not change."""
 
 
+class IntegrityError(ValueError):
+    """Raised when staged rows break the rules of their table; nothing is published.
+
+    ``violations`` lists (table, rule, column, number).
+    """
+
+    def __init__(self, violations: list[tuple[str, str, str, int]]):
+        listed = "; ".join(f"{t}.{c}: {n} rows break {r}" for t, r, c, n in violations)
+        super().__init__(listed)
+        self.violations = violations
+
+
 def check(
     legacy: Mapping[str, DataFrame],
     spark: SparkSession,
@@ -105,6 +127,100 @@ def _number_missing(
     return bridge
 
 
+def _watermark(spark: SparkSession, database: str, table: str):
+    """(log_id, use_sentinel): up to where a table's foreign keys are new ids, or None."""
+    if not spark.catalog.tableExists(f"`{database}`.`key_link`"):
+        return None
+    links = spark.table(f"`{database}`.`key_link`").where(F.col("table_name") == table)
+    last = links.agg(F.max("log_id").alias("log_id"), F.max("use_sentinel").alias("use_sentinel"))
+    found = last.first()
+    return None if found.log_id is None else found
+
+
+def _raise_watermark(
+    spark: SparkSession, database: str, table: str, log_id: int, use_sentinel: bool
+) -> None:
+    """Rows up to a log id have new keys. Said before they are written, so that no stop in
+    between leaves new keys to be taken for old ones."""
+    row = spark.createDataFrame([(table, log_id, use_sentinel)], struct_type(LINK_COLUMNS))
+    append_rows(row.coalesce(1), f"`{database}`.`key_link`")
+
+
+def _next_log_id(spark: SparkSession, database: str, table: str) -> int:
+    """First log id above those that are stored and those that were reserved."""
+    linked = _watermark(spark, database, table)
+    free = first_free(1, spark.table(f"`{database}`.`{table}`").select("log_id"))
+    return free if linked is None else max(free, linked.log_id + 1)
+
+
+def _stage(spark: SparkSession, database: str, table: str, rows: DataFrame) -> DataFrame:
+    """Rows written beside a table in its columns, but without its limits of length."""
+    staged = f"`{database}`.`{table}_staged`"
+    target = spark.table(f"`{database}`.`{table}`")
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    aligned(rows, target).write.saveAsTable(staged, format="parquet")
+    spark.catalog.refreshTable(staged)
+    return spark.table(staged)
+
+
+def audit(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    rows: DataFrame,
+    new_things: DataFrame | None = None,
+    old_keys: bool = False,
+) -> DataFrame:
+    """Rules that rows of a table must keep, with the number of violations of each.
+
+    Log ids are there and used once; ids are registered, for an entity log as its own
+    thing; states, actions and lengths are within their bounds; foreign keys are ids of
+    their thing, or with ``old_keys`` legacy ids. ``new_things`` are registered with the
+    rows. Keys that are null break no rule.
+    """
+    name = f"`{database}`.`{table}`"
+    registry = spark.table(f"`{database}`.`thing`")
+    if new_things is not None:
+        registry = registry.unionByName(new_things)
+    bridge = spark.table(f"`{database}`.`old_new_bridge`")
+    if table == "name_map":
+        valid = {"n_id": registry.select("n_id")}
+        valid["v_id"] = spark.table(f"`{database}`.`vendor`").select("v_id")
+    else:
+        valid = {"n_id": registry.where(F.col("thing") == table).select("n_id")}
+        for column, foreign in stored_keys(spark, name).items():
+            known, key = (bridge, "old_id") if old_keys else (registry, "n_id")
+            valid[column] = known.where(F.col("thing") == foreign).select(key)
+    return integrity_report(
+        rows,
+        ["log_id"],
+        ["log_id", "n_id"],
+        stored_lengths(spark, name),
+        {"action": list(ACTION_CODES), "status": list(STATUS_CODES)},
+        {c: keys.distinct() for c, keys in valid.items() if c in rows.columns},
+    )
+
+
+def _broken(spark, database, table, rows, **options) -> list[tuple[str, str, str, int]]:
+    """Violations by staged rows; at most one row for each rule comes back."""
+    report = audit(spark, database, table, rows, **options).where("violations > 0")
+    return [(table, r.rule, r.column_name, r.violations) for r in report.collect()]
+
+
+def _publish(spark: SparkSession, database: str, tables: Sequence[str]) -> None:
+    """Move staged rows into their tables."""
+    for table in tables:
+        staged = f"`{database}`.`{table}_staged`"
+        if not spark.table(staged).isEmpty():
+            append_rows(spark.table(staged), f"`{database}`.`{table}`")
+    _unstage(spark, database, tables)
+
+
+def _unstage(spark: SparkSession, database: str, tables: Sequence[str]) -> None:
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}_staged`")
+
+
 def fill(
     legacy: Mapping[str, DataFrame],
     spark: SparkSession,
@@ -116,13 +232,15 @@ def fill(
 ) -> None:
     """Migrate what the change-log tables lack of the legacy tables.
 
-    Legacy ids that the bridge lacks get the next free numbers; logs and the name map
-    get the rows that they do not have yet. So a first migration fills empty tables, one
-    that stopped goes on, one with new legacy rows adds these, also after loads, and one
-    without any does nothing. A legacy table whose ids are missing or repeated stops the
-    migration before it writes.
+    Legacy ids that the bridge lacks get the next free numbers; logs get the entities and
+    the name map the rows that they do not have yet, copies of a row counted. So a first
+    migration fills empty tables, one that stopped goes on, one with new legacy rows adds
+    these, also after loads and after foreign keys were remapped: then the rows come in
+    with new keys. One without new rows does nothing. A legacy table whose ids are
+    missing or repeated stops the migration before it writes; rows that break a rule of
+    their table stop it before any of them is published.
     """
-    declared = {spec.name for spec in specs}
+    declared = {spec.name: spec for spec in specs}
     chosen = [t for t in things if t in legacy and t in declared]
     plan_ids = legacy_ids(legacy, chosen, short_load)
     # At most one row per thing comes back.
@@ -133,25 +251,45 @@ def fill(
         raise ValueError(f"ids missing or used more than once in: {names}")
     bridge = _number_missing(plan_ids, spark, database)
     plan = migrate_all(legacy, specs, things, vendors, bridge=bridge)
+    broken, staged, linked = [], [], {}
     for thing in plan.things:
-        name = f"`{database}`.`{thing}`"
-        log = spark.table(name)
+        log = spark.table(f"`{database}`.`{thing}`")
         rows = plan.log(thing).drop("log_id")
         if short_load:
             own = plan_ids.where(F.col("thing") == thing).select("old_id")
             short = bridge.where(F.col("thing") == thing).join(own, "old_id", "left_semi")
             rows = rows.join(short, "n_id", "left_semi")
         rows = rows.join(log.select("n_id"), "n_id", "left_anti")
-        first = first_free(1, log.select("log_id"))
-        append_rows(dense_ids(rows, "n_id", "log_id", first), name)
+        rows = dense_ids(rows, "n_id", "log_id", _next_log_id(spark, database, thing))
+        linked[thing] = _watermark(spark, database, thing)
+        if linked[thing] is not None:
+            keys = foreign_keys(declared[thing])
+            keys = {c: table for c, table in keys.items() if c in rows.columns}
+            tables = list(table_layouts(specs))
+            rows = remap_foreign_keys(rows, keys, bridge, tables, linked[thing].use_sentinel)
+        rows = _stage(spark, database, thing, rows)
+        staged.append(thing)
+        # Legacy keys may well be wrong: the remap tells, and flags them.
+        wrong = _broken(spark, database, thing, rows.drop(*foreign_keys(declared[thing])))
+        broken.extend(wrong)
     if plan.map_tables():
         vendor_table, map_table = (f"`{database}`.`{t}`" for t in ("vendor", "name_map"))
         append_rows(plan.vendor_ids(spark.table(vendor_table))[1], vendor_table)
         vendor_ids, _ = plan.vendor_ids(spark.table(vendor_table))
-        rows = plan.name_map(vendor_ids)
-        known = spark.table(map_table).select("n_id", "v_id", "ext_id").distinct()
-        same = [rows[c].eqNullSafe(known[c]) for c in known.columns]
-        append_log(rows.join(known, same, "left_anti"), map_table)
+        stored = spark.table(map_table).drop("log_id")
+        lacking = lacking_rows(aligned(plan.name_map(vendor_ids), stored), stored)
+        first = _next_log_id(spark, database, "name_map")
+        rows = _stage(spark, database, "name_map", row_ids(lacking, "log_id", first))
+        staged.append("name_map")
+        broken.extend(_broken(spark, database, "name_map", rows))
+    if broken:
+        _unstage(spark, database, staged)
+        raise IntegrityError(broken)
+    for thing, state in linked.items():
+        last = spark.table(f"`{database}`.`{thing}_staged`").agg(F.max("log_id")).first()[0]
+        if state is not None and last is not None:
+            _raise_watermark(spark, database, thing, last, state.use_sentinel)
+    _publish(spark, database, staged)
 
 
 def connect_foreign_keys(
@@ -161,16 +299,21 @@ def connect_foreign_keys(
     specs: Sequence[TableSpec],
     use_sentinel: bool = False,
 ) -> DataFrame:
-    """Entity log with its foreign keys remapped through the stored bridge."""
+    """Entity log with its foreign keys remapped through the stored bridge.
+
+    Rows up to the watermark of an earlier remap stay as they are.
+    """
     bridge = spark.table(f"`{database}`.`old_new_bridge`")
-    keys = {c.name: c.foreign_table for c in spec.columns if c.foreign_table}
-    return remap_foreign_keys(
-        spark.table(f"`{database}`.`{spec.name}`"),
-        keys,
-        bridge,
-        list(table_layouts(specs)),
-        use_sentinel,
-    )
+    log = spark.table(f"`{database}`.`{spec.name}`")
+    done = _watermark(spark, database, spec.name)
+    tables = list(table_layouts(specs))
+    flags = [f"bad_{c}" for c in foreign_keys(spec)]
+    old = log if done is None else log.where(F.col("log_id") > done.log_id).drop(*flags)
+    linked = remap_foreign_keys(old, foreign_keys(spec), bridge, tables, use_sentinel)
+    if done is None:
+        return linked
+    kept = log.where(F.col("log_id") <= done.log_id)
+    return kept.unionByName(linked, allowMissingColumns=True)
 
 
 def store_foreign_keys(
@@ -183,26 +326,49 @@ def store_foreign_keys(
     """Put the remapped entity log in the table's place; returns its name.
 
     Queries, loads and amplification go on with the new keys and their ``bad_`` flags.
-    The log as it was stays as ``<name>_unlinked``, which also tells that the keys are
-    remapped: doing so a second time would take new ids for old ones, and raises. A job
-    that stopped between the two renamings is finished by the next call.
+    The log as it was stays as ``<name>_unlinked``. A watermark tells up to which log id
+    the keys are new; fills, loads and amplification raise it with the rows they write,
+    so a second remap takes only rows that something else appended with old keys, and
+    does nothing if there are none. A job that stopped on the way is finished by the next
+    call.
     """
     names = {k: f"{spec.name}{k}" for k in ("", "_unlinked", "_linked")}
     name, kept, fresh = (f"`{database}`.`{n}`" for n in names.values())
     there = {t.name for t in spark.catalog.listTables(database)}
-    if names["_unlinked"] in there:
-        if names[""] in there:
-            raise ValueError(f"{name}: its foreign keys are remapped already")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-        return name
-    linked = connect_foreign_keys(spark, database, spec, specs, use_sentinel)
-    columns = dict.fromkeys(linked.columns, "BOOLEAN")
-    columns |= {c: kind for c, _, kind in entity_columns(spec)}
-    body = ", ".join(f"`{c}` {kind}" for c, kind in columns.items())
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    spark.sql(f"CREATE TABLE {fresh} ({body}) USING parquet")
-    append_rows(linked, fresh)
-    spark.sql(f"ALTER TABLE {name} RENAME TO {kept}")
+    layout = ", ".join(f"`{c}` {kind}" for c, _, kind in LINK_COLUMNS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`key_link` ({layout}) USING parquet")
+
+    def last(table: str) -> int:
+        return first_free(1, spark.table(table).select("log_id")) - 1
+
+    if names[""] in there:
+        done = _watermark(spark, database, spec.name)
+        if done is None and names["_unlinked"] in there:
+            # Remapped before there were watermarks.
+            _raise_watermark(spark, database, spec.name, last(kept), use_sentinel)
+            done = _watermark(spark, database, spec.name)
+        if done is not None:
+            if last(name) <= done.log_id:
+                return name
+            use_sentinel = done.use_sentinel
+        linked = connect_foreign_keys(spark, database, spec, specs, use_sentinel)
+        columns = dict.fromkeys(linked.columns, "BOOLEAN")
+        columns |= {c: kind for c, _, kind in entity_columns(spec)}
+        body = ", ".join(f"`{c}` {kind}" for c, kind in columns.items())
+        keys = key_properties(foreign_keys(spec))
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        spark.sql(f"CREATE TABLE {fresh} ({body}) USING parquet {keys}")
+        append_rows(linked, fresh)
+        # A sentinel is no id of any thing, and is meant to be there.
+        checked = spark.table(fresh).drop(*(foreign_keys(spec) if use_sentinel else ()))
+        wrong = _broken(spark, database, spec.name, checked)
+        if wrong:
+            spark.sql(f"DROP TABLE {fresh}")
+            raise IntegrityError(wrong)
+        spark.sql(f"DROP TABLE IF EXISTS {kept}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {kept}")
+    # While the table has no name, so that no stop leaves new keys under an old watermark.
+    _raise_watermark(spark, database, spec.name, last(fresh), use_sentinel)
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return name
 
@@ -216,10 +382,10 @@ def _first_numbers(
         used = spark.table(tickets).where(F.col("ticket") == ticket).first()
         if used is not None:
             return used.first_n_id, used.first_log_id, True
-    registry, log = (spark.table(f"`{database}`.`{t}`") for t in ("thing", table))
+    registry = spark.table(f"`{database}`.`thing`")
     numbers = (
         first_free(FIRST_N_ID, registry.select("n_id")),
-        first_free(1, log.select("log_id")),
+        _next_log_id(spark, database, table),
     )
     if ticket is not None:
         row = spark.createDataFrame([(ticket, *numbers)], struct_type(TICKET_COLUMNS))
@@ -239,7 +405,9 @@ def load(
 
     Ids of new things are stored first. Should the job stop there, those ids stay
     unused and the next load takes higher ones. A single rejected batch raises; in
-    a series the rejected batches are left out and reported in ``errors``.
+    a series the rejected batches are left out and reported in ``errors``. The rows are
+    staged and audited first; if one breaks a rule of the table, nothing is published.
+    Foreign keys are new ids once those of the table are remapped, legacy ids before.
 
     A ``ticket`` names the load: one that is called again with it, after it stopped at
     any point or was done, takes the same numbers and adds only the rows that are not
@@ -262,8 +430,19 @@ def load(
     if again:
         things = things.join(registry, "n_id", "left_anti")
         rows = rows.join(log.select("log_id"), "log_id", "left_anti")
+    linked = _watermark(spark, database, table)
+    staged = _stage(spark, database, table, rows)
+    wrong = _broken(
+        spark, database, table, staged, new_things=things, old_keys=linked is None
+    )
+    if wrong:
+        _unstage(spark, database, [table])
+        raise IntegrityError(wrong)
     append_rows(things, registry_name)
-    append_rows(rows, name)
+    last = first_log_id + planned.logged - 1
+    if linked is not None and last > linked.log_id:
+        _raise_watermark(spark, database, table, last, linked.use_sentinel)
+    _publish(spark, database, [table])
     return planned
 
 
@@ -302,4 +481,10 @@ def add_versions(
 ) -> None:
     """Append synthetic versions of every row of a table."""
     name = f"`{database}`.`{table}`"
-    append_rows(amplify(spark.table(name), copies, own_name, own_name), name)
+    log = spark.table(name)
+    linked = _watermark(spark, database, table)
+    if linked is not None:
+        span = log.agg(F.count("log_id").alias("n"), F.max("log_id").alias("high")).first()
+        last = (span.high or 0) + max(copies, 0) * span.n
+        _raise_watermark(spark, database, table, last, linked.use_sentinel)
+    append_rows(amplify(log, copies, own_name, own_name), name)

@@ -1130,6 +1130,147 @@ def job_name_map(spark, sf_dir):
     )
 
 
+def _in_steps(spark, sf_dir):
+    """Legacy tables of a first and of a second fill; customers of furniture makers refer
+    to nations that there are none of."""
+    legacy = B.legacy_tables(spark, sf_dir)
+    odd = F.when(F.col("created_by") == "FURNITURE", -F.col("nation_id") - 1)
+    customers = legacy["customer"]
+    customers = customers.withColumn("nation_id", F.coalesce(odd, "nation_id"))
+    whole = {**legacy, "customer": customers}
+    first = {
+        **whole,
+        "customer": customers.where("balance >= 0"),
+        "map_customer_activity": legacy["map_customer_activity"].where("created_by <> 'view'"),
+        "map_part_supplier": legacy["map_part_supplier"].where("created_by = 'N'"),
+    }
+    return first, whole
+
+
+@query(
+    "job_fill_after_link",
+    """WITH first AS (
+      SELECT 0 AS o, n_nationkey AS old_id FROM nation
+      UNION ALL SELECT 1, c_custkey FROM customer WHERE c_acctbal >= 0
+      UNION ALL SELECT 2, o_orderkey FROM orders UNION ALL SELECT 3, p_partkey FROM part),
+    numbered AS (SELECT o, old_id, 999 + row_number() OVER (ORDER BY o, old_id) AS n_id
+      FROM first),
+    b AS (SELECT * FROM numbered UNION ALL
+      SELECT 1, c_custkey, (SELECT max(n_id) FROM numbered)
+        + row_number() OVER (ORDER BY c_custkey) FROM customer WHERE c_acctbal < 0)
+    SELECT row_number() OVER (ORDER BY c.n_id) AS log_id, c.n_id, c_name AS name,
+      n.n_id AS nation_id, n.n_id IS NULL AS bad_nation_id
+    FROM customer JOIN b c ON c.o = 1 AND c.old_id = c_custkey
+    LEFT JOIN b n ON n.o = 0 AND n.old_id = c_nationkey AND c_mktsegment <> 'FURNITURE'""",
+)
+def job_fill_after_link(spark, sf_dir):
+    """Customers after a fill, new foreign keys, a fill of those in debt, and a second remap."""
+    database = B.new_database(spark)
+    create_tables(spark, database, B.SPECS)
+    spec = next(s for s in B.SPECS if s.name == "customer")
+    for legacy in _in_steps(spark, sf_dir):
+        jobs.fill(legacy, spark, database, B.SPECS, B.LEGACY_THINGS, B.LEGACY_VENDORS)
+        jobs.store_foreign_keys(spark, database, spec, B.SPECS)
+    log = spark.table(f"{database}.customer")
+    return log.select("log_id", "n_id", "name", "nation_id", "bad_nation_id")
+
+
+_NAMED = """
+    maps AS (
+      SELECT 'customer' AS thing, 2 AS v_id, user_id AS old_id, props AS ext_id,
+        ts AS created_ts, event_type AS created_by FROM events
+      UNION ALL SELECT 'orders', 1, l_orderkey, l_partkey || '-' || l_linenumber,
+        l_shipdate, l_returnflag FROM lineitem
+      UNION ALL SELECT 'part', 3, l_partkey, CAST(l_suppkey AS VARCHAR), l_shipdate,
+        l_returnflag FROM lineitem),
+    named AS (SELECT CASE thing WHEN 'customer' THEN c_name WHEN 'part' THEN p_name
+          ELSE o_orderstatus END AS name, m.* FROM maps m
+        LEFT JOIN customer ON thing = 'customer' AND c_custkey = old_id
+        LEFT JOIN orders ON thing = 'orders' AND o_orderkey = old_id
+        LEFT JOIN part ON thing = 'part' AND p_partkey = old_id)"""
+
+
+def _filled_in_steps(spark, sf_dir):
+    database = B.new_database(spark)
+    create_tables(spark, database, B.SPECS)
+    for legacy in _in_steps(spark, sf_dir):
+        jobs.fill(legacy, spark, database, B.SPECS, B.LEGACY_THINGS, B.LEGACY_VENDORS)
+    return database
+
+
+@query(
+    "job_fill_in_steps",
+    f"""WITH {_NAMED}
+    SELECT thing, v_id, old_id, ext_id, created_ts, created_by, count(*) AS rows
+    FROM named WHERE name IS NOT NULL GROUP BY ALL""",
+)
+def job_fill_in_steps(spark, sf_dir):
+    """The name map under old ids, its rows counted, after two fills."""
+    database = _filled_in_steps(spark, sf_dir)
+    vendors = spark.table(f"{database}.vendor").select("v_id", "vendor")
+    fixed = F.when(F.col("vendor") == "line", 1).when(F.col("vendor") == "activity", 2)
+    named = vendors.select("v_id", fixed.otherwise(3).alias("fixed"))
+    return (
+        spark.table(f"{database}.name_map")
+        .join(F.broadcast(named), "v_id")
+        .join(spark.table(f"{database}.old_new_bridge"), "n_id")
+        .groupBy(
+            "thing", F.col("fixed").alias("v_id"), "old_id", "ext_id", "created_ts", "created_by"
+        )
+        .agg(F.count("log_id").alias("rows"))
+    )
+
+
+@query(
+    "job_name_map_ids",
+    f"""WITH {_NAMED}
+    SELECT row_number() OVER (ORDER BY old_id) AS log_id FROM named WHERE name IS NOT NULL""",
+)
+def job_name_map_ids(spark, sf_dir):
+    """The log ids of the name map after two fills: without gaps, none twice."""
+    return spark.table(f"{_filled_in_steps(spark, sf_dir)}.name_map").select("log_id")
+
+
+@query(
+    "job_gate",
+    """SELECT 'foreign_key' AS rule, 'nation_id' AS column_name, count(*) AS violations,
+      (SELECT count(*) FROM customer) AS published
+    FROM orders WHERE o_orderstatus = 'F' AND o_custkey IN (SELECT c_custkey FROM customer)
+    UNION ALL SELECT 'max_length', 'nick_name', count(*), (SELECT count(*) FROM customer)
+    FROM orders WHERE length(o_orderpriority) > 8
+      AND o_custkey IN (SELECT c_custkey FROM customer)""",
+)
+def job_gate(spark, sf_dir):
+    """What stops a load of orders as changes of customers, and the rows there after it.
+
+    Finished orders refer to a nation that there is none of, and urgent or unspecified
+    ones give a nick name that is too long.
+    """
+    database = _filled(spark, sf_dir)
+    spec = next(s for s in B.SPECS if s.name == "customer")
+    jobs.store_foreign_keys(spark, database, spec, B.SPECS)
+    customers = spark.table(f"{database}.old_new_bridge").where("thing = 'customer'")
+    changes = B.read(spark, sf_dir, "orders").join(
+        customers, F.col("o_custkey") == F.col("old_id")
+    )
+    long = F.char_length("o_orderpriority") > 8
+    batch = changes.select(
+        F.col("o_orderkey").alias("row_no"),
+        "n_id",
+        F.col("o_orderpriority").alias("name"),
+        F.when(long, F.repeat("o_orderpriority", F.lit(9))).alias("nick_name"),
+        F.when(F.col("o_orderstatus") == "F", 999_999_999).alias("nation_id"),
+    )
+    try:
+        jobs.load(spark, database, "customer", [batch], "row_no")
+        broken = []
+    except jobs.IntegrityError as stopped:
+        broken = [(rule, column, n) for _, rule, column, n in stopped.violations]
+    found = spark.createDataFrame(broken, "rule string, column_name string, violations long")
+    rows = spark.table(f"{database}.customer").agg(F.count("log_id")).scalar()
+    return found.withColumn("published", rows)
+
+
 @query(
     "job_link_load_query",
     f"""WITH {_ALL_IDS},

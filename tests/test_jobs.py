@@ -33,7 +33,7 @@ def names(spark, table, where="true"):
 
 def test_fill(spark, database):
     tables = reflect(spark, database)
-    fixed = {"thing", "vendor", "old_new_bridge", "name_map", "load_ticket"}
+    fixed = {"thing", "vendor", "old_new_bridge", "name_map", "load_ticket", "key_link"}
     assert set(tables) == {*fixed, *THINGS}
     assert tables["thing"].count() == tables["old_new_bridge"].count() == 5
     assert rows(tables["vendor"]) == [(1, "tapir", "main"), (2, "ios", "main")]
@@ -126,7 +126,7 @@ def test_fill_goes_on_after_a_stop(spark, legacy):  # noqa: F811
     counts = {name: df.count() for name, df in reflect(spark, "resumed").items()}
     assert counts == {
         "thing": 5, "vendor": 2, "old_new_bridge": 5, "name_map": 3, "brand": 3,
-        "company": 2, "load_ticket": 0,
+        "company": 2, "load_ticket": 0, "key_link": 0,
     }
 
 
@@ -152,8 +152,8 @@ def test_remapped_tables_go_on(spark, legacy):  # noqa: F811
     jobs.store_foreign_keys(spark, "linked", SPECS[0], SPECS)
     assert rows(spark.table("linked.brand")) == want
     assert rows(spark.table("linked.brand_unlinked"), "company_id") == [(1,), (2,), (8,)]
-    with pytest.raises(ValueError, match="already"):
-        jobs.store_foreign_keys(spark, "linked", SPECS[0], SPECS)
+    jobs.store_foreign_keys(spark, "linked", SPECS[0], SPECS)
+    assert rows(spark.table("linked.brand")) == want
 
     ddl = "n_id long, row_no int, name string, company_id long, status string"
     changed = spark.createDataFrame([(1001, 0, "b20x", 1004, "stage")], ddl)
@@ -179,6 +179,80 @@ def test_a_remap_that_stopped_between_renamings(spark, legacy):  # noqa: F811
     assert rows(spark.table("halfway.brand")) == want
 
 
+def test_fills_after_a_remap_bring_new_keys(spark, legacy):  # noqa: F811
+    create_tables(spark, "later", SPECS)
+    brands = legacy["brand"]
+    jobs.fill({**legacy, "brand": brands.where("brand_id < 30")}, spark, "later", SPECS, THINGS, VENDORS)
+    jobs.store_foreign_keys(spark, "later", SPECS[0], SPECS)
+    for _ in range(2):
+        jobs.fill(legacy, spark, "later", SPECS, THINGS, VENDORS)
+        jobs.store_foreign_keys(spark, "later", SPECS[0], SPECS)
+        assert rows(spark.table("later.brand"), "log_id", "name", "company_id", "bad_company_id") == [
+            (1, "b10", 1002, False), (2, "b20", None, True), (3, "b30", 1003, False),
+        ]
+    # Rows that something else appended under old keys are taken alone.
+    odd = [(9, 1000, "b10x", 2), (10, 1001, "b20x", 7)]
+    append_rows(spark.createDataFrame(odd, "log_id long, n_id long, name string, company_id long"), "later.brand")
+    jobs.store_foreign_keys(spark, "later", SPECS[0], SPECS)
+    want = [
+        (1, 1002, False), (2, None, True), (3, 1003, False), (9, 1003, False), (10, None, True),
+    ]
+    assert rows(spark.table("later.brand"), "log_id", "company_id", "bad_company_id") == want
+    # A stop before or after the renamings is made good by the next call.
+    spark.sql("ALTER TABLE later.brand RENAME TO later.brand_linked")
+    jobs.store_foreign_keys(spark, "later", SPECS[0], SPECS)
+    assert rows(spark.table("later.brand"), "log_id", "company_id", "bad_company_id") == want
+
+
+def test_name_map_in_steps_counts_copies(spark, legacy):  # noqa: F811
+    create_tables(spark, "steps", SPECS)
+    maps = legacy["map_brand_ios"]
+    later = maps.withColumn("updated_ts", F.col("updated_ts") + F.expr("interval 1 day"))
+    doubled = {**legacy, "map_brand_ios": maps.union(later).union(maps)}
+    jobs.fill(legacy, spark, "steps", SPECS, THINGS, VENDORS)
+    for _ in range(2):
+        jobs.fill(doubled, spark, "steps", SPECS, THINGS, VENDORS)
+    create_tables(spark, "at_once", SPECS)
+    jobs.fill(doubled, spark, "at_once", SPECS, THINGS, VENDORS)
+    stepped, whole = (spark.table(f"{d}.name_map") for d in ("steps", "at_once"))
+    assert rows(stepped.drop("log_id")) == rows(whole.drop("log_id"))
+    assert rows(stepped, "log_id") == rows(whole, "log_id") == [(n,) for n in range(1, 8)]
+
+
+def test_nothing_that_breaks_a_rule_is_published(spark, legacy):  # noqa: F811
+    create_tables(spark, "gate", SPECS)
+    long = legacy["brand"].withColumn("brand_name", F.repeat("brand_name", F.lit(100)))
+    with pytest.raises(jobs.IntegrityError) as stopped:
+        jobs.fill({**legacy, "brand": long}, spark, "gate", SPECS, THINGS, VENDORS)
+    assert stopped.value.violations == [("brand", "max_length", "name", 3)]
+    tables = reflect(spark, "gate")
+    assert not any(name.endswith("_staged") for name in tables)
+    assert all(tables[name].isEmpty() for name in ("brand", "company", "name_map"))
+    jobs.fill(legacy, spark, "gate", SPECS, THINGS, VENDORS)
+
+    def load(company_id):
+        ddl = "n_id long, row_no int, name string, company_id long"
+        batch = spark.createDataFrame([(1000, 0, "x", company_id), (1000, 1, "y", None)], ddl)
+        return jobs.load(spark, "gate", "brand", [batch], "row_no")
+
+    # Legacy ids before the remap, new ones after it.
+    for bad, good in ((1003, 2), (2, 1004)):
+        before = spark.table("gate.brand").count()
+        with pytest.raises(jobs.IntegrityError, match="company_id"):
+            load(bad)
+        assert spark.table("gate.brand").count() == before
+        load(good)
+        assert spark.table("gate.brand").count() == before + 2
+        jobs.store_foreign_keys(spark, "gate", SPECS[0], SPECS)
+    got = rows(spark.table("gate.brand").where("company_id = 1004"), "log_id")
+    assert got == [(3,), (4,), (6,)]
+    made = spark.createDataFrame([(0, "z", 999999)], "row_no int, name string, company_id long")
+    registered = spark.table("gate.thing").count()
+    with pytest.raises(jobs.IntegrityError):
+        jobs.load(spark, "gate", "brand", [made], "row_no")
+    assert spark.table("gate.thing").count() == registered
+
+
 def test_foreign_key_to_an_undeclared_table(spark, database):
     odd = TableSpec("brand", (ColumnSpec("company_id", "int", "nowhere"),))
     with pytest.raises(ValueError, match="nowhere"):

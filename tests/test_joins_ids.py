@@ -1,8 +1,10 @@
+import bisect
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from entiledger.operators import ids
 from entiledger.operators.ids import dense_ids, first_free, next_id
 from entiledger.operators.joins import fits_broadcast, hot_keys, hot_values, lookup_join
 
@@ -143,6 +145,42 @@ def test_dense_ids_keep_other_columns(spark):
     assert rows(dense_ids(df, "k", "n")) == [(0, "a", 0), (1, "b", 1)]
 
 
+def test_sparse_keys_make_few_even_buckets(spark, many_partitions):
+    """Hash-like and clustered keys alike: counts as many as buckets, none of them large."""
+    rng = random.Random(7)
+    sparse = [rng.randrange(-(2**63), 2**63) for _ in range(6000)]
+    keys = spark.createDataFrame([(k,) for k in {*sparse, *range(6000)}], "k long")
+    borders = ids.key_borders(keys, "k", 64)
+    assert borders == sorted(set(borders)) and 50 < len(borders) <= 64
+    assert borders == ids.key_borders(keys.repartition(5), "k", 64)
+    bucket = ids._range_of(F.col("k"), borders).alias("b")
+    sizes = [r["count"] for r in keys.groupBy(bucket).count().collect()]
+    assert len(sizes) <= 65 and max(sizes) < 12_000 / 64 * 8
+    for k, b in keys.select("k", bucket).limit(500).collect():
+        assert b == bisect.bisect_right(borders, k)
+
+
+def test_row_ids_need_no_key(spark):
+    data = [(1, None)] * 5 + [(1, "a"), (None, None)] + [(2, "b")] * 70_000
+    df = spark.createDataFrame(data, "k int, t string").repartition(7)
+    done = ids.row_ids(ids.counted_rows(df), "n", 10)
+    again = ids.row_ids(ids.counted_rows(df.repartition(3)), "n", 10)
+    assert done.columns == ["k", "t", "n"]
+    got = rows(done)
+    assert sorted(r[2] for r in got) == list(range(10, 10 + len(data)))
+    assert rows(done, "k", "t") == rows(df)
+    assert rows(again) == got
+    assert rows(ids.row_ids(ids.counted_rows(df.limit(0)), "n")) == []
+
+
+def test_lacking_rows_counts_copies(spark):
+    want = spark.createDataFrame([(1, "a")] * 3 + [(1, None)] * 2 + [(2, "b")], "k int, t string")
+    stored = spark.createDataFrame([("a", 1), (None, 1), (None, 1), ("c", 9)], "t string, k int")
+    assert rows(ids.lacking_rows(want, stored)) == [(1, "a", 2), (2, "b", 1)]
+    assert rows(ids.lacking_rows(want, want)) == []
+    assert rows(ids.lacking_rows(want, want.limit(0)), "_copies") == [(1,), (2,), (3,)]
+
+
 def test_next_id(spark):
     table = spark.createDataFrame([(4,), (9,)], "n long")
     one = spark.range(1)
