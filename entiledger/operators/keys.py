@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entiledger.model import BAD_KEY_SENTINEL
-from entiledger.operators.joins import hot_values, lookup_join
+from entiledger.operators.joins import fits_broadcast, hot_values, lookup_join
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
@@ -115,6 +115,20 @@ def _bridge_for(bridge: DataFrame, thing: str, fk: str) -> DataFrame:
     )
 
 
+def _remapped(
+    fk: str, new: Column, keys: DataFrame, sentinel: int | None
+) -> list[Column]:
+    """The remapped key and its flag, or with a sentinel the key alone."""
+    old = F.col(fk).cast("long")
+    if sentinel is None:
+        return [new.alias(fk), (old.isNotNull() & new.isNull()).alias(f"bad_{fk}")]
+    known = keys.where(F.col(fk) == sentinel).agg(F.max("_new")).scalar()
+    no_keys = keys.agg(F.count(F.lit(1)) == 0).scalar()
+    replaced = F.coalesce(known, F.lit(sentinel).cast("long"))
+    value = F.when(new.isNotNull(), new).when(old.isNotNull() | no_keys, replaced)
+    return [value.alias(fk)]
+
+
 def remap_foreign_key(
     rows: DataFrame,
     fk: str,
@@ -134,18 +148,36 @@ def remap_foreign_key(
     cast = rows.withColumn(fk, F.col(fk).cast("long"))
     spread = ["log_id"] if "log_id" in rows.columns else None
     joined = lookup_join(cast, keys, fk, "left", spread, hot=hot)
-    old, new = F.col(fk), F.col("_new")
-    if sentinel is None:
-        bad = (old.isNotNull() & new.isNull()).alias(f"bad_{fk}")
-        kept = [new.alias(c) if c == fk else F.col(c) for c in rows.columns]
-        return joined.select(*kept, bad)
-    known = keys.where(F.col(fk) == sentinel).agg(F.max("_new")).scalar()
-    no_keys = keys.agg(F.count(F.lit(1)) == 0).scalar()
-    replaced = F.coalesce(known, F.lit(sentinel).cast("long"))
-    value = F.when(new.isNotNull(), new).when(old.isNotNull() | no_keys, replaced)
-    return joined.select(
-        *[value.alias(c) if c == fk else F.col(c) for c in rows.columns]
+    key, *flag = _remapped(fk, F.col("_new"), keys, sentinel)
+    return joined.select(*[key if c == fk else F.col(c) for c in rows.columns], *flag)
+
+
+def _looked_up(
+    rows: DataFrame, foreign_keys: Mapping[str, str], bridge: DataFrame, row_key: list[str]
+) -> DataFrame:
+    """Rows with the new id of each foreign key, in ``_new_<fk>``, by one lookup for all.
+
+    Only the row's key and one value travel to the bridge, a row for each foreign key that
+    is there; the wide rows are shuffled once, by their own key.
+    """
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(fk).alias("_fk"),
+                F.lit(table).alias("thing"),
+                F.col(fk).cast("long").alias("old_id"),
+            )
+            for fk, table in foreign_keys.items()
+        ]
     )
+    pairs = rows.select(*row_key, F.inline(each)).where(F.col("old_id").isNotNull())
+    known = bridge.select("thing", F.col("old_id").cast("long").alias("old_id"), "n_id")
+    found = lookup_join(pairs, known, ["thing", "old_id"], "inner", row_key)
+    news = [
+        F.max(F.when(F.col("_fk") == fk, F.col("n_id"))).alias(f"_new_{fk}")
+        for fk in foreign_keys
+    ]
+    return rows.join(found.groupBy(*row_key).agg(*news), row_key, "left")
 
 
 def remap_foreign_keys(
@@ -155,20 +187,40 @@ def remap_foreign_keys(
     known_tables: list[str],
     use_sentinel: bool = False,
     skip_after_unknown: bool = False,
+    row_key: Sequence[str] = ("log_id",),
 ) -> DataFrame:
     """Remap every foreign key of a table, given as column -> foreign table.
 
     An unknown foreign table is an error; with ``skip_after_unknown`` that key and
     the later ones are left as they are. Run it once per table: a second run would
-    take new ids for old ones. The hot values of all keys come from one scan.
+    take new ids for old ones.
+
+    A bridge that Spark itself would broadcast is joined key by key without a shuffle.
+    Otherwise several keys of rows with a unique ``row_key`` share one lookup, and rows
+    without one are joined key by key, the hot values of all keys coming from one scan.
     """
-    hot = hot_values(rows, list(foreign_keys)) if foreign_keys else {}
+    taken: dict[str, str] = {}
     for fk, foreign_table in foreign_keys.items():
         if foreign_table not in known_tables:
             if skip_after_unknown:
                 break
             raise ValueError(f"column {fk}: unknown foreign table {foreign_table!r}")
-        sentinel = BAD_KEY_SENTINEL if use_sentinel else None
+        taken[fk] = foreign_table
+    sentinel = BAD_KEY_SENTINEL if use_sentinel else None
+    columns = list(rows.columns)
+    keyed = set(row_key) <= set(columns) and not set(row_key) & set(taken)
+    if len(taken) > 1 and keyed and not fits_broadcast(bridge):
+        joined = _looked_up(rows, taken, bridge, list(row_key))
+        parts = {
+            fk: _remapped(
+                fk, F.col(f"_new_{fk}"), _bridge_for(bridge, table, fk), sentinel
+            )
+            for fk, table in taken.items()
+        }
+        keys = [parts[c][0] if c in parts else F.col(c) for c in columns]
+        return joined.select(*keys, *[flag for fk in taken for flag in parts[fk][1:]])
+    hot = hot_values(rows, list(taken)) if taken else {}
+    for fk, foreign_table in taken.items():
         rows = remap_foreign_key(rows, fk, foreign_table, bridge, sentinel, hot[fk])
     return rows
 

@@ -348,6 +348,7 @@ def remap_foreign_keys(spark, sf_dir):
         {"part_id": "part", "supplier_id": "supplier"},
         bridge,
         ["part", "supplier"],
+        row_key=["orders_id", "line"],
     )
 
 
