@@ -33,19 +33,24 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def reference_errors(
-    rows: DataFrame, registry: DataFrame, thing: str, created: Column | None = None
+    rows: DataFrame, registry: DataFrame, thing: str, start: int | None = None
 ) -> DataFrame:
     """Ids in modifying rows that are missing, unknown or belong to another thing.
 
     Rows are counted per batch and id first, so an id with very many rows is one
-    row in the join, and both of its sides are close to unique on the id.
-    ``created`` tells whether an id is one that an earlier batch of the series creates.
+    row in the join, and both of its sides are close to unique on the id. A batch also
+    knows the ids that earlier ones of the series create: with ``start``, those from
+    there up to its ``_ends``.
     """
-    used = rows.groupBy("batch_no", "n_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    ends = F.max("_ends") if start is not None else F.lit(None).cast("long")
+    used = rows.groupBy("batch_no", "n_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), ends.alias("_ends")
+    )
     known = registry.select("n_id", F.col("thing").alias("found"))
-    found = F.col("found")
-    if created is not None:
-        found = F.coalesce(found, F.when(created, thing))
+    created = F.lit(False)
+    if start is not None:
+        created = (F.col("n_id") >= start) & (F.col("n_id") < F.col("_ends"))
+    found = F.coalesce(F.col("found"), F.when(created, thing))
     problem = (
         F.when(F.col("n_id").isNull(), "missing")
         .when(F.col("found").isNull(), "unknown")
@@ -66,41 +71,57 @@ def _bad_status(batch: DataFrame) -> Column:
     return F.coalesce(~F.col("status").isin(list(STATUS_CODES)), F.lit(False))
 
 
-def status_errors(batches: Sequence[tuple[int, DataFrame]]) -> DataFrame:
+def status_errors(rows: DataFrame) -> DataFrame:
     """Status values of batches that are outside the enumeration, with their rows."""
-    return _union(
-        [
-            batch.where(_bad_status(batch))
-            .groupBy(F.col("status").cast("string").alias("found"))
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(
-                F.lit(place).alias("batch_no"),
-                F.lit(None).cast("long").alias("n_id"),
-                "found",
-                F.lit("status").alias("problem"),
-                "n_rows",
-            )
-            for place, batch in batches
-        ]
+    return (
+        rows.where(_bad_status(rows))
+        .groupBy("batch_no", F.col("status").cast("string").alias("found"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(
+            "batch_no",
+            F.lit(None).cast("long").alias("n_id"),
+            "found",
+            F.lit("status").alias("problem"),
+            "n_rows",
+        )
     )
 
 
-def _counted(batches: Sequence[DataFrame], row_no: str) -> dict[int, tuple]:
-    """(rows, rows with a number, rows of a bad status) of each batch, read once."""
-    counts = [
-        batch.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count(row_no).alias("numbered"),
-            F.count_if(_bad_status(batch)).alias("bad"),
-        ).select(F.lit(place).alias("batch_no"), "*")
+@dataclass(frozen=True)
+class Series:
+    """Batches as one table, told apart by ``batch_no`` from 1.
+
+    ``creates`` tells of each batch whether its rows create entities; the others have the
+    ids of those that they modify in ``n_id``.
+    """
+
+    rows: DataFrame
+    creates: list[bool]
+
+
+def series_of(batches: Sequence[DataFrame]) -> Series:
+    """Batches of any columns as a series; one with an ``n_id`` column modifies."""
+    creates = ["n_id" not in batch.columns for batch in batches]
+    parts = [
+        batch.withColumn("batch_no", F.lit(place))
         for place, batch in enumerate(batches, start=1)
     ]
+    return Series(_union(parts), creates)
+
+
+def _counted(rows: DataFrame, row_no: str) -> dict[int, tuple]:
+    """(rows, rows with a number, rows of a bad status) of each batch, in one scan."""
+    counts = rows.groupBy("batch_no").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(row_no).alias("numbered"),
+        F.count_if(_bad_status(rows)).alias("bad"),
+    )
     # One row per batch of the series.
-    return {r.batch_no: (r.n, r.numbered, r.bad) for r in _union(counts).collect()}
+    return {r.batch_no: (r.n, r.numbered, r.bad) for r in counts.collect()}
 
 
 def load_series(
-    batches: Sequence[DataFrame],
+    batches: Sequence[DataFrame] | Series,
     registry: DataFrame,
     thing: str,
     row_no: str,
@@ -118,48 +139,43 @@ def load_series(
     With ``first_log_id`` the rows get log ids in the same order; a rejected batch
     leaves a gap in them. ``start`` is the first new id, otherwise read from the
     registry. Batches are counted here, which fixes all numbers of the planned rows.
+    A :class:`Series` that comes from one source is scanned as often whether it has one
+    batch or thousands.
     """
+    series = batches if isinstance(batches, Series) else series_of(batches)
+    given, spark = series.rows, registry.sparkSession
     if start is None:
         start = first_free(next_default, registry.select("n_id"))
-    counts = _counted(batches, row_no)
-    for place, (n, numbered, _) in counts.items():
+    counts = _counted(given, row_no)
+    # Where each batch's new ids and log ids start, counted from the first ones, and how
+    # many rows the batches in front of it have that are not rejected for their status.
+    places, made, logged, taken, changes, wrong = [], 0, 0, 0, False, False
+    for place, creates in enumerate(series.creates, start=1):
+        n, numbered, bad = counts.get(place, (0, 0, 0))
         if numbered < n:
             raise ValueError(f"batch {place}: rows without a {row_no}")
-    placed = list(enumerate(batches, start=1))
-    wrong = [(place, batch) for place, batch in placed if counts[place][2]]
-    creates = {place: "n_id" not in batch.columns for place, batch in placed}
-    rejected = {place for place, _ in wrong}
-
-    # Where each batch's new ids and log ids start, counted from the first ones.
-    new_before, log_before, made, logged = {}, {}, 0, 0
-    for place, _ in placed:
-        new_before[place], log_before[place] = made, logged
-        if creates[place] and place not in rejected:
-            made += counts[place][0]
-        logged += counts[place][0]
-
-    changes = [
-        batch.select(
-            F.lit(place).alias("batch_no"),
-            F.col("n_id").cast("long").alias("n_id"),
-        )
-        for place, batch in placed
-        if not creates[place] and place not in rejected
-    ]
-    spark = registry.sparkSession
+        places.append((place, creates, not bad, logged - taken, made - taken, start + made))
+        wrong = wrong or bad > 0
+        changes = changes or not (creates or bad)
+        made += n if creates and not bad else 0
+        taken += 0 if bad else n
+        logged += n
+    # One row per batch.
+    kinds = "batch_no int, _creates boolean, _taken boolean, _log long, _new long, _ends long"
+    known = F.broadcast(spark.createDataFrame(places, kinds))
+    if "n_id" not in given.columns:
+        given = given.withColumn("n_id", F.lit(None).cast("long"))
+    placed = given.join(known, "batch_no")
     found = []
     if changes:
-        # A batch knows the ids that earlier ones create: one range, by its place.
-        ends = F.get(
-            F.array(*[F.lit(start + new_before[place]) for place, _ in placed]),
-            F.col("batch_no") - 1,
+        changed = placed.where("_taken AND NOT _creates").select(
+            "batch_no", F.col("n_id").cast("long").alias("n_id"), "_ends"
         )
-        created = (F.col("n_id") >= start) & (F.col("n_id") < ends)
-        known = registry.where(F.col("n_id") < start)
-        errors = reference_errors(_union(changes), known, thing, created)
+        registered = registry.where(F.col("n_id") < start)
+        errors = reference_errors(changed, registered, thing, start)
         found.append(errors)
     if wrong:
-        found.append(status_errors(wrong))
+        found.append(status_errors(placed))
     errors = (
         _union(found)
         if found
@@ -170,29 +186,18 @@ def load_series(
     new_things = spark.range(start, start + made).select(
         F.col("id").alias("n_id"), F.lit(thing).alias("thing")
     )
-
-    taken = [(place, batch) for place, batch in placed if place not in rejected]
-    empty = not taken
-    before, parts = 0, []
-    for place, batch in taken or placed[:1]:
-        n_id = F.lit(None) if creates[place] else F.col("n_id")
-        action = "create" if creates[place] else "modify"
-        part = batch.where(F.lit(not empty)).select(
-            F.lit(place).alias("batch_no"),
-            F.lit(log_before[place] - before).alias("_log"),
-            F.lit(new_before[place] - before if creates[place] else None)
-            .cast("long")
-            .alias("_new"),
-            n_id.cast("long").alias("n_id"),
-            *[c for c in batch.columns if c != "n_id"],
-            F.lit(action).alias("action"),
-        )
-        parts.append(part)
-        before += counts[place][0]
-    rows = _union(parts)
+    others = [c for c in given.columns if c not in ("batch_no", "n_id")]
+    rows = placed.where("_taken").select(
+        "batch_no",
+        "_log",
+        "_new",
+        F.when(~F.col("_creates"), F.col("n_id")).cast("long").alias("n_id"),
+        *others,
+        F.when(F.col("_creates"), "create").otherwise("modify").alias("action"),
+    )
     if made or first_log_id is not None:
         rows = dense_ids(rows, row_no, "_place", 0, "batch_no")
-        new_id = start + F.col("_new") + F.col("_place")
+        new_id = F.when(F.col("action") == "create", start + F.col("_new") + F.col("_place"))
         rows = rows.withColumn("n_id", F.coalesce(new_id, F.col("n_id")))
         if first_log_id is not None:
             rows = rows.withColumn("log_id", first_log_id + F.col("_log") + F.col("_place"))

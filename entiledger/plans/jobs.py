@@ -28,7 +28,7 @@ from entiledger.operators.audit import (
 )
 from entiledger.operators.ids import dense_ids, first_free, lacking_rows, row_ids
 from entiledger.operators.keys import integrity_report, remap_foreign_keys
-from entiledger.operators.load import Load, load_series
+from entiledger.operators.load import Load, Series, load_series, series_of
 from entiledger.operators.migrate import (
     legacy_ids,
     migrate_all,
@@ -38,7 +38,7 @@ from entiledger.operators.migrate import (
 )
 from entiledger.operators.versions import amplify, query_log
 from entiledger.sources.catalog import catalog_of
-from entiledger.sources.files import read_load_file
+from entiledger.sources.files import read_load_series
 from entiledger.sources.tables import (
     aligned,
     append_rows,
@@ -397,7 +397,7 @@ def load(
     spark: SparkSession,
     database: str,
     table: str,
-    batches: Sequence[DataFrame],
+    batches: Sequence[DataFrame] | Series,
     row_no: str,
     ticket: str | None = None,
 ) -> Load:
@@ -416,15 +416,15 @@ def load(
     name, registry_name = f"`{database}`.`{table}`", f"`{database}`.`thing`"
     start, first_log_id, again = _first_numbers(spark, database, table, ticket)
     registry, log = spark.table(registry_name), spark.table(name)
+    series = batches if isinstance(batches, Series) else series_of(batches)
     planned = load_series(
-        batches, registry, table, row_no, FIRST_N_ID, first_log_id, start
+        series, registry, table, row_no, FIRST_N_ID, first_log_id, start
     )
-    if len(batches) == 1 and not planned.errors.isEmpty():
+    if len(series.creates) == 1 and not planned.errors.isEmpty():
         raise LoadRejected(f"{table}: the load has ids or a status that it must not have")
-    for place, batch in enumerate(batches, start=1):
-        repeated = batch.groupBy(row_no).count().where(F.col("count") > 1)
-        if not repeated.isEmpty():
-            raise ValueError(f"batch {place}: a {row_no} is used more than once")
+    repeated = series.rows.groupBy("batch_no", row_no).count().where(F.col("count") > 1)
+    if (twice := repeated.first()) is not None:
+        raise ValueError(f"batch {twice.batch_no}: a {row_no} is used more than once")
     rows = planned.rows.select(*[c for c in planned.rows.columns if c in log.columns])
     things = planned.new_things
     if again:
@@ -456,10 +456,12 @@ def load_files(
 ) -> Load:
     """Load files in the given order, each as one batch in the order of its rows.
 
-    With an ``n_id`` in the schema the files modify entities, else they create them.
+    With an ``n_id`` in the schema the files modify entities, else they create them. All
+    files are read by one scan, however many there are.
     """
-    batches = [read_load_file(spark, path, schema, fmt, _ROW_NO) for path in paths]
-    return load(spark, database, table, batches, _ROW_NO)
+    rows = read_load_series(spark, paths, schema, fmt, _ROW_NO)
+    series = Series(rows, ["n_id" not in rows.columns] * len(paths))
+    return load(spark, database, table, series, _ROW_NO)
 
 
 def query(

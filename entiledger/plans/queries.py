@@ -868,6 +868,34 @@ def load_from_file(spark, sf_dir):
     return loaded.rows.drop("batch_no", "place")
 
 
+@query(
+    "load_series_files",
+    f"""WITH {_REGISTRY_SQL}
+    SELECT dense_rank() OVER (ORDER BY p_size) AS batch_no, p_name AS name, 'stage' AS status,
+      'create' AS action,
+      (SELECT max(n_id) FROM reg) + row_number() OVER (ORDER BY p_size, p_partkey) AS n_id,
+      row_number() OVER (ORDER BY p_size, p_partkey) AS log_id
+    FROM part""",
+)
+def load_series_files(spark, sf_dir):
+    """Parts as new things, a folder of JSON files for each size, all read by one scan."""
+    path = B.scratch(spark)
+    parts = B.read(spark, sf_dir, "part").withColumn("status", F.lit("stage"))
+    rows = parts.select("p_size", "p_partkey", F.col("p_name").alias("name"), "status")
+    placed = rows.repartition("p_size").sortWithinPartitions("p_size", "p_partkey")
+    placed.drop("p_partkey").write.partitionBy("p_size").json(path)
+    # At most 50 sizes.
+    sizes = sorted(r.p_size for r in rows.select("p_size").distinct().collect())
+    given = files.read_load_series(
+        spark, [f"{path}/p_size={n}" for n in sizes], "name string, status string", "json", "place"
+    )
+    series = load.Series(given, [True] * len(sizes))
+    loaded = load.load_series(
+        series, _registry(spark, sf_dir), "customer", "place", first_log_id=1
+    )
+    return loaded.rows.withColumn("batch_no", F.col("batch_no").cast("long")).drop("place")
+
+
 @query(
     "category_file",
     """SELECT p_size AS category_id, p_name AS category_name FROM part

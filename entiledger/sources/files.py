@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,19 +32,34 @@ def _plain(path: str) -> str:
     return unquote(urlsplit(path).path)
 
 
-def _numbered(rows: DataFrame, fmt: str, row_no: str) -> DataFrame:
+def _batch_of(path: str, sources: Sequence[str]) -> int:
+    """Number from 1 of the file or folder that a file belongs to."""
+    for place, source in enumerate(sources, start=1):
+        if path == source or path.startswith(source.rstrip("/") + "/"):
+            return place
+    raise ValueError(f"{path}: of none of the given paths")
+
+
+def _numbered(
+    rows: DataFrame, fmt: str, row_no: str, sources: Sequence[str] = ()
+) -> DataFrame:
     """Rows numbered by file, then by place in the file.
 
-    Files follow each other by path; a file has less than 2**44 rows or bytes.
+    Files follow each other by path; a file has less than 2**44 rows or bytes. With
+    ``sources`` the rows also get the number of their source as ``batch_no``.
     """
     paths = sorted({_plain(p) for p in rows.inputFiles()})
-    if len(paths) < 2:
+    if len(paths) < 2 and not sources:
         return rows.withColumn(row_no, _file_order(fmt))
     spark = rows.sparkSession
+    plain = [_plain(p) for p in sources]
     # One row per file of the load.
     places = spark.createDataFrame(
-        [(path, place << 44) for place, path in enumerate(paths)],
-        "_path string, _before long",
+        [
+            (path, place << 44, _batch_of(path, plain) if plain else 0)
+            for place, path in enumerate(paths)
+        ],
+        "_path string, _before long, batch_no int",
     )
     path = F.url_decode(
         F.replace(F.parse_url(F.col("_metadata.file_path"), F.lit("PATH")), F.lit("+"), F.lit("%2B"))
@@ -52,20 +68,22 @@ def _numbered(rows: DataFrame, fmt: str, row_no: str) -> DataFrame:
     joined = placed.join(F.broadcast(places), "_path", "left")
     unknown = F.raise_error(F.concat(F.lit("file without a place: "), "_path"))
     before = F.coalesce("_before", unknown.cast("long"))
-    return joined.select(*rows.columns, (before + F.col(row_no)).alias(row_no))
+    kept = [*rows.columns, *(["batch_no"] if sources else [])]
+    return joined.select(*kept, (before + F.col(row_no)).alias(row_no))
 
 
-def _by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _by_header(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """CSV rows whose columns are found by the names in the header.
 
     All files of a folder have the header of the first one; another one fails.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    first = path if isinstance(path, str) else path[0]
+    header = spark.read.option("header", True).csv(first).columns
     missing = [f.name for f in schema if f.name not in header]
     unknown = [c for c in header if c not in schema.names]
     if missing or unknown:
         raise ValueError(
-            f"{path}: missing columns {missing}, unknown columns {unknown}"
+            f"{first}: missing columns {missing}, unknown columns {unknown}"
         )
     ordered = T.StructType([schema[c] for c in header])
     return (
@@ -109,6 +127,35 @@ def read_load_file(
     return _numbered(rows, fmt, row_no).select(*schema.names, row_no)
 
 
+def read_load_series(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType | str,
+    fmt: str,
+    row_no: str,
+) -> DataFrame:
+    """Load files or folders as one table, told apart by ``batch_no`` from 1.
+
+    As :func:`read_load_file` for each path, but one scan reads all of them, and the path
+    of a row's file gives its batch. CSV files must share one header.
+    """
+    if fmt == "orc":
+        raise ValueError("an ORC file does not tell the order of its rows")
+    if fmt not in FORMATS:
+        raise ValueError(f"unknown file format {fmt!r}")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if fmt == "csv":
+        rows = _by_header(spark, list(paths), schema)
+    else:
+        reader = spark.read.schema(schema)
+        if fmt == "json":
+            reader = reader.option("mode", "FAILFAST")
+        rows = reader.format(fmt).load(list(paths))
+    placed = _numbered(rows, fmt, row_no, paths)
+    return placed.select(*schema.names, row_no, "batch_no")
+
+
 def read_table_names(spark: SparkSession, path: str) -> DataFrame:
     """List of table names, one per line; blank lines are dropped."""
     lines = spark.read.text(path).select(

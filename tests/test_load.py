@@ -1,7 +1,11 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from entiledger.operators import load
 from entiledger.operators.load import load_rows, load_series
+from entiledger.sources.files import read_load_series
 
 from .conftest import rows
 
@@ -130,3 +134,22 @@ def test_a_plan_stays_when_the_registry_grows(spark, registry, tmp_path):
     spark.catalog.refreshByPath(path)
     assert spark.read.parquet(path).count() == 4
     assert (rows(got.rows, "batch_no", "n_id"), rows(got.errors)) == before
+
+
+def test_scans_of_a_series_do_not_grow_with_its_batches(spark, tmp_path):
+    registry = spark.createDataFrame([(1, "brand")], "n_id long, thing string")
+
+    def plan(count):
+        paths = []
+        for place in range(count):
+            paths.append(str(tmp_path / f"{count}-{place}.json"))
+            Path(paths[-1]).write_text(f'{{"n_id": 1, "name": "n{place}"}}\n' * 2)
+        rows = read_load_series(spark, paths, "n_id long, name string", "json", "place")
+        series = load.Series(rows, [False] * count)
+        done = load.load_series(series, registry, "brand", "place", first_log_id=5)
+        assert [(r.batch_no, r.name, r.log_id) for r in done.rows.orderBy("log_id").collect()] == [
+            (1 + k // 2, f"n{k // 2}", 5 + k) for k in range(2 * count)
+        ]
+        return done.rows._jdf.queryExecution().optimizedPlan().toString().count("json")
+
+    assert plan(2) == plan(12)
