@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -275,16 +276,26 @@ class Migration:
     start: int | None = None
     short_load: bool = False
 
-    def _own(self, thing: str) -> DataFrame:
-        """Bridge rows of one thing; if none are stored, without numbering the others."""
+    @cached_property
+    def _starts(self) -> dict[str, int]:
+        """First new id of each thing: all of them counted by one job, when first asked."""
+        ids = legacy_ids(self.legacy, self.things, self.short_load)
+        counted = ids.groupBy("thing").agg(F.count(F.lit(1)).alias("n")).collect()
+        sizes = {r["thing"]: r["n"] for r in counted}
+        ends = accumulate((sizes.get(t, 0) for t in self.things), initial=self.start)
+        return dict(zip(self.things, ends, strict=False))
+
+    def _own(self, thing: str) -> tuple[DataFrame, int | Column]:
+        """Bridge rows of one thing and its first new id.
+
+        If none are stored, they are numbered without the other things.
+        """
         if self.start is None:
-            return self.bridge.where(F.col("thing") == thing).select("old_id", "n_id")
-        first = F.lit(self.start)
-        for earlier in self.things[: self.things.index(thing)]:
-            ids = legacy_ids(self.legacy, [earlier], self.short_load)
-            first = first + ids.agg(F.count(F.lit(1))).scalar()
+            own = self.bridge.where(F.col("thing") == thing).select("old_id", "n_id")
+            return own, own.agg(F.min("n_id")).scalar()
+        first = self._starts[thing]
         ids = legacy_ids(self.legacy, [thing], self.short_load).select("old_id")
-        return dense_ids(ids, "old_id", "n_id", first)
+        return dense_ids(ids, "old_id", "n_id", first), first
 
     def registry(self) -> DataFrame:
         """Rows of the thing registry."""
@@ -294,8 +305,7 @@ class Migration:
         """Log rows of one thing; both sides of the join are unique on the old id."""
         df = self.legacy[thing]
         extras = extra_columns(df, self.specs[thing])
-        own = self._own(thing)
-        first = own.agg(F.min("n_id")).scalar()
+        own, first = self._own(thing)
         return created_log(
             legacy_rows(df, thing, extras).join(own, "old_id"),
             extras,

@@ -155,3 +155,11 @@ def test_vendors_are_visited_last_first(spark, plan):
 def test_nothing_declared(legacy):
     with pytest.raises(ValueError, match="declared"):
         migrate.migrate_all(legacy, SPECS, ["ghost"], [])
+
+
+def test_starts_of_things_are_counted_once(legacy):
+    plan = migrate.migrate_all(legacy, SPECS, ["company", "brand"], [])
+    log = plan.log("brand")
+    assert rows(log, "log_id", "n_id") == [(1, 1002), (2, 1003), (3, 1004)]
+    assert "scalar-subquery" not in log._jdf.queryExecution().analyzed().toString()
+    assert plan._starts == {"company": 1000, "brand": 1002}
