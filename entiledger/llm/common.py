@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +17,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def folder(spark: SparkSession) -> str:
     """The shared folder for checkpoints, that of `spark.checkpoint.dir`.
 
-    Only a session that names none (a local one) gets a folder of its own.
+    Only a local session that names none gets a folder of its own; on a cluster one that
+    its machines share must be named.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        local = re.fullmatch(r"local(\[.*\])?", context.master)
+        if named is None and not local:
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
@@ -34,3 +39,11 @@ def cut(df: DataFrame) -> DataFrame:
 def text_key(text: Column) -> Column:
     """Identity of a text beside a doc_id: two rows that agree in both are one document."""
     return F.coalesce(F.xxhash64(text, F.length(text)), F.lit(0))
+
+
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever the case: name itself if it is free."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -7,6 +7,10 @@ times the remaining bit. A fingerprint's home is the one anchor within the cover
 radius 1; it is replicated to all anchors within radius plus threshold, 1 + 1: two or
 17 in each half. A pair that agrees but for one bit of a half meets at the home of
 either, and is compared there in all 64 bits.
+
+Where many fingerprints share a home, the other half decides who meets: it differs in at
+most three bits, so one of its two quarters in at most one. There a fingerprint goes to
+its own two quarters, and is replicated to the 34 quarters within one bit.
 """
 
 from __future__ import annotations
@@ -17,17 +21,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from entiledger.llm.common import cut, text_key
+from entiledger.llm.common import cut, spare, text_key
 from entiledger.llm.components import components
+from entiledger.operators.joins import lookup_join
 
 #: Shingles whose bits are counted at once, so that a long text needs no more memory.
 BLOCK = 1 << 16
 #: Fingerprints at one home from which on they are first merged by midpoints.
 DENSE = 32
+#: Fingerprints at one home from which on they are compared by quarters of the other half.
+SPLIT = 256
 
 CODE_BITS = 31
 
@@ -151,6 +158,21 @@ def _merged(fps: DataFrame) -> DataFrame:
     )
 
 
+def _quarters(fp: str, ball: bool) -> Column:
+    """Keys of the two quarters of the half that an anchor leaves, or all within a bit.
+
+    A key is the quarter's value, with 2**16 added for the upper one.
+    """
+    other = F.when(F.shiftright("anchor", 32) == 0, F.shiftrightunsigned(fp, 32))
+    half = other.otherwise(F.col(fp)).bitwiseAND(0xFFFFFFFF)
+    keys = []
+    for upper in (0, 1):
+        own = F.shiftright(half, 16 * upper).bitwiseAND(0xFFFF)
+        flips = [0, *(1 << bit for bit in range(16))] if ball else [0]
+        keys += [own.bitwiseXOR(F.lit(flip)) + (upper << 16) for flip in flips]
+    return F.array(*keys)
+
+
 def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     """Pairs (fp, other) of different fingerprints, smaller first, of different labels.
 
@@ -159,12 +181,21 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("halves that differ in one bit cover up to three bits")
-    home = _dealt(fps, ball=False)
+    home = cut(_dealt(fps, ball=False))
+    crowded = cut(home.groupBy("anchor").count().where(F.col("count") >= SPLIT))
+    places = crowded.select("anchor", F.lit(True).alias("crowded"))
+
+    def placed(rows: DataFrame, fp: str, ball: bool) -> DataFrame:
+        told = rows.join(places, "anchor", "left")
+        keys = F.when(F.col("crowded"), _quarters(fp, ball))
+        keys = F.coalesce(keys, F.array(F.lit(-1).cast("long")))
+        return told.withColumn("quarter", F.explode(keys)).drop("crowded")
+
     ball = _dealt(fps, ball=True).toDF("anchor", "other", "other_label")
+    met = placed(home, "fp", False).join(placed(ball, "other", True), ["anchor", "quarter"])
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
     return (
-        home.join(ball, "anchor")
-        .where(F.col("fp") < F.col("other"))
+        met.where(F.col("fp") < F.col("other"))
         .where((F.col("label") != F.col("other_label")) & (apart <= max_bits))
         .select("fp", "other")
         .distinct()
@@ -203,8 +234,8 @@ def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     light = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
     marked = fingerprints(light, into="fp", shingle=shingle)
     marked = cut(marked.select("doc_id", "key", "fp"))
-    # Adaptive execution splits a fingerprint that many copies share.
-    return marked.join(groups(marked, max_bits), "fp")
+    # A fingerprint that many copies share, such as that of empty texts, is spread.
+    return lookup_join(marked, groups(marked, max_bits), "fp", "inner", ["doc_id", "key"])
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
@@ -224,34 +255,36 @@ def survivors(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame
     """One row of docs for each component: that of the smallest doc_id.
 
     Of several texts or rows with that doc_id, one stays, the same one on every run. All
-    columns of docs stay as they are.
+    columns of docs stay as they are, of any name and type.
     """
-    names = docs.columns
     first = _grouped(docs, shingle, max_bits).where(
         F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+    one, low, number, own, row = (
+        spare(docs, name) for name in ("_id", "_low", "_number", "_own", "_row")
+    )
     kept = cut(
-        first.groupBy("component_fp", F.col("doc_id").alias("_simhash_id"), "key")
+        first.groupBy("component_fp", F.col("doc_id").alias("id"), "key")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("component_fp", "_simhash_id")
-        .agg(F.min(F.struct("key", "n")).alias("low"))
+        .groupBy("component_fp", "id")
+        .agg(F.min(F.struct("key", "n")).alias("least"))
         .select(
-            "_simhash_id",
-            F.col("low.key").alias("_simhash_low"),
-            F.col("low.n").alias("_simhash_n"),
+            F.col("id").alias(one),
+            F.col("least.key").alias(low),
+            F.col("least.n").alias(number),
         )
     )
-    keyed = docs.withColumn("_simhash_key", text_key(F.col("text")))
-    same = keyed["doc_id"].eqNullSafe(kept["_simhash_id"]) & (
-        keyed["_simhash_key"] == kept["_simhash_low"]
-    )
+    keyed = docs.withColumn(own, text_key(F.col("text")))
+    same = keyed["doc_id"].eqNullSafe(kept[one]) & (keyed[own] == kept[low])
     chosen = keyed.join(kept, same)
     # Only rows that repeat both doc_id and text are grouped, which moves their texts.
-    single = chosen.where(F.col("_simhash_n") == 1).select(*[keyed[c] for c in names])
+    names = docs.columns
+    single = chosen.where(F.col(number) == 1).select(*[F.col(f"`{c}`") for c in names])
+    whole = F.struct(*[F.col(f"`{c}`") for c in names])
     repeated = (
-        chosen.where(F.col("_simhash_n") > 1)
-        .groupBy("_simhash_id", "_simhash_key")
-        .agg(F.min(F.struct(*[keyed[c] for c in names])).alias("_simhash_row"))
+        chosen.where(F.col(number) > 1)
+        .groupBy(one, own)
+        .agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias(row))
     )
-    picked = [F.col("_simhash_row").getField(c).alias(c) for c in names]
+    picked = [F.col(row).getField(c).alias(c) for c in names]
     return single.union(repeated.select(*picked))

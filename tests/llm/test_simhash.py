@@ -151,3 +151,47 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
     nulls = edges.select(F.lit(None).cast("long").alias("a"), "b")
     assert components(nulls).count() == 0
+
+
+def test_a_crowded_half_is_split_by_the_other(spark, broadcast_up_to):
+    """Thousands of fingerprints that share a half, low or high, against all pairs."""
+    import numpy as np
+
+    broadcast_up_to(-1)
+    rng = np.random.default_rng(3)
+    other = rng.integers(0, 1 << 32, 1500).astype(np.uint64)
+    # Neighbours of some: three bits of the other half, or two there and one in the shared.
+    near = other[:200] ^ np.uint64(1 << 3 | 1 << 17 | 1 << 31)
+    mixed = (other[200:400] ^ np.uint64(1 << 20 | 1 << 21)) << np.uint64(32)
+    shared = np.uint64(0x9ABCDEF0)
+    halves = np.concatenate([other, near])
+    low = halves << np.uint64(32) | shared
+    high = shared << np.uint64(32) | halves
+    fps = np.unique(np.concatenate([low, high, mixed | shared ^ np.uint64(1)]))
+    assert len(halves) > 5 * simhash.SPLIT
+    frame = spark.createDataFrame([(int(f), int(f)) for f in fps.view(np.int64)], "fp long, label long")
+    for bits in (1, 3):
+        got = {(r.fp, r.other) for r in simhash.links(frame, bits).collect()}
+        signed = fps.view(np.int64)
+        apart = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= bits
+        want = {
+            (min(a, b), max(a, b))
+            for i, j in zip(*np.nonzero(apart), strict=True)
+            if i < j
+            for a, b in [(int(signed[i]), int(signed[j]))]
+        }
+        assert got == want
+    assert len(want) >= 600
+
+
+def test_survivors_keep_columns_of_any_name_and_type(spark):
+    data = [(1, "a b c", {"x": 1}, 7), (1, "a b c", {"x": 2}, 8), (2, "a b c", {}, 9), (3, None, None, 1)]
+    names = "doc_id long, text string, _own map<string,int>, _simhash_key int"
+    docs = spark.createDataFrame(data, names).withColumn("_row", F.lit("r")).withColumn("_id", F.lit(0))
+    kept = simhash.survivors(docs)
+    assert kept.columns == docs.columns
+    got = sorted(kept.collect(), key=lambda r: r.doc_id)
+    assert [(r.doc_id, r._row, r._id) for r in got] == [(1, "r", 0), (3, "r", 0)]
+    assert tuple(got[0])[:4] in data[:2] and tuple(got[1])[:4] == data[3]
+    again = simhash.survivors(docs.repartition(3)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
