@@ -223,6 +223,8 @@ def groups(marked: DataFrame, max_bits: int = 3) -> DataFrame:
     table = reps.join(joined, "fp", "left").select(
         "fp", "rep", F.coalesce("label", "fp").alias("component_fp")
     )
+    # Read twice below, and the components behind it are many joins.
+    table = cut(table)
     smallest = table.groupBy("component_fp").agg(F.min("rep").alias("component_id"))
     return table.join(smallest, "component_fp").select(
         "fp", "component_fp", "component_id"
