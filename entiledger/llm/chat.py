@@ -7,10 +7,10 @@ after n turns if their first n turns are the same. A conversation whose last has
 found at an inner turn of a longer one is dropped by an anti-join; of equal ones that of
 the smallest id stays.
 
-Long conversations are cut into blocks by turn number. Windows run within blocks, and
-what earlier blocks add comes from one row for each block. Where turn numbers repeat or
-are missing, so that a block has more turns than numbers, equal turns are counted first,
-their counts are summed by ranges of turn and digest, and blocks are cut by position.
+Turn numbers may repeat or be missing, so equal turns are counted first, and their counts
+are summed by ranges of turn and digest; that gives every turn its position. Long
+conversations are cut into blocks of positions. Windows run within blocks, and what
+earlier blocks add comes from one row for each block.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from entiledger.operators.joins import lookup_join
 
-#: Turn numbers of a block, and of a rendered part; turns of one by position.
+#: Turns of a block and of a rendered part.
 BLOCK = 512
 
 #: The marks around a rendered turn.
@@ -61,32 +61,15 @@ def _before(sums: DataFrame, value: Column, name: str) -> DataFrame:
     return sums.withColumn(name, F.coalesce(value.over(earlier), F.lit(0)))
 
 
-def crowded(turns: DataFrame, block: int = BLOCK) -> bool:
-    """Whether any block by turn number has more turns than numbers."""
-    light = turns.where(F.col("conv_id").isNotNull()).select(
-        "conv_id", F.coalesce(F.floor(F.col("turn") / block), F.lit(-1)).alias("block")
-    )
-    counts = light.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"))
-    return not counts.where(F.col("n") > block).isEmpty()
-
-
-def _starts(counts: DataFrame, block: int) -> DataFrame:
-    """(conv_id, block, start, size, over): turns before a block, and of all blocks.
-
-    over tells whether any block of the conversation has more turns than numbers.
-    """
-    whole = Window.partitionBy("conv_id")
+def _starts(counts: DataFrame) -> DataFrame:
+    """(conv_id, block, start, size): turns before a range of numbers, and of all."""
     return _before(counts, F.sum("n"), "start").select(
-        "conv_id",
-        "block",
-        "start",
-        F.sum("n").over(whole).alias("size"),
-        (F.max("n").over(whole) > block).alias("over"),
+        "conv_id", "block", "start", F.sum("n").over(Window.partitionBy("conv_id")).alias("size")
     )
 
 
-def _ordered(said: DataFrame, block: int) -> DataFrame:
-    """said with (ahead, size, over): turns of the conversation before each row.
+def _ordered(said: DataFrame) -> DataFrame:
+    """said with (ahead, size): turns of the conversation before each row.
 
     said: conv_id, block, turn and digest, which are unique, and the count n of each.
     Rows of one turn number are spread by the first three digits of their digest.
@@ -102,13 +85,13 @@ def _ordered(said: DataFrame, block: int) -> DataFrame:
     key = ["conv_id", "block", *order]
     none, first = F.lit(0).cast("long"), Window.unboundedPreceding
     ranges = said.groupBy(*key).agg(F.sum("n").alias("n"))
-    starts = _starts(ranges.groupBy("conv_id", "block").agg(F.sum("n").alias("n")), block)
+    starts = _starts(ranges.groupBy("conv_id", "block").agg(F.sum("n").alias("n")))
     inside = Window.partitionBy("conv_id", "block").orderBy(*order).rowsBetween(first, -1)
     spot = Window.partitionBy(*key).orderBy("digest").rowsBetween(first, -1)
     offsets = (
         ranges.withColumn("inside", F.coalesce(F.sum("n").over(inside), none))
         .join(starts, ["conv_id", "block"])
-        .select(*key, (F.col("start") + F.col("inside")).alias("offset"), "size", "over")
+        .select(*key, (F.col("start") + F.col("inside")).alias("offset"), "size")
     )
     return (
         said.withColumn("place", F.coalesce(F.sum("n").over(spot), none))
@@ -133,37 +116,26 @@ def _chunks(ordered: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _placed(turns: DataFrame, block: int, full: bool) -> DataFrame:
-    """(conv_id, block, pos, size, digest) of every turn; by position if blocks are full."""
+def _placed(turns: DataFrame, block: int) -> DataFrame:
+    """(conv_id, block, pos, size, digest) of every turn, in blocks of positions."""
     light = _turns(turns, block).select("conv_id", "block", "turn", "digest")
-    key = ["conv_id", "block"]
-    if not full:
-        order = Window.partitionBy(*key).orderBy("turn", "digest")
-        counts = light.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-        return (
-            light.withColumn("place", F.row_number().over(order))
-            .join(_starts(counts, block), key)
-            .select(*key, (F.col("start") + F.col("place")).alias("pos"), "size", "digest")
-        )
     said = light.groupBy(*light.columns).agg(F.count(F.lit(1)).alias("n"))
-    chunks = _chunks(_ordered(said, block), block).select(
+    chunks = _chunks(_ordered(said), block).select(
         "conv_id", F.col("chunk").alias("block"), "low", "high", "size", "digest"
     )
     # Runs are dealt out before they are unfolded, as a turn may be repeated very often.
+    key = ["conv_id", "block"]
     return chunks.repartition(*key).select(
         *key, F.explode(F.sequence("low", "high")).alias("pos"), "size", "digest"
     )
 
 
-def prefixes(
-    turns: DataFrame, block: int = BLOCK, full: bool | None = None
-) -> DataFrame:
+def prefixes(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """(conv_id, block, pos, size, h1, h2): the rolling hash after each turn.
 
-    pos counts turns from 1 in order of turn, then digest; size is the number of turns
-    of the conversation. full: what `crowded` tells, if it is known.
+    pos counts turns from 1 in order of turn, nulls first, then digest; size is the number
+    of turns of the conversation.
     """
-    full = crowded(turns, block) if full is None else full
     key = ["conv_id", "block"]
     so_far = (
         Window.partitionBy(*key)
@@ -171,7 +143,7 @@ def prefixes(
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     placed = (
-        _placed(turns, block, full)
+        _placed(turns, block)
         .withColumn("a", F.xxhash64(F.lit(1), "pos", "digest"))
         .withColumn("b", F.xxhash64(F.lit(2), "pos", "digest"))
     )
@@ -196,15 +168,13 @@ def prefixes(
     )
 
 
-def maximal(
-    turns: DataFrame, block: int = BLOCK, full: bool | None = None
-) -> DataFrame:
+def maximal(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """conv_id of the conversations that no longer one begins with, one of equal ones.
 
     Both sides of the anti-join have a row for each different hash, so neither a common
     first turn nor a conversation that is logged many times makes a hot key.
     """
-    rolling = prefixes(turns, block, full)
+    rolling = prefixes(turns, block)
     hashes = ["pos", "h1", "h2"]
     last = (
         rolling.where(F.col("pos") == F.col("size"))
@@ -215,70 +185,47 @@ def maximal(
     return last.join(inner, hashes, "left_anti").select("conv_id")
 
 
-def render(
-    turns: DataFrame, block: int = BLOCK, full: bool | None = None
-) -> DataFrame:
+def render(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """(conv_id, part, n_turns, text): each conversation in chat marks, in parts.
 
-    A part holds the turns of `block` turn numbers; of a conversation that has more turns
-    than numbers in one of these, every part holds `block` turns by position. So a row
-    stays bounded; parts count from 0 and follow one another. Null roles and texts render
-    as empty, and marks within a text are broken up. full: as for `prefixes`.
+    A part holds `block` turns by position, the last one what is left, so a row stays
+    bounded; parts count from 0 and follow one another. Null roles and texts render as
+    empty, and marks within a text are broken up.
     """
-    full = crowded(turns, block) if full is None else full
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |"))
     piece = F.concat(
         F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), plain, F.lit(CLOSE)
     )
-    said = _turns(turns, block).select(
-        "conv_id", "block", "turn", "digest", piece.alias("piece")
-    )
-    if full:
-        key = ["conv_id", "block", "turn", "digest"]
-        same = said.groupBy(*key).agg(
-            F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece")
-        )
-        spot = F.when(F.col("over"), F.col("chunk")).otherwise(F.col("block"))
-        times = F.col("high") - F.col("low") + 1
-        said = _chunks(_ordered(same, block), block).select(
-            "conv_id",
-            spot.alias("block"),
-            F.struct("low", times.cast("int").alias("times"), "piece").alias("said"),
-        )
-        count = F.sum("said.times")
-        text = F.flatten(
-            F.transform("said", lambda s: F.array_repeat(s["piece"], s["times"]))
-        )
-    else:
-        said = said.select(
-            "conv_id", "block", F.struct("turn", "digest", "piece").alias("said")
-        )
-        count = F.count("said")
-        text = F.transform("said", lambda s: s["piece"])
-    listed = said.groupBy("conv_id", "block").agg(
-        count.alias("n_turns"), F.array_sort(F.collect_list("said")).alias("said")
+    key = ["conv_id", "block", "turn", "digest"]
+    same = (
+        _turns(turns, block)
+        .select(*key, piece.alias("piece"))
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece"))
     )
-    return listed.select(
+    times = (F.col("high") - F.col("low") + 1).cast("int")
+    said = _chunks(_ordered(same), block).select(
         "conv_id",
-        F.col("block").alias("part"),
-        "n_turns",
-        F.array_join(text, "\n").alias("text"),
+        F.col("chunk").alias("part"),
+        F.struct("low", times.alias("times"), "piece").alias("said"),
+    )
+    listed = said.groupBy("conv_id", "part").agg(
+        F.sum("said.times").alias("n_turns"), F.array_sort(F.collect_list("said")).alias("said")
+    )
+    text = F.flatten(
+        F.transform("said", lambda s: F.array_repeat(s["piece"], s["times"]))
     )
+    return listed.select("conv_id", "part", "n_turns", F.array_join(text, "\n").alias("text"))
 
 
 def collapsed(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """The maximal conversations, rendered as by `render`.
 
     turns: conv_id, turn, role and text; other columns are ignored. Turns of one number
-    are ordered by a digest of role and text, those without a number come first (part
-    -1, unless parts go by position), repeated rows are turns of their own, and rows
-    without a conv_id belong to no conversation. An empty table gives no rows.
+    are ordered by a digest of role and text, those without a number come first, repeated
+    rows are turns of their own, and rows without a conv_id belong to no conversation. An
+    empty table gives no rows. The turns of a conversation with very many are spread.
     """
-    full = crowded(turns, block)
-    ids = maximal(turns, block, full)
+    ids = maximal(turns, block)
     whole = _turns(turns, block).select("conv_id", "turn", "role", "text")
-    if full:
-        kept = lookup_join(whole, ids, "conv_id", "inner", ["turn", "text"])
-    else:
-        kept = whole.join(ids, "conv_id", "left_semi")
-    return render(kept, block, full)
+    return render(lookup_join(whole, ids, "conv_id", "inner", ["turn", "text"]), block)

@@ -449,10 +449,13 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)""",
     "op3_chat": f"""
 WITH turns AS (
   SELECT conv_id, turn, role, text,
-    coalesce(floor(turn / {chat.BLOCK})::BIGINT, -1) AS part,
     sha256(concat(coalesce(length(role) || ':' || role, '-'), coalesce('t' || text, '-')))
       AS digest
   FROM conversations WHERE conv_id IS NOT NULL),
+parts AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1)
+    // {chat.BLOCK} AS part
+  FROM turns),
 rolling AS (
   SELECT conv_id, string_agg(digest, ',') OVER w AS said,
     count(*) OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS size
@@ -467,7 +470,7 @@ SELECT conv_id, part, count(*) AS n_turns,
   string_agg('{chat.OPEN}' || coalesce(role, '') || chr(10)
     || replace(coalesce(text, ''), '<|', '< |') || '{chat.CLOSE}', chr(10)
     ORDER BY turn NULLS FIRST, digest) AS text
-FROM turns JOIN kept USING (conv_id) GROUP BY conv_id, part""",
+FROM parts JOIN kept USING (conv_id) GROUP BY conv_id, part""",
     "op10_urls": _url_sql(),
     "op12_spelling": _SPELLING,
     "op13_merkle": _MERKLE,

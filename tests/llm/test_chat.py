@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from entiledger.llm import chat
+from entiledger.llm import chat, queries
 
 SCHEMA = "conv_id long, turn long, role string, text string, pos string, digest string"
 
@@ -53,8 +53,7 @@ def test_rendering(spark):
             "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb< |im_end|><|im_end|>",
         ),
         (3, 0): (1, "<|im_start|>\n<|im_end|>"),
-        (4, 0): (1, "<|im_start|>user\n<|im_end|>"),
-        (4, 1): (1, "<|im_start|>user\nz<|im_end|>"),
+        (4, 0): (2, "<|im_start|>user\n<|im_end|>\n<|im_start|>user\nz<|im_end|>"),
     }
 
 
@@ -65,8 +64,8 @@ def test_edge_cases(spark):
     rows = chat.collapsed(frame(spark, turns)).collect()
     by = {(r.conv_id, r.part): r for r in rows}
     # 3 begins 2, whose repeated row is a turn of its own; null is another role than user.
-    assert set(by) == {(1, -1), (1, 0), (2, 0), (4, 0), (5, 0), (6, 0)}
-    assert by[2, 0].n_turns == 2
+    assert set(by) == {(1, 0), (2, 0), (4, 0), (5, 0), (6, 0)}
+    assert by[1, 0].n_turns == by[2, 0].n_turns == 2
     same = frame(spark, [(6, 1, "a", "1"), (6, 1, "b", "2")])
     assert chat.collapsed(same).first().text == by[6, 0].text
     assert chat.collapsed(frame(spark, turns).limit(0)).count() == 0
@@ -109,21 +108,23 @@ def test_repeated_and_missing_turn_numbers(spark, block):
         own = sorted((r for r in rows if r.conv_id == conv), key=lambda r: r.part)
         assert "\n".join(r.text for r in own) == "\n".join(want[conv])
         assert sum(r.n_turns for r in own) == len(want[conv])
-    # Other conversations keep the parts of their turn numbers.
-    parts = {(r.conv_id, r.part) for r in rows}
-    assert {(6, 0), (6, 1), (8, -1)} <= parts
-    assert {p for c, p in parts if c == 1} == set(range(4))
-    assert {p for c, p in parts if c == 2} == set(range(4))
-
-
-def test_both_ways_give_the_same(spark):
-    rng = random.Random(3)
-    turns = [
-        (rng.randrange(20), rng.choice([None, -700, 0, 1, 2, 600]), rng.choice("ua"), rng.choice("xy"))
-        for _ in range(200)
-    ]
-    df = frame(spark, turns)
-    both = [{tuple(r) for r in chat.prefixes(df, 512, f).drop("block").collect()} for f in (False, True)]
-    assert both[0] == both[1]
-    both = [{tuple(r) for r in chat.render(df, 512, f).collect()} for f in (False, True)]
-    assert both[0] == both[1]
+        assert [r.part for r in own] == list(range(-(-len(want[conv]) // block)))
+        assert all(r.n_turns == block for r in own[:-1])
+
+
+def test_the_query_is_its_sql_on_repeated_and_missing_numbers(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(5)
+    turns = [(1, 5, "u", f"t{i % 400}") for i in range(600)]
+    turns += [(2, None, "u", f"t{i}") for i in range(1100)] + [(3, None, "u", "same")] * 700
+    turns += [(4, rng.choice([None, 0, 0, 9]), rng.choice("ua"), rng.choice("xyz")) for _ in range(90)]
+    turns += [(5, *t[1:]) for t in turns if t[0] == 1] + [(5, 6, "a", None), (None, 1, "u", "x")]
+    frame(spark, turns).drop("pos", "digest").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.QUERIES["op3_chat"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(queries.SQL["op3_chat"])
+    names = [c[0] for c in want.description]
+    rows = want.fetchall()
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(rows)
+    assert {r[names.index("conv_id")] for r in rows} == {2, 3, 4, 5}
