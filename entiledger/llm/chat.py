@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from entiledger.llm.common import cut
 from entiledger.operators.joins import lookup_join
 
 #: Turns of a block and of a rendered part.
@@ -39,76 +40,73 @@ def _digest(role: Column, text: Column) -> Column:
     )
 
 
-def _turns(turns: DataFrame, block: int) -> DataFrame:
-    """(conv_id, block, turn, digest, role, text) of turns that have a conv_id."""
+#: What tells a turn from others of its conversation; `known` is false without a number.
+KEY = ["conv_id", "range", "known", "at", "digest"]
+
+
+def _turns(turns: DataFrame, block: int, *more: Column) -> DataFrame:
+    """KEY, and more columns, of turns that have a conv_id; range is one of turn numbers."""
     return turns.where(F.col("conv_id").isNotNull()).select(
         "conv_id",
-        F.coalesce(F.floor(F.col("turn") / block), F.lit(-1)).alias("block"),
-        "turn",
+        F.coalesce(F.floor(F.col("turn") / block), F.lit(-1)).alias("range"),
+        F.col("turn").isNotNull().alias("known"),
+        F.coalesce("turn", F.lit(0)).cast("long").alias("at"),
         _digest(F.col("role"), F.col("text")).alias("digest"),
-        "role",
-        "text",
+        *more,
     )
 
 
-def _before(sums: DataFrame, value: Column, name: str) -> DataFrame:
+def _before(sums: DataFrame, value: Column, name: str, order: str = "block") -> DataFrame:
     """What the earlier blocks of a conversation add up to."""
     earlier = (
         Window.partitionBy("conv_id")
-        .orderBy("block")
+        .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return sums.withColumn(name, F.coalesce(value.over(earlier), F.lit(0)))
 
 
-def _starts(counts: DataFrame) -> DataFrame:
-    """(conv_id, block, start, size): turns before a range of numbers, and of all."""
-    return _before(counts, F.sum("n"), "start").select(
-        "conv_id", "block", "start", F.sum("n").over(Window.partitionBy("conv_id")).alias("size")
-    )
-
-
-def _ordered(said: DataFrame) -> DataFrame:
-    """said with (ahead, size): turns of the conversation before each row.
+def positions(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+    """KEY with (n, ahead, size) of each different turn, written to the checkpoints.
 
-    said: conv_id, block, turn and digest, which are unique, and the count n of each.
-    Rows of one turn number are spread by the first three digits of their digest.
+    n is how often the turn is there, ahead how many turns come before it in order of
+    number, nulls first, then digest, and size the number of turns of the conversation.
+    Turns of one number are spread by the first three digits of their digest.
     """
-    said = said.withColumns(
-        {
-            "known": F.col("turn").isNotNull(),
-            "at": F.coalesce("turn", F.lit(0).cast("long")),
-            "near": F.substring("digest", 1, 3),
-        }
-    )
+    said = _turns(turns, block).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+    said = said.withColumn("near", F.substring("digest", 1, 3))
     order = ["known", "at", "near"]
-    key = ["conv_id", "block", *order]
+    key = ["conv_id", "range", *order]
     none, first = F.lit(0).cast("long"), Window.unboundedPreceding
     ranges = said.groupBy(*key).agg(F.sum("n").alias("n"))
-    starts = _starts(ranges.groupBy("conv_id", "block").agg(F.sum("n").alias("n")))
-    inside = Window.partitionBy("conv_id", "block").orderBy(*order).rowsBetween(first, -1)
+    sums = ranges.groupBy("conv_id", "range").agg(F.sum("n").alias("n"))
+    starts = _before(sums, F.sum("n"), "start", "range").withColumn(
+        "size", F.sum("n").over(Window.partitionBy("conv_id"))
+    )
+    inside = Window.partitionBy("conv_id", "range").orderBy(*order).rowsBetween(first, -1)
     spot = Window.partitionBy(*key).orderBy("digest").rowsBetween(first, -1)
     offsets = (
         ranges.withColumn("inside", F.coalesce(F.sum("n").over(inside), none))
-        .join(starts, ["conv_id", "block"])
+        .join(starts.drop("n"), ["conv_id", "range"])
         .select(*key, (F.col("start") + F.col("inside")).alias("offset"), "size")
     )
-    return (
+    placed = (
         said.withColumn("place", F.coalesce(F.sum("n").over(spot), none))
         .join(offsets, key)
-        .withColumn("ahead", F.col("offset") + F.col("place"))
-        .drop(*order, "offset", "place")
+        .select(*KEY, "n", (F.col("offset") + F.col("place")).alias("ahead"), "size")
     )
+    # Read for the hashes and again for the rendering; it holds no texts.
+    return cut(placed)
 
 
-def _chunks(ordered: DataFrame, block: int) -> DataFrame:
-    """Rows of `_ordered` for each run of positions: with (chunk, low, high).
+def _chunks(placed: DataFrame, block: int) -> DataFrame:
+    """Rows of `positions` for each run of positions: with (chunk, low, high).
 
     A chunk has `block` positions of a conversation; they count from 1.
     """
     last = F.col("ahead") + F.col("n") - 1
     spots = F.sequence(F.floor(F.col("ahead") / block), F.floor(last / block))
-    return ordered.withColumn("chunk", F.explode(spots)).withColumns(
+    return placed.withColumn("chunk", F.explode(spots)).withColumns(
         {
             "low": F.greatest(F.col("ahead"), F.col("chunk") * block) + 1,
             "high": F.least(last, F.col("chunk") * block + block - 1) + 1,
@@ -116,36 +114,26 @@ def _chunks(ordered: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _placed(turns: DataFrame, block: int) -> DataFrame:
-    """(conv_id, block, pos, size, digest) of every turn, in blocks of positions."""
-    light = _turns(turns, block).select("conv_id", "block", "turn", "digest")
-    said = light.groupBy(*light.columns).agg(F.count(F.lit(1)).alias("n"))
-    chunks = _chunks(_ordered(said), block).select(
+def prefixes(placed: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(conv_id, block, pos, size, h1, h2): the rolling hash after each turn.
+
+    placed: what `positions` gives. pos counts the turns of a conversation from 1.
+    """
+    key = ["conv_id", "block"]
+    chunks = _chunks(placed, block).select(
         "conv_id", F.col("chunk").alias("block"), "low", "high", "size", "digest"
     )
     # Runs are dealt out before they are unfolded, as a turn may be repeated very often.
-    key = ["conv_id", "block"]
-    return chunks.repartition(*key).select(
+    placed = chunks.repartition(*key).select(
         *key, F.explode(F.sequence("low", "high")).alias("pos"), "size", "digest"
     )
-
-
-def prefixes(turns: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(conv_id, block, pos, size, h1, h2): the rolling hash after each turn.
-
-    pos counts turns from 1 in order of turn, nulls first, then digest; size is the number
-    of turns of the conversation.
-    """
-    key = ["conv_id", "block"]
     so_far = (
         Window.partitionBy(*key)
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     placed = (
-        _placed(turns, block)
-        .withColumn("a", F.xxhash64(F.lit(1), "pos", "digest"))
-        .withColumn("b", F.xxhash64(F.lit(2), "pos", "digest"))
+        placed.withColumn("a", F.xxhash64(F.lit(1), "pos", "digest")).withColumn("b", F.xxhash64(F.lit(2), "pos", "digest"))
     )
     inner = placed.select(
         *key,
@@ -168,13 +156,13 @@ def prefixes(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def maximal(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+def maximal(placed: DataFrame, block: int = BLOCK) -> DataFrame:
     """conv_id of the conversations that no longer one begins with, one of equal ones.
 
     Both sides of the anti-join have a row for each different hash, so neither a common
     first turn nor a conversation that is logged many times makes a hot key.
     """
-    rolling = prefixes(turns, block)
+    rolling = prefixes(placed, block)
     hashes = ["pos", "h1", "h2"]
     last = (
         rolling.where(F.col("pos") == F.col("size"))
@@ -185,26 +173,26 @@ def maximal(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     return last.join(inner, hashes, "left_anti").select("conv_id")
 
 
-def render(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+def render(
+    turns: DataFrame, block: int = BLOCK, placed: DataFrame | None = None
+) -> DataFrame:
     """(conv_id, part, n_turns, text): each conversation in chat marks, in parts.
 
     A part holds `block` turns by position, the last one what is left, so a row stays
     bounded; parts count from 0 and follow one another. Null roles and texts render as
-    empty, and marks within a text are broken up.
+    empty, and marks within a text are broken up. placed: what `positions` gives for the
+    turns, or for the conversations that are wanted.
     """
+    placed = positions(turns, block) if placed is None else placed
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |"))
     piece = F.concat(
         F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), plain, F.lit(CLOSE)
     )
-    key = ["conv_id", "block", "turn", "digest"]
-    same = (
-        _turns(turns, block)
-        .select(*key, piece.alias("piece"))
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("n"), F.any_value("piece").alias("piece"))
-    )
+    pieces = _turns(turns, block, piece.alias("piece")).groupBy(*KEY)
+    # The grouping and the join share one shuffle of the texts.
+    same = pieces.agg(F.any_value("piece").alias("piece")).join(placed, KEY)
     times = (F.col("high") - F.col("low") + 1).cast("int")
-    said = _chunks(_ordered(same), block).select(
+    said = _chunks(same, block).select(
         "conv_id",
         F.col("chunk").alias("part"),
         F.struct("low", times.alias("times"), "piece").alias("said"),
@@ -226,6 +214,7 @@ def collapsed(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     rows are turns of their own, and rows without a conv_id belong to no conversation. An
     empty table gives no rows. The turns of a conversation with very many are spread.
     """
-    ids = maximal(turns, block)
-    whole = _turns(turns, block).select("conv_id", "turn", "role", "text")
-    return render(lookup_join(whole, ids, "conv_id", "inner", ["turn", "text"]), block)
+    placed = positions(turns, block)
+    ids = cut(maximal(placed, block))
+    kept = lookup_join(placed, ids, "conv_id", "inner", ["at", "digest"])
+    return render(turns, block, kept)

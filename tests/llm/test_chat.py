@@ -38,7 +38,7 @@ def test_against_all_prefixes(spark, block):
         shift = rng.choice([0, 5])
         turns += [(conv, shift + i, role, text) for i, (role, text) in enumerate(log)]
     rng.shuffle(turns)
-    got = {r.conv_id for r in chat.maximal(frame(spark, turns), block).collect()}
+    got = {r.conv_id for r in chat.maximal(chat.positions(frame(spark, turns), block), block).collect()}
     assert got == kept(turns)
 
 
@@ -73,7 +73,7 @@ def test_edge_cases(spark):
 
 def test_a_null_is_not_an_empty_string(spark):
     turns = [(1, 0, "user", None), (2, 0, "user", ""), (3, 0, None, "user"), (4, 0, "", "user")]
-    got = {r.conv_id for r in chat.maximal(frame(spark, turns)).collect()}
+    got = {r.conv_id for r in chat.maximal(chat.positions(frame(spark, turns))).collect()}
     assert got == {1, 2, 3, 4}
 
 
