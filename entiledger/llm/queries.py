@@ -350,17 +350,17 @@ SELECT *, folded_root = root AS verified FROM folded"""
 
 
 def _url_sql() -> str:
-    """SQL of op10_urls, its rounds one after the other."""
-    rounds = []
-    for turn in range(urls.ROUNDS):
-        rounds.append(f"""
-state{turn + 1} AS MATERIALIZED (
-  SELECT e.kind, e.host, e.seed,
-    (e.seed * {urls.RESTART} + coalesce(g.got, 0) * {20 - urls.RESTART}) // 20 AS rank
-  FROM seeded e LEFT JOIN (
-    SELECT f.kind, f.dst AS host, sum(s.rank // f.degree)::BIGINT AS got
-    FROM flow f JOIN state{turn} s ON f.kind = s.kind AND f.src = s.host
-    GROUP BY ALL) g ON e.kind = g.kind AND e.host = g.host)""")
+    """SQL of op10_urls, the rounds in a recursion."""
+    kept = urls.SCALE * urls.RESTART // 20
+
+    def moved(c: str) -> str:
+        change = f"abs({c} - old_{c})"
+        return f"({change} * {urls.MOVED_PART} > {c} AND {change} > {urls.MOVED_LEAST})"
+
+    def rank(seed: str, got: str) -> str:
+        passed = f"coalesce({got}, 0) * {20 - urls.RESTART}"
+        return f"(({seed} * {urls.RESTART} + {passed}) // 20)::BIGINT"
+
     link = urls.LINK.replace("'", "''")
     tests = []
     for verdict, domain, start in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2])):
@@ -372,9 +372,8 @@ state{turn + 1} AS MATERIALIZED (
     rule = " ".join(f"WHEN {t} THEN '{r}'" for t, r, _ in tests)
     verdict = " ".join(f"WHEN {t} THEN '{v}'" for t, _, v in tests)
     lower = f"'{urls.UPPER}', '{urls.LOWER}'"
-    half = urls.SCALE * urls.RESTART // 40
     return f"""
-WITH parts AS MATERIALIZED (
+WITH RECURSIVE parts AS MATERIALIZED (
   SELECT page_id, html,
     coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), {lower}), '') AS host,
     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
@@ -398,15 +397,37 @@ flow AS MATERIALIZED (
     SELECT 'trust' AS kind, src, dst FROM links
     UNION ALL SELECT 'distrust', dst, src FROM links)),
 seeded AS MATERIALIZED (
-  SELECT kind, host, max(seed) AS seed FROM (
-    SELECT * FROM start UNION ALL SELECT kind, dst, 0 FROM flow) GROUP BY ALL),
-state0 AS (SELECT kind, host, seed, seed * {urls.RESTART} // 20 AS rank FROM seeded),
-{",".join(rounds)},
+  SELECT kind, host, max(seed)::BIGINT AS seed FROM (
+    SELECT * FROM start UNION ALL SELECT kind, dst, 0 FROM flow
+    UNION ALL SELECT kind, src, 0 FROM flow) GROUP BY ALL),
+state AS (
+  SELECT 0 AS turn, kind, host, seed, {rank("seed", "0")} AS rank,
+    {kept}::BIGINT AS base, EXISTS (FROM flow) AS going
+  FROM seeded
+  UNION ALL
+  SELECT turn + 1, kind, host, seed, rank, base,
+    bool_or({moved("rank")} OR {moved("base")}) OVER ()
+  FROM (
+    SELECT s.turn, s.kind, s.host, s.seed, s.rank AS old_rank, s.base AS old_base,
+      {rank("s.seed", "g.rank")} AS rank, {rank(str(urls.SCALE), "g.base")} AS base
+    FROM state s LEFT JOIN (
+      SELECT f.kind, f.dst AS host, sum(p.rank // f.degree) AS rank,
+        sum(p.base // f.degree) AS base
+      FROM flow f JOIN state p ON f.kind = p.kind AND f.src = p.host
+      GROUP BY ALL) g ON s.kind = g.kind AND s.host = g.host
+    WHERE s.turn % {urls.CUT_EVERY} <> 0 OR s.going)),
+held AS (
+  SELECT kind, host, rank, base - {kept} + {kept} * max(CASE WHEN seed > 0 THEN 1 ELSE 0 END)
+      OVER (PARTITION BY host) AS evidence
+  FROM state WHERE turn = (SELECT max(turn) FROM state)),
+shares_of AS (
+  SELECT host, kind, CASE WHEN evidence > 0 THEN rank::DOUBLE / evidence::DOUBLE ELSE 0 END
+    AS share FROM held),
 bad AS (
-  SELECT host FROM state{urls.ROUNDS} GROUP BY host
-  HAVING coalesce(max(rank) FILTER (kind = 'distrust'), 0)
-      > coalesce(max(rank) FILTER (kind = 'trust'), 0)
-    AND max(rank) FILTER (kind = 'distrust') >= {half})
+  SELECT host FROM shares_of GROUP BY host
+  HAVING coalesce(max(share) FILTER (kind = 'distrust'), 0)
+      > coalesce(max(share) FILTER (kind = 'trust'), 0)
+    AND max(share) FILTER (kind = 'distrust') >= 0.5)
 SELECT page_id, host, path, rule,
   coalesce(verdict, CASE WHEN host IN (FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled"""

@@ -33,22 +33,32 @@ def by_rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
-def walked(seed, links, rounds):
-    """Ranks of one kind, edge by edge, in whole numbers."""
+def walked(seed, links):
+    """(rank, base) of one kind, edge by edge, in whole numbers, until nothing moves."""
     out = defaultdict(set)
     for a, b in links:
         out[a].add(b)
     nodes = {*seed, *(x for e in links for x in e)}
-    rank = {h: seed.get(h, 0) * urls.RESTART // 20 for h in nodes}
-    for _ in range(rounds):
-        got = defaultdict(int)
-        for a, targets in out.items():
-            for b in targets:
-                got[b] += rank[a] // len(targets)
-        rank = {
-            h: (seed.get(h, 0) * urls.RESTART + got[h] * (20 - urls.RESTART)) // 20 for h in nodes
-        }
-    return rank
+
+    def of(start, got):
+        return {h: (start(h) * urls.RESTART + got[h] * (20 - urls.RESTART)) // 20 for h in nodes}
+
+    starts = [lambda h: seed.get(h, 0), lambda h: urls.SCALE]
+    ranks = [of(s, defaultdict(int)) for s in starts]
+    rounds, moving = 0, bool(links)
+    while moving:
+        before, ranks = ranks, []
+        for start, rank in zip(starts, before, strict=True):
+            got = defaultdict(int)
+            for a, targets in out.items():
+                for b in targets:
+                    got[b] += rank[a] // len(targets)
+            ranks.append(of(start, got))
+        rounds += 1
+        changes = [(abs(r[h] - o[h]), r[h]) for r, o in zip(ranks, before, strict=True) for h in nodes]
+        moved = any(c * 1000 > r and c > urls.SCALE // 10**6 for c, r in changes)
+        moving = moved or rounds % 4 > 0
+    return ranks
 
 
 def expected(pages, links):
@@ -64,10 +74,16 @@ def expected(pages, links):
         v: {h: vs.count(v) * urls.SCALE // len(vs) for h, vs in hosts.items()}
         for v in ("allow", "block")
     }
-    trust = walked(seed["allow"], links, urls.ROUNDS)
-    distrust = walked(seed["block"], [(b, a) for a, b in links], urls.ROUNDS)
-    half = urls.SCALE * urls.RESTART // 40
-    bad = {h for h, d in distrust.items() if d >= half and d > trust.get(h, 0)}
+    kept = urls.SCALE * urls.RESTART // 20
+
+    def shares(rank, base):
+        own = {h: kept if seed["allow"].get(h) or seed["block"].get(h) else 0 for h in rank}
+        held = {h: base[h] - kept + own[h] for h in rank}
+        return {h: rank[h] / held[h] if held[h] else 0 for h in rank}
+
+    trust = shares(*walked(seed["allow"], links))
+    distrust = shares(*walked(seed["block"], [(b, a) for a, b in links]))
+    bad = {h for h, d in distrust.items() if d >= 0.5 and d > trust.get(h, 0)}
     return {
         (p, h, path, rule, verdict or ("block" if h in bad else "allow"))
         for p, h, path, rule, verdict in rows
@@ -91,7 +107,7 @@ PAGES = [
     (10, "http://x.example.net/en/1", linked("http://farm2.com")),
     (11, "http://x.example.net/fr/1", ""),
     (12, "https://news.org/fr/1", linked("http://ok.com/")),
-    (13, "https://news.org/de/1", linked("http://ok.com/?a=//evil.net")),
+    (13, "https://news.org/fr/2", linked("http://ok.com/?a=//evil.net")),
     (14, "http://ok.com/", linked("http://spam.net")),
     (15, None, linked("http://a.net")),
     (16, "no scheme/net/", ""),
@@ -147,6 +163,49 @@ def test_hub_and_chain(spark):
     assert {tuple(r) for r in got} == expected(pages, links)
 
 
+@pytest.mark.parametrize("others", [0, 1, 50])
+def test_a_verdict_does_not_depend_on_who_else_links_there(spark, others):
+    pages = [(1, "http://bad.net/", None), (2, "http://farm.com/", linked("http://bad.net"))]
+    pages += [(10 + i, f"http://o{i}.com/", linked("http://bad.net", *[f"http://n{j}.com" for j in range(9)])) for i in range(others)]
+    links = [("farm.com", "bad.net")]
+    links += [(f"o{i}.com", t) for i in range(others) for t in ("bad.net", *[f"n{j}.com" for j in range(9)])]
+    got = {tuple(r) for r in urls.judged(frame(spark, pages)).collect()}
+    assert got == expected(pages, links)
+    verdicts = {r[1]: r[4] for r in got}
+    assert verdicts.pop("farm.com") == verdicts.pop("bad.net") == "block"
+    assert set(verdicts.values()) <= {"allow"}
+
+
+def test_long_chains_and_cycles_are_walked_to_their_end(spark, tmp_path):
+    """Through SQL as well: thirty hosts in a chain, and a cycle, that lead to a blocked one."""
+    from entiledger.llm import queries
+
+    duckdb = pytest.importorskip("duckdb")
+    links = [(f"c{i}.com", f"c{i + 1}.com") for i in range(30)] + [("c30.com", "bad.net")]
+    links += [("r0.com", "r1.com"), ("r1.com", "r2.com"), ("r2.com", "r0.com"), ("r2.com", "bad.net")]
+    out = defaultdict(list)
+    for a, b in links:
+        out[a].append(f"http://{b}/")
+    pages = [(i, f"http://{h}/", linked(*t)) for i, (h, t) in enumerate(sorted(out.items()))]
+    pages.append((99, "http://bad.net/", None))
+    frame(spark, pages).select("page_id", "url", "html").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.QUERIES["op10_urls"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(queries.SQL["op10_urls"])
+    names = [c[0] for c in want.description]
+    rows = {tuple(r) for r in got.select(*names).collect()}
+    assert rows == set(want.fetchall())
+    verdicts = {r.host: r.verdict for r in got.collect()}
+    # Evidence is worth less with every step, but the last host of the chain has its own.
+    assert (verdicts["c30.com"], verdicts["c0.com"]) == ("block", "allow")
+    linked_hosts = spark.createDataFrame(links, "src string, dst string")
+    start = spark.createDataFrame([("distrust", "bad.net", urls.SCALE)], "kind string, host string, seed long")
+    rank = {r.host: int(r["rank"]) for r in urls.ranks(start, linked_hosts).where("kind = 'distrust'").collect()}
+    assert rank["c0.com"] > 0 and rank["r2.com"] > rank["r1.com"] > rank["r0.com"] > 0
+    assert {tuple(r) for r in got.collect()} == expected(pages, links)
+
+
 def test_a_host_of_ten_million_pages(spark):
     pages = spark.range(10_000_000).selectExpr(
         "'big.org' AS host", "if(id = 0, 'block', 'allow') AS verdict"
@@ -162,7 +221,7 @@ def test_ranks_beyond_a_long(spark):
     start = spark.createDataFrame([("trust", h, s) for h, s in seed.items()], "kind string, host string, seed long")
     got = urls.ranks(start, spark.createDataFrame(links, "src string, dst string"))
     rank = {r.host: int(r["rank"]) for r in got.where("kind = 'trust'").collect()}
-    want = walked(seed, links, urls.ROUNDS)
+    want = walked(seed, links)[0]
     assert rank == want
     assert max(want.values()) * 17 > 2**63
 
