@@ -6,6 +6,11 @@ labelled documents are factored once on the driver, which gives a small projecti
 projection and the sample's vectors are broadcast, both of fixed size. Every document
 then gets exact cosine products with all labelled vectors, in blocks, and its nearest
 ones vote by similarity.
+
+Terms, projection and vectors are rounded to whole multiples of a power of two, small
+enough for all sums of products to be exact in double precision. So a score depends on
+the text alone, not on the block it is in nor on the order of sums, and equal cosines
+are equal.
 """
 
 from __future__ import annotations
@@ -24,8 +29,12 @@ BINS = 8
 #: Labelled documents of each class that are learnt from at most; latent dimensions.
 SAMPLE = 2000
 RANK = 48
-#: Neighbours that vote; power of the similarity that weighs a vote.
-NEIGHBOURS = 15
+#: Units in one of a term and of a projection's entry, and of a vector's entry: products
+#: of the first are below 2**26 and their sums below 2**38, of the second 2**40 and 2**46.
+UNITS, FINE = 1 << 12, 1 << 20
+#: Neighbours that vote, and with them all that are as near as the last; power of the
+#: similarity that weighs a vote. These and SHAPE are chosen by `validated`.
+NEIGHBOURS = 7
 POWER = 24
 #: Scores from here on stand for label 1.
 THRESHOLD = 0.3
@@ -193,29 +202,69 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> SimpleNamespace:
-    """Projection and labelled vectors, from at most 2 * size documents.
-
-    What comes to the driver is the sample's terms, about 4 KB for each document.
-    """
+def _collected(docs: DataFrame, labels: DataFrame, size: int) -> tuple:
+    """Terms and labels of the sample, in order of doc_id; about 4 KB for each document."""
     rows = sorted(sample(docs, labels, size).collect(), key=lambda r: r.doc_id)
     if not rows:
-        return SimpleNamespace(projection=None, vectors=None, labels=None)
+        return np.zeros((0, GRAMS + FIGURES * BINS)), np.zeros(0)
     matrix = np.stack([np.frombuffer(r.terms, np.float16) for r in rows])
-    matrix = matrix.astype(np.float64)
-    values, axes = np.linalg.eigh(matrix.T @ matrix)
-    projection = axes[:, ::-1][:, :RANK].astype(np.float32)
-    vectors = _unit(matrix.astype(np.float32) @ projection)
-    return SimpleNamespace(
-        projection=projection,
-        vectors=vectors,
-        labels=np.array([r.label for r in rows], np.float32),
-    )
+    return matrix.astype(np.float64), np.array([r.label for r in rows], np.float64)
+
+
+def _projection(matrix: np.ndarray) -> np.ndarray:
+    """Latent axes of the terms, in whole units."""
+    _, axes = np.linalg.eigh(matrix.T @ matrix)
+    return np.rint(axes[:, ::-1][:, :RANK] * UNITS)
+
+
+def _vectors(rows: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Unit vectors of rows of terms, in whole units."""
+    latent = np.rint(rows.astype(np.float64) * UNITS) @ projection
+    size = np.sqrt((latent * latent).sum(axis=1, keepdims=True))
+    return np.rint(latent / np.where(size > 0, size, 1) * FINE)
 
 
-def _unit(rows: np.ndarray) -> np.ndarray:
-    size = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(size > 0, size, 1)
+def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> SimpleNamespace:
+    """Projection and labelled vectors, from at most 2 * size documents."""
+    matrix, known = _collected(docs, labels, size)
+    if not len(known):
+        return SimpleNamespace(projection=None, vectors=None, labels=None)
+    projection = _projection(matrix)
+    vectors = _vectors(matrix, projection)
+    return SimpleNamespace(projection=projection, vectors=vectors, labels=known)
+
+
+def _voted(near: np.ndarray, labels: np.ndarray, neighbours: int, power: int) -> np.ndarray:
+    """Weighted share of label 1 among the nearest of each row, ties of the last included."""
+    k = min(neighbours, near.shape[1])
+    last = np.partition(near, near.shape[1] - k, axis=1)[:, [-k]]
+    row, column = np.nonzero(near >= last)
+    weight = (near[row, column] / float(FINE * FINE)).clip(1e-6) ** power
+    votes = np.bincount(row, weight * labels[column], len(near))
+    return votes / np.bincount(row, weight, len(near))
+
+
+def validated(
+    docs: DataFrame, labels: DataFrame, choices: list[tuple[int, int, float]], size: int = SAMPLE
+) -> list[float]:
+    """Mean accuracy over both labels of each (neighbours, power, shape weight).
+
+    Every document of the sample is voted on by the others (leave one out), so only labels
+    that may be learnt from are used. The projection, which knows no labels, is fitted
+    once for each shape weight.
+    """
+    matrix, known = _collected(docs, labels, size)
+    near, out = {}, []
+    for neighbours, power, shape in choices:
+        if shape not in near:
+            terms_ = matrix.copy()
+            terms_[:, GRAMS:] *= shape / SHAPE
+            vectors = _vectors(terms_, _projection(terms_))
+            near[shape] = vectors @ vectors.T
+            np.fill_diagonal(near[shape], -FINE * FINE)
+        right = (_voted(near[shape], known, neighbours, power) >= THRESHOLD) == known
+        out.append(float(np.mean([right[known == c].mean() for c in (0, 1)])))
+    return out
 
 
 def vote(model: SimpleNamespace, texts: list[str | None]) -> np.ndarray:
@@ -224,12 +273,8 @@ def vote(model: SimpleNamespace, texts: list[str | None]) -> np.ndarray:
         return np.full(len(texts), 0.5)
     out = [np.zeros(0)]
     for first in range(0, len(texts), ROWS):
-        block = _unit(terms(texts[first : first + ROWS]) @ model.projection)
-        near = block @ model.vectors.T
-        k = min(NEIGHBOURS, near.shape[1])
-        best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.take_along_axis(near, best, 1).clip(1e-6).astype(float) ** POWER
-        out.append((weight * model.labels[best]).sum(1) / weight.sum(1))
+        block = _vectors(terms(texts[first : first + ROWS]), model.projection)
+        out.append(_voted(block @ model.vectors.T, model.labels, NEIGHBOURS, POWER))
     return np.concatenate(out).clip(0, 1)
 
 
@@ -237,8 +282,8 @@ def score(docs: DataFrame, model: SimpleNamespace, into: str = "score") -> DataF
     """docs with a score from 0 to 1, higher where label 1 is likelier.
 
     Every whole text is scored by itself; a null counts as empty, and an empty text is
-    scored by its shape. Equal texts get equal scores. A model without labelled rows
-    gives 0.5. A column that is already called `into` is replaced.
+    scored by its shape. Equal texts get equal scores, and labelled texts that are as near
+    as the last neighbour all vote. A model without labelled rows gives 0.5. A column that is already called `into` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

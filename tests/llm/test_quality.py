@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -95,3 +96,59 @@ def test_labels_and_ids_are_no_input(spark, docs_of):
     a = {r.text: r.score for r in quality.score(docs, model).collect()}
     b = {r.text: r.score for r in quality.score(other, model).collect()}
     assert a == b
+
+
+def plain_score(model, text):
+    """One text by itself: whole-number products, one labelled vector after the other."""
+    terms = [round(float(x) * quality.UNITS) for x in quality.terms([text])[0]]
+    columns = [[int(x) for x in c] for c in model.projection.T]
+    latent = [sum(a * b for a, b in zip(terms, c, strict=True) if a) for c in columns]
+    size = math.sqrt(math.fsum(float(x) ** 2 for x in latent)) or 1.0
+    unit = [round(x / size * quality.FINE) for x in latent]
+    near = [sum(a * int(b) for a, b in zip(unit, v, strict=True)) for v in model.vectors]
+    last = sorted(near, reverse=True)[: quality.NEIGHBOURS][-1]
+    votes = [(max(c / quality.FINE**2, 1e-6) ** quality.POWER, y)
+             for c, y in zip(near, model.labels, strict=True) if c >= last]
+    return math.fsum(w * y for w, y in votes) / math.fsum(w for w, _ in votes)
+
+
+def test_the_query_against_a_plain_version(spark, sf_dir, texts):
+    rows = queries.QUERIES["op5_quality"](spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    for r in rows:
+        assert abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-9
+
+
+def test_ties_of_the_last_neighbour_all_vote(spark, docs_of):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:60]
+    docs = docs_of([(i, "the same text for all of them") for i in ids])
+    for flip in (0, 1):
+        labels = spark.createDataFrame(
+            [(i, (n + flip) % 2, 0) for n, i in enumerate(ids)], "doc_id long, quality int, toxic int"
+        )
+        model = quality.fit(docs, labels)
+        (score,) = {r.score for r in quality.score(docs, model).collect()}
+        assert abs(score - 0.5) < 1e-9
+
+
+def test_scores_do_not_depend_on_blocks(spark, sf_dir, texts, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    listed = [texts[i] for i in sorted(texts)]
+    whole = quality.vote(model, listed).tolist()
+    for size in (1, 7, 100):
+        monkeypatch.setattr(quality, "ROWS", size)
+        assert quality.vote(model, listed).tolist() == whole
+
+
+def test_validation_uses_training_labels_only(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    choices = [(15, 24, 2.0), (1, 1, 1.0)]
+    got = quality.validated(docs, labels, choices)
+    assert all(0.5 < share <= 1 for share in got)
+    flipped = labels.withColumn(
+        "quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    assert quality.validated(docs, flipped, choices) == got
