@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from entiledger.llm import bpe, decontaminate, pii, quality, simhash
-from entiledger.llm.common import folder, read
+from entiledger.llm.common import folder, read, spare
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -21,8 +21,9 @@ TOKENIZER = "byte_bpe_50k.json"
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted to the labels, doesn't reject."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, into="_quality")
-    return scored.where(quality.accepted(scored["_quality"])).drop("_quality")
+    name = spare(docs, "_quality")
+    scored = quality.score(docs, model, into=name)
+    return scored.where(quality.accepted(scored[name])).drop(name)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +40,8 @@ def without_personal_data(
     spark: SparkSession, docs: DataFrame, sf_dir: str
 ) -> DataFrame:
     """All documents, personal data replaced by pseudonyms of equal length."""
-    return pii.pseudonymise(docs, into="_pii").drop("_pii")
+    name = spare(docs, "_pii")
+    return pii.pseudonymise(docs, into=name).drop(name)
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from entiledger.llm.common import spare
+
 #: Fixed value: the public pattern that splits a text before byte-level merges.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -188,11 +190,12 @@ def _mapped(docs: DataFrame, read: str, fields: str, of: Callable) -> DataFrame:
     """
     added = StructType.fromDDL(fields)
     kept = [c for c in docs.columns if c not in added.names]
-    source = docs.select(*kept, F.col(read).alias("_bpe_read"))
+    inner = spare(docs, "_read")
+    source = docs.select(*kept, F.col(read).alias(inner))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column("_bpe_read")
+            values = batch.column(inner)
             listed = pa.types.is_list(values.type)
             length = pc.list_value_length if listed else pc.binary_length
             sizes = length(values).fill_null(0).to_numpy()
@@ -202,7 +205,7 @@ def _mapped(docs: DataFrame, read: str, fields: str, of: Callable) -> DataFrame:
                 if size < BLOCK and i + 1 < len(sizes):
                     continue
                 part = batch.slice(first, i + 1 - first)
-                made = of(part.column("_bpe_read").to_pylist())
+                made = of(part.column(inner).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept] + made, kept + added.names
                 )

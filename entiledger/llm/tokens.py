@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiledger.llm.common import folder
+from entiledger.llm.common import folder, spare
 
 KEYS = ["source", "lang", "version"]
 CHANGE = ["doc_id", *KEYS, "sign", "n_tokens"]
@@ -62,13 +62,14 @@ def counted(
                 }
             )
 
+    inner = spare(docs, "_counts")
     counts = [
         x
         for i, version in enumerate(versions)
-        for x in (F.lit(version), F.col("_counts").getField(f"v{i}"))
+        for x in (F.lit(version), F.col(inner).getField(f"v{i}"))
     ]
     kept = [c for c in docs.columns if c != "n_tokens"]
-    return docs.select(*kept, of(F.col(text)).alias("_counts")).select(
+    return docs.select(*kept, of(F.col(text)).alias(inner)).select(
         *kept, F.create_map(*counts).alias("n_tokens")
     )
 

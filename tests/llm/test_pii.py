@@ -3,6 +3,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from entiledger.llm import pii
 
@@ -84,7 +85,11 @@ def pseudonym(value, kind, key):
     if kind == "email":
         return spelt(value, 0, len(value.rsplit(".", 1)[1]), kind, key)
     if kind == "ssn":
-        return spelt(value, 0, 0, kind, key)
+        areas = [a for a in range(1, 900) if a != 666]
+        area, group, serial = map(int, value.split("-"))
+        places = [areas.index(area), group - 1, serial - 1]
+        a, g, n = feistel(places, [len(areas), 99, 9999], kind, key)
+        return f"{areas[a]:03}-{g + 1:02}-{n + 1:04}"
     if kind == "phone":
         if not 8 <= len(digits) <= 15:
             return None
@@ -114,9 +119,13 @@ def pseudonym(value, kind, key):
     if day is None:
         return None
     first = datetime.date.fromisoformat(pii.FIRST_DAY)
-    halves = divmod((day - first).days, pii.NARROW)
-    a, b = feistel(halves, [pii.WIDE, pii.NARROW], "date", key)
-    new = first + datetime.timedelta(a * pii.NARROW + b)
+    new = day
+    while True:
+        halves = divmod((new - first).days, pii.NARROW)
+        a, b = feistel(halves, [pii.WIDE, pii.NARROW], "date", key)
+        new = first + datetime.timedelta(a * pii.NARROW + b)
+        if new.year < 2200 and (order != "%m-%d-%Y" or new.day > 12):
+            break
     return new.strftime(order).replace("-", re.search("[^0-9]", value)[0])
 
 
@@ -248,6 +257,32 @@ def test_values_stay_valid_and_linked(docs_of):
     assert day_of(by[4])[0] == day_of(by[5])[0] != datetime.date(1984, 2, 29)
 
 
+def test_dates_and_numbers_stay_in_their_formats(spark):
+    """All social security areas, and all dates that only read month first: none collides."""
+    days = [datetime.date(1800, 1, 1) + datetime.timedelta(i) for i in range(0, 146_097, 3)]
+    dates = [d.strftime("%m/%d/%Y") for d in days if d.day > 12]
+    numbers = [f"{a:03}-{a % 99 + 1:02}-{a * 11 % 9999 + 1:04}" for a in range(1, 900) if a != 666]
+    docs = spark.createDataFrame([(v,) for v in dates + numbers], "text string")
+    rows = pii.pseudonymise(docs.withColumns({"_parts": F.lit(1), "_pii_parts": F.lit(2)})).collect()
+    assert {r._parts for r in rows} == {1}
+    made = [r.text for r in rows]
+    assert len(set(made)) == len(made)
+    new_dates = [m for m in made if "/" in m]
+    assert len(new_dates) == len(dates)
+    assert all(day_of(m)[1] == "%m-%d-%Y" and "1800" <= m[-4:] <= "2199" for m in new_dates)
+    new_numbers = [m for m in made if "/" not in m]
+    assert len(new_numbers) == len(numbers)
+    assert all(re.fullmatch(pii.SSN, m) for m in new_numbers)
+
+
+def test_dates_of_timestamps(docs_of):
+    text = "at 2024-01-05T10:00:00Z, 2024-01-05Thursday 2024-01-05"
+    got = pii.pseudonymise(docs_of([(1, text)])).first()
+    new = got.text[3:13]
+    assert got.pii == ["date", "date"] and new != "2024-01-05"
+    assert got.text == f"at {new}T10:00:00Z, 2024-01-05Thursday {new}"
+
+
 def test_keys_differ(docs_of):
     docs = docs_of([(1, CASES[1])])
     a, b = (pii.pseudonymise(docs, key=k).first().text for k in ("one", "two"))
