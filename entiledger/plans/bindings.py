@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -71,9 +72,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new folder for the files of a query, in the shared checkpoint folder.
 
-    Only a session that names none (a local one) gets a folder of its own.
+    Only a local session that names none gets a folder of its own; on a cluster one that
+    its machines share must be named.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     shared = shared or tempfile.mkdtemp(prefix="scratch-")
     return f"{shared}/{uuid.uuid4().hex}"
 
