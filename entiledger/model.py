@@ -102,6 +102,12 @@ LINK_COLUMNS = [
     ("log_id", *_LONG),
     ("use_sentinel", T.BooleanType(), "BOOLEAN"),
 ]
+#: Up to which log id the newest versions kept beside a table are whole.
+UPTO_COLUMNS = [
+    ("table_name", T.StringType(), "STRING"),
+    ("log_id", *_LONG),
+    ("folded", T.BooleanType(), "BOOLEAN"),
+]
 MAP_EXTRAS = [
     ("ext_id", *_S200),
     ("map_type", *_S30),

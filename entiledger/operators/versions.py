@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,13 +30,13 @@ def filter_log(
     return log
 
 
-def newest_per_entity(log: DataFrame) -> DataFrame:
-    """Row with the highest ``log_id`` of each ``n_id``.
+def newest_per_entity(log: DataFrame, group: Sequence[str] = ("n_id",)) -> DataFrame:
+    """Row with the highest ``log_id`` of each ``n_id``, or of each group.
 
     Spark keeps one row per entity and input partition before the shuffle, so an
     entity with very many versions costs no more than any other.
     """
-    newest_first = Window.partitionBy("n_id").orderBy(F.desc("log_id"))
+    newest_first = Window.partitionBy(*group).orderBy(F.desc("log_id"))
     return (
         log.withColumn("_place", F.row_number().over(newest_first))
         .where(F.col("_place") == 1)

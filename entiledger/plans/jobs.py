@@ -37,6 +37,7 @@ from entiledger.operators.migrate import (
     unbridged,
 )
 from entiledger.operators.versions import amplify, query_log
+from entiledger.plans.newest import add_newest, drop_newest, keep_newest, newest_rows
 from entiledger.sources.catalog import catalog_of
 from entiledger.sources.files import read_load_series
 from entiledger.sources.tables import (
@@ -207,12 +208,18 @@ def _broken(spark, database, table, rows, **options) -> list[tuple[str, str, str
     return [(table, r.rule, r.column_name, r.violations) for r in report.collect()]
 
 
-def _publish(spark: SparkSession, database: str, tables: Sequence[str]) -> None:
-    """Move staged rows into their tables."""
+def _publish(
+    spark: SparkSession, database: str, tables: Sequence[str], again: bool = False
+) -> None:
+    """Move staged rows into their tables, and into the newest versions kept of them.
+
+    ``again``: the rows of a repeated load, whose log ids may not be the highest.
+    """
     for table in tables:
-        staged = f"`{database}`.`{table}_staged`"
-        if not spark.table(staged).isEmpty():
-            append_rows(spark.table(staged), f"`{database}`.`{table}`")
+        staged = spark.table(f"`{database}`.`{table}_staged`")
+        if not staged.isEmpty():
+            append_rows(staged, f"`{database}`.`{table}`")
+        add_newest(spark, database, table, staged if again else None)
     _unstage(spark, database, tables)
 
 
@@ -330,11 +337,13 @@ def store_foreign_keys(
     the keys are new; fills, loads and amplification raise it with the rows they write,
     so a second remap takes only rows that something else appended with old keys, and
     does nothing if there are none. A job that stopped on the way is finished by the next
-    call.
+    call. Newest versions that are kept beside the table are taken anew; if the job stops
+    before that, queries read the log until ``keep_newest`` is called again.
     """
     names = {k: f"{spec.name}{k}" for k in ("", "_unlinked", "_linked")}
     name, kept, fresh = (f"`{database}`.`{n}`" for n in names.values())
     there = {t.name for t in spark.catalog.listTables(database)}
+    watched = False
     layout = ", ".join(f"`{c}` {kind}" for c, _, kind in LINK_COLUMNS)
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`key_link` ({layout}) USING parquet")
 
@@ -366,10 +375,13 @@ def store_foreign_keys(
             spark.sql(f"DROP TABLE {fresh}")
             raise IntegrityError(wrong)
         spark.sql(f"DROP TABLE IF EXISTS {kept}")
+        watched = drop_newest(spark, database, spec.name)
         spark.sql(f"ALTER TABLE {name} RENAME TO {kept}")
     # While the table has no name, so that no stop leaves new keys under an old watermark.
     _raise_watermark(spark, database, spec.name, last(fresh), use_sentinel)
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if watched:
+        keep_newest(spark, database, spec.name)
     return name
 
 
@@ -442,7 +454,7 @@ def load(
     last = first_log_id + planned.logged - 1
     if linked is not None and last > linked.log_id:
         _raise_watermark(spark, database, table, last, linked.use_sentinel)
-    _publish(spark, database, [table])
+    _publish(spark, database, [table], again)
     return planned
 
 
@@ -473,8 +485,12 @@ def query(
     n_id: int | None = None,
     latest: bool = False,
 ) -> DataFrame:
-    """Versions of a table's entities, oldest first."""
-    log = spark.table(f"`{database}`.`{table}`")
+    """Versions of a table's entities, oldest first.
+
+    The newest ones come from what ``keep_newest`` keeps of the table, if it does.
+    """
+    whole = spark.table(f"`{database}`.`{table}`")
+    log = newest_rows(spark, database, table) if latest else whole
     return query_log(log, status, action, n_id, latest)
 
 
@@ -490,3 +506,4 @@ def add_versions(
         last = (span.high or 0) + max(copies, 0) * span.n
         _raise_watermark(spark, database, table, last, linked.use_sentinel)
     append_rows(amplify(log, copies, own_name, own_name), name)
+    add_newest(spark, database, table)

@@ -16,7 +16,7 @@ from entiledger.plans import bindings as B
 from entiledger.plans import jobs
 from entiledger.sources import files
 from entiledger.sources.catalog import catalog_of
-from entiledger.sources.tables import aligned, create_tables
+from entiledger.sources.tables import aligned, append_rows, create_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1336,6 +1336,35 @@ def job_link_load_query(spark, sf_dir):
     return newest.select("n_id", "action", "status", "name", "nation_id", "bad_nation_id")
 
 
+def _kept(spark, sf_dir):
+    """Events appended in three parts, newest versions kept up to the second of them."""
+    database = B.new_database(spark)
+    log = B.events_log(spark, sf_dir)
+    high = log.agg(F.max("log_id")).scalar()
+    parted = log.withColumn("_part", F.floor(F.col("log_id") * 3 / (high + 1)))
+    log.where("false").write.saveAsTable(f"{database}.users", format="parquet")
+    jobs.keep_newest(spark, database, "users")
+    for k in range(3):
+        part = parted.where(F.col("_part") == k).drop("_part")
+        append_rows(part, f"{database}.users")
+        if k < 2:
+            jobs.add_newest(spark, database, "users")
+    return database
+
+
+@query("job_newest_kept", SQL["latest_versions"])
+def job_newest_kept(spark, sf_dir):
+    """Newest versions from those kept beside a table and the rows appended since."""
+    return jobs.query(spark, _kept(spark, sf_dir), "users", latest=True)
+
+
+@query("job_newest_kept_filtered", SQL["latest_filtered"])
+def job_newest_kept_filtered(spark, sf_dir):
+    """Newest of the versions in production that modify, from those kept."""
+    database = _kept(spark, sf_dir)
+    return jobs.query(spark, database, "users", "production", "modify", latest=True)
+
+
 @query(
     "schema_difference",
     """WITH cat AS (
