@@ -3,7 +3,7 @@
 A candidate is a run of letters, digits and the marks of base 64. A window slides over
 it; the counts of its characters change by one in and one out, and so does its entropy.
 A run of windows whose entropy reaches the bound of its character class is reported as
-one span, unless the allow-list knows it or a fixed format covers it.
+one span, unless the allow-list knows it, less what a fixed format covers of it.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import math
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,6 +36,8 @@ KINDS = [*BASE, "entropy"]
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+#: Least length of what a fixed format leaves of a span: shorter rests are mostly names.
+REST = 10
 #: Bits per character that a window needs, by the class of the whole candidate: the
 #: digits are of hex (either case), of letters and digits, or of base 64 with marks.
 CLASSES = (
@@ -116,9 +119,15 @@ def _stretches(run: str, example: re.Pattern) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+@lru_cache
+def _known(allowed: tuple[str, ...]) -> re.Pattern:
+    """Pattern of the candidates that are never secrets, but for the example words."""
+    return re.compile("|".join(f"(?:{p})" for p in allowed if p != EXAMPLE) or r"(?!)")
+
+
 def entropy_spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> list:
     """(start, end, "entropy") of windows of high entropy outside the allow-list."""
-    known = re.compile("|".join(f"(?:{p})" for p in allowed if p != EXAMPLE) or r"(?!)")
+    known = _known(allowed)
     example = re.compile(EXAMPLE if EXAMPLE in allowed else r"(?!)")
     out = []
     for match in re.finditer(CANDIDATE, text):
@@ -135,11 +144,24 @@ def entropy_spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> list:
     return out
 
 
+def _rests(start: int, end: int, starts: list, ends: list) -> Iterator[tuple[int, int]]:
+    """(start, end) of what merged spans, given by their sorted ends, leave of a span."""
+    i = bisect_right(ends, start)
+    while i < len(ends) and starts[i] < end:
+        if start < starts[i]:
+            yield start, starts[i]
+        start = ends[i]
+        i += 1
+    if start < end:
+        yield start, end
+
+
 def spans(text: str | None, allowed: tuple[str, ...] = ALLOWED) -> list:
     """All (start, end, kind) of a text by start, then kind as listed.
 
-    Spans of high entropy that overlap one of a fixed format are left out; no span of a
-    fixed format ever is. Places are code points, the end exclusive.
+    Spans of a fixed format are all there. One of high entropy is cut by those that it
+    overlaps: what lies outside them is a span if it has ten characters or more and the
+    allow-list does not know it. Places are code points, the end exclusive.
     """
     if not text:
         return []
@@ -152,9 +174,10 @@ def spans(text: str | None, allowed: tuple[str, ...] = ALLOWED) -> list:
             starts.append(a)
             ends.append(b)
     for a, b, kind in entropy_spans(text, allowed):
-        i = bisect_right(ends, a)
-        if i == len(ends) or starts[i] >= b:
-            found.append((a, b, kind))
+        for c, d in _rests(a, b, starts, ends):
+            rest = d - c < b - a
+            if not rest or d - c >= REST and not _known(allowed).fullmatch(text, c, d):
+                found.append((c, d, kind))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

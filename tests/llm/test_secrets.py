@@ -46,6 +46,82 @@ def test_base_against_plain_patterns():
         assert [f"{k}:{a}:{b}" for a, b, k in found] == base(text)
 
 
+def plain_spans(text):
+    """Every span of the added kind, window by window and character by character."""
+    text = text or ""
+    covered = set()
+    for part in base(text):
+        _, a, b = part.split(":")
+        covered.update(range(int(a), int(b)))
+    example = re.compile("example|sample|dummy|placeholder|changeme|xxxx", re.I)
+    uuid = r"[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"
+
+    def allowed(run):
+        words = [w for w in re.split(r"[/_=+-]+", run) if w]
+        marked = not re.match(r"[/_=+-]", run)
+        plain = marked and all(w.isalpha() or w.isdigit() for w in words)
+        no_letter, no_digit = not re.search("[A-Za-z]", run), not re.search("[0-9]", run)
+        return no_digit or no_letter or plain or bool(re.fullmatch(uuid, run))
+
+    def hot(run):
+        low = re.fullmatch("[0-9a-f]*|[0-9A-F]*", run)
+        starts = range(len(run) - 19)
+        if not allowed(run):
+            for s in starts:
+                if entropy(run[s : s + 20]) >= (3.0 if low else 3.6) - 1e-9:
+                    yield from range(s, s + 20)
+
+    found = set()
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        if allowed(m[0]):
+            continue
+        stretches = [(0, len(m[0]))]
+        if example.search(m[0]):
+            runs, last = [], None
+            for t in re.finditer("[^/=]+", m[0]):
+                if example.search(t[0]):
+                    last = None
+                elif last is None:
+                    last = [*t.span()]
+                    runs.append(last)
+                else:
+                    last[1] = t.end()
+            stretches = runs
+        for a, b in stretches:
+            found.update(m.start() + a + i for i in hot(m[0][a:b]))
+    whole, out = runs_of(found), []
+    for a, b in whole:
+        for c, d in runs_of(set(range(a, b)) - covered):
+            if (c, d) == (a, b) or d - c >= 10 and not allowed(text[c:d]):
+                out.append((c, d))
+    return out
+
+
+def runs_of(places):
+    out = []
+    for i in sorted(places):
+        if out and out[-1][1] == i:
+            out[-1][1] = i + 1
+        else:
+            out.append([i, i + 1])
+    return [tuple(r) for r in out]
+
+
+def test_added_spans_against_plain_ones():
+    key = "Zx81kQ9vLmP2rT7wYb4NcKZ"
+    hex_ = "0f1e2d3c4b5a69788796a5b4"
+    assert [s[:2] for s in secrets.spans(key + hex_ + key)] == [(0, 23), (23, 47), (47, 70)]
+    assert secrets.spans(f"my_token={key}") == [(3, 32, "assign")]
+    mixed = [key + hex_ + key, hex_ + key, key + "AKIA" + "Q7" * 9 + "_" + key, f"{key}/{hex_}/",
+             f"x1/{key}_api_key={key}.{key}", f"sample/{key}{hex_}=example"]
+    rng = random.Random(3)
+    pieces = [key, hex_, "token=", "sample", "/", "=", "_", "-", " ", "AKIA" + "B2" * 9, "é", "ab"]
+    drawn = ["".join(rng.choices(pieces, k=rng.randrange(1, 9))) for _ in range(600)]
+    for text in [*TEXTS[:14], *mixed, *drawn]:
+        got = [(a, b) for a, b, k in secrets.spans(text) if k == "entropy"]
+        assert got == plain_spans(text), text
+
+
 def test_query(spark, sf_dir, texts):
     rows = queries.QUERIES["op7_secrets"](spark, sf_dir.replace("sf0.001", "sf0.01")).collect()
     source = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")
@@ -58,6 +134,8 @@ def test_query(spark, sf_dir, texts):
             assert r[f"n_{kind}"] == sum(w.startswith(kind) for w in want)
         spans = r.spans.split(",") if r.spans else []
         assert [s for s in spans if not s.startswith("entropy")] == want
+        added = [f"entropy:{a}:{b}" for a, b in plain_spans(by[r.doc_id])]
+        assert [s for s in spans if s.startswith("entropy")] == added
     assert sum(r.n_assign for r in rows) > 5
 
 
