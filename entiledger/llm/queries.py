@@ -121,7 +121,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     All documents come in with counts estimated at four characters a token, the estimates
     are revised to the tokenizer's counts, the counts of a second tokenizer come in, and
-    documents whose text an earlier doc_id has are deleted under both.
+    documents whose text another one has are deleted under both: one of each text stays,
+    that of the smallest doc_id (null last), source and lang, also if rows repeat.
     """
     docs = read(spark, sf_dir, "documents")
     files = {v: public_tokenizers.path(f"{v}.tiktoken") for v in VERSIONS}
@@ -134,12 +135,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lang",
             F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"),
             F.expr("coalesce(n_chars, 0) div 4").alias("guess"),
+            F.monotonically_increasing_id().alias("row"),
             first.alias("first"),
             second.alias("second"),
         )
     )
-    kept = rows.groupBy("key").agg(F.min("doc_id").alias("kept"))
-    copies = lookup_join(rows, kept, "key", "inner", ["doc_id"]).where("doc_id > kept")
+    place = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "source", "lang", "row")
+    kept = rows.groupBy("key").agg(F.min(place)["row"].alias("kept"))
+    copies = lookup_join(rows, kept, "key", "inner", ["row"]).where("row <> kept")
     old, new = VERSIONS
     revised = tokens.revisions(rows, old, F.col("guess"), F.col("first"))
     gone = tokens.changes(copies, old, -1, F.col("first")).union(

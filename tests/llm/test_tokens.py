@@ -37,6 +37,21 @@ def test_query(spark, sf_dir):
     assert +got == +want
 
 
+def test_query_with_null_and_repeated_ids(spark, tmp_path):
+    made = [
+        (2, "one two", "b"), (2, "one two", "a"), (None, "one two", "a"), (3, "one two", "a"),
+        (None, "only", "c"), (None, "only", "c"), (4, None, "d"), (4, "", "d"), (4, "x", "d"),
+    ]
+    columns = "doc_id long, text string, source string, lang string, n_chars long"
+    docs = spark.createDataFrame([(i, t, s, None, None) for i, t, s in made], columns)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.QUERIES["op8_token_counts"](spark, str(tmp_path)).collect()
+    for name in queries.VERSIONS:
+        n = {t: len(encoder(name).encode_ordinary(t)) for t in ("one two", "only", "x")}
+        got = {r.source: (r.n_docs, r.n_tokens) for r in found if r.version == name}
+        assert got == {"a": (1, n["one two"]), "c": (1, n["only"]), "d": (2, n["x"])}
+
+
 @pytest.fixture
 def rows(spark):
     return spark.createDataFrame(
