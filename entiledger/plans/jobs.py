@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -405,6 +406,16 @@ def _first_numbers(
     return *numbers, False
 
 
+def _check_own(log: DataFrame, rows: DataFrame, ticket: str) -> None:
+    """Raise if log ids of a repeated load hold rows of another entity or name."""
+    told = [c for c in ("n_id", "name") if c in rows.columns]
+    mine = rows.select("log_id", *[F.col(c).alias(f"_{c}") for c in told])
+    there = log.select("log_id", *told)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in told]
+    if not mine.join(there, "log_id").where(~reduce(Column.__and__, same)).isEmpty():
+        raise ValueError(f"another load took the numbers of ticket {ticket}: use a new ticket")
+
+
 def load(
     spark: SparkSession,
     database: str,
@@ -423,7 +434,8 @@ def load(
 
     A ``ticket`` names the load: one that is called again with it, after it stopped at
     any point or was done, takes the same numbers and adds only the rows that are not
-    there yet. One writer at a time.
+    there yet. If another load took these numbers, because the first call stopped before it
+    wrote any row and was not repeated at once, it raises. One writer at a time.
     """
     name, registry_name = f"`{database}`.`{table}`", f"`{database}`.`thing`"
     start, first_log_id, again = _first_numbers(spark, database, table, ticket)
@@ -440,6 +452,7 @@ def load(
     rows = planned.rows.select(*[c for c in planned.rows.columns if c in log.columns])
     things = planned.new_things
     if again:
+        _check_own(log, rows, ticket)
         things = things.join(registry, "n_id", "left_anti")
         rows = rows.join(log.select("log_id"), "log_id", "left_anti")
     linked = _watermark(spark, database, table)

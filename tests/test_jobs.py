@@ -360,6 +360,25 @@ def test_a_load_is_taken_up_again_under_its_ticket(spark, legacy):  # noqa: F811
     ]
 
 
+def test_numbers_of_a_ticket_that_another_load_took(spark, legacy):  # noqa: F811
+    create_tables(spark, "taken", SPECS)
+    jobs.fill(legacy, spark, "taken", SPECS, THINGS, VENDORS)
+    # The first one stopped before it wrote any row, and another load came first.
+    jobs._first_numbers(spark, "taken", "company", "t1")
+    made, more = (
+        spark.createDataFrame([(0, name)], "row_no int, name string") for name in ("x", "z")
+    )
+    jobs.load(spark, "taken", "company", [more], "row_no")
+    before = rows(spark.table("taken.company"))
+    with pytest.raises(ValueError, match="ticket t1"):
+        jobs.load(spark, "taken", "company", [made], "row_no", "t1")
+    assert rows(spark.table("taken.company")) == before
+    jobs.load(spark, "taken", "company", [made], "row_no", "t1b")
+    assert rows(spark.table("taken.company").where("n_id > 1004"), "n_id", "name") == [
+        (1005, "z"), (1006, "x"),
+    ]
+
+
 def test_versions_can_be_added_again_and_again(spark, legacy):  # noqa: F811
     create_tables(spark, "amplified", SPECS)
     sparse = spark.createDataFrame(
