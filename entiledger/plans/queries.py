@@ -1243,10 +1243,18 @@ def job_fill_in_steps(spark, sf_dir):
         spark.table(f"{database}.name_map")
         .join(F.broadcast(named), "v_id")
         .join(spark.table(f"{database}.old_new_bridge"), "n_id")
+        # An entity has one new id: grouped by it too, the rows stay where the join has them.
         .groupBy(
-            "thing", F.col("fixed").alias("v_id"), "old_id", "ext_id", "created_ts", "created_by"
+            "n_id",
+            "thing",
+            F.col("fixed").alias("v_id"),
+            "old_id",
+            "ext_id",
+            "created_ts",
+            "created_by",
         )
         .agg(F.count("log_id").alias("rows"))
+        .drop("n_id")
     )
 
 

@@ -181,6 +181,54 @@ def test_lacking_rows_counts_copies(spark):
     assert rows(ids.lacking_rows(want, want.limit(0)), "_copies") == [(1,), (2,), (3,)]
 
 
+def _shuffles(df):
+    """Exchanges by key in a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_lacking_rows_shuffle_each_side_once(spark, tmp_path):
+    spark.range(100).selectExpr("id AS k", "'a' AS t").write.parquet(f"{tmp_path}/t")
+    want, stored = (spark.read.parquet(f"{tmp_path}/t") for _ in range(2))
+    assert _shuffles(ids.lacking_rows(want, stored)) == 1
+    none = stored.where("k < 0")
+    assert _shuffles(ids.rows_to_add(want, none)) == 0
+    assert rows(ids.rows_to_add(want, none), "k", "_copies") == [(k, 1) for k in range(100)]
+    assert rows(ids.rows_to_add(want, stored.where("k > 1")), "k") == [(0,), (1,)]
+
+
+def test_row_ids_by_place_in_stored_files(spark, tmp_path):
+    data = [(None, None)] * 3 + [(1, "a")] * 70_000 + [(k, "b") for k in range(40)]
+    df = spark.createDataFrame(data, "k int, t string").repartition(5)
+
+    def store(copies):
+        copies.withColumn("n", F.lit(None).cast("long")).write.parquet(f"{tmp_path}/t")
+        return spark.read.parquet(f"{tmp_path}/t")
+
+    done = ids.row_ids(ids.counted_rows(df), "n", 10, store)
+    assert done.columns == ["k", "t", "n"]
+    # The files alone are grouped.
+    assert _shuffles(done) == 1
+    got = rows(done)
+    assert sorted(r[2] for r in got) == list(range(10, 10 + len(data)))
+    assert rows(done, "k", "t") == rows(df)
+    assert rows(done) == got
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    spark.conf.set(split, "2k")
+    assert rows(done.select("*")) == got
+    spark.conf.set(split, before)
+
+
+def test_hot_keys_of_crowded_classes_only(spark, many_partitions):
+    few = spark.range(60_000).select((F.col("id") % 9).alias("k"))
+    assert rows(hot_keys(few, ["k"]), "k") == [(k,) for k in range(9)]
+    mixed = few.where("k = 3").union(spark.range(100, 60_000).toDF("k"))
+    assert rows(hot_keys(mixed, ["k"]), "k") == [(3,)]
+    plan = hot_keys(mixed, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_class" in plan and "LeftSemi" in plan
+
+
 def test_next_id(spark):
     table = spark.createDataFrame([(4,), (9,)], "n long")
     one = spark.range(1)
