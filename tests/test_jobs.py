@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from entiledger.model import ColumnSpec, TableSpec
 from entiledger.plans import jobs
 from entiledger.sources.catalog import reflect
-from entiledger.operators.migrate import migrate_all, number_things
+from entiledger.operators.migrate import legacy_ids, migrate_all, number_things
 from entiledger.sources.tables import aligned, append_log, append_rows, create_tables
 from entiledger.streaming.series import stream_series
 
@@ -219,6 +219,40 @@ def test_name_map_in_steps_counts_copies(spark, legacy):  # noqa: F811
     assert rows(stepped, "log_id") == rows(whole, "log_id") == [(n,) for n in range(1, 8)]
 
 
+def test_a_log_that_lacks_nothing_shuffles_no_rows(spark, legacy):  # noqa: F811
+    create_tables(spark, "lacks", SPECS)
+    jobs.fill(legacy, spark, "lacks", SPECS, THINGS, VENDORS)
+    bridge, log = spark.table("lacks.old_new_bridge"), spark.table("lacks.brand")
+    ids = legacy_ids(legacy, ["brand"])
+    plan = migrate_all(legacy, SPECS, THINGS, VENDORS, bridge=bridge)
+    none = plan.lacking_log("brand", ids, log, 4)
+    assert none.isEmpty()
+    assert "Exchange hash" not in none._jdf.queryExecution().executedPlan().toString()
+    # Ids of the bridge that are not to be migrated leave no gap.
+    some = plan.lacking_log("brand", ids.where("old_id <> 20"), log.where("n_id = 1000"), 7)
+    assert rows(some, "log_id", "n_id", "name") == [(7, 1002, "b30")]
+    fresh = plan.lacking_log("brand", ids.where("old_id <> 10"), log.where("false"), 1)
+    assert rows(fresh, "log_id", "n_id", "name") == [(1, 1001, "b20"), (2, 1002, "b30")]
+
+
+def test_new_ids_are_found_once(spark, legacy, monkeypatch):  # noqa: F811
+    create_tables(spark, "once", SPECS)
+    jobs.fill({**legacy, "brand": legacy["brand"].where("brand_id < 30")}, spark, "once", SPECS, THINGS, VENDORS)
+    stored, append = [], jobs.append_rows
+
+    def told(added, table):
+        stored.append((table, added._jdf.queryExecution().analyzed().toString()))
+        append(added, table)
+
+    monkeypatch.setattr(jobs, "append_rows", told)
+    jobs.fill(legacy, spark, "once", SPECS, THINGS, VENDORS)
+    numbers = {t: plan for t, plan in stored if t in ("`once`.`thing`", "`once`.`old_new_bridge`")}
+    assert all("old_new_bridge_staged" in p and "Window" not in p for p in numbers.values())
+    assert len(numbers) == 2
+    assert not spark.catalog.tableExists("once.old_new_bridge_staged")
+    assert rows(spark.table("once.brand"), "log_id", "n_id") == [(1, 1000), (2, 1001), (3, 1004)]
+
+
 def test_nothing_that_breaks_a_rule_is_published(spark, legacy):  # noqa: F811
     create_tables(spark, "gate", SPECS)
     long = legacy["brand"].withColumn("brand_name", F.repeat("brand_name", F.lit(100)))

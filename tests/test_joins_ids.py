@@ -1,7 +1,10 @@
 import bisect
 import random
+import re
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entiledger.operators import ids
@@ -197,6 +200,34 @@ def test_lacking_rows_shuffle_each_side_once(spark, tmp_path):
     assert rows(ids.rows_to_add(want, stored.where("k > 1")), "k") == [(0,), (1,)]
 
 
+def test_columns_of_one_value_are_not_shuffled(spark):
+    want = spark.createDataFrame([(1, "x", 0.5)] * 2 + [(None, "x", 0.5)], "k int, t string, f float")
+    told = [(1, "x", 0.5), (1, "y", 0.5), (1, None, 0.5), (None, "x", 0.25), (None, "x", None)]
+    stored = spark.createDataFrame(told, "k int, t string, f float")
+    lacking = ids.lacking_rows(want, stored, {"t": "x", "f": 0.5})
+    assert lacking.schema.names == ["k", "t", "f", "_copies"]
+    assert rows(lacking) == rows(ids.lacking_rows(want, stored)) == [(1, "x", 0.5, 1), (None, "x", 0.5, 1)]
+    plan = lacking._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\((.*?), \d+\)", plan)[0].startswith("k#")
+    assert "t#" not in re.findall(r"hashpartitioning\((.*?), \d+\)", plan)[0]
+
+
+def test_runs_tell_whether_rows_are_numbered_once(spark, monkeypatch):
+    def once(*parts):
+        listed = [spark.createDataFrame([(k,) for k in p], "k long").coalesce(1) for p in parts]
+        return ids.numbered_once(reduce(DataFrame.union, listed), "k")
+
+    assert once([5, 6, 7], [1, 2, 4])
+    assert once([3, 1, 2]) and once([])
+    assert not once([5, 6, 7], [7, 8])
+    assert not once([1, 1])
+    assert not once([1, 2, None])
+    # Ranges that overlap are not told; the rows are counted then.
+    assert not once([1, 9, 3], [2])
+    monkeypatch.setattr(ids, "MOST_BUCKETS", 2)
+    assert once([1, 2, 4]) and not once([1, 3, 5])
+
+
 def test_row_ids_by_place_in_stored_files(spark, tmp_path):
     data = [(None, None)] * 3 + [(1, "a")] * 70_000 + [(k, "b") for k in range(40)]
     df = spark.createDataFrame(data, "k int, t string").repartition(5)

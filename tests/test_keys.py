@@ -121,6 +121,8 @@ def test_integrity_report(spark):
     }
     clean = keys.integrity_report(df.where(F.lit(False)), ["log_id"], ["name"])
     assert [r.violations for r in clean.collect()] == [0, 0]
+    keyless = keys.integrity_report(df, [], ["name"])
+    assert [(r.rule, r.violations) for r in keyless.collect()] == [("not_null", 1)]
 
 
 def test_zero_has_no_sign(spark):
