@@ -1241,6 +1241,8 @@ def job_fill_in_steps(spark, sf_dir):
     named = vendors.select("v_id", fixed.otherwise(3).alias("fixed"))
     return (
         spark.table(f"{database}.name_map")
+        # Only whether there is a log id travels to the bridge.
+        .withColumn("numbered", F.col("log_id").isNotNull())
         .join(F.broadcast(named), "v_id")
         .join(spark.table(f"{database}.old_new_bridge"), "n_id")
         # An entity has one new id: grouped by it too, the rows stay where the join has them.
@@ -1253,7 +1255,7 @@ def job_fill_in_steps(spark, sf_dir):
             "created_ts",
             "created_by",
         )
-        .agg(F.count("log_id").alias("rows"))
+        .agg(F.count_if("numbered").alias("rows"))
         .drop("n_id")
     )
 
