@@ -1151,11 +1151,16 @@ def job_name_map(spark, sf_dir):
     vendors = spark.table(f"{database}.vendor").select("v_id", "vendor")
     fixed = F.when(F.col("vendor") == "line", 1).when(F.col("vendor") == "activity", 2)
     named = vendors.select("v_id", fixed.otherwise(3).alias("fixed"))
+    keys = ["n_id", "fixed", "ext_id", "created_ts", "created_by"]
     return (
         spark.table(f"{database}.name_map")
         .join(F.broadcast(named), "v_id")
-        .groupBy("n_id", F.col("fixed").alias("v_id"), "ext_id", "created_ts", "created_by")
-        .agg(F.count("log_id").alias("rows"))
+        .select(*keys, F.col("log_id").isNotNull().alias("numbered"))
+        # Nearly all rows are different: counting them before the shuffle too would only spill.
+        .repartition(*keys)
+        .groupBy(*keys)
+        .agg(F.count_if("numbered").alias("rows"))
+        .withColumnRenamed("fixed", "v_id")
     )
 
 

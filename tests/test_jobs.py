@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from entiledger.model import ColumnSpec, TableSpec
+from entiledger.plans import bindings as B
 from entiledger.plans import jobs
+from entiledger.plans.queries import QUERIES
 from entiledger.sources.catalog import reflect
 from entiledger.operators.migrate import legacy_ids, migrate_all, number_things
 from entiledger.sources.tables import aligned, append_log, append_rows, create_tables
@@ -488,3 +490,25 @@ def test_streamed_series(spark, legacy, tmp_path):  # noqa: F811
     newest = jobs.query(spark, "stream", "company", latest=True)
     assert (1003, "two") in rows(newest, "n_id", "name")
     assert spark.table("stream.company").count() == 4
+
+
+def test_name_map_query_counts_after_its_shuffle(spark, tmp_path):
+    ts = dt.datetime(1998, 1, 1)
+    given = {
+        "customer": [(1, "c1", 0, 1.0, "FURNITURE"), (2, "c2", 0, -1.0, "BUILDING")],
+        "orders": [(7, 1, "O", 1.0, ts, "1-URGENT")],
+        "part": [(3, "p3", "b", "t", 1, 1.0)],
+        "lineitem": [(7, 3, 5, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", ts)],
+        "events": [(n, ts, 2, "view", 1.0, None) for n in range(3)],
+        "nation": [(0, "n0", 0)],
+    }
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        df = spark.createDataFrame(given.get(name, []), B.TABLES[name])
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = QUERIES["job_name_map"](spark, str(tmp_path))
+    assert rows(got, "n_id", "v_id", "ext_id", "rows") == [
+        (1002, 2, None, 3), (1003, 1, "3-1", 1), (1004, 3, "5", 1),
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning", 1)
+    assert above.count("HashAggregate") == 2 and "HashAggregate" not in below
