@@ -200,6 +200,20 @@ def test_lacking_rows_shuffle_each_side_once(spark, tmp_path):
     assert rows(ids.rows_to_add(want, stored.where("k > 1")), "k") == [(0,), (1,)]
 
 
+def test_lacking_rows_are_not_counted_before_their_shuffle(spark, tmp_path):
+    twice = spark.range(100).selectExpr("id % 50 AS k", "nullif('a', 'a') AS t")
+    twice.write.parquet(f"{tmp_path}/t")
+    want = spark.read.parquet(f"{tmp_path}/t")
+    lacking = ids.lacking_rows(want, want.where("k < 25").distinct())
+    plan = lacking._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning", 1)
+    assert above.count("HashAggregate") == 2
+    assert "partial_sum" in above and "partial_sum" not in below
+    assert rows(lacking) == [(k, None, 1 if k < 25 else 2) for k in range(50)]
+    constant = want.select("t").na.fill("x")
+    assert rows(ids.lacking_rows(constant, constant.limit(1), {"t": "x"})) == [("x", 99)]
+
+
 def test_columns_of_one_value_are_not_shuffled(spark):
     want = spark.createDataFrame([(1, "x", 0.5)] * 2 + [(None, "x", 0.5)], "k int, t string, f float")
     told = [(1, "x", 0.5), (1, "y", 0.5), (1, None, 0.5), (None, "x", 0.25), (None, "x", None)]

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,25 @@ def test_vendors_are_visited_last_first(spark, plan):
     ]
 
 
+def test_each_thing_looks_its_new_ids_up_by_itself(spark, legacy, broadcast_up_to):
+    broadcast_up_to(-1)
+    spec = TableSpec("company", (), ("ios",))
+    told = [(10, "brand", 1000), (30, "brand", 1002), (2, "company", 1004), (10, "company", 9)]
+    bridge = spark.createDataFrame(told, "old_id long, thing string, n_id long")
+    done = migrate.migrate_all(
+        legacy, [SPECS[0], spec], ["brand", "company"], ["ios", "tapir"], bridge=bridge
+    )
+    vendors = spark.createDataFrame([("ios", 2), ("tapir", 1)], "vendor string, v_id long")
+    got = done.name_map(vendors)
+    assert rows(got, "n_id", "v_id", "ext_id") == [
+        (1000, 2, "77"), (1000, 2, "78"), (1002, 1, "t"), (1004, 2, "c"),
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert any("_salt#" in k for k in keys)
+    assert not any("thing#" in k for k in keys)
+
+
 def test_nothing_declared(legacy):
     with pytest.raises(ValueError, match="declared"):
         migrate.migrate_all(legacy, SPECS, ["ghost"], [])
