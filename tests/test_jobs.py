@@ -1,6 +1,7 @@
 """Whole jobs over catalog tables."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -255,6 +256,35 @@ def test_new_ids_are_found_once(spark, legacy, monkeypatch):  # noqa: F811
     assert rows(spark.table("once.brand"), "log_id", "n_id") == [(1, 1000), (2, 1001), (3, 1004)]
 
 
+def test_fills_broadcast_no_ids(spark, legacy, monkeypatch, broadcast_up_to):  # noqa: F811
+    """Neither the registry nor valid ids of the audit, however small their files are."""
+    broadcast_up_to("10m")
+    create_tables(spark, "registered", SPECS)
+    jobs.fill(legacy, spark, "registered", SPECS, THINGS, VENDORS)
+    plans = []
+
+    def recorded(rows, table, append=jobs.append_rows):
+        if "`thing`" in table:
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        append(rows, table)
+
+    def audited(*args, audit=jobs.audit, **options):
+        report = audit(*args, **options)
+        plans.append(report._jdf.queryExecution().executedPlan().toString())
+        return report
+
+    monkeypatch.setattr(jobs, "append_rows", recorded)
+    monkeypatch.setattr(jobs, "audit", audited)
+    before = contents(spark, "registered")
+    jobs.fill(legacy, spark, "registered", SPECS, THINGS, VENDORS)
+    assert contents(spark, "registered") == before
+    assert len(plans) == 4
+    for plan in plans:
+        # Only the rows of the staged files, counted, are broadcast.
+        keys = re.findall(r"BroadcastHashJoin \[(.*?)\]", plan)
+        assert "LeftAnti" in plan and all(k.startswith("_bucket#") for k in keys)
+
+
 def test_nothing_that_breaks_a_rule_is_published(spark, legacy):  # noqa: F811
     create_tables(spark, "gate", SPECS)
     long = legacy["brand"].withColumn("brand_name", F.repeat("brand_name", F.lit(100)))

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from entiledger.operators import ids
 from entiledger.operators.ids import dense_ids, first_free, next_id
-from entiledger.operators.joins import fits_broadcast, hot_keys, hot_values, lookup_join
+from entiledger.operators.joins import (
+    fits_broadcast,
+    hot_keys,
+    hot_values,
+    id_join,
+    lookup_join,
+)
 
 from .conftest import rows
 
@@ -111,6 +117,18 @@ def test_size_decides_about_a_broadcast(broadcast_up_to, spark):
     assert not fits_broadcast(spark.range(1000))
 
 
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+def test_ids_are_never_broadcast(broadcast_up_to, spark, how):
+    """However small their files are: the driver would hold all of them."""
+    broadcast_up_to("10m")
+    left = big(spark, 200).where("v < 120 OR k IS NULL")
+    want = left.join(lookup(spark).where("k < 50"), "k", how)
+    got = id_join(left, lookup(spark).where("k < 50"), "k", how)
+    assert rows(got, *want.columns) == rows(want)
+    assert "Broadcast" in want._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rejects_other_join_types(spark):
     with pytest.raises(ValueError):
         lookup_join(big(spark), lookup(spark), "k", "right")

@@ -172,6 +172,36 @@ def test_each_thing_looks_its_new_ids_up_by_itself(spark, legacy, broadcast_up_t
     assert not any("thing#" in k for k in keys)
 
 
+def test_entities_that_a_log_lacks_are_found_without_a_broadcast_of_ids(
+    spark, legacy, broadcast_up_to, tmp_path
+):
+    broadcast_up_to("10m")
+    told = [(10, "brand", 1000), (20, "brand", 1001), (30, "brand", 1002), (40, "brand", 1003)]
+    bridge = spark.createDataFrame(told, "old_id long, thing string, n_id long")
+    log = spark.createDataFrame([(7, 1001)], "log_id long, n_id long")
+    files = {"brand": legacy["brand"], "bridge": bridge, "log": log}
+    for name, df in files.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        files[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    done = migrate.migrate_all(files, SPECS, ["brand"], [], bridge=files["bridge"])
+    ids = migrate.legacy_ids(files, ["brand"])
+    got = done.lacking_log("brand", ids, files["log"], 8)
+    assert rows(got, "log_id", "n_id", "name") == [(8, 1000, "b10"), (9, 1002, "b30")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Only the counts of the buckets are broadcast.
+    keys = re.findall(r"BroadcastHashJoin \[(.*?)\]", plan)
+    assert keys and all(k.startswith("_bucket#") for k in keys)
+    assert re.search(r"SortMergeJoin .*LeftSemi", plan) and re.search(r"SortMergeJoin .*LeftAnti", plan)
+
+
+def test_ids_that_a_bridge_lacks_are_found_without_a_broadcast(spark, broadcast_up_to):
+    broadcast_up_to("10m")
+    things = spark.createDataFrame([(10,), (20,), (None,)], "old_id long")
+    got = migrate.unbridged(things, spark.createDataFrame([(20,), (30,)], "old_id long"))
+    assert rows(got) == [(10,), (None,)]
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nothing_declared(legacy):
     with pytest.raises(ValueError, match="declared"):
         migrate.migrate_all(legacy, SPECS, ["ghost"], [])
